@@ -41,3 +41,144 @@ FROM pu"""
 ORACLE_SQL["install_flag"] = f"""WITH {_TOPK}
 SELECT user_id, CAST(max(CASE WHEN app_id IN {tuple(P.FLAG_APPS)} THEN 1 ELSE 0 END) AS BIGINT) AS flag
 FROM pairs GROUP BY user_id"""
+
+# ---------------------------------------------------------------- scans
+from portrait.functions.dates import offset_date_py as _off  # noqa: E402
+
+_D0 = P.AS_OF.isoformat()
+_D1 = (P.AS_OF.fromordinal(P.AS_OF.toordinal() + 1)).isoformat()
+_HLO = _off(P.AS_OF, -1, 0).isoformat()
+_HHI = _off(P.AS_OF, 0, -1).isoformat()
+
+
+def _lenient(d: str, months: int, days: int) -> str:
+    """DuckDB form of the lenient calendar offset on a DATE expression."""
+    return (f"(date_trunc('month', {d}) + INTERVAL ({months}) MONTH "
+            f"+ INTERVAL (dayofmonth({d}) - 1 + {days}) DAY)")
+
+
+ORACLE_SQL["scan_partition"] = f"""
+SELECT event_id, user_id, event_type, CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS stat_date
+FROM events WHERE ts >= TIMESTAMP '{_D0}' AND ts < TIMESTAMP '{_D1}'"""
+
+ORACLE_SQL["scan_date_range"] = f"""
+SELECT event_id, user_id, CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS stat_date,
+       strftime({_lenient('CAST(ts AS DATE)', -1, 0)}, '%Y%m%d') AS prev_month_day
+FROM events WHERE ts >= TIMESTAMP '{_HLO}' AND ts < TIMESTAMP '{_HHI}'"""
+
+ORACLE_SQL["scan_hour_prefix"] = f"""
+SELECT event_id, strftime(ts, '%Y%m%d%H') AS stat_hour FROM events
+WHERE strftime(ts, '%Y%m%d%H') LIKE '{P.AS_OF.strftime('%Y%m%d')}%'"""
+
+ORACLE_SQL["latest_partition"] = """
+WITH o AS (SELECT o_orderkey, o_custkey, CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS stat_date FROM orders)
+SELECT * FROM o WHERE stat_date = (SELECT max(stat_date) FROM o)"""
+
+ORACLE_SQL["clean_rows"] = """
+SELECT DISTINCT user_id, event_type, item_id FROM (
+  SELECT user_id, nullif(nullif(event_type, 'error'), '') AS event_type, props->>'$.k' AS item_id, props
+  FROM events) t
+WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND item_id IS NOT NULL AND length(trim(props)) > 5"""
+
+ORACLE_SQL["source_filter"] = """
+SELECT doc_id, source, lang FROM documents
+WHERE (source IN ('src1', 'src3', 'src5') AND lang NOT IN ('de'))
+   OR ((source = 'src2' OR source = 'src7') AND (lang = 'en' OR lang = 'fr'))"""
+
+_SEG = """seg AS (
+  SELECT c_custkey AS user_id, CAST(m.code - 1 AS BIGINT) AS label
+  FROM customer c JOIN (VALUES ('automobile', 1), ('building', 2), ('furniture', 3), ('machinery', 4),
+                               ('household', 0)) m(key, code)
+    ON lower(trim(c.c_mktsegment)) = m.key
+  WHERE m.code <> 0),
+seg_named AS (
+  SELECT s.user_id, s.label, n.label_name FROM seg s
+  LEFT JOIN (VALUES (0, 'automobile'), (1, 'building'), (2, 'furniture'), (3, 'machinery')) n(label, label_name)
+    ON n.label = s.label)"""
+
+ORACLE_SQL["label_map"] = f"WITH {_SEG} SELECT user_id, label, label_name FROM seg_named"
+
+ORACLE_SQL["label_distribution"] = f"""WITH {_SEG}
+SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total,
+       round(count(*) / sum(count(*)) OVER (), 4) AS share
+FROM seg GROUP BY label"""
+
+ORACLE_SQL["train_predict_sets"] = f"""WITH {_TOPK}, {_SEG},
+  fu AS (SELECT DISTINCT p.user_id FROM pairs p JOIN topk t ON t.app_id = p.app_id)
+SELECT fu.user_id, CAST(coalesce(seg.label, -1) AS BIGINT) AS label,
+       CASE WHEN seg.label IS NULL THEN 'predict' ELSE 'train' END AS split
+FROM fu LEFT JOIN seg ON seg.user_id = fu.user_id"""
+
+ORACLE_SQL["priority_union"] = """
+WITH u AS (
+  SELECT doc_id, CAST(quality AS BIGINT) AS label, 'known' AS origin, 0 AS prio FROM labels
+  UNION ALL SELECT doc_id, CAST(n_chars > 2000 AS BIGINT), 'predicted', 1 FROM documents
+  UNION ALL SELECT doc_id, CAST(0 AS BIGINT), 'third', 2 FROM documents WHERE lang = 'en')
+SELECT doc_id, arg_min(label, prio) AS label, arg_min(origin, prio) AS origin FROM u GROUP BY doc_id"""
+
+ORACLE_SQL["silent_users"] = """
+SELECT o_custkey AS user_id, o_orderkey FROM orders a
+WHERE o_orderstatus = 'O'
+  AND NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_orderstatus = 'F' AND b.o_custkey = a.o_custkey)"""
+
+ORACLE_SQL["occupation_overrides"] = f"""WITH {_SEG},
+  pairs AS (SELECT o.o_custkey AS user_id, l.l_partkey AS app_id
+            FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey),
+  boots AS (SELECT o.o_custkey AS user_id, l.l_partkey AS app_id
+            FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE l.l_linestatus = 'F'),
+  silent AS (SELECT DISTINCT user_id FROM pairs WHERE user_id NOT IN (SELECT user_id FROM boots)),
+  both_ AS (SELECT * FROM pairs UNION ALL SELECT * FROM boots),
+  student AS (SELECT DISTINCT user_id FROM both_ WHERE app_id IN {tuple(P.STUDENT_APPS)}),
+  it AS (SELECT DISTINCT user_id FROM both_ WHERE app_id IN ({P.IT_APPS[0]})),
+  u AS (SELECT user_id, label AS v, 0 AS st, 0 AS it FROM seg
+        UNION ALL SELECT user_id, 10, 0, 0 FROM silent
+        UNION ALL SELECT user_id, NULL, 1, 0 FROM student
+        UNION ALL SELECT user_id, NULL, 0, 1 FROM it),
+  per AS (SELECT user_id, CASE WHEN max(it) = 1 THEN 8 WHEN max(st) = 1 THEN 0 ELSE max(v) END AS b
+          FROM u GROUP BY user_id),
+  age AS (SELECT c_custkey AS user_id,
+                 CAST(CASE WHEN c_acctbal < 0 THEN NULL ELSE least(floor(c_acctbal / 2000), 4) END AS BIGINT) AS age
+          FROM customer),
+  s1 AS (SELECT per.user_id, age.age, CASE WHEN age.age IN (0, 1) THEN 0 ELSE per.b END AS o
+         FROM per JOIN age ON age.user_id = per.user_id WHERE age.age IS NOT NULL)
+SELECT user_id, CAST(CASE WHEN o = 0 AND age IN (3, 4) THEN 10 ELSE o END AS BIGINT) AS occupation FROM s1"""
+
+ORACLE_SQL["consistency_merge"] = """
+WITH m AS (SELECT c_custkey AS user_id, CASE WHEN c_acctbal > 4000 THEN 'married' ELSE 'unmarried' END AS marriage
+           FROM customer WHERE c_acctbal >= 0),
+     p AS (SELECT c_custkey AS user_id, CASE WHEN c_nationkey < 12 THEN 'parent' ELSE 'non_parent' END AS parent
+           FROM customer WHERE c_nationkey <> 3),
+     c AS (SELECT c_custkey AS user_id, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'baby'
+                                            WHEN c_mktsegment = 'BUILDING' THEN 'pregnancy' ELSE 'teen' END AS child_stage
+           FROM customer)
+SELECT m.user_id, marriage,
+       CASE WHEN marriage = 'unmarried' AND parent = 'parent' THEN 'non_parent' ELSE parent END AS parent,
+       CASE WHEN (marriage = 'unmarried' AND parent = 'parent') OR parent = 'non_parent' THEN 'null'
+            ELSE child_stage END AS child_stage
+FROM m JOIN p ON p.user_id = m.user_id JOIN c ON c.user_id = m.user_id"""
+
+ORACLE_SQL["label_audit"] = """
+SELECT CAST(count(*) AS BIGINT) AS matched,
+       CAST(count(*) FILTER (WHERE l.quality = CAST(d.n_chars > 2000 AS INTEGER)) AS BIGINT) AS agree,
+       CAST(count(*) FILTER (WHERE l.quality <> CAST(d.n_chars > 2000 AS INTEGER)) AS BIGINT) AS conflict
+FROM labels l JOIN documents d ON d.doc_id = l.doc_id"""
+
+ORACLE_SQL["coverage_report"] = """
+SELECT (SELECT count(DISTINCT user_id) FROM events) AS event_users,
+       (SELECT count(DISTINCT user_id) FROM events WHERE user_id IN (SELECT c_custkey FROM customer)) AS overlap_users,
+       (SELECT count(*) FROM events WHERE user_id IN (SELECT c_custkey FROM customer)) AS events_of_known,
+       (SELECT count(*) FROM customer) AS customers"""
+
+ORACLE_SQL["dedupe_first"] = """
+SELECT user_id, ts, event_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id, event_type) AS rn FROM events) t
+WHERE rn = 1"""
+
+ORACLE_SQL["id_translate"] = """
+WITH s AS (SELECT user_id, count(*) AS n_signups FROM events WHERE event_type = 'signup' GROUP BY user_id),
+     c AS (SELECT c_custkey, c_name FROM customer WHERE length(c_name) > 0),
+     dm AS (SELECT upper(md5(CAST(c_custkey AS VARCHAR))) AS imeimd5, CAST(c_nationkey AS BIGINT) AS device FROM customer)
+SELECT s.user_id, c.c_custkey, c.c_name, s.n_signups, dm.device
+FROM s JOIN c ON s.user_id = c.c_custkey
+LEFT JOIN dm ON lower(md5(CAST(s.user_id AS VARCHAR))) = lower(dm.imeimd5)
+WHERE dm.imeimd5 IS NOT NULL"""

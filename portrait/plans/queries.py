@@ -69,3 +69,190 @@ def q_install_stats(spark, sf):
 @query("install_flag")
 def q_install_flag(spark, sf):
     return feat.install_flag(install_pairs(spark, sf), P.FLAG_APPS)
+
+
+# ---------------------------------------------------------------- scans
+from portrait import config as C  # noqa: E402
+from portrait.functions import dates as D  # noqa: E402
+from portrait.operators import clean as CL  # noqa: E402
+from portrait.operators import labels as L  # noqa: E402
+from portrait.sources import tables as TB  # noqa: E402
+
+
+@query("scan_partition")
+def q_scan_partition(spark, sf):
+    ev = TB.ts_day_slice(table(spark, sf, "events"), "ts", P.AS_OF)
+    return ev.select("event_id", "user_id", "event_type", "stat_date")
+
+
+@query("scan_date_range")
+def q_scan_date_range(spark, sf):
+    """History window [d - 1 month, d - 1 day) with the lenient calendar."""
+    lo = D.offset_date_py(P.AS_OF, -1, 0)
+    hi = D.offset_date_py(P.AS_OF, 0, -1)
+    ev = TB.ts_range_slice(table(spark, sf, "events"), "ts", lo, hi)
+    prev = F.date_format(D.offset_date(F.to_date("ts"), -1, 0), "yyyyMMdd")
+    return ev.select("event_id", "user_id", "stat_date", prev.alias("prev_month_day"))
+
+
+@query("scan_hour_prefix")
+def q_scan_hour_prefix(spark, sf):
+    ev = TB.with_partition_cols(table(spark, sf, "events"), F.col("ts"))
+    return TB.scan_hour_prefix(ev, P.AS_OF).select("event_id", "stat_hour")
+
+
+@query("latest_partition")
+def q_latest_partition(spark, sf):
+    o = table(spark, sf, "orders").withColumn("stat_date", D.stat_date(F.col("o_orderdate")))
+    return TB.latest_partition(o).select("o_orderkey", "o_custkey", "stat_date")
+
+
+# ---------------------------------------------------------------- cleaning
+@query("clean_rows")
+def q_clean_rows(spark, sf):
+    ev = table(spark, sf, "events").select(
+        "user_id", CL.null_sentinels(F.col("event_type"), ["error", ""]).alias("event_type"),
+        F.get_json_object("props", "$.k").alias("item_id"), "props")
+    return CL.clean_rows(ev, ["user_id", "event_type", "item_id"], length_col="props", min_len=5)
+
+
+@query("source_filter")
+def q_source_filter(spark, sf):
+    d = table(spark, sf, "documents")
+    listed = CL.in_lists(F.col("source"), allowed=["src1", "src3", "src5"], denied=None) & \
+        CL.in_lists(F.col("lang"), denied=["de"])
+    ors = ((F.col("source") == "src2") | (F.col("source") == "src7")) & \
+        ((F.col("lang") == "en") | (F.col("lang") == "fr"))
+    return d.where(listed | ors).select("doc_id", "source", "lang")
+
+
+# ---------------------------------------------------------------- labels
+SEGMENT_CODES = [("automobile", 1), ("building", 2), ("furniture", 3), ("machinery", 4), ("household", 0)]
+SEGMENT_NAMES = [(0, "automobile"), (1, "building"), (2, "furniture"), (3, "machinery")]
+
+
+def segment_labels(spark, sf) -> DataFrame:
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    mapping = spark.createDataFrame(SEGMENT_CODES, "key string, code int")
+    names = F.broadcast(spark.createDataFrame(SEGMENT_NAMES, "label bigint, label_name string"))
+    return L.map_labels(cust, "c_mktsegment", mapping).join(names, "label", "left") \
+        .select("user_id", "label", "label_name")
+
+
+@query("label_map")
+def q_label_map(spark, sf):
+    return segment_labels(spark, sf)
+
+
+@query("label_distribution")
+def q_label_distribution(spark, sf):
+    return L.label_distribution(segment_labels(spark, sf))
+
+
+@query("train_predict_sets")
+def q_train_predict_sets(spark, sf):
+    users = feat.install_features(install_pairs(spark, sf), top_apps(spark, sf)).select("user_id")
+    return L.train_predict_split(users, segment_labels(spark, sf), "user_id").select("user_id", "label", "split")
+
+
+def doc_rule_label(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", (F.col("n_chars") > 2000).cast("bigint").alias("label"))
+
+
+@query("priority_union")
+def q_priority_union(spark, sf):
+    known = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("bigint").alias("label"),
+                                              F.lit("known").alias("origin"))
+    pred = doc_rule_label(spark, sf).withColumn("origin", F.lit("predicted"))
+    third = (table(spark, sf, "documents").where(F.col("lang") == "en")
+             .select("doc_id", F.lit(0).cast("bigint").alias("label"), F.lit("third").alias("origin")))
+    return L.priority_union([known, pred, third], "doc_id", "label")
+
+
+@query("silent_users")
+def q_silent_users(spark, sf):
+    o = table(spark, sf, "orders")
+    a = o.where(F.col("o_orderstatus") == "O").select(F.col("o_custkey").alias("user_id"), "o_orderkey")
+    b = o.where(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("user_id"))
+    return L.anti_keep_duplicates(a, b, "user_id")
+
+
+def age_groups(spark, sf) -> DataFrame:
+    c = table(spark, sf, "customer")
+    age = F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(
+        F.least(F.floor(F.col("c_acctbal") / 2000), F.lit(4))).cast("bigint")
+    return c.select(F.col("c_custkey").alias("user_id"), age.alias("age"))
+
+
+@query("occupation_overrides")
+def q_occupation_overrides(spark, sf):
+    pairs = install_pairs(spark, sf)
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    boots = (o.join(li.where(F.col("l_linestatus") == "F"), F.col("o_orderkey") == F.col("l_orderkey"))
+             .select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("app_id")))
+    silent = L.anti_keep_duplicates(pairs.select("user_id"), boots, "user_id").distinct()
+    both = pairs.unionByName(boots)
+    student = both.where(F.col("app_id").isin(list(P.STUDENT_APPS))).select("user_id").distinct()
+    it = both.where(F.col("app_id").isin(list(P.IT_APPS))).select("user_id").distinct()
+    pred = segment_labels(spark, sf).select("user_id", F.col("label").alias("occupation"))
+    return L.occupation_overrides(pred, silent, student, it, age_groups(spark, sf))
+
+
+@query("consistency_merge")
+def q_consistency_merge(spark, sf):
+    c = table(spark, sf, "customer")
+    marriage = c.where(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").alias("user_id"),
+        F.when(F.col("c_acctbal") > 4000, "married").otherwise("unmarried").alias("marriage"))
+    parent = c.where(F.col("c_nationkey") != 3).select(
+        F.col("c_custkey").alias("user_id"),
+        F.when(F.col("c_nationkey") < 12, "parent").otherwise("non_parent").alias("parent"))
+    child = c.select(F.col("c_custkey").alias("user_id"),
+                     F.when(F.col("c_mktsegment") == "AUTOMOBILE", "baby")
+                     .when(F.col("c_mktsegment") == "BUILDING", "pregnancy")
+                     .otherwise("teen").alias("child_stage"))
+    return L.consistency_merge(marriage, parent, child)
+
+
+@query("label_audit")
+def q_label_audit(spark, sf):
+    known = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("bigint").alias("label_a"))
+    rule = doc_rule_label(spark, sf).withColumnRenamed("label", "label_b")
+    return L.label_audit(known, rule, "doc_id")
+
+
+@query("coverage_report")
+def q_coverage_report(spark, sf):
+    ev = table(spark, sf, "events").select("user_id")
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    ev_users = ev.distinct()
+    overlap = ev_users.join(cust, "user_id", "left_semi")
+    rows_known = ev.join(cust, "user_id", "left_semi")
+    return (ev_users.agg(F.count(F.lit(1)).alias("event_users"))
+            .join(overlap.agg(F.count(F.lit(1)).alias("overlap_users")), how="inner")
+            .join(rows_known.agg(F.count(F.lit(1)).alias("events_of_known")), how="inner")
+            .join(cust.agg(F.count(F.lit(1)).alias("customers")), how="inner"))
+
+
+@query("dedupe_first")
+def q_dedupe_first(spark, sf):
+    ev = table(spark, sf, "events")
+    return L.dedupe_first(ev, "user_id", ["ts", "event_id"], ["event_type"])
+
+
+@query("id_translate")
+def q_id_translate(spark, sf):
+    ev = table(spark, sf, "events")
+    cust = table(spark, sf, "customer")
+    signups = (ev.where(F.col("event_type") == "signup")
+               .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_signups")))
+    named = cust.where(F.length("c_name") > 0).select("c_custkey", "c_name")
+    j = signups.join(named, signups["user_id"] == named["c_custkey"], "inner")   # keys differ, both kept
+    device_map = cust.select(F.upper(F.md5(F.col("c_custkey").cast("string"))).alias("imeimd5"),
+                             F.col("c_nationkey").cast("bigint").alias("device"))
+    keyed = j.withColumn("user_md5", F.md5(F.col("user_id").cast("string")))
+    out = keyed.join(device_map, F.lower(keyed["user_md5"]) == F.lower(device_map["imeimd5"]), "left") \
+        .where(F.col("imeimd5").isNotNull())
+    return out.select("user_id", "c_custkey", "c_name", "n_signups", "device")
