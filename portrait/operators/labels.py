@@ -130,9 +130,9 @@ def ranked_profile(df: DataFrame, key: str, label: str, score: str, digits: int
                    sep: str = "###") -> DataFrame:
     """Per key: ``label:score`` items sorted by score desc (ties: label asc),
     joined with ``sep``.  Bounded by the label vocabulary per key."""
-    fmt = f"%.{digits}f"
+    shown = F.round(F.col(score).cast("decimal(38,10)"), digits).cast(f"decimal(38,{digits})").cast("string")
     items = F.collect_list(F.struct(F.negative(F.col(score)).alias("_ns"), F.col(label).alias("_l"),
-                                    F.col(score).alias("_s")))
+                                    shown.alias("_s")))
     return (df.groupBy(key).agg(F.array_sort(items).alias("_a"))
               .select(key, F.array_join(F.transform("_a", lambda x: F.concat(
-                  x["_l"], F.lit(":"), F.format_string(fmt, x["_s"]))), sep).alias("labels")))
+                  x["_l"], F.lit(":"), x["_s"])), sep).alias("labels")))

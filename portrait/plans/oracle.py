@@ -182,3 +182,107 @@ SELECT s.user_id, c.c_custkey, c.c_name, s.n_signups, dm.device
 FROM s JOIN c ON s.user_id = c.c_custkey
 LEFT JOIN dm ON lower(md5(CAST(s.user_id AS VARCHAR))) = lower(dm.imeimd5)
 WHERE dm.imeimd5 IS NOT NULL"""
+
+# ---------------------------------------------------------------- ads
+import datetime as _dt  # noqa: E402
+
+_Y = (P.AS_OF - _dt.timedelta(days=1)).strftime("%Y%m%d")
+_HIST_LO = _off(P.AS_OF, -1, 0).strftime("%Y%m%d")
+_HIST_HI = _off(P.AS_OF, 0, -1).strftime("%Y%m%d")
+
+_ADS = f"""
+  log AS (SELECT md5(CAST(user_id AS VARCHAR)) AS imei, props->>'$.k' AS unit_id,
+                 'L' || CAST(CAST(floor(value / 25) AS BIGINT) AS VARCHAR) AS location, ts,
+                 CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS clk,
+                 strftime(ts, '%Y%m%d%H') AS stat_hour, CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS stat_date
+          FROM events WHERE event_type IN ('view', 'click')),
+  lab AS (SELECT imei, unit_id, location, CAST(isodow(ts) AS BIGINT) AS week, CAST(hour(ts) AS BIGINT) AS hour,
+                 strftime(ts, '%m%d') AS date, CAST(max(clk) AS BIGINT) AS label
+          FROM log WHERE stat_hour >= '{_Y}00' AND stat_hour < '{(P.AS_OF).strftime('%Y%m%d')}00'
+          GROUP BY ALL),
+  hist AS (SELECT imei, string_agg(DISTINCT unit_id, ' ' ORDER BY unit_id) AS history_click_1m
+           FROM log WHERE clk = 1 AND stat_date >= {_HIST_LO} AND stat_date < {_HIST_HI} GROUP BY imei),
+  users AS (SELECT md5(CAST(c_custkey AS VARCHAR)) AS imei, c_mktsegment AS seg,
+                   CAST(c_nationkey AS VARCHAR) AS nation, CAST(CAST(floor(c_acctbal / 1000) AS BIGINT) AS VARCHAR) AS bal
+            FROM customer),
+  units AS (SELECT CAST(p_partkey AS VARCHAR) AS unit_id, p_brand AS brand, p_type AS ptype,
+                   CAST(p_size AS VARCHAR) AS psize FROM part),
+  wide AS (SELECT lab.*, users.seg, users.nation, users.bal, units.brand, units.ptype, units.psize,
+                  coalesce(hist.history_click_1m, 'null') AS history_click_1m
+           FROM lab JOIN users USING (imei) JOIN units USING (unit_id) LEFT JOIN hist USING (imei)),
+  rows_ AS (SELECT concat_ws(' ', {', '.join(
+      f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN '{c}_' || replace(CAST({c} AS VARCHAR), '_', '') END"
+      for c in ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"])}) AS features, label
+           FROM wide),
+  ctr AS (SELECT features, max(label) AS label FROM rows_ GROUP BY features)
+"""
+
+ORACLE_SQL["ad_click_label"] = f"WITH {_ADS} SELECT * FROM lab"
+ORACLE_SQL["ad_click_history"] = f"WITH {_ADS} SELECT * FROM hist"
+ORACLE_SQL["ad_training_wide"] = f"""WITH {_ADS}
+SELECT imei, unit_id, location, week, hour, date, seg, nation, bal, brand, ptype, psize, history_click_1m, label
+FROM wide"""
+ORACLE_SQL["ctr_feature_rows"] = f"WITH {_ADS} SELECT * FROM ctr"
+ORACLE_SQL["feature_vocab"] = f"""WITH {_ADS},
+  toks AS (SELECT DISTINCT unnest(string_split(features, ' ')) AS feature FROM ctr)
+SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS idx FROM toks WHERE feature <> ''"""
+
+# ---------------------------------------------------------------- ratings
+_ACTS = """
+  scores AS (SELECT * FROM (VALUES ('content_click', 1.0), ('content_comment', 2.0), ('content_like', 3.0),
+                                   ('content_share', 5.0), ('content_danmku', 2.0), ('browse_progress', 0.0),
+                                   ('video_play', 0.0)) s(action, score)),
+  alog AS (SELECT md5(CAST(user_id AS VARCHAR)) AS imei, props->>'$.k' AS item_id,
+                  CASE event_type WHEN 'click' THEN 'content_click' WHEN 'view' THEN 'video_play'
+                                  WHEN 'purchase' THEN 'content_share' WHEN 'signup' THEN 'content_comment' END AS action,
+                  CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS stat_date FROM events),
+  daily AS (SELECT imei, item_id, action, stat_date, CAST(count(*) AS DOUBLE) AS frequency
+            FROM alog WHERE action IN (SELECT action FROM scores) AND imei IS NOT NULL AND item_id IS NOT NULL
+            GROUP BY ALL),
+  rng AS (SELECT imei, item_id, action, sum(frequency) AS frequency FROM daily
+          WHERE stat_date > 20240101 AND stat_date < 20240116 GROUP BY ALL HAVING length(imei) > 5)
+"""
+ORACLE_SQL["user_actions_daily"] = f"""WITH {_ACTS}
+SELECT imei, item_id, action, frequency FROM daily WHERE stat_date = {P.AS_OF.strftime('%Y%m%d')}"""
+ORACLE_SQL["user_actions_range"] = f"WITH {_ACTS} SELECT * FROM rng"
+ORACLE_SQL["item_rating"] = f"""WITH {_ACTS}
+SELECT imei, item_id, sum(score * frequency) AS rating FROM rng JOIN scores USING (action) GROUP BY imei, item_id"""
+
+_LABELS = """
+  base AS (SELECT md5(CAST(e.user_id AS VARCHAR)) AS imei, p.p_brand AS pred, p.p_type AS label, e.event_type,
+                  CAST(strftime(e.ts, '%Y%m%d') AS BIGINT) AS stat_date
+           FROM events e JOIN part p ON p.p_partkey = CAST(e.props->>'$.k' AS BIGINT)
+           WHERE e.event_type IN ('click', 'view', 'purchase', 'signup')),
+  ld AS (SELECT imei, pred || '@' || label AS labels, count(*) AS times, stat_date FROM base
+         WHERE imei IS NOT NULL AND pred IS NOT NULL AND label IS NOT NULL GROUP BY imei, pred, label, stat_date)
+"""
+ORACLE_SQL["label_daily"] = f"WITH {_LABELS} SELECT * FROM ld"
+_PSINCE = _off(P.PROFILE_AS_OF, -1, 0).strftime("%Y%m%d")
+ORACLE_SQL["label_profile"] = f"""WITH {_LABELS},
+  sc AS (SELECT imei, labels, round(sum(CAST(times AS DECIMAL(20,0)) *
+                  ((31 - datediff('day', strptime(CAST(stat_date AS VARCHAR), '%Y%m%d')::DATE, DATE '{P.PROFILE_AS_OF.isoformat()}'))
+                   * CAST(0.03333 AS DECIMAL(6,5)))), 3) AS s
+         FROM ld WHERE stat_date > {_PSINCE} GROUP BY imei, labels)
+SELECT imei, string_agg(labels || ':' || CAST(CAST(s AS DECIMAL(38,3)) AS VARCHAR), '###' ORDER BY s DESC, labels ASC) AS labels
+FROM sc GROUP BY imei"""
+
+ORACLE_SQL["event_counts"] = """
+SELECT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS stat_date, event_type, count(*) AS n
+FROM events WHERE event_type IN ('view', 'click') GROUP BY ALL"""
+
+ORACLE_SQL["event_counts_sets"] = """
+SELECT source, event_type, count(*) AS n, CAST(grouping_id(source, event_type) AS BIGINT) AS gid
+FROM (SELECT 'b' || CAST(CAST(floor(user_id / 25) AS BIGINT) AS VARCHAR) AS source, event_type FROM events) t
+GROUP BY GROUPING SETS ((source), (event_type), (source, event_type))"""
+
+ORACLE_SQL["run_metrics"] = """
+SELECT count(*) AS rows, count(DISTINCT user_id) AS users, count(DISTINCT props->>'$.k') AS items,
+       count(DISTINCT (user_id, props->>'$.k')) AS user_items FROM events"""
+
+ORACLE_SQL["questionnaire_best"] = """
+WITH s AS (SELECT user_id, event_type,
+                  CAST(sum(CASE WHEN coalesce(props->>'$.k', '') <> '' THEN 1 ELSE 0 END) AS BIGINT) AS answered
+           FROM events GROUP BY user_id, event_type),
+     b AS (SELECT user_id, max(answered) AS m FROM s GROUP BY user_id)
+SELECT s.user_id, s.event_type, s.answered, c.c_custkey, c.c_name
+FROM s JOIN b ON b.user_id = s.user_id AND s.answered = b.m JOIN customer c ON c.c_custkey = s.user_id"""

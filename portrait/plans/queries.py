@@ -256,3 +256,189 @@ def q_id_translate(spark, sf):
     out = keyed.join(device_map, F.lower(keyed["user_md5"]) == F.lower(device_map["imeimd5"]), "left") \
         .where(F.col("imeimd5").isNotNull())
     return out.select("user_id", "c_custkey", "c_name", "n_signups", "device")
+
+
+# ---------------------------------------------------------------- ads
+import datetime as _dt  # noqa: E402
+
+from portrait.operators import ads as AD  # noqa: E402
+from portrait.operators import profiles as PR  # noqa: E402
+
+
+def ad_monitor_log(spark, sf) -> DataFrame:
+    """Events as an ad monitor log: views are impressions, clicks are clicks;
+    the unit is the JSON field k, the slot a bucket of the event value."""
+    ev = table(spark, sf, "events").where(F.col("event_type").isin("view", "click"))
+    return ev.select(
+        F.md5(F.col("user_id").cast("string")).alias("imei"),
+        F.get_json_object("props", "$.k").alias("unit_id"),
+        F.concat(F.lit("L"), F.floor(F.col("value") / 25).cast("string")).alias("location"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("posttime"),
+        F.when(F.col("event_type") == "click", AD.CLK).otherwise(AD.IMP).alias("oper_type"),
+        F.date_format("ts", "yyyyMMddHH").alias("stat_hour"),
+        D.stat_date(F.col("ts")).alias("stat_date"))
+
+
+def _yesterday():
+    return P.AS_OF - _dt.timedelta(days=1)
+
+
+def ad_labels(spark, sf) -> DataFrame:
+    log = TB.scan_hour_prefix(ad_monitor_log(spark, sf), _yesterday())
+    return AD.click_labels(log)
+
+
+def ad_history(spark, sf) -> DataFrame:
+    lo = int(D.offset_date_py(P.AS_OF, -1, 0).strftime("%Y%m%d"))
+    hi = int(D.offset_date_py(P.AS_OF, 0, -1).strftime("%Y%m%d"))
+    log = ad_monitor_log(spark, sf)
+    return AD.click_history(log.where((F.col("stat_date") >= lo) & (F.col("stat_date") < hi)))
+
+
+def ad_users(spark, sf) -> DataFrame:
+    c = table(spark, sf, "customer").dropna(subset=["c_custkey"])
+    return c.select(F.md5(F.col("c_custkey").cast("string")).alias("imei"),
+                    F.col("c_mktsegment").alias("seg"), F.col("c_nationkey").cast("string").alias("nation"),
+                    F.floor(F.col("c_acctbal") / 1000).cast("string").alias("bal"))
+
+
+def ad_units(spark, sf) -> DataFrame:
+    p = table(spark, sf, "part").dropna(subset=["p_partkey", "p_brand", "p_type", "p_size"])
+    return p.select(F.col("p_partkey").cast("string").alias("unit_id"), F.col("p_brand").alias("brand"),
+                    F.col("p_type").alias("ptype"), F.col("p_size").cast("string").alias("psize"))
+
+
+def ad_wide(spark, sf) -> DataFrame:
+    return AD.training_wide(ad_labels(spark, sf), ad_users(spark, sf), ad_units(spark, sf), ad_history(spark, sf))
+
+
+CTR_FEATURES = ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"]
+
+
+@query("ad_click_label")
+def q_ad_click_label(spark, sf):
+    return ad_labels(spark, sf).select("imei", "unit_id", "location", "week", "hour", "date", "label")
+
+
+@query("ad_click_history")
+def q_ad_click_history(spark, sf):
+    return ad_history(spark, sf)
+
+
+@query("ad_training_wide")
+def q_ad_training_wide(spark, sf):
+    return ad_wide(spark, sf).select("imei", "unit_id", "location", "week", "hour", "date", "seg", "nation",
+                                     "bal", "brand", "ptype", "psize", "history_click_1m", "label")
+
+
+@query("ctr_feature_rows")
+def q_ctr_feature_rows(spark, sf):
+    return feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES)
+
+
+@query("feature_vocab")
+def q_feature_vocab(spark, sf):
+    return feat.feature_vocab(feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES))
+
+
+# ---------------------------------------------------------------- ratings
+ACTION_OF_EVENT = [("click", "content_click"), ("view", "video_play"), ("purchase", "content_share"),
+                   ("signup", "content_comment")]
+
+
+def action_log(spark, sf) -> DataFrame:
+    ev = table(spark, sf, "events")
+    m = F.broadcast(spark.createDataFrame(ACTION_OF_EVENT, "event_type string, action string"))
+    return ev.join(m, "event_type", "left").select(
+        F.md5(F.col("user_id").cast("string")).alias("imei"),
+        F.get_json_object("props", "$.k").alias("item_id"), "action",
+        D.stat_date(F.col("ts")).alias("stat_date"))
+
+
+def daily_actions(spark, sf) -> DataFrame:
+    return PR.actions_daily(action_log(spark, sf), PR.score_map(spark))
+
+
+RANGE_LO, RANGE_HI = 20240101, 20240116
+
+
+@query("user_actions_daily")
+def q_user_actions_daily(spark, sf):
+    day = int(P.AS_OF.strftime("%Y%m%d"))
+    return daily_actions(spark, sf).where(F.col("stat_date") == day) \
+        .select("imei", "item_id", "action", "frequency")
+
+
+@query("user_actions_range")
+def q_user_actions_range(spark, sf):
+    return PR.actions_range(daily_actions(spark, sf), RANGE_LO, RANGE_HI)
+
+
+@query("item_rating")
+def q_item_rating(spark, sf):
+    acts = PR.actions_range(daily_actions(spark, sf), RANGE_LO, RANGE_HI)
+    return PR.item_rating(acts, PR.score_map(spark))
+
+
+# ---------------------------------------------------------------- daily labels / profile
+def label_sources(spark, sf) -> list[DataFrame]:
+    ev = table(spark, sf, "events")
+    part = table(spark, sf, "part").select(F.col("p_partkey"), F.col("p_brand").alias("pred"),
+                                           F.col("p_type").alias("label"))
+    base = ev.select(F.md5(F.col("user_id").cast("string")).alias("imei"),
+                     F.get_json_object("props", "$.k").cast("bigint").alias("p_partkey"),
+                     "event_type", D.stat_date(F.col("ts")).alias("stat_date")).join(part, "p_partkey")
+    return [base.where(F.col("event_type") == t) for t in ("click", "view", "purchase", "signup")]
+
+
+def daily_labels(spark, sf) -> DataFrame:
+    return PR.label_daily(label_sources(spark, sf))
+
+
+@query("label_daily")
+def q_label_daily(spark, sf):
+    return daily_labels(spark, sf)
+
+
+@query("label_profile")
+def q_label_profile(spark, sf):
+    since = D.offset_date_py(P.PROFILE_AS_OF, -1, 0)
+    return PR.decayed_profile(daily_labels(spark, sf), P.PROFILE_AS_OF, since)
+
+
+@query("event_counts")
+def q_event_counts(spark, sf):
+    ev = table(spark, sf, "events").where(F.col("event_type").isin("view", "click"))
+    return ev.groupBy(D.stat_date(F.col("ts")).alias("stat_date"), "event_type") \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("event_counts_sets")
+def q_event_counts_sets(spark, sf):
+    ev = table(spark, sf, "events").select(
+        F.concat(F.lit("b"), F.floor(F.col("user_id") / 25).cast("string")).alias("source"), "event_type")
+    return PR.event_count_sets(ev, "source", "event_type")
+
+
+@query("run_metrics")
+def q_run_metrics(spark, sf):
+    ev = table(spark, sf, "events").select("user_id", F.get_json_object("props", "$.k").alias("item_id"))
+    return ev.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("users"),
+                  F.count_distinct("item_id").alias("items"),
+                  F.count_distinct("user_id", "item_id").alias("user_items"))
+
+
+@query("questionnaire_best")
+def q_questionnaire_best(spark, sf):
+    """Answer sheets per (user, sheet): answered = non-empty JSON answers;
+    keep each user's most complete sheets (ties kept); re-key to customers."""
+    ev = table(spark, sf, "events")
+    ans = F.get_json_object("props", "$.k")
+    sheets = (ev.groupBy("user_id", "event_type")
+              .agg(F.sum(F.when(F.coalesce(ans, F.lit("")) != "", 1).otherwise(0)).cast("bigint").alias("answered")))
+    best = sheets.groupBy("user_id").agg(F.max("answered").alias("max_answered"))
+    top = sheets.join(best, (sheets["user_id"] == best["user_id"]) &
+                      (sheets["answered"] == best["max_answered"])).select(sheets["*"])
+    cust = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return top.join(cust, top["user_id"] == cust["c_custkey"]).select(
+        "user_id", "event_type", "answered", "c_custkey", "c_name")
