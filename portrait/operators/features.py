@@ -95,7 +95,7 @@ def install_flag(pairs: DataFrame, app_ids: Iterable, user: str = "user_id",
 def sparse_indices(feature: Column) -> Column:
     """``"i:v i:v"`` -> sorted distinct int indices; malformed tokens dropped."""
     toks = F.filter(F.split(F.trim(feature), " "), lambda t: F.size(F.split(t, ":")) == 2)
-    idx = F.transform(toks, lambda t: F.try_cast(F.trim(F.split_part(t, F.lit(":"), F.lit(1))), "int"))
+    idx = F.transform(toks, lambda t: F.trim(F.split_part(t, F.lit(":"), F.lit(1))).try_cast("int"))
     return F.array_sort(F.array_distinct(F.filter(idx, lambda i: i.isNotNull())))
 
 

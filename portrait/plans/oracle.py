@@ -286,3 +286,218 @@ WITH s AS (SELECT user_id, event_type,
      b AS (SELECT user_id, max(answered) AS m FROM s GROUP BY user_id)
 SELECT s.user_id, s.event_type, s.answered, c.c_custkey, c.c_name
 FROM s JOIN b ON b.user_id = s.user_id AND s.answered = b.m JOIN customer c ON c.c_custkey = s.user_id"""
+
+# ---------------------------------------------------------------- text / content
+from portrait.functions.text import HTML_STEPS  # noqa: E402
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _html(expr: str) -> str:
+    out = f"coalesce({expr}, '')"
+    for pat, rep in HTML_STEPS:
+        out = f"regexp_replace({out}, {_q(pat)}, {_q(rep)}, 'g')"
+    return out
+
+
+def _norm_cat(expr: str) -> str:
+    return f"regexp_replace(replace(lower(trim({expr})), '其它', '其他'), '[ _-]+', ',', 'g')"
+
+
+def _tokens(expr: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({expr}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+
+
+def _keep(expr: str, cls: str) -> str:
+    return f"replace(regexp_replace({expr}, '[^{cls}]+', ' ', 'g'), chr(10), ' ')"
+
+
+def _host(expr: str) -> str:
+    parts = f"string_split(rtrim({expr}, '/'), '/')"
+    return f"(CASE WHEN len({parts}) > 3 THEN {parts}[3] ELSE '' END)"
+
+
+ORACLE_SQL["html_to_text"] = f"SELECT page_id, {_html('html')} AS text FROM pages"
+ORACLE_SQL["keep_script"] = f"SELECT doc_id, {_keep('text', 'a-z')} AS kept FROM documents"
+ORACLE_SQL["decode_content"] = """
+SELECT doc_id, md5(decode(from_base64(to_base64(encode(text))))) AS digest,
+       CAST(length(decode(from_base64(to_base64(encode(text))))) AS BIGINT) AS n FROM documents"""
+ORACLE_SQL["tokenize_text"] = f"""
+SELECT doc_id, CAST(len({_tokens('text')}) AS BIGINT) AS n_tokens, array_to_string({_tokens('text')}, ' ') AS tokens
+FROM documents"""
+
+_USED_PART = f"""
+  used AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS category_id FROM (
+             SELECT DISTINCT {_norm_cat('p_type')} AS name FROM part
+             UNION SELECT DISTINCT {_norm_cat("p_type || '_' || p_brand")} FROM part WHERE p_size <= 25) t)"""
+
+ORACLE_SQL["category_normalize"] = f"""WITH {_USED_PART},
+  c AS (SELECT p_partkey, {_norm_cat("p_type || '_' || p_brand")} AS cat FROM part)
+SELECT p_partkey, CASE WHEN u.name IS NULL THEN 'UNK' ELSE replace(c.cat, ',', '-') END AS category,
+       CAST(coalesce(u.category_id, -1) AS BIGINT) AS category_id,
+       CAST(CASE WHEN u.name IS NULL THEN -1 WHEN len(string_split(c.cat, ',')) = 2 THEN 2 ELSE 1 END AS BIGINT) AS level
+FROM c LEFT JOIN used u ON u.name = c.cat"""
+
+_GOODS = """
+  g0 AS (SELECT p_partkey AS fid, CASE WHEN p_size >= 5 THEN p_type || '|' || p_brand || '|' || p_name
+                                       ELSE p_type || '|' || p_brand END AS fcategory FROM part),
+  g AS (SELECT fid, string_split(trim(fcategory), '|') AS p FROM g0 WHERE len(string_split(trim(fcategory), '|')) = 3),
+  lv AS (SELECT fid, p[1] AS category_1, p[1] || '-' || p[2] AS category_2, p[1] || '-' || p[2] || '-' || p[3] AS category_3
+         FROM g),
+  d1 AS (SELECT category_1 AS name, count(*) AS count FROM lv GROUP BY 1),
+  d2 AS (SELECT category_2 AS name, count(*) AS count FROM lv GROUP BY 1),
+  d3 AS (SELECT category_3 AS name, count(*) AS count FROM lv GROUP BY 1),
+  i1 AS (SELECT *, row_number() OVER (ORDER BY count DESC, name) - 1 AS id FROM d1),
+  i2 AS (SELECT *, row_number() OVER (ORDER BY count DESC, name) - 1 AS id FROM d2),
+  i3 AS (SELECT *, row_number() OVER (ORDER BY count DESC, name) - 1 AS id FROM d3)"""
+
+ORACLE_SQL["category_path"] = f"""WITH {_GOODS}
+SELECT lv.fid, lv.category_1, i1.count || '-' || i1.id AS label_1, lv.category_2, i2.count || '-' || i2.id AS label_2,
+       lv.category_3, i3.count || '-' || i3.id AS label_3
+FROM lv LEFT JOIN i1 ON i1.name = lv.category_1 LEFT JOIN i2 ON i2.name = lv.category_2
+LEFT JOIN i3 ON i3.name = lv.category_3"""
+
+ORACLE_SQL["label_dictionary"] = f"""WITH {_GOODS}
+SELECT CAST(1 AS BIGINT) AS level, name, count, id FROM i1
+UNION ALL SELECT 2, name, count, id FROM i2
+UNION ALL SELECT 3, name, count, id FROM i3"""
+
+ORACLE_SQL["load_alias_map"] = """
+SELECT lower(p_type) AS alias, arg_max(lower(p_brand), p_partkey) AS canonical FROM part GROUP BY lower(p_type)"""
+
+_TEST_DENY = ["spam-farm.example.org", "www.cheap-pills.example.com"]
+_TEST_KNOWN = [("thther.example.org", "news"), ("blog.ththan.example.net", "blog")]
+
+
+def _pages_cte():
+    from portrait import config as C
+    deny = ", ".join(_q(x) for x in C.COMMERCE_DOMAINS + C.USELESS_DOMAINS + _TEST_DENY)
+    titles = ", ".join(_q(x) for x in C.USELESS_TITLES)
+    known = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in C.KNOWN_DOMAIN_LABELS + _TEST_KNOWN)
+    return f"""
+  known AS (SELECT * FROM (VALUES {known}) k(domain, label)),
+  pr AS (SELECT page_id, url, trim({_keep("regexp_extract(html, '<title>(.*?)</title>', 1)", '\\p{L}')}) AS title, html
+         FROM pages),
+  pr2 AS (SELECT *, {_host('url')} AS domain FROM pr WHERE length(title) > 1),
+  lp AS (SELECT pr2.*, coalesce(known.label, 'unk') AS label FROM pr2 LEFT JOIN known USING (domain)
+         WHERE domain NOT IN ({deny}) AND title NOT IN ({titles}))"""
+
+
+ORACLE_SQL["url_domain_label"] = f"""WITH {_pages_cte()}
+SELECT page_id, domain, label, array_to_string({_tokens('title')}, ' ') AS title_tokens,
+       CAST(len({_tokens(_keep(_html('html'), chr(92) + 'p{L}'))}) AS BIGINT) AS n_content_tokens
+FROM lp"""
+
+ORACLE_SQL["notice_extract"] = """
+SELECT conv_id, turn, text FROM conversations
+WHERE trim(role) IN ('user') AND turn IS NOT NULL AND length(trim(text)) > 20"""
+
+ORACLE_SQL["notice_group"] = """
+SELECT d.doc_id, g.group_id, g.group_size FROM documents d
+JOIN (SELECT lang, text, min(doc_id) AS group_id, count(*) AS group_size FROM documents GROUP BY lang, text) g
+  ON g.lang = d.lang AND g.text = d.text"""
+
+ORACLE_SQL["article_labels"] = f"""
+WITH a AS (SELECT doc_id, trim(split_part(text, chr(10), 1)) AS title, trim(text) AS content, source FROM documents),
+     a2 AS (SELECT * FROM a WHERE length(title) > 1 AND length(content) > 1),
+     used AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS category_id
+              FROM (SELECT DISTINCT {_norm_cat('source')} AS name FROM a2) t)
+SELECT a2.doc_id, CASE WHEN u.name IS NULL THEN 'UNK' ELSE replace(u.name, ',', '-') END AS category,
+       CAST(coalesce(u.category_id, -1) AS BIGINT) AS category_id,
+       CAST(CASE WHEN u.name IS NULL THEN -1 WHEN len(string_split(u.name, ',')) = 2 THEN 2 ELSE 1 END AS BIGINT) AS level,
+       CASE TRY_CAST(substr(source, 4, 10) AS INTEGER) WHEN 2 THEN 'UC' WHEN 76 THEN 'Baidu' ELSE 'other' END AS source_name,
+       array_to_string({_tokens(_keep('title', chr(92) + 'p{L}'))}, ' ') AS title_tokens,
+       CAST(len({_tokens('content')}) AS BIGINT) AS n_content_tokens
+FROM a2 LEFT JOIN used u ON u.name = {_norm_cat('a2.source')}"""
+
+ORACLE_SQL["parse_scored_lines"] = """
+SELECT DISTINCT 'd' || CAST(l.doc_id AS VARCHAR) AS id, d.lang AS label_1,
+       CASE WHEN l.quality = 1 THEN 0.75 ELSE 0.25 END AS prob_1,
+       d.lang || '-' || d.source AS label_2, CASE WHEN l.toxic = 1 THEN 0.8 ELSE 0.4 END AS prob_2
+FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE d.n_chars >= 100"""
+
+ORACLE_SQL["multi_level_results"] = """
+SELECT r1.p_partkey AS id, r1.p_name AS text, r1.p_type AS pred_1, r2.p_type || '-' || r2.p_brand AS pred_2,
+       r3.p_brand || '-' || CAST(r3.p_size AS VARCHAR) AS pred_3
+FROM part r1 JOIN part r2 ON r2.p_partkey = r1.p_partkey AND r2.p_name = r1.p_name AND r2.p_size > 10
+JOIN part r3 ON r3.p_partkey = r1.p_partkey AND r3.p_name = r1.p_name AND r3.p_retailprice > 950"""
+
+
+def _hexf(h, start, n):
+    return f"round(CAST(('0x' || substr({h}, {start}, {n}))::BIGINT AS DOUBLE) / 255.0, 4)"
+
+
+def _hexi(h, start):
+    return f"CAST(('0x' || substr({h}, {start}, 1))::BIGINT AS VARCHAR)"
+
+
+_H = "md5(CAST(doc_id AS VARCHAR))"
+_RECON = """
+  r1 AS (SELECT *, split_part(label_1, '_', 1) AS n1, split_part(label_1, '_', 2) AS id1,
+                string_split(trim(label_2), '-') AS p2 FROM j),
+  r2 AS (SELECT *, (len(p2) = 2 AND n1 <> p2[1]) AS conflict FROM r1),
+  r3 AS (SELECT *, coalesce(conflict AND prob_2 > prob_1 AND prob_2 >= 0.7, false) AS lift,
+                coalesce(conflict AND NOT (prob_2 > prob_1 AND prob_2 >= 0.7), false) AS fall FROM r2)"""
+
+ORACLE_SQL["hier_reconcile"] = f"""
+WITH pred AS (SELECT doc_id, 'c' || substr({_H}, 1, 1) || '_' || {_hexi(_H, 1)} AS label_1, {_hexf(_H, 2, 2)} AS prob_1,
+                     'c' || substr({_H}, 3, 1) || '-d' || substr({_H}, 4, 1) || '_' || {_hexi(_H, 4)} AS label_2,
+                     {_hexf(_H, 5, 2)} AS prob_2
+              FROM documents WHERE n_chars > 100),
+  j AS (SELECT d.doc_id, d.source AS known_label, p.label_1, p.prob_1, p.label_2, p.prob_2
+        FROM documents d LEFT JOIN pred p ON p.doc_id = d.doc_id),
+  {_RECON}
+SELECT doc_id,
+       CASE WHEN lift THEN p2[1] || '_' || CAST(('0x' || substr(p2[1], 2, 1))::BIGINT AS VARCHAR) ELSE label_1 END AS label_1,
+       CASE WHEN lift THEN 1.5 ELSE prob_1 END AS prob_1,
+       CASE WHEN fall THEN n1 || '-其它_' || id1 ELSE label_2 END AS label_2,
+       CASE WHEN fall THEN 1.5 ELSE prob_2 END AS prob_2, known_label
+FROM r3"""
+
+_HP = "md5(CAST(page_id AS VARCHAR))"
+ORACLE_SQL["manual_override"] = f"""WITH {_pages_cte()},
+  used AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS category_id
+           FROM (SELECT DISTINCT label AS name FROM known) t),
+  pred AS (SELECT page_id, 'c' || substr({_HP}, 1, 1) || '_' || {_hexi(_HP, 1)} AS label_1, {_hexf(_HP, 2, 2)} AS prob_1,
+                  'c' || substr({_HP}, 3, 1) || '-d' || substr({_HP}, 4, 1) AS label_2, {_hexf(_HP, 5, 2)} AS prob_2
+           FROM pages WHERE length(html) > 5000),
+  j AS (SELECT lp.page_id, lp.label, pred.label_1, pred.prob_1, pred.label_2, pred.prob_2
+        FROM lp LEFT JOIN pred USING (page_id))
+SELECT page_id,
+       CASE WHEN coalesce(label, 'unk') <> 'unk' THEN label || '_' || CAST(u.category_id AS VARCHAR) ELSE label_1 END AS label_1,
+       CASE WHEN coalesce(label, 'unk') <> 'unk' THEN 1.5 ELSE prob_1 END AS prob_1,
+       CASE WHEN coalesce(label, 'unk') <> 'unk' THEN 'null' ELSE label_2 END AS label_2,
+       CASE WHEN coalesce(label, 'unk') <> 'unk' THEN -1.0 ELSE prob_2 END AS prob_2,
+       CASE WHEN coalesce(label, 'unk') <> 'unk' THEN 'Manual' ELSE 'Pred' END AS label_source
+FROM j LEFT JOIN used u ON u.name = j.label"""
+
+ORACLE_SQL["url_to_user"] = f"""
+WITH pg AS (SELECT page_id, md5(url) AS url_md5, {_host('url')} AS domain FROM pages),
+     uu AS (SELECT DISTINCT pg.url_md5, e.user_id FROM events e
+            JOIN pg ON pg.page_id = CAST(e.props->>'$.k' AS BIGINT))
+SELECT uu.user_id, pg.page_id, pg.domain FROM pg JOIN uu USING (url_md5)"""
+
+# ---------------------------------------------------------------- sampling
+ORACLE_SQL["badcase_sample"] = f"""
+WITH pred AS (SELECT doc_id, 'c' || substr({_H}, 1, 1) || '_' || {_hexi(_H, 1)} AS label_1, {_hexf(_H, 2, 2)} AS prob_1
+              FROM documents WHERE n_chars > 100),
+     s AS (SELECT *, row_number() OVER (PARTITION BY label_1 ORDER BY md5(CAST(doc_id AS VARCHAR))) AS rn
+           FROM pred WHERE prob_1 < 0.5),
+     a AS (SELECT doc_id, trim(split_part(text, chr(10), 1)) AS title, trim(text) AS content FROM documents)
+SELECT s.doc_id, s.label_1, s.prob_1, a.title FROM s JOIN a ON a.doc_id = s.doc_id
+WHERE s.rn <= {P.BADCASE_PER_LABEL} AND length(a.title) > 1 AND length(a.content) > 1"""
+
+ORACLE_SQL["hash_split"] = f"""
+SELECT doc_id, CASE WHEN substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) < '{P.SPLIT_HEX}' THEN 'train' ELSE 'valid' END AS split
+FROM documents"""
+
+ORACLE_SQL["balance_classes"] = """
+WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY quality),
+     f AS (SELECT quality, (SELECT min(n) FROM c) / n AS frac FROM c)
+SELECT l.doc_id, CAST(l.quality AS BIGINT) AS label FROM labels l JOIN f USING (quality)
+WHERE CAST(('0x' || substr(md5(CAST(l.doc_id AS VARCHAR)), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0 < f.frac"""
+
+ORACLE_SQL["min_support_classes"] = f"""
+SELECT lang, count(*) AS n FROM documents GROUP BY lang HAVING count(*) >= {P.MIN_SUPPORT}"""

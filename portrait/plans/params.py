@@ -12,6 +12,6 @@ FLAG_APPS = (1, 7, 42)                 # apps whose install sets a flag
 STUDENT_APPS = (3, 11, 19)             # apps that mark a student
 IT_APPS = (5,)                         # apps that mark IT
 BADCASE_PER_LABEL = 20                 # bad-case sample size per label (reference: 500)
-MIN_SUPPORT = 50                       # minimum class support (reference: 10,000)
+MIN_SUPPORT = 120                      # minimum class support (reference: 10,000)
 GUARD_MIN_ROWS = 1000                  # guarded write threshold
 SPLIT_HEX = "cccccccc"                 # md5 prefix below this -> train (0.8)

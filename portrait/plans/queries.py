@@ -442,3 +442,266 @@ def q_questionnaire_best(spark, sf):
     cust = table(spark, sf, "customer").select("c_custkey", "c_name")
     return top.join(cust, top["user_id"] == cust["c_custkey"]).select(
         "user_id", "event_type", "answered", "c_custkey", "c_name")
+
+
+# ---------------------------------------------------------------- text / content
+from portrait.functions import text as TX  # noqa: E402
+from portrait.operators import content as CT  # noqa: E402
+from portrait.session import scratch_path  # noqa: E402
+from portrait.sources import sinks as SK  # noqa: E402
+from portrait.sources import textfiles as TF  # noqa: E402
+
+LETTERS = r"\p{L}"   # script class for the test data (no CJK in it)
+
+
+@query("html_to_text")
+def q_html_to_text(spark, sf):
+    return table(spark, sf, "pages").select("page_id", TX.html_to_text(F.col("html")).alias("text"))
+
+
+@query("keep_script")
+def q_keep_script(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", TX.keep_script(F.col("text"), "a-z").alias("kept"))
+
+
+@query("decode_content")
+def q_decode_content(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.base64(F.col("text")).alias("b64"))
+    dec = TX.decode_base64(F.col("b64"))
+    return d.select("doc_id", F.md5(dec).alias("digest"), F.length(dec).cast("bigint").alias("n"))
+
+
+@query("tokenize_text")
+def q_tokenize_text(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", TX.tokens(F.col("text")).alias("t"))
+    return d.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
+
+
+def used_part_categories(spark, sf) -> DataFrame:
+    p = table(spark, sf, "part")
+    l1 = p.select(TX.normalize_category(F.col("p_type")).alias("name"))
+    l2 = p.where(F.col("p_size") <= 25).select(
+        TX.normalize_category(F.concat_ws("_", "p_type", "p_brand")).alias("name"))
+    return CT.taxonomy(l1.unionByName(l2))
+
+
+@query("category_normalize")
+def q_category_normalize(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", F.concat_ws("_", "p_type", "p_brand").alias("raw"))
+    return CT.normalize_categories(p, "raw", used_part_categories(spark, sf)) \
+        .select("p_partkey", "category", "category_id", "level")
+
+
+def goods(spark, sf) -> DataFrame:
+    p = table(spark, sf, "part")
+    path = F.when(F.col("p_size") >= 5, F.concat_ws("|", "p_type", "p_brand", "p_name")) \
+        .otherwise(F.concat_ws("|", "p_type", "p_brand"))
+    return p.select(F.col("p_partkey").alias("fid"), F.col("p_name").alias("ftitle"), path.alias("fcategory"))
+
+
+def level_dictionaries(spark, sf) -> list[DataFrame]:
+    """Per-level dictionaries written as TSV files and read back with the
+    dictionary loader (the format the labelling side exchanges)."""
+    g = CT.category_levels(goods(spark, sf), "fcategory")
+    out = []
+    for k in (1, 2, 3):
+        d = CT.level_dictionary(g, f"category_{k}")
+        path = scratch_path(spark, f"dict{k}")
+        SK.export_lines(d, F.concat_ws("\t", "name", F.col("count").cast("string"), F.col("id").cast("string")), path)
+        out.append(TF.load_label_dictionary(spark, path))
+    return out
+
+
+@query("category_path")
+def q_category_path(spark, sf):
+    g = CT.category_levels(goods(spark, sf), "fcategory")
+    return CT.attach_level_labels(g, level_dictionaries(spark, sf)).select(
+        "fid", "category_1", "label_1", "category_2", "label_2", "category_3", "label_3")
+
+
+@query("label_dictionary")
+def q_label_dictionary(spark, sf):
+    ds = level_dictionaries(spark, sf)
+    out = None
+    for k, d in enumerate(ds, start=1):
+        t = d.withColumn("level", F.lit(k).cast("bigint"))
+        out = t if out is None else out.unionByName(t)
+    return out.select("level", "name", "count", "id")
+
+
+@query("load_alias_map")
+def q_load_alias_map(spark, sf):
+    p = table(spark, sf, "part")
+    path = scratch_path(spark, "alias")
+    SK.export_lines(p.orderBy("p_partkey"), F.concat_ws("##", "p_type", "p_brand"), path)
+    return TF.load_alias_map(spark, path)
+
+
+TEST_DENY_DOMAINS = ["spam-farm.example.org", "www.cheap-pills.example.com"]
+TEST_KNOWN_DOMAINS = [("thther.example.org", "news"), ("blog.ththan.example.net", "blog")]
+
+
+def page_rows(spark, sf) -> DataFrame:
+    pg = table(spark, sf, "pages")
+    title = TX.keep_script(F.regexp_extract("html", "<title>(.*?)</title>", 1), LETTERS)
+    return pg.select("page_id", "url", F.trim(title).alias("title"), "html").where(F.length("title") > 1)
+
+
+def known_domains(spark) -> DataFrame:
+    return spark.createDataFrame(C.KNOWN_DOMAIN_LABELS + TEST_KNOWN_DOMAINS, "domain string, label string")
+
+
+def labelled_pages(spark, sf) -> DataFrame:
+    return CT.page_domain_labels(page_rows(spark, sf), "url", "title", known_domains(spark),
+                                 C.COMMERCE_DOMAINS + C.USELESS_DOMAINS + TEST_DENY_DOMAINS, C.USELESS_TITLES)
+
+
+@query("url_domain_label")
+def q_url_domain_label(spark, sf):
+    d = labelled_pages(spark, sf)
+    content = TX.tokens(TX.keep_script(TX.html_to_text(F.col("html")), LETTERS))
+    return d.select("page_id", "domain", "label", TX.tokenize(F.col("title")).alias("title_tokens"),
+                    F.size(content).cast("bigint").alias("n_content_tokens"))
+
+
+@query("notice_extract")
+def q_notice_extract(spark, sf):
+    c = table(spark, sf, "conversations").withColumn(
+        "misc_map", F.create_map(F.lit("role"), F.col("role"), F.lit("turn"), F.col("turn").cast("string")))
+    return (c.where(F.trim(F.col("misc_map")["role"]).isin("user") & F.col("misc_map")["turn"].isNotNull())
+            .where(F.length(F.trim("text")) > 20).select("conv_id", "turn", "text"))
+
+
+@query("notice_group")
+def q_notice_group(spark, sf):
+    return CT.text_groups(table(spark, sf, "documents"), ["lang", "text"], "doc_id")
+
+
+def article_rows(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents")
+    title = F.trim(F.split_part(F.col("text"), F.lit("\n"), F.lit(1)))
+    return (d.select("doc_id", title.alias("title"), F.trim("text").alias("content"), "source")
+            .where((F.length("title") > 1) & (F.length("content") > 1)))
+
+
+@query("article_labels")
+def q_article_labels(spark, sf):
+    a = article_rows(spark, sf)
+    used = CT.taxonomy(a.select(TX.normalize_category(F.col("source")).alias("name")))
+    code = (F.substring("source", 4, 10)).try_cast("int")
+    out = CT.normalize_categories(a, "source", used)
+    return out.select("doc_id", "category", "category_id", "level", CT.source_name(code).alias("source_name"),
+                      TX.tokenize(TX.keep_script(F.col("title"), LETTERS)).alias("title_tokens"),
+                      F.size(TX.tokens(F.col("content"))).cast("bigint").alias("n_content_tokens"))
+
+
+@query("parse_scored_lines")
+def q_parse_scored_lines(spark, sf):
+    j = table(spark, sf, "labels").join(table(spark, sf, "documents"), "doc_id")
+    p1 = F.when(F.col("quality") == 1, F.lit("0.75")).otherwise(F.lit("0.25"))
+    p2 = F.when(F.col("toxic") == 1, F.lit("0.8")).otherwise(F.lit("0.4"))
+    full = F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit("|__label__"), F.col("lang"), F.lit(","), p1,
+                    F.lit("|__label__"), F.col("lang"), F.lit("-"), F.col("source"), F.lit(","), p2)
+    short = F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit("|__label__"), F.col("lang"), F.lit(","), p1)
+    line = F.when(F.col("n_chars") < 100, short).otherwise(full)
+    path = scratch_path(spark, "scored")
+    SK.export_lines(j, line, path)
+    return TF.parse_scored_lines(spark, path)
+
+
+@query("multi_level_results")
+def q_multi_level_results(spark, sf):
+    p = table(spark, sf, "part")
+    r1 = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("text"), F.col("p_type").alias("pred_1"))
+    r2 = p.where(F.col("p_size") > 10).select(F.col("p_partkey").alias("id"), F.col("p_name").alias("text"),
+                                              F.concat_ws("-", "p_type", "p_brand").alias("pred_2"))
+    r3 = p.where(F.col("p_retailprice") > 950).select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("text"),
+        F.concat_ws("-", "p_brand", F.col("p_size").cast("string")).alias("pred_3"))
+    return r1.join(r2, ["id", "text"]).join(r3, ["id", "text"])
+
+
+def _hexfrac(h, start, n):
+    return F.round(F.conv(F.substring(h, start, n), 16, 10).cast("double") / 255.0, 4)
+
+
+def doc_predictions(spark, sf) -> DataFrame:
+    """Two-level predictions per document, derived from md5 digits of the id."""
+    d = table(spark, sf, "documents").where(F.col("n_chars") > 100)
+    h = F.md5(F.col("doc_id").cast("string"))
+    n1 = F.concat(F.lit("c"), F.substring(h, 1, 1))
+    id1 = F.conv(F.substring(h, 1, 1), 16, 10)
+    l2 = F.concat(F.lit("c"), F.substring(h, 3, 1), F.lit("-d"), F.substring(h, 4, 1), F.lit("_"),
+                  F.conv(F.substring(h, 4, 1), 16, 10))
+    return d.select("doc_id", F.concat_ws("_", n1, id1).alias("label_1"), _hexfrac(h, 2, 2).alias("prob_1"),
+                    l2.alias("label_2"), _hexfrac(h, 5, 2).alias("prob_2"))
+
+
+def hex_taxonomy(spark) -> DataFrame:
+    names = spark.range(16).select(F.concat(F.lit("c"), F.lower(F.hex("id"))).alias("name"))
+    return CT.taxonomy(names)
+
+
+@query("hier_reconcile")
+def q_hier_reconcile(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.col("source").alias("known_label"))
+    j = docs.join(doc_predictions(spark, sf), "doc_id", "left")
+    return CT.reconcile_levels(j, hex_taxonomy(spark)).select(
+        "doc_id", "label_1", "prob_1", "label_2", "prob_2", "known_label")
+
+
+def page_predictions(spark, sf) -> DataFrame:
+    pg = table(spark, sf, "pages").where(F.length("html") > 5000)
+    h = F.md5(F.col("page_id").cast("string"))
+    return pg.select("page_id",
+                     F.concat_ws("_", F.concat(F.lit("c"), F.substring(h, 1, 1)), F.conv(F.substring(h, 1, 1), 16, 10))
+                     .alias("label_1"), _hexfrac(h, 2, 2).alias("prob_1"),
+                     F.concat(F.lit("c"), F.substring(h, 3, 1), F.lit("-d"), F.substring(h, 4, 1)).alias("label_2"),
+                     _hexfrac(h, 5, 2).alias("prob_2"))
+
+
+@query("manual_override")
+def q_manual_override(spark, sf):
+    pages = labelled_pages(spark, sf).select("page_id", "label")
+    used = CT.taxonomy(known_domains(spark).select(F.col("label").alias("name")))
+    j = pages.join(page_predictions(spark, sf), "page_id", "left")
+    return CT.manual_override(j, "label", used).select("page_id", "label_1", "prob_1", "label_2", "prob_2",
+                                                       "label_source")
+
+
+@query("url_to_user")
+def q_url_to_user(spark, sf):
+    ev = table(spark, sf, "events").select("user_id", F.get_json_object("props", "$.k").cast("bigint").alias("page_id"))
+    pg = table(spark, sf, "pages").select("page_id", F.md5("url").alias("url_md5"), TX.url_host(F.col("url")).alias("domain"))
+    url_user = ev.join(pg.select("page_id", "url_md5"), "page_id").select("url_md5", "user_id").distinct()
+    return pg.join(url_user, "url_md5").select("user_id", "page_id", "domain")
+
+
+# ---------------------------------------------------------------- sampling
+from portrait.operators import sampling as SM  # noqa: E402
+
+
+@query("badcase_sample")
+def q_badcase_sample(spark, sf):
+    pred = doc_predictions(spark, sf).where(F.col("prob_1") < 0.5)
+    s = SM.per_group_sample(pred, "label_1", F.md5(F.col("doc_id").cast("string")), P.BADCASE_PER_LABEL)
+    meta = article_rows(spark, sf).select("doc_id", "title")
+    return s.join(meta, "doc_id").select("doc_id", "label_1", "prob_1", "title")
+
+
+@query("hash_split")
+def q_hash_split(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id")
+    return d.select("doc_id", SM.hash_split(F.col("doc_id"), P.SPLIT_HEX).alias("split"))
+
+
+@query("balance_classes")
+def q_balance_classes(spark, sf):
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("bigint").alias("label"))
+    return SM.balance_classes(lab, "doc_id", "label")
+
+
+@query("min_support_classes")
+def q_min_support_classes(spark, sf):
+    d = table(spark, sf, "documents")
+    return SM.min_support(d, "lang", P.MIN_SUPPORT)
