@@ -501,3 +501,76 @@ WHERE CAST(('0x' || substr(md5(CAST(l.doc_id AS VARCHAR)), 1, 8))::BIGINT AS DOU
 
 ORACLE_SQL["min_support_classes"] = f"""
 SELECT lang, count(*) AS n FROM documents GROUP BY lang HAVING count(*) >= {P.MIN_SUPPORT}"""
+
+# ---------------------------------------------------------------- sinks
+ORACLE_SQL["export_infer_lines"] = f"""
+WITH a AS (SELECT doc_id, trim(split_part(text, chr(10), 1)) AS title, trim(text) AS content FROM documents)
+SELECT CAST(doc_id AS VARCHAR) || '##yf##' || array_to_string({_tokens(_keep('title', chr(92) + 'p{L}'))}, ' ') AS value
+FROM a WHERE length(title) > 1 AND length(content) > 1"""
+
+ORACLE_SQL["export_train_lines"] = f"""WITH {_GOODS},
+  g2 AS (SELECT g0.fid, p.p_name AS ftitle FROM g0 JOIN part p ON p.p_partkey = g0.fid),
+  lv2 AS (SELECT lv.*, g2.ftitle FROM lv JOIN g2 USING (fid))
+SELECT CAST(1 AS BIGINT) AS level, '__label__' || i1.id || ', ' || ftitle AS value FROM lv2 JOIN i1 ON i1.name = category_1
+  WHERE i1.count >= {P.TRAIN_MIN_SUPPORT}
+UNION ALL SELECT 2, '__label__' || i2.id || ', ' || ftitle FROM lv2 JOIN i2 ON i2.name = category_2
+  WHERE i2.count >= {P.TRAIN_MIN_SUPPORT}
+UNION ALL SELECT 3, '__label__' || i3.id || ', ' || ftitle FROM lv2 JOIN i3 ON i3.name = category_3
+  WHERE i3.count >= {P.TRAIN_MIN_SUPPORT}"""
+
+_DAY = P.AS_OF.strftime("%Y%m%d")
+ORACLE_SQL["partition_overwrite"] = f"""
+WITH e AS (SELECT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS stat_date, event_type FROM events)
+SELECT stat_date, event_type, count(*) AS n FROM e WHERE stat_date <> {_DAY} GROUP BY ALL
+UNION ALL
+SELECT stat_date, event_type, count(*) FROM e WHERE stat_date = {_DAY} AND event_type = 'click' GROUP BY ALL"""
+
+ORACLE_SQL["guarded_write"] = f"""WITH {_SEG}
+SELECT user_id, label, label_name FROM seg_named WHERE (SELECT count(*) FROM seg_named) > {P.GUARD_MIN_ROWS}"""
+
+# ---------------------------------------------------------------- evaluation
+_SCORES = """
+  s AS (SELECT CAST(d.n_chars AS DOUBLE) / 1000.0 AS score, l.quality AS label
+        FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
+  g AS (SELECT score, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
+               CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS DOUBLE) AS neg FROM s GROUP BY score)"""
+
+ORACLE_SQL["eval_auc"] = f"""WITH {_SCORES},
+  c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+        FROM g)
+SELECT round(sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c"""
+
+ORACLE_SQL["best_threshold"] = f"""WITH {_SCORES},
+  c AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+               sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp FROM g),
+  f AS (SELECT score AS threshold, tp / (tp + fp) AS precision, tp / (SELECT sum(pos) FROM g) AS recall FROM c),
+  f2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END
+                   AS f_measure FROM f)
+SELECT threshold, round(f_measure, 6) AS f_measure, round(precision, 6) AS precision, round(recall, 6) AS recall
+FROM f2 ORDER BY f_measure DESC, threshold DESC LIMIT 1"""
+
+ORACLE_SQL["eval_confusion"] = """
+WITH d AS (SELECT lang AS label,
+                  CASE WHEN text LIKE '% the %' THEN 'en' WHEN text LIKE '% le %' OR text LIKE '% la %' THEN 'fr'
+                       WHEN text LIKE '% der %' OR text LIKE '% die %' THEN 'de' ELSE 'es' END AS prediction
+           FROM documents),
+  cls AS (SELECT label AS c FROM d UNION SELECT prediction FROM d),
+  m AS (SELECT c, (SELECT count(*) FROM d WHERE label = c AND prediction = c) AS tp,
+               (SELECT count(*) FROM d WHERE prediction = c) AS predicted,
+               (SELECT count(*) FROM d WHERE label = c) AS support FROM cls)
+SELECT c AS class, CAST(tp AS BIGINT) AS tp, CAST(predicted - tp AS BIGINT) AS fp, CAST(support - tp AS BIGINT) AS fn,
+       round(CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END, 6) AS precision,
+       round(CASE WHEN support > 0 THEN tp / support ELSE 0 END, 6) AS recall,
+       round(CASE WHEN tp > 0 THEN 2 * (tp / predicted) * (tp / support) / ((tp / predicted) + (tp / support)) ELSE 0 END, 6) AS f1,
+       round((SELECT count(*) FROM d WHERE label = prediction) / (SELECT count(*) FROM d), 6) AS accuracy
+FROM m"""
+
+ORACLE_SQL["sparse_features"] = f"""WITH {_TOPK},
+  f AS (SELECT DISTINCT p.user_id, t.idx FROM pairs p JOIN topk t ON t.app_id = p.app_id)
+SELECT user_id, CAST(count(*) AS BIGINT) AS nnz, string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY idx) AS indices
+FROM f GROUP BY user_id"""
+
+ORACLE_SQL["publish_marker"] = f"""WITH {_ADS},
+  toks AS (SELECT DISTINCT unnest(string_split(features, ' ')) AS feature FROM ctr)
+SELECT '{_DAY}' AS marker, count(*) AS rows FROM toks WHERE feature <> '' AND NOT starts_with(split_part(feature, '_', 1), 'time')"""

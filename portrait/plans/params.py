@@ -15,3 +15,4 @@ BADCASE_PER_LABEL = 20                 # bad-case sample size per label (referen
 MIN_SUPPORT = 120                      # minimum class support (reference: 10,000)
 GUARD_MIN_ROWS = 1000                  # guarded write threshold
 SPLIT_HEX = "cccccccc"                 # md5 prefix below this -> train (0.8)
+TRAIN_MIN_SUPPORT = 10                 # class support needed in exported training lines

@@ -705,3 +705,215 @@ def q_balance_classes(spark, sf):
 def q_min_support_classes(spark, sf):
     d = table(spark, sf, "documents")
     return SM.min_support(d, "lang", P.MIN_SUPPORT)
+
+
+# ---------------------------------------------------------------- sinks
+@query("export_infer_lines")
+def q_export_infer_lines(spark, sf):
+    a = article_rows(spark, sf)
+    line = F.concat_ws("##yf##", F.col("doc_id").cast("string"), TX.tokenize(TX.keep_script(F.col("title"), LETTERS)))
+    path = scratch_path(spark, "infer")
+    SK.export_lines(a, line, path)
+    return spark.read.text(path)
+
+
+@query("export_train_lines")
+def q_export_train_lines(spark, sf):
+    g = CT.category_levels(goods(spark, sf), "fcategory")
+    dicts = level_dictionaries(spark, sf)
+    rows = None
+    for k, d in enumerate(dicts, start=1):
+        kept = d.where(F.col("count") >= P.TRAIN_MIN_SUPPORT).select(F.col("name").alias(f"category_{k}"), "id")
+        t = g.join(kept, f"category_{k}").select(
+            F.lit(k).alias("level"), F.concat(F.lit("__label__"), F.col("id").cast("string"), F.lit(", "),
+                                              F.col("ftitle")).alias("line"))
+        rows = t if rows is None else rows.unionByName(t)
+    path = scratch_path(spark, "train")
+    SK.export_lines(rows, F.col("line"), path, partition_by=["level"])
+    back = spark.read.text(path)
+    return back.select(F.col("level").cast("bigint").alias("level"), "value")
+
+
+@query("partition_overwrite")
+def q_partition_overwrite(spark, sf):
+    ev = table(spark, sf, "events").withColumn("stat_date", D.stat_date(F.col("ts")))
+    path = scratch_path(spark, "daily_counts")
+    all_days = ev.groupBy("stat_date", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    SK.overwrite_partitions(all_days, path)
+    day = int(P.AS_OF.strftime("%Y%m%d"))
+    redo = (ev.where((F.col("stat_date") == day) & (F.col("event_type") == "click"))
+            .groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
+    SK.overwrite_partition(redo, path, day)
+    return spark.read.parquet(path).select(F.col("stat_date").cast("bigint").alias("stat_date"), "event_type", "n")
+
+
+@query("guarded_write")
+def q_guarded_write(spark, sf):
+    path = scratch_path(spark, "guarded")
+    df = segment_labels(spark, sf)
+    if SK.guarded_write(df, path, None, P.GUARD_MIN_ROWS):
+        return spark.read.parquet(path)
+    return spark.createDataFrame([], df.schema)
+
+
+# ---------------------------------------------------------------- evaluation
+from portrait.operators import evaluate as EV  # noqa: E402
+
+
+def doc_scores(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents").select("doc_id", (F.col("n_chars").cast("double") / 1000.0).alias("score"))
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    return d.join(lab, "doc_id")
+
+
+@query("eval_auc")
+def q_eval_auc(spark, sf):
+    return EV.auc(doc_scores(spark, sf))
+
+
+@query("best_threshold")
+def q_best_threshold(spark, sf):
+    return EV.best_threshold(doc_scores(spark, sf))
+
+
+def lang_rule(text):
+    return (F.when(text.like("% the %"), "en").when(text.like("% le %") | text.like("% la %"), "fr")
+            .when(text.like("% der %") | text.like("% die %"), "de").otherwise("es"))
+
+
+@query("eval_confusion")
+def q_eval_confusion(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("lang").alias("label"), lang_rule(F.col("text")).alias("prediction"))
+    return EV.confusion_metrics(d)
+
+
+# ---------------------------------------------------------------- vectors and models
+from portrait.operators import models as MD  # noqa: E402
+
+
+@query("sparse_features")
+def q_sparse_features(spark, sf):
+    f = feat.install_features(install_pairs(spark, sf), top_apps(spark, sf)).select("user_id", "feature")
+    idx = f.withColumn("idx", feat.sparse_indices(F.col("feature")))
+    v = MD.sparse_from_indices(idx, "idx", P.TOP_K)
+    nnz = F.size(F.filter(MD.vector_to_array(F.col("features")), lambda x: x != 0)).cast("bigint")
+    return v.select("user_id", nnz.alias("nnz"), F.array_join("idx", " ").alias("indices"))
+
+
+def embedding_rows(spark, sf) -> DataFrame:
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", MD.dense_features(F.col("embedding")).alias("features"),
+                    F.col("label").cast("double").alias("label"))
+
+
+@query("lr_binary")
+def q_lr_binary(spark, sf):
+    rows = embedding_rows(spark, sf).withColumn("label", (F.col("label") < 5).cast("double"))
+    train, valid = MD.split(rows, "vec_id")
+    model = MD.train_lr(train)
+    out = model.transform(valid)
+    return out.select("vec_id", "label", "prediction", MD.positive_score(out).alias("score"))
+
+
+@query("lr_multiclass")
+def q_lr_multiclass(spark, sf):
+    train, valid = MD.split(embedding_rows(spark, sf), "vec_id")
+    model = MD.train_lr(train, multinomial=True)
+    out = model.transform(valid)
+    pred, prob = MD.top1(out)
+    return out.select("vec_id", "label", pred.alias("prediction"), prob.alias("prob"))
+
+
+@query("svm_binary")
+def q_svm_binary(spark, sf):
+    rows = embedding_rows(spark, sf).withColumn("label", (F.col("label") < 5).cast("double"))
+    train, valid = MD.split(rows, "vec_id")
+    model = MD.train_svm(train)
+    out = model.transform(valid)
+    return out.select("vec_id", "label", "prediction", MD.vector_to_array(F.col("rawPrediction"))[1].alias("margin"))
+
+
+LANG_IDS = [("en", 0.0), ("fr", 1.0), ("de", 2.0), ("es", 3.0)]
+
+
+@query("text_classify")
+def q_text_classify(spark, sf):
+    """Two-level text classifier trained and applied in one job: level 1 =
+    quality (known labels), level 2 = language; every document is scored."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", TX.tokens(F.col("text")).alias("tokens"))
+    feats = MD.text_features(docs, "tokens")
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    m1 = MD.train_lr(feats.join(lab, "doc_id"), max_iter=30, reg=0.01)
+    langs = F.broadcast(spark.createDataFrame(LANG_IDS, "lang string, label double"))
+    train2, _ = MD.split(feats.join(langs, "lang"), "doc_id")
+    m2 = MD.train_lr(train2, multinomial=True, max_iter=30, reg=0.01)
+    s1 = m1.transform(feats)
+    p1, q1 = MD.top1(s1)
+    s1 = s1.select("doc_id", "features", p1.alias("pred_1"), q1.alias("prob_1"))
+    s2 = m2.transform(s1)
+    p2, q2 = MD.top1(s2)
+    return s2.select("doc_id", "pred_1", "prob_1", p2.alias("pred_2"), q2.alias("prob_2"))
+
+
+BATCH_TARGETS = [("low_class", lambda c: c < 5), ("even_class", lambda c: c.isin(0, 2, 4, 6, 8)),
+                 ("top_class", lambda c: c >= 7)]
+
+
+@query("batch_score")
+def q_batch_score(spark, sf):
+    """Train one model per tag, save each, load them back and score the same
+    feature table with all of them: long output (id, tag, value)."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    rows = embedding_rows(spark, sf)
+    train, _ = MD.split(rows, "vec_id")
+    base = scratch_path(spark, "models")
+    for tag, cond in BATCH_TARGETS:
+        MD.save_model(MD.train_lr(train.withColumn("label", cond(F.col("label")).cast("double")), max_iter=50),
+                      f"{base}/{tag}")
+    feats = rows.select("vec_id", "features")
+    if feats.isEmpty():
+        return spark.createDataFrame([], "vec_id bigint, tag string, value double")
+    out = None
+    for tag, _ in BATCH_TARGETS:
+        m = MD.load_model(f"{base}/{tag}", LogisticRegressionModel)
+        s = m.transform(feats)
+        t = s.select("vec_id", F.lit(tag).alias("tag"), MD.positive_score(s).alias("value"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def ctr_model(spark, sf):
+    rows = feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES)
+    vocab = feat.feature_vocab(rows)
+    cv = MD.vocab_vectorizer(vocab)
+    bags = rows.withColumnRenamed("features", "bag").withColumn("tokens", F.split("bag", " "))
+    data = cv.transform(bags).withColumn("label", F.col("label").cast("double"))
+    train, valid = MD.split(data, "bag")
+    model = MD.train_lr(train)
+    return model, vocab, valid
+
+
+@query("ctr_weights")
+def q_ctr_weights(spark, sf):
+    model, vocab, _ = ctr_model(spark, sf)
+    return MD.coefficients(spark, model, vocab)
+
+
+@query("ctr_threshold")
+def q_ctr_threshold(spark, sf):
+    model, _, valid = ctr_model(spark, sf)
+    out = model.transform(valid)
+    return EV.best_threshold(out.select(MD.positive_score(out).alias("score"), "label"))
+
+
+@query("publish_marker")
+def q_publish_marker(spark, sf):
+    model, vocab, _ = ctr_model(spark, sf)
+    base = scratch_path(spark, "ctr")
+    lines = MD.coefficients(spark, model, vocab)
+    SK.export_lines(lines, F.col("line"), f"{base}/weights")
+    day = int(P.AS_OF.strftime("%Y%m%d"))
+    SK.write_marker(spark, f"{base}/ready", day)
+    marker = spark.read.text(f"{base}/ready").select(F.col("value").alias("marker"))
+    n = spark.read.text(f"{base}/weights").agg(F.count(F.lit(1)).alias("rows"))
+    return marker.join(n, how="inner")

@@ -11,22 +11,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "stat_date") -> None:
+    """Write ``df`` partitioned by its own ``partition_col``; only the
+    partitions present in ``df`` are replaced (dynamic overwrite)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(partition_col).parquet(path))
+
+
 def overwrite_partition(df: DataFrame, path: str, job_date: int | None,
-                        partition_col: str = "stat_date", files_per_partition: int | None = None) -> None:
-    """Replace exactly one ``stat_date`` partition (dynamic overwrite), or the
-    whole dataset when ``job_date`` is None (unpartitioned table)."""
-    out = df
-    if files_per_partition:
-        out = out.repartition(files_per_partition)
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                        partition_col: str = "stat_date") -> None:
+    """Replace exactly one ``stat_date`` partition with ``df`` (create the
+    table if missing), or the whole dataset when ``job_date`` is None."""
     if job_date is None:
-        w.parquet(path)
-    else:
-        out = out.withColumn(partition_col, F.lit(int(job_date)).cast("bigint"))
-        if files_per_partition:
-            out = out.repartition(files_per_partition)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(partition_col).parquet(path)
+        df.write.mode("overwrite").parquet(path)
+        return
+    overwrite_partitions(df.withColumn(partition_col, F.lit(int(job_date)).cast("bigint")), path, partition_col)
 
 
 def guarded_write(df: DataFrame, path: str, job_date: int | None, min_rows: int,
