@@ -136,3 +136,11 @@ def ranked_profile(df: DataFrame, key: str, label: str, score: str, digits: int
     return (df.groupBy(key).agg(F.array_sort(items).alias("_a"))
               .select(key, F.array_join(F.transform("_a", lambda x: F.concat(
                   x["_l"], F.lit(":"), x["_s"])), sep).alias("labels")))
+
+
+def rows_at_group_max(df: DataFrame, key: str, metric: str) -> DataFrame:
+    """Rows whose metric equals their key's maximum (ties all kept): group max
+    (partial aggregate) joined back on (key, metric)."""
+    best = df.groupBy(key).agg(F.max(metric).alias("_max"))
+    return df.join(best.withColumnRenamed(key, "_k"),
+                   (df[key] == F.col("_k")) & (df[metric] == F.col("_max"))).drop("_k", "_max")

@@ -55,10 +55,19 @@ def running_totals(df: DataFrame, order: Sequence[Column], value_cols: Sequence[
 
 
 def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> DataFrame:
-    """Dense 0-based position of each row in the total order ``order``."""
-    one = "_one"
-    r = running_totals(df.withColumn(one, F.lit(1.0)), order, [one])
-    return r.withColumn(name, (F.col("cum_" + one) - 1).cast("bigint")).drop(one, "cum_" + one)
+    """Dense 0-based position of each row in the total order ``order``.
+
+    JVM only: after the range-partitioned sort, a row's position inside its
+    partition is ``monotonically_increasing_id() - (partition_id << 33)``;
+    per-partition row counts (one row per partition) become offsets."""
+    ordered = df.orderBy(*order).withColumn(_PID, F.spark_partition_id())
+    ordered = ordered.withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
+    local = freeze(ordered)
+    counts = local.groupBy(_PID).agg((F.max("_pos") + 1).alias("_n"))
+    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    out = local.join(F.broadcast(offsets), _PID, "left")
+    return out.withColumn(name, (F.col("_off") + F.col("_pos")).cast("bigint")).drop(_PID, "_pos", "_off")
 
 
 def top_k_indexed(df: DataFrame, order: Sequence[Column], k: int, name: str = "idx") -> DataFrame:

@@ -230,10 +230,10 @@ def q_coverage_report(spark, sf):
     ev_users = ev.distinct()
     overlap = ev_users.join(cust, "user_id", "left_semi")
     rows_known = ev.join(cust, "user_id", "left_semi")
-    return (ev_users.agg(F.count(F.lit(1)).alias("event_users"))
-            .join(overlap.agg(F.count(F.lit(1)).alias("overlap_users")), how="inner")
-            .join(rows_known.agg(F.count(F.lit(1)).alias("events_of_known")), how="inner")
-            .join(cust.agg(F.count(F.lit(1)).alias("customers")), how="inner"))
+    n = F.count(F.lit(1))
+    return ev_users.agg(n.alias("event_users")).select(
+        "event_users", overlap.select(n).scalar().alias("overlap_users"),
+        rows_known.select(n).scalar().alias("events_of_known"), cust.select(n).scalar().alias("customers"))
 
 
 @query("dedupe_first")
@@ -436,9 +436,7 @@ def q_questionnaire_best(spark, sf):
     ans = F.get_json_object("props", "$.k")
     sheets = (ev.groupBy("user_id", "event_type")
               .agg(F.sum(F.when(F.coalesce(ans, F.lit("")) != "", 1).otherwise(0)).cast("bigint").alias("answered")))
-    best = sheets.groupBy("user_id").agg(F.max("answered").alias("max_answered"))
-    top = sheets.join(best, (sheets["user_id"] == best["user_id"]) &
-                      (sheets["answered"] == best["max_answered"])).select(sheets["*"])
+    top = L.rows_at_group_max(sheets, "user_id", "answered")
     cust = table(spark, sf, "customer").select("c_custkey", "c_name")
     return top.join(cust, top["user_id"] == cust["c_custkey"]).select(
         "user_id", "event_type", "answered", "c_custkey", "c_name")
@@ -915,5 +913,5 @@ def q_publish_marker(spark, sf):
     day = int(P.AS_OF.strftime("%Y%m%d"))
     SK.write_marker(spark, f"{base}/ready", day)
     marker = spark.read.text(f"{base}/ready").select(F.col("value").alias("marker"))
-    n = spark.read.text(f"{base}/weights").agg(F.count(F.lit(1)).alias("rows"))
-    return marker.join(n, how="inner")
+    n = spark.read.text(f"{base}/weights").select(F.count(F.lit(1)))
+    return marker.select("marker", n.scalar().alias("rows"))
