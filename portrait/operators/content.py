@@ -84,9 +84,19 @@ def page_domain_labels(pages: DataFrame, url: str, title: str = "title",
 def text_groups(df: DataFrame, key_cols: Sequence[str], id_col: str) -> DataFrame:
     """Invert repeated texts: each row gets its group key (smallest id with the
     same key columns) and the group size.  Membership stays one row per id,
-    so a group holding a third of all rows never lands in one list."""
-    g = df.groupBy(*key_cols).agg(F.min(id_col).alias("group_id"), F.count(F.lit(1)).alias("group_size"))
-    return df.select(id_col, *key_cols).join(g, list(key_cols), "inner").select(id_col, "group_id", "group_size")
+    so a group holding a third of all rows never lands in one list.
+
+    Grouping is exact on the full key columns (partial aggregation collapses
+    copies map-side, so the text crosses the network once); rows are matched
+    back to their group on two independent hashes of the key (xxhash64 and
+    md5, 192 bits), so the join moves ids and hashes, not texts."""
+    keyed = df.select(id_col, *key_cols,
+                      F.xxhash64(*key_cols).alias("_h1"),
+                      F.md5(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in key_cols])).alias("_h2"))
+    g = (keyed.groupBy(*key_cols, "_h1", "_h2")
+         .agg(F.min(id_col).alias("group_id"), F.count(F.lit(1)).alias("group_size"))
+         .select("_h1", "_h2", "group_id", "group_size"))
+    return keyed.select(id_col, "_h1", "_h2").join(g, ["_h1", "_h2"], "inner").select(id_col, "group_id", "group_size")
 
 
 def source_name(code) -> "F.Column":

@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portrait import config as C
+from portrait.functions import dates as D
+from portrait.functions import text as TX
+from portrait.operators import ads as AD
+from portrait.operators import clean as CL
+from portrait.operators import content as CT
+from portrait.operators import evaluate as EV
 from portrait.operators import features as feat
+from portrait.operators import labels as L
+from portrait.operators import models as MD
+from portrait.operators import profiles as PR
+from portrait.operators import sampling as SM
 from portrait.plans import params as P
+from portrait.session import freeze, scratch_path
+from portrait.sources import sinks as SK
+from portrait.sources import tables as TB
+from portrait.sources import textfiles as TF
 from portrait.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,8 +57,20 @@ def install_pairs(spark, sf) -> DataFrame:
     return o.join(li, "o_orderkey").select("user_id", "app_id")
 
 
+def vocab_pairs(spark, sf, vocab: DataFrame) -> DataFrame:
+    """(user, app) rows restricted to vocabulary apps: lineitem is semi-joined
+    to the broadcast top-K list (bounded by K) before the shuffle join with
+    orders, so only rows that can become features are shuffled."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey"), F.col("o_custkey").alias("user_id"))
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
+                                              F.col("l_partkey").alias("app_id"))
+    li = li.join(F.broadcast(vocab.select("app_id")), "app_id", "left_semi")
+    return o.join(li, "o_orderkey").select("user_id", "app_id")
+
+
 def top_apps(spark, sf) -> DataFrame:
-    return feat.topk_catalog(feat.dedupe_catalog(app_catalog(spark, sf)), P.TOP_K)
+    """Top-K vocabulary, checkpointed: at most K rows, reused by several joins."""
+    return freeze(feat.topk_catalog(feat.dedupe_catalog(app_catalog(spark, sf)), P.TOP_K))
 
 
 @query("topk_catalog")
@@ -58,7 +86,8 @@ def q_catalog_index(spark, sf):
 
 @query("install_features")
 def q_install_features(spark, sf):
-    return feat.install_features(install_pairs(spark, sf), top_apps(spark, sf))
+    vocab = top_apps(spark, sf)
+    return feat.install_features(vocab_pairs(spark, sf, vocab), vocab)
 
 
 @query("install_stats")
@@ -72,11 +101,6 @@ def q_install_flag(spark, sf):
 
 
 # ---------------------------------------------------------------- scans
-from portrait import config as C  # noqa: E402
-from portrait.functions import dates as D  # noqa: E402
-from portrait.operators import clean as CL  # noqa: E402
-from portrait.operators import labels as L  # noqa: E402
-from portrait.sources import tables as TB  # noqa: E402
 
 
 @query("scan_partition")
@@ -151,7 +175,8 @@ def q_label_distribution(spark, sf):
 
 @query("train_predict_sets")
 def q_train_predict_sets(spark, sf):
-    users = feat.install_features(install_pairs(spark, sf), top_apps(spark, sf)).select("user_id")
+    vocab = top_apps(spark, sf)
+    users = feat.install_features(vocab_pairs(spark, sf, vocab), vocab).select("user_id")
     return L.train_predict_split(users, segment_labels(spark, sf), "user_id").select("user_id", "label", "split")
 
 
@@ -259,16 +284,15 @@ def q_id_translate(spark, sf):
 
 
 # ---------------------------------------------------------------- ads
-import datetime as _dt  # noqa: E402
-
-from portrait.operators import ads as AD  # noqa: E402
-from portrait.operators import profiles as PR  # noqa: E402
 
 
-def ad_monitor_log(spark, sf) -> DataFrame:
+def ad_monitor_log(spark, sf, start=None, end=None) -> DataFrame:
     """Events as an ad monitor log: views are impressions, clicks are clicks;
-    the unit is the JSON field k, the slot a bucket of the event value."""
+    the unit is the JSON field k, the slot a bucket of the event value.
+    ``start``/``end`` bound the raw timestamp so the scan is pushed down."""
     ev = table(spark, sf, "events").where(F.col("event_type").isin("view", "click"))
+    if start is not None:
+        ev = TB.ts_range_slice(ev, "ts", start, end)
     return ev.select(
         F.md5(F.col("user_id").cast("string")).alias("imei"),
         F.get_json_object("props", "$.k").alias("unit_id"),
@@ -284,14 +308,15 @@ def _yesterday():
 
 
 def ad_labels(spark, sf) -> DataFrame:
-    log = TB.scan_hour_prefix(ad_monitor_log(spark, sf), _yesterday())
+    y = _yesterday()
+    log = TB.scan_hour_prefix(ad_monitor_log(spark, sf, y, y + _dt.timedelta(days=1)), y)
     return AD.click_labels(log)
 
 
 def ad_history(spark, sf) -> DataFrame:
     lo = int(D.offset_date_py(P.AS_OF, -1, 0).strftime("%Y%m%d"))
     hi = int(D.offset_date_py(P.AS_OF, 0, -1).strftime("%Y%m%d"))
-    log = ad_monitor_log(spark, sf)
+    log = ad_monitor_log(spark, sf, D.offset_date_py(P.AS_OF, -1, 0), D.offset_date_py(P.AS_OF, 0, -1))
     return AD.click_history(log.where((F.col("stat_date") >= lo) & (F.col("stat_date") < hi)))
 
 
@@ -443,11 +468,6 @@ def q_questionnaire_best(spark, sf):
 
 
 # ---------------------------------------------------------------- text / content
-from portrait.functions import text as TX  # noqa: E402
-from portrait.operators import content as CT  # noqa: E402
-from portrait.session import scratch_path  # noqa: E402
-from portrait.sources import sinks as SK  # noqa: E402
-from portrait.sources import textfiles as TF  # noqa: E402
 
 LETTERS = r"\p{L}"   # script class for the test data (no CJK in it)
 
@@ -676,7 +696,6 @@ def q_url_to_user(spark, sf):
 
 
 # ---------------------------------------------------------------- sampling
-from portrait.operators import sampling as SM  # noqa: E402
 
 
 @query("badcase_sample")
@@ -755,7 +774,6 @@ def q_guarded_write(spark, sf):
 
 
 # ---------------------------------------------------------------- evaluation
-from portrait.operators import evaluate as EV  # noqa: E402
 
 
 def doc_scores(spark, sf) -> DataFrame:
@@ -786,12 +804,12 @@ def q_eval_confusion(spark, sf):
 
 
 # ---------------------------------------------------------------- vectors and models
-from portrait.operators import models as MD  # noqa: E402
 
 
 @query("sparse_features")
 def q_sparse_features(spark, sf):
-    f = feat.install_features(install_pairs(spark, sf), top_apps(spark, sf)).select("user_id", "feature")
+    vocab = top_apps(spark, sf)
+    f = feat.install_features(vocab_pairs(spark, sf, vocab), vocab).select("user_id", "feature")
     idx = f.withColumn("idx", feat.sparse_indices(F.col("feature")))
     v = MD.sparse_from_indices(idx, "idx", P.TOP_K)
     nnz = F.size(F.filter(MD.vector_to_array(F.col("features")), lambda x: x != 0)).cast("bigint")
@@ -839,7 +857,7 @@ def q_text_classify(spark, sf):
     """Two-level text classifier trained and applied in one job: level 1 =
     quality (known labels), level 2 = language; every document is scored."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", TX.tokens(F.col("text")).alias("tokens"))
-    feats = MD.text_features(docs, "tokens")
+    feats = freeze(MD.text_features(docs, "tokens").select("doc_id", "lang", "features"))
     lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     m1 = MD.train_lr(feats.join(lab, "doc_id"), max_iter=30, reg=0.01)
     langs = F.broadcast(spark.createDataFrame(LANG_IDS, "lang string, label double"))
