@@ -13,16 +13,22 @@ IMP, CLK = "all_imp", "all_clk"
 SENTINEL_IMEI = "__IMEI__"
 
 
-def click_labels(log: DataFrame, keys: Sequence[str] = ("imei", "unit_id", "location")) -> DataFrame:
+def click_labels(log: DataFrame, keys: Sequence[str] = ("imei", "unit_id", "location"),
+                 hourly: bool = False) -> DataFrame:
     """Monitor-log rows -> one row per (user, unit, location, weekday, hour,
     MMdd) with label 1 if any of its events is a click.  Rows with a bad
-    19-char timestamp are dropped; duplicates collapse in the aggregate."""
+    19-char timestamp are dropped; duplicates collapse in the aggregate.
+    ``hourly=True`` keys by the hour string ``yyyy-MM-ddTHH`` instead."""
     need = list(keys) + ["posttime", "oper_type"]
     clean = (log.where(F.col("imei") != SENTINEL_IMEI)
              .where(F.col("oper_type").isin(IMP, CLK))
              .dropna(subset=need)
              .where(D.valid_posttime(F.col("posttime"))))
     ts = D.parse_posttime(F.col("posttime"))
+    if hourly:
+        h = clean.select(*keys, F.substring("posttime", 1, 13).alias("time"),
+                         (F.col("oper_type") == CLK).cast("bigint").alias("_clk"))
+        return h.groupBy(*keys, "time").agg(F.max("_clk").alias("label"))
     feats = clean.select(*keys, D.weekday_mon1(ts).alias("week"), F.hour(ts).cast("bigint").alias("hour"),
                          F.date_format(ts, "MMdd").alias("date"),
                          (F.col("oper_type") == CLK).cast("bigint").alias("_clk"))

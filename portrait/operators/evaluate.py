@@ -19,14 +19,21 @@ def _per_score(df: DataFrame, score: str, label: str) -> DataFrame:
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("double").alias("neg"))
 
 
-def auc(df: DataFrame, score: str = "score", label: str = "label", digits: int = 6) -> DataFrame:
+def auc(df: DataFrame, score: str = "score", label: str = "label", digits: int = 6,
+        threshold: float | None = None) -> DataFrame:
     """Area under ROC = P(score_pos > score_neg) + 0.5 P(tie): one row with
-    auc, n_pos, n_neg."""
+    auc, n_pos, n_neg; with ``threshold`` also the accuracy of predicting
+    positive for score >= threshold."""
     g = running_totals(_per_score(df, score, label), [F.col("score").asc()], ["neg"])
     below = F.col("cum_neg") - F.col("neg")
-    return g.agg(
+    out = g.agg(
         F.round(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg")), digits).alias("auc"),
         F.sum("pos").cast("bigint").alias("n_pos"), F.sum("neg").cast("bigint").alias("n_neg"))
+    if threshold is None:
+        return out
+    hit = F.when(F.col(score) >= threshold, F.col(label) == 1).otherwise(F.col(label) != 1)
+    acc = df.select(F.round(F.avg(hit.cast("double")), digits)).scalar()
+    return out.select("*", acc.alias("accuracy"))
 
 
 def f_measure_by_threshold(df: DataFrame, score: str = "score", label: str = "label", beta: float = 1.0) -> DataFrame:

@@ -219,6 +219,10 @@ _ADS = f"""
 
 ORACLE_SQL["ad_click_label"] = f"WITH {_ADS} SELECT * FROM lab"
 ORACLE_SQL["ad_click_history"] = f"WITH {_ADS} SELECT * FROM hist"
+ORACLE_SQL["ad_click_hourly"] = f"""WITH {_ADS}
+SELECT imei, unit_id, location, strftime(ts, '%Y-%m-%dT%H') AS time, CAST(max(clk) AS BIGINT) AS label
+FROM log WHERE stat_hour >= '{_Y}00' AND stat_hour < '{(P.AS_OF).strftime('%Y%m%d')}00' GROUP BY ALL"""
+ORACLE_SQL["ctr_feature_lines"] = f"WITH {_ADS} SELECT features || '##yf##' || CAST(label AS VARCHAR) AS value FROM ctr"
 ORACLE_SQL["ad_training_wide"] = f"""WITH {_ADS}
 SELECT imei, unit_id, location, week, hour, date, seg, nation, bal, brand, ptype, psize, history_click_1m, label
 FROM wide"""
@@ -539,7 +543,9 @@ ORACLE_SQL["eval_auc"] = f"""WITH {_SCORES},
   c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
         FROM g)
 SELECT round(sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc,
-       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c"""
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
+       (SELECT round(avg(CASE WHEN (score >= 2.0) = (label = 1) THEN 1.0 ELSE 0.0 END), 6) FROM s) AS accuracy
+FROM c"""
 
 ORACLE_SQL["best_threshold"] = f"""WITH {_SCORES},
   c AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,

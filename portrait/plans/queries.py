@@ -345,6 +345,14 @@ def q_ad_click_label(spark, sf):
     return ad_labels(spark, sf).select("imei", "unit_id", "location", "week", "hour", "date", "label")
 
 
+@query("ad_click_hourly")
+def q_ad_click_hourly(spark, sf):
+    """Standalone daily action table keyed by the hour string yyyy-MM-ddTHH."""
+    y = _yesterday()
+    log = TB.scan_hour_prefix(ad_monitor_log(spark, sf, y, y + _dt.timedelta(days=1)), y)
+    return AD.click_labels(log, hourly=True)
+
+
 @query("ad_click_history")
 def q_ad_click_history(spark, sf):
     return ad_history(spark, sf)
@@ -361,6 +369,15 @@ def q_ctr_feature_rows(spark, sf):
     return feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES)
 
 
+@query("ctr_feature_lines")
+def q_ctr_feature_lines(spark, sf):
+    """Labelled feature lines ``features##yf##label`` written and read back."""
+    rows = feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES)
+    path = scratch_path(spark, "ctr_lines")
+    SK.export_lines(rows, F.concat_ws("##yf##", "features", F.col("label").cast("string")), path)
+    return spark.read.text(path)
+
+
 @query("feature_vocab")
 def q_feature_vocab(spark, sf):
     return feat.feature_vocab(feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES))
@@ -784,7 +801,7 @@ def doc_scores(spark, sf) -> DataFrame:
 
 @query("eval_auc")
 def q_eval_auc(spark, sf):
-    return EV.auc(doc_scores(spark, sf))
+    return EV.auc(doc_scores(spark, sf), threshold=2.0)
 
 
 @query("best_threshold")
@@ -799,8 +816,15 @@ def lang_rule(text):
 
 @query("eval_confusion")
 def q_eval_confusion(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("lang").alias("label"), lang_rule(F.col("text")).alias("prediction"))
-    return EV.confusion_metrics(d)
+    """Validation predictions are stored per date (id, prediction, label) and
+    the metrics are computed from the stored partition."""
+    d = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("label"),
+                                             lang_rule(F.col("text")).alias("prediction"))
+    path = scratch_path(spark, "validation")
+    day = int(P.AS_OF.strftime("%Y%m%d"))
+    SK.overwrite_partition(d, path, day)
+    stored = TB.scan_partition(spark.read.parquet(path), P.AS_OF)
+    return EV.confusion_metrics(stored)
 
 
 # ---------------------------------------------------------------- vectors and models

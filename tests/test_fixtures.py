@@ -186,3 +186,20 @@ def test_label_dictionary_three_fields_only(spark):
 def test_html_to_text(spark):
     html = "<p>Hi<script>x</script> there</p><b>you</b>---  ok"
     assert one(spark, TX.html_to_text(F.col("s")), html) == " Hi there\nyou ok"
+
+
+def test_downsample_negatives_by_hash(spark):
+    from portrait.operators import sampling as SM
+    df = spark.range(0, 4000).select(F.col("id").alias("doc_id"), (F.col("id") % 4 == 0).cast("int").alias("label"))
+    out = SM.downsample(df, "doc_id", "label", {0: 0.1, 1: 1.0})
+    n0 = out.where("label = 0").count()
+    assert out.where("label = 1").count() == 1000
+    assert 200 < n0 < 400
+    # deterministic: same rows on a re-run
+    assert out.exceptAll(SM.downsample(df, "doc_id", "label", {0: 0.1, 1: 1.0})).count() == 0
+
+
+def test_hourly_click_labels(spark):
+    log = _log(spark, [("u", "x", "l", "2018-12-02T10:05:00", AD.IMP), ("u", "x", "l", "2018-12-02T10:55:00", AD.CLK)])
+    r = AD.click_labels(log, hourly=True).collect()
+    assert [(x.time, x.label) for x in r] == [("2018-12-02T10", 1)]
