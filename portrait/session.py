@@ -70,3 +70,12 @@ def freeze(df: DataFrame) -> DataFrame:
     so a lost executor does not force recomputation of the whole upstream plan."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rebalance only when the input has fewer partitions than the
+    cluster has cores (e.g. one large file with a single row group), so
+    CPU-heavy per-row work (regexes, tokenizing, hashing) is not pinned to one
+    task.  A normally split input is returned unchanged - no extra shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -21,8 +21,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# tables whose rows carry long texts: per-row work on them is CPU-heavy
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        from portrait.session import spread
+        df = spread(df)
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
