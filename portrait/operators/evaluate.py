@@ -64,7 +64,7 @@ def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "predicti
     Everything after the first aggregate runs on (#classes)^2 rows."""
     cm = df.groupBy(F.col(label).alias("l"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     total = cm.select(F.sum("n")).scalar()
-    correct = cm.where(F.col("l") == F.col("p")).select(F.sum("n")).scalar()
+    correct = cm.where(F.col("l") == F.col("p")).select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     by_label = cm.groupBy(F.col("l").alias("cls")).agg(F.sum("n").alias("support"))
     by_pred = cm.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("predicted"))
     diag = cm.where(F.col("l") == F.col("p")).select(F.col("l").alias("cls"), F.col("n").alias("tp"))
