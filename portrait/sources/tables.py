@@ -78,10 +78,11 @@ def ts_day_slice(df: DataFrame, ts_col: str, day) -> DataFrame:
 
 
 def ts_range_slice(df: DataFrame, ts_col: str, start, end) -> DataFrame:
-    lo = _dt.datetime.combine(_as_date(start), _dt.time())
-    hi = _dt.datetime.combine(_as_date(end), _dt.time())
+    # string literals: independent of the session and driver time zones
+    lo = F.lit(_as_date(start).isoformat() + " 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(_as_date(end).isoformat() + " 00:00:00").cast("timestamp_ntz")
     c = F.col(ts_col)
-    return (df.where((c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz")))
+    return (df.where((c >= lo) & (c < hi))
             .withColumn("stat_date", dates.stat_date(c)))
 
 
@@ -95,3 +96,13 @@ def with_partition_cols(df: DataFrame, ts: Column) -> DataFrame:
     """Derive ``stat_date`` (yyyyMMdd bigint) and ``stat_hour`` (yyyyMMddHH)."""
     return (df.withColumn("stat_date", dates.stat_date(ts))
               .withColumn("stat_hour", F.date_format(ts, "yyyyMMddHH")))
+
+
+def latest_partition_of_table(spark: SparkSession, table_name: str, partition_col: str = "stat_date") -> DataFrame:
+    """Newest partition of a catalog table from partition metadata
+    (``SHOW PARTITIONS``): no data file is opened to find it, and the value is
+    applied as a literal so the scan prunes to that one partition."""
+    parts = spark.sql(f"SHOW PARTITIONS {table_name}")
+    value = F.regexp_extract(F.col("partition"), f"(?:^|/){partition_col}=([^/]+)", 1)
+    latest = parts.select(F.max(value.cast("bigint"))).first()[0]
+    return spark.table(table_name).where(F.col(partition_col) == F.lit(latest))

@@ -203,3 +203,23 @@ def test_hourly_click_labels(spark):
     log = _log(spark, [("u", "x", "l", "2018-12-02T10:05:00", AD.IMP), ("u", "x", "l", "2018-12-02T10:55:00", AD.CLK)])
     r = AD.click_labels(log, hourly=True).collect()
     assert [(x.time, x.label) for x in r] == [("2018-12-02T10", 1)]
+
+
+def test_latest_partition_from_metadata(spark):
+    import io, contextlib
+    from portrait.sources.tables import latest_partition_of_table
+    p = scratch_path(spark, "latest-tbl")
+    spark.range(30).select((F.lit(20240101) + F.col("id") % 3).cast("bigint").alias("stat_date"), "id") \
+        .write.partitionBy("stat_date").parquet(p)
+    spark.sql(f"CREATE TABLE latest_t (id bigint, stat_date bigint) USING parquet PARTITIONED BY (stat_date) "
+              f"LOCATION '{p}'")
+    spark.sql("ALTER TABLE latest_t RECOVER PARTITIONS")
+    try:
+        df = latest_partition_of_table(spark, "latest_t")
+        assert {r.stat_date for r in df.collect()} == {20240103} and df.count() == 10
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        assert "PartitionFilters: [isnotnull(stat_date" in buf.getvalue()
+    finally:
+        spark.sql("DROP TABLE latest_t")
