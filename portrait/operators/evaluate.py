@@ -81,5 +81,20 @@ def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "predicti
         F.round(f1, digits).alias("f1"), F.round(correct.cast("double") / total, digits).alias("accuracy"))
 
 
-def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> Column:
+def accuracy(label: str = "label", pred: str = "prediction") -> Column:
     return F.avg((F.col(label) == F.col(pred)).cast("double"))
+
+
+def threshold_report(scored: DataFrame, thresholds: dict, score: str = "score", label: str = "label",
+                     digits: int = 6) -> DataFrame:
+    """For each named threshold: AUC of the 0/1 predictions (score >= t) and
+    accuracy, the two numbers the training jobs report per threshold."""
+    out = None
+    for name, t in thresholds.items():
+        pred = (F.col(score) >= F.lit(float(t))).cast("double")
+        p = scored.select(pred.alias("_pred"), F.col(label).alias("_label"))
+        a = auc(p, "_pred", "_label", digits).select("auc")
+        acc = p.select(F.round(accuracy("_label", "_pred"), digits)).scalar()
+        row = a.select(F.lit(name).alias("name"), F.lit(float(t)).alias("threshold"), "auc", acc.alias("accuracy"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -855,6 +855,42 @@ def q_lr_binary(spark, sf):
     return out.select("vec_id", "label", "prediction", MD.positive_score(out).alias("score"))
 
 
+@query("lr_tuned")
+def q_lr_tuned(spark, sf):
+    """Train, pick the F-measure-best threshold on the validation split, and
+    report AUC (on 0/1 predictions) and accuracy at the default and best
+    thresholds."""
+    rows = embedding_rows(spark, sf).withColumn("label", (F.col("label") < 5).cast("double"))
+    train, valid = MD.split(rows, "vec_id")
+    model = MD.train_lr(train)
+    out = model.transform(valid)
+    scored = out.select(MD.positive_score(out).alias("score"), "label")
+    best = EV.best_threshold(scored).first()["threshold"]
+    return EV.threshold_report(scored, {"default": 0.5, "best": best})
+
+
+@query("install_model_labels")
+def q_install_model_labels(spark, sf):
+    """Flagship flow end to end: install features -> sparse vectors, left join
+    to known labels (unlabelled = predict set), train on the labelled part,
+    tune the threshold on a hash hold-out, predict the rest, and publish known
+    labels over predictions (known wins)."""
+    vocab = top_apps(spark, sf)
+    f = feat.install_features(vocab_pairs(spark, sf, vocab), vocab).select("user_id", "feature")
+    vec = MD.sparse_from_indices(f.withColumn("idx", feat.sparse_indices(F.col("feature"))), "idx", P.TOP_K)
+    known = segment_labels(spark, sf).select("user_id", (F.col("label") == 0).cast("bigint").alias("label"))
+    sets = L.train_predict_split(vec.select("user_id", "features"), known, "user_id")
+    labelled = sets.where(F.col("split") == "train").withColumn("label", F.col("label").cast("double"))
+    train, valid = MD.split(labelled, "user_id")
+    model = MD.train_lr(train)
+    v = model.transform(valid)
+    best = EV.best_threshold(v.select(MD.positive_score(v).alias("score"), "label")).first()["threshold"]
+    todo = model.transform(sets.where(F.col("split") == "predict"))
+    predicted = todo.select("user_id", (MD.positive_score(todo) >= best).cast("bigint").alias("label"),
+                            F.lit("predicted").alias("origin"))
+    return L.priority_union([known.withColumn("origin", F.lit("known")), predicted], "user_id", "label")
+
+
 @query("lr_multiclass")
 def q_lr_multiclass(spark, sf):
     train, valid = MD.split(embedding_rows(spark, sf), "vec_id")
