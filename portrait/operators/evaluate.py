@@ -88,13 +88,22 @@ def accuracy(label: str = "label", pred: str = "prediction") -> Column:
 def threshold_report(scored: DataFrame, thresholds: dict, score: str = "score", label: str = "label",
                      digits: int = 6) -> DataFrame:
     """For each named threshold: AUC of the 0/1 predictions (score >= t) and
-    accuracy, the two numbers the training jobs report per threshold."""
-    out = None
-    for name, t in thresholds.items():
-        pred = (F.col(score) >= F.lit(float(t))).cast("double")
-        p = scored.select(pred.alias("_pred"), F.col(label).alias("_label"))
-        a = auc(p, "_pred", "_label", digits).select("auc")
-        acc = p.select(F.round(accuracy("_label", "_pred"), digits)).scalar()
-        row = a.select(F.lit(name).alias("name"), F.lit(float(t)).alias("threshold"), "auc", acc.alias("accuracy"))
-        out = row if out is None else out.unionByName(row)
+    accuracy, the two numbers the training jobs report per threshold.  For
+    0/1 predictions the ROC curve has one inner point, so
+    AUC = (1 + TPR - FPR) / 2; all thresholds come out of one aggregation."""
+    pos = F.col(label) == 1
+    aggs = [F.count_if(pos).alias("_p"), F.count_if(~pos).alias("_n")]
+    for i, t in enumerate(thresholds.values()):
+        hit = F.col(score) >= F.lit(float(t))
+        aggs += [F.count_if(hit & pos).alias(f"_tp{i}"), F.count_if(hit & ~pos).alias(f"_fp{i}")]
+    c = scored.agg(*aggs)
+    rows = []
+    for i, (name, t) in enumerate(thresholds.items()):
+        tp, fp, p, n = (F.col(f"_tp{i}"), F.col(f"_fp{i}"), F.col("_p"), F.col("_n"))
+        rows.append(c.select(F.lit(name).alias("name"), F.lit(float(t)).alias("threshold"),
+                             F.round(0.5 * (1 + tp / p - fp / n), digits).alias("auc"),
+                             F.round((tp + (n - fp)) / (p + n), digits).alias("accuracy")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
     return out

@@ -84,3 +84,17 @@ def test_confusion_brute_force(spark, rows):
         fn = sum(1 for a, b in rows if a == c and b != c)
         assert (got[c].tp, got[c].fp, got[c].fn) == (tp, fp, fn)
         assert abs(got[c].accuracy - round(acc, 6)) < 1e-9
+
+
+@settings(max_examples=10, deadline=None)
+@given(scored, st.integers(0, 20))
+def test_threshold_report_matches_general_auc(spark, rows, t):
+    pos = [s for s, y in rows if y == 1]
+    if not pos or len(pos) == len(rows):
+        return
+    df = spark.createDataFrame([(float(s), y) for s, y in rows], "score double, label int")
+    rep = EV.threshold_report(df, {"t": float(t)}).first()
+    binar = df.select((F.col("score") >= float(t)).cast("double").alias("score"), "label")
+    assert abs(rep.auc - EV.auc(binar).first().auc) < 1e-6
+    acc = sum(1 for s, y in rows if (s >= t) == (y == 1)) / len(rows)
+    assert abs(rep.accuracy - round(acc, 6)) < 1e-9
