@@ -28,6 +28,8 @@ SELECT user_id,
        CAST(count(*) AS BIGINT) AS n_apps
 FROM f GROUP BY user_id"""
 
+ORACLE_SQL["install_features_prefixed"] = ORACLE_SQL["install_features"]
+
 ORACLE_SQL["install_stats"] = f"""WITH {_TOPK},
   pu AS (SELECT p.user_id, count(DISTINCT t.idx) AS n FROM pairs p LEFT JOIN topk t ON t.app_id = p.app_id
          GROUP BY p.user_id)

@@ -90,6 +90,16 @@ def q_install_features(spark, sf):
     return feat.install_features(vocab_pairs(spark, sf, vocab), vocab)
 
 
+@query("install_features_prefixed")
+def q_install_features_prefixed(spark, sf):
+    """First population: its install ids carry the '11' prefix, so the
+    vocabulary keys are prefixed before the broadcast join."""
+    vocab = top_apps(spark, sf)
+    pairs = vocab_pairs(spark, sf, vocab).select(
+        "user_id", F.concat(F.lit("11"), F.col("app_id").cast("string")).alias("app_id"))
+    return feat.install_features(pairs, feat.prefixed_vocab(vocab, "11"))
+
+
 @query("install_stats")
 def q_install_stats(spark, sf):
     return feat.install_stats(install_pairs(spark, sf), top_apps(spark, sf))

@@ -58,3 +58,28 @@ def export_lines(df: DataFrame, line: Column, path: str, partition_by: Sequence[
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.text(path)
+
+
+HIVE_FIELD_SEP = "\u0001"   # default field delimiter of Hive text tables
+
+
+def write_delimited(df: DataFrame, path: str, job_date: int | None, sep: str = HIVE_FIELD_SEP,
+                    partition_col: str = "stat_date") -> None:
+    """Text-table sink: one line per row, fields joined by ``sep`` (nulls as
+    ``\\N``), optionally into one dated partition (dynamic overwrite)."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]
+    out = df.select(F.concat_ws(sep, *fields).alias("value"))
+    if job_date is None:
+        out.write.mode("overwrite").text(path)
+    else:
+        (out.withColumn(partition_col, F.lit(int(job_date)).cast("bigint"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_col).text(path))
+
+
+def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep: str = HIVE_FIELD_SEP) -> DataFrame:
+    raw = spark.read.text(path)
+    parts = F.split(F.col("value"), sep)
+    cols = [F.when(parts[i] == "\\N", F.lit(None)).otherwise(parts[i]).alias(c) for i, c in enumerate(columns)]
+    extra = [c for c in raw.columns if c != "value"]
+    return raw.select(*cols, *extra)

@@ -223,3 +223,14 @@ def test_latest_partition_from_metadata(spark):
         assert "PartitionFilters: [isnotnull(stat_date" in buf.getvalue()
     finally:
         spark.sql("DROP TABLE latest_t")
+
+
+def test_delimited_text_sink_round_trip(spark):
+    from portrait.sources import sinks as SK
+    df = spark.createDataFrame([("u1", "married", None), ("u2", "unmarried", "null")],
+                               "imei string, marriage string, child_stage string")
+    path = scratch_path(spark, "textsink")
+    SK.write_delimited(df, path, 20240116)
+    back = SK.read_delimited(spark, path, ["imei", "marriage", "child_stage"])
+    got = sorted((r.imei, r.marriage, r.child_stage, r.stat_date) for r in back.collect())
+    assert got == [("u1", "married", None, 20240116), ("u2", "unmarried", "null", 20240116)]
