@@ -41,15 +41,23 @@ def normalize(pdf: pd.DataFrame, digits: int = 6) -> list:
     return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+def _types(schema) -> dict:
+    norm = {"large_string": "string", "large_binary": "binary"}
+    return {f.name: norm.get(str(f.type), str(f.type)) for f in schema}
+
+
 def compare(spark_df, con, sql: str, digits: int = 6) -> dict:
-    s = spark_df.toPandas()
-    d = con.execute(sql).fetchdf()
+    """Both sides are fetched once as Arrow: column types are compared at the
+    Arrow level, values after conversion to Python objects."""
+    sa = spark_df.toArrow()
+    da = con.sql(sql).to_arrow_table()
+    s, d = sa.to_pandas(), da.to_pandas()
     res = {"rows_spark": len(s), "rows_oracle": len(d),
            "cols_spark": sorted(s.columns), "cols_oracle": sorted(d.columns)}
     res["cols_match"] = res["cols_spark"] == res["cols_oracle"]
-    ks = {c: s[c].dtype.kind for c in s.columns}
-    kd = {c: d[c].dtype.kind for c in d.columns}
-    res["dtype_diff"] = {c: (ks[c], kd.get(c)) for c in ks if kd.get(c) != ks[c]}
+    ts, td = _types(sa.schema), _types(da.schema)
+    res["type_diff"] = {c: (ts[c], td.get(c)) for c in ts if td.get(c) != ts[c]}
+    res["types_match"] = not res["type_diff"]
     res["rows_match"] = len(s) == len(d)
     res["values_match"] = res["cols_match"] and normalize(s, digits) == normalize(d, digits)
     if not res["values_match"] and res["cols_match"]:

@@ -420,8 +420,8 @@ FROM a2 LEFT JOIN used u ON u.name = {_norm_cat('a2.source')}"""
 
 ORACLE_SQL["parse_scored_lines"] = """
 SELECT DISTINCT 'd' || CAST(l.doc_id AS VARCHAR) AS id, d.lang AS label_1,
-       CASE WHEN l.quality = 1 THEN 0.75 ELSE 0.25 END AS prob_1,
-       d.lang || '-' || d.source AS label_2, CASE WHEN l.toxic = 1 THEN 0.8 ELSE 0.4 END AS prob_2
+       CAST(CASE WHEN l.quality = 1 THEN 0.75 ELSE 0.25 END AS DOUBLE) AS prob_1,
+       d.lang || '-' || d.source AS label_2, CAST(CASE WHEN l.toxic = 1 THEN 0.8 ELSE 0.4 END AS DOUBLE) AS prob_2
 FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE d.n_chars >= 100"""
 
 ORACLE_SQL["multi_level_results"] = """

@@ -20,6 +20,7 @@ def test_matches_duckdb(spark, con, key):
     assert r["cols_match"], r
     assert r["rows_match"], r
     assert r["values_match"], r
+    assert r["types_match"], r
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE_SQL)))
