@@ -106,3 +106,13 @@ def latest_partition_of_table(spark: SparkSession, table_name: str, partition_co
     value = F.regexp_extract(F.col("partition"), f"(?:^|/){partition_col}=([^/]+)", 1)
     latest = parts.select(F.max(value.cast("bigint"))).first()[0]
     return spark.table(table_name).where(F.col(partition_col) == F.lit(latest))
+
+
+def write_bucketed(df: DataFrame, table_name: str, key: str, buckets: int, path: str) -> DataFrame:
+    """Store ``df`` as a Parquet table bucketed and sorted by ``key``.  Two
+    tables bucketed on the join key with the same bucket count are joined
+    without a shuffle (e.g. orders and lineitem on the order key, the join
+    behind every install-list job)."""
+    (df.write.mode("overwrite").option("path", path)
+       .bucketBy(buckets, key).sortBy(key).saveAsTable(table_name))
+    return df.sparkSession.table(table_name)
