@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from portrait import config as C
 from portrait.functions import text as TX
 from portrait.operators.ordering import global_index
+from portrait.session import bounded_broadcast
 
 
 def taxonomy(names: DataFrame, name: str = "name", id_col: str = "category_id") -> DataFrame:
@@ -25,7 +26,7 @@ def normalize_categories(df: DataFrame, raw: str, used: DataFrame, aliases: Data
     cat = TX.normalize_category(F.col(raw))
     out = df.withColumn("_cat", cat)
     if aliases is not None:
-        a = F.broadcast(aliases.select(F.col("alias").alias("_cat"), F.col("canonical").alias("_canon")))
+        a = bounded_broadcast(aliases.select(F.col("alias").alias("_cat"), F.col("canonical").alias("_canon")))
         out = out.join(a, "_cat", "left").withColumn("_cat", F.coalesce("_canon", "_cat")).drop("_canon")
     u = used.select(F.col("name").alias("_cat"), F.col("category_id").alias("_id"))
     out = out.join(u, "_cat", "left")
@@ -74,7 +75,7 @@ def page_domain_labels(pages: DataFrame, url: str, title: str = "title",
     d = pages.withColumn("domain", TX.url_host(F.col(url)))
     d = d.where(~F.col("domain").isin(list(deny_domains))).where(~F.col(title).isin(list(deny_titles)))
     if known is not None:
-        d = d.join(F.broadcast(known.select("domain", F.col("label").alias("_kl"))), "domain", "left")
+        d = d.join(bounded_broadcast(known.select("domain", F.col("label").alias("_kl"))), "domain", "left")
         d = d.withColumn("label", F.coalesce(F.col("_kl"), F.lit("unk"))).drop("_kl")
     else:
         d = d.withColumn("label", F.lit("unk"))
@@ -120,7 +121,7 @@ def reconcile_levels(df: DataFrame, used_l1: DataFrame, drop_weak: bool = False)
     p2parts = F.split(F.trim(F.col("label_2")), "-")
     parent2 = p2parts[0]
     conflict = (F.size(p2parts) == 2) & (n1 != parent2)
-    u = F.broadcast(used_l1.select(F.col("name").alias("_pn"), F.col("category_id").alias("_pid")))
+    u = bounded_broadcast(used_l1.select(F.col("name").alias("_pn"), F.col("category_id").alias("_pid")))
     d = df.withColumn("_parent2", parent2).join(u, F.col("_parent2") == F.col("_pn"), "left")
     lift = conflict & (F.col("prob_2") > F.col("prob_1")) & (F.col("prob_2") >= 0.7)
     fall = conflict & ~lift
@@ -142,7 +143,7 @@ def reconcile_levels(df: DataFrame, used_l1: DataFrame, drop_weak: bool = False)
 def manual_override(df: DataFrame, manual: str, used: DataFrame) -> DataFrame:
     """A known manual label beats the prediction: label_1 = ``label_id`` at
     1.5, no level 2, source 'Manual'; otherwise source 'Pred'."""
-    u = F.broadcast(used.select(F.col("name").alias("_mn"), F.col("category_id").alias("_mid")))
+    u = bounded_broadcast(used.select(F.col("name").alias("_mn"), F.col("category_id").alias("_mid")))
     d = df.join(u, F.col(manual) == F.col("_mn"), "left")
     is_manual = F.coalesce(F.col(manual), F.lit("unk")) != "unk"
     others = [c for c in df.columns if c not in ("label_1", "prob_1", "label_2", "prob_2")]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from portrait import config as C
 from portrait.operators.labels import ranked_profile
+from portrait.session import bounded_broadcast
 
 
 def score_map(spark) -> DataFrame:
@@ -22,7 +23,7 @@ def actions_daily(events: DataFrame, scores: DataFrame, keys: Sequence[str] = ("
                   day_col: str = "stat_date") -> DataFrame:
     """Count per (user, item, action, day) for actions in the score map (inner
     join against a fixed-size map, broadcast)."""
-    kept = events.join(F.broadcast(scores.select("action")), "action", "inner").dropna(subset=list(keys))
+    kept = events.join(bounded_broadcast(scores.select("action")), "action", "inner").dropna(subset=list(keys))
     return kept.groupBy(*keys, day_col).agg(F.count(F.lit(1)).cast("double").alias("frequency"))
 
 
@@ -36,7 +37,7 @@ def actions_range(daily: DataFrame, lo: int, hi: int, keys: Sequence[str] = ("im
 
 def item_rating(actions: DataFrame, scores: DataFrame, user: str = "imei", item: str = "item_id") -> DataFrame:
     """rating = sum(score(action) * frequency) per (user, item)."""
-    j = actions.join(F.broadcast(scores), "action", "inner")
+    j = actions.join(bounded_broadcast(scores), "action", "inner")
     return j.groupBy(user, item).agg(F.sum(F.col("score") * F.col("frequency")).alias("rating"))
 
 

@@ -64,7 +64,7 @@ def vocab_pairs(spark, sf, vocab: DataFrame) -> DataFrame:
     o = table(spark, sf, "orders").select(F.col("o_orderkey"), F.col("o_custkey").alias("user_id"))
     li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
                                               F.col("l_partkey").alias("app_id"))
-    li = li.join(F.broadcast(vocab.select("app_id")), "app_id", "left_semi")
+    li = li.join(F.broadcast(vocab.select("app_id")), "app_id", "left_semi")   # <= TOP_K rows by construction
     return o.join(li, "o_orderkey").select("user_id", "app_id")
 
 

@@ -81,3 +81,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     task.  A normally split input is returned unchanged - no extra shuffle."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast-hint a data-derived lookup side only after checking its size:
+    the count stops at ``max_rows + 1`` (bounded work).  Larger inputs are
+    returned unhinted, so the planner uses a shuffle join (AQE may still
+    broadcast it if its measured bytes are small)."""
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
