@@ -69,33 +69,50 @@ def anti_keep_duplicates(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.join(b.select(key).distinct(), key, "left_anti")
 
 
-def occupation_overrides(pred: DataFrame, silent: DataFrame, student: DataFrame, it: DataFrame,
-                         age: DataFrame, key: str = "user_id", label: str = "occupation") -> DataFrame:
+def occupation_flags(rows: DataFrame, key: str, booted: Column, student_apps, it_apps,
+                     app: str = "app_id") -> DataFrame:
+    """Per user, in one aggregation over the install rows: silent (installed
+    but never booted), student app, IT app.  Replaces one scan and one join
+    per rule with a single pass."""
+    return rows.groupBy(key).agg(
+        (F.max(booted.cast("int")) == 0).cast("int").alias("silent"),
+        F.max(F.col(app).isin(list(student_apps)).cast("int")).alias("student"),
+        F.max(F.col(app).isin(list(it_apps)).cast("int")).alias("it"))
+
+
+def occupation_overrides_from_flags(pred: DataFrame, flags: DataFrame, age: DataFrame,
+                                    key: str = "user_id", label: str = "occupation") -> DataFrame:
     """Rule overlay on predicted occupation classes.
 
     Order of the rules: silent users (class 10) win over the prediction by
     max; then a student app forces class 0; then an IT app forces class 8;
     users without an age are dropped; age group 0/1 forces 0; class 0 with age
-    group 3/4 becomes 10.  One union + one aggregation, then one join."""
-    u = (pred.select(key, F.col(label).cast("bigint").alias("_v"),
-                     F.lit(0).alias("_st"), F.lit(0).alias("_it"))
-         .unionByName(silent.select(key, F.lit(C.OCCUPATION_SILENT).cast("bigint").alias("_v"),
-                                    F.lit(0).alias("_st"), F.lit(0).alias("_it")))
-         .unionByName(student.select(key, F.lit(None).cast("bigint").alias("_v"),
-                                     F.lit(1).alias("_st"), F.lit(0).alias("_it")))
-         .unionByName(it.select(key, F.lit(None).cast("bigint").alias("_v"),
-                                F.lit(0).alias("_st"), F.lit(1).alias("_it"))))
-    per = u.groupBy(key).agg(F.max("_v").alias("_v"), F.max("_st").alias("_st"), F.max("_it").alias("_it"))
-    base = (F.when(F.col("_it") == 1, F.lit(C.OCCUPATION_IT))
-            .when(F.col("_st") == 1, F.lit(C.OCCUPATION_STUDENT))
-            .otherwise(F.col("_v")))
-    j = per.select(key, base.alias("_b")).join(age.select(key, "age"), key, "inner").where(F.col("age").isNotNull())
+    group 3/4 becomes 10.  Users present only in the flags take part too."""
+    p = pred.select(key, F.col(label).cast("bigint").alias("_v"))
+    f = flags.select(key, "silent", "student", "it")
+    j = p.join(f, key, "full")
+    silent_v = F.when(F.col("silent") == 1, F.lit(C.OCCUPATION_SILENT).cast("bigint"))
+    base = (F.when(F.col("it") == 1, F.lit(C.OCCUPATION_IT))
+            .when(F.col("student") == 1, F.lit(C.OCCUPATION_STUDENT))
+            .otherwise(F.greatest(F.col("_v"), silent_v)))
+    j = j.select(key, base.alias("_b")).where(F.col("_b").isNotNull())
+    j = j.join(age.select(key, "age"), key, "inner").where(F.col("age").isNotNull())
     step = F.when(F.col("age").isin(0, 1), F.lit(C.OCCUPATION_STUDENT)).otherwise(F.col("_b"))
     final = F.when((step == C.OCCUPATION_STUDENT) & F.col("age").isin(3, 4),
                    F.lit(C.OCCUPATION_SILENT)).otherwise(step)
     return j.select(key, final.cast("bigint").alias(label))
 
 
+def occupation_overrides(pred: DataFrame, silent: DataFrame, student: DataFrame, it: DataFrame,
+                         age: DataFrame, key: str = "user_id", label: str = "occupation") -> DataFrame:
+    """Same rules when the three user sets come from separate sources."""
+    def flag(df, name):
+        return df.select(key).distinct().withColumn(name, F.lit(1))
+    flags = (flag(silent, "silent").join(flag(student, "student"), key, "full")
+             .join(flag(it, "it"), key, "full").fillna(0, ["silent", "student", "it"]))
+    return occupation_overrides_from_flags(pred, flags, age, key, label)
+
+
 def consistency_merge(marriage: DataFrame, parent: DataFrame, child: DataFrame, key: str = "user_id") -> DataFrame:
     """Inner-join three predictions and make them agree: an unmarried parent
     becomes non-parent with no child stage; a non-parent has no child stage

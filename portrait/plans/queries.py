@@ -222,17 +222,15 @@ def age_groups(spark, sf) -> DataFrame:
 
 @query("occupation_overrides")
 def q_occupation_overrides(spark, sf):
-    pairs = install_pairs(spark, sf)
-    o = table(spark, sf, "orders")
-    li = table(spark, sf, "lineitem")
-    boots = (o.join(li.where(F.col("l_linestatus") == "F"), F.col("o_orderkey") == F.col("l_orderkey"))
-             .select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("app_id")))
-    silent = L.anti_keep_duplicates(pairs.select("user_id"), boots, "user_id").distinct()
-    both = pairs.unionByName(boots)
-    student = both.where(F.col("app_id").isin(list(P.STUDENT_APPS))).select("user_id").distinct()
-    it = both.where(F.col("app_id").isin(list(P.IT_APPS))).select("user_id").distinct()
+    """Installs = orders x lineitem; a line with status 'F' counts as booted.
+    One join and one aggregation give all three rule flags."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
+                                              F.col("l_partkey").alias("app_id"), "l_linestatus")
+    rows = o.join(li, "o_orderkey")
+    flags = L.occupation_flags(rows, "user_id", F.col("l_linestatus") == "F", P.STUDENT_APPS, P.IT_APPS)
     pred = segment_labels(spark, sf).select("user_id", F.col("label").alias("occupation"))
-    return L.occupation_overrides(pred, silent, student, it, age_groups(spark, sf))
+    return L.occupation_overrides_from_flags(pred, flags, age_groups(spark, sf))
 
 
 @query("consistency_merge")
