@@ -27,7 +27,8 @@ def auc(df: DataFrame, score: str = "score", label: str = "label", digits: int =
     g = running_totals(_per_score(df, score, label), [F.col("score").asc()], ["neg"])
     below = F.col("cum_neg") - F.col("neg")
     out = g.agg(
-        F.round(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg")), digits).alias("auc"),
+        F.round(F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))), F.sum("pos") * F.sum("neg")),
+                digits).alias("auc"),
         F.sum("pos").cast("bigint").alias("n_pos"), F.sum("neg").cast("bigint").alias("n_neg"))
     if threshold is None:
         return out
@@ -43,8 +44,8 @@ def f_measure_by_threshold(df: DataFrame, score: str = "score", label: str = "la
     total_pos = g.select(F.sum("pos")).scalar()
     c = running_totals(g, [F.col("score").desc()], ["pos", "neg"])
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
-    precision = tp / (tp + fp)
-    recall = tp / total_pos
+    precision = F.try_divide(tp, tp + fp)
+    recall = F.try_divide(tp, total_pos)
     b2 = beta * beta
     f = F.when((precision + recall) > 0, (1 + b2) * precision * recall / (b2 * precision + recall)).otherwise(0.0)
     return c.select(F.col("score").alias("threshold"), precision.alias("precision"), recall.alias("recall"),
@@ -78,7 +79,7 @@ def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "predicti
         (F.col("predicted") - F.col("tp")).cast("bigint").alias("fp"),
         (F.col("support") - F.col("tp")).cast("bigint").alias("fn"),
         F.round(prec, digits).alias("precision"), F.round(rec, digits).alias("recall"),
-        F.round(f1, digits).alias("f1"), F.round(correct.cast("double") / total, digits).alias("accuracy"))
+        F.round(f1, digits).alias("f1"), F.round(F.try_divide(correct.cast("double"), total), digits).alias("accuracy"))
 
 
 def accuracy(label: str = "label", pred: str = "prediction") -> Column:
@@ -101,8 +102,8 @@ def threshold_report(scored: DataFrame, thresholds: dict, score: str = "score",
     for i, (name, t) in enumerate(thresholds.items()):
         tp, fp, p, n = (F.col(f"_tp{i}"), F.col(f"_fp{i}"), F.col("_p"), F.col("_n"))
         rows.append(c.select(F.lit(name).alias("name"), F.lit(float(t)).alias("threshold"),
-                             F.round(0.5 * (1 + tp / p - fp / n), digits).alias("auc"),
-                             F.round((tp + (n - fp)) / (p + n), digits).alias("accuracy")))
+                             F.round(0.5 * (1 + F.try_divide(tp, p) - F.try_divide(fp, n)), digits).alias("auc"),
+                             F.round(F.try_divide(tp + (n - fp), p + n), digits).alias("accuracy")))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -436,7 +436,7 @@ def label_sources(spark, sf) -> list[DataFrame]:
     part = table(spark, sf, "part").select(F.col("p_partkey"), F.col("p_brand").alias("pred"),
                                            F.col("p_type").alias("label"))
     base = ev.select(F.md5(F.col("user_id").cast("string")).alias("imei"),
-                     F.get_json_object("props", "$.k").cast("bigint").alias("p_partkey"),
+                     F.get_json_object("props", "$.k").try_cast("bigint").alias("p_partkey"),
                      "event_type", D.stat_date(F.col("ts")).alias("stat_date")).join(part, "p_partkey")
     return [base.where(F.col("event_type") == t) for t in ("click", "view", "purchase", "signup")]
 
@@ -714,7 +714,7 @@ def q_manual_override(spark, sf):
 
 @query("url_to_user")
 def q_url_to_user(spark, sf):
-    ev = table(spark, sf, "events").select("user_id", F.get_json_object("props", "$.k").cast("bigint").alias("page_id"))
+    ev = table(spark, sf, "events").select("user_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("page_id"))
     pg = table(spark, sf, "pages").select("page_id", F.md5("url").alias("url_md5"), TX.url_host(F.col("url")).alias("domain"))
     url_user = ev.join(pg.select("page_id", "url_md5"), "page_id").select("url_md5", "user_id").distinct()
     return pg.join(url_user, "url_md5").select("user_id", "page_id", "domain")

@@ -98,3 +98,14 @@ def test_threshold_report_matches_general_auc(spark, rows, t):
     assert abs(rep.auc - EV.auc(binar).first().auc) < 1e-6
     acc = sum(1 for s, y in rows if (s >= t) == (y == 1)) / len(rows)
     assert abs(rep.accuracy - round(acc, 6)) < 1e-9
+
+
+def test_metrics_one_class_only_no_error(spark):
+    """ANSI mode: degenerate inputs give null metrics instead of failing."""
+    df = spark.createDataFrame([(0.3, 1), (0.7, 1)], "score double, label int")
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    assert EV.auc(df).first().auc is None
+    assert EV.threshold_report(df, {"t": 0.5}).first().auc is None
+    neg = spark.createDataFrame([(0.3, 0), (0.7, 0)], "score double, label int")
+    r = EV.f_measure_by_threshold(neg).collect()
+    assert all(x.recall is None for x in r)
