@@ -41,7 +41,8 @@ def f_measure_by_threshold(df: DataFrame, score: str = "score", label: str = "la
     """Precision, recall and F-beta when predicting positive for score >= t,
     for every distinct score t."""
     g = _per_score(df, score, label)
-    total_pos = g.select(F.sum("pos")).scalar()
+    # one number, fetched once and used as a literal in every ratio below
+    total_pos = F.lit(g.agg(F.sum("pos")).first()[0])
     c = running_totals(g, [F.col("score").desc()], ["pos", "neg"])
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     precision = F.try_divide(tp, tp + fp)
@@ -64,8 +65,9 @@ def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "predicti
     """Per class: tp, fp, fn, precision, recall, F1, plus overall accuracy.
     Everything after the first aggregate runs on (#classes)^2 rows."""
     cm = df.groupBy(F.col(label).alias("l"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    total = cm.select(F.sum("n")).scalar()
-    correct = cm.where(F.col("l") == F.col("p")).select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    totals = cm.agg(F.sum("n").alias("t"), F.coalesce(F.sum(F.when(F.col("l") == F.col("p"), F.col("n"))), F.lit(0))
+                    .alias("c")).first()
+    total, correct = F.lit(totals["t"]), F.lit(totals["c"])
     by_label = cm.groupBy(F.col("l").alias("cls")).agg(F.sum("n").alias("support"))
     by_pred = cm.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("predicted"))
     diag = cm.where(F.col("l") == F.col("p")).select(F.col("l").alias("cls"), F.col("n").alias("tp"))

@@ -431,14 +431,21 @@ def q_item_rating(spark, sf):
 
 
 # ---------------------------------------------------------------- daily labels / profile
+LABEL_EVENT_TYPES = ("click", "view", "purchase", "signup")
+
+
 def label_sources(spark, sf) -> list[DataFrame]:
-    ev = table(spark, sf, "events")
+    """(user, pred, label, day) rows.  In production these are several result
+    tables unioned by ``label_daily``; here all of them live in ``events``, so
+    they are read with one scan (a filter per source would become one scan
+    per source after predicate pushdown)."""
+    ev = table(spark, sf, "events").where(F.col("event_type").isin(*LABEL_EVENT_TYPES))
     part = table(spark, sf, "part").select(F.col("p_partkey"), F.col("p_brand").alias("pred"),
                                            F.col("p_type").alias("label"))
     base = ev.select(F.md5(F.col("user_id").cast("string")).alias("imei"),
                      F.get_json_object("props", "$.k").try_cast("bigint").alias("p_partkey"),
-                     "event_type", D.stat_date(F.col("ts")).alias("stat_date")).join(part, "p_partkey")
-    return [base.where(F.col("event_type") == t) for t in ("click", "view", "purchase", "signup")]
+                     D.stat_date(F.col("ts")).alias("stat_date")).join(part, "p_partkey")
+    return [base]
 
 
 def daily_labels(spark, sf) -> DataFrame:

@@ -256,3 +256,12 @@ def test_bounded_broadcast_falls_back(spark):
         assert "BroadcastHashJoin" not in plan(big.join(bounded_broadcast(big, 10), "k"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_label_daily_unions_sources(spark):
+    schema = "imei string, pred string, label string, stat_date long"
+    a = spark.createDataFrame([("u", "p", "x", 1), ("u", "p", "x", 1)], schema)
+    b = spark.createDataFrame([("u", "p", "x", 1), ("v", "q", "y", 2)], schema)
+    c = spark.createDataFrame([("u", "p", "x", 2), (None, "q", "y", 2)], schema)
+    out = {(r.imei, r.labels, r.stat_date): r.times for r in PR.label_daily([a, b, c]).collect()}
+    assert out == {("u", "p@x", 1): 3, ("v", "q@y", 2): 1, ("u", "p@x", 2): 1}
