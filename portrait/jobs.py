@@ -1,4 +1,4 @@
-"""Daily job runner: ``spark-submit -m portrait.jobs <job> <yyyyMMdd> --tables DIR --out DIR``
+"""Daily job runner: ``spark-submit --py-files portrait.zip portrait/jobs.py <job> <yyyyMMdd> --tables DIR --out DIR``
 (or ``python -m portrait.jobs ...``).
 
 Runs one registered query for a job date against the tables in ``--tables``
@@ -11,10 +11,14 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+if __package__ in (None, ""):   # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from portrait.plans import params
 from portrait.plans.queries import QUERIES
 from portrait.sources.sinks import overwrite_partition
