@@ -57,7 +57,9 @@ def best_threshold(df: DataFrame, score: str = "score", label: str = "label", di
     """The threshold with the largest F-measure; ties go to the highest
     threshold (the first one met when scanning scores downwards)."""
     fm = f_measure_by_threshold(df, score, label)
-    top = fm.orderBy(F.col("f_measure").desc(), F.col("threshold").desc()).limit(1)
+    # equal F values computed along different float paths differ in the last
+    # bits; compare at 12 decimals so exact ties go to the higher threshold
+    top = fm.orderBy(F.round("f_measure", 12).desc(), F.col("threshold").desc()).limit(1)
     return top.select("threshold", *[F.round(c, digits).alias(c) for c in ("f_measure", "precision", "recall")])
 
 

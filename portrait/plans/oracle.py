@@ -556,7 +556,7 @@ ORACLE_SQL["best_threshold"] = f"""WITH {_SCORES},
   f2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END
                    AS f_measure FROM f)
 SELECT threshold, round(f_measure, 6) AS f_measure, round(precision, 6) AS precision, round(recall, 6) AS recall
-FROM f2 ORDER BY f_measure DESC, threshold DESC LIMIT 1"""
+FROM f2 ORDER BY round(f_measure, 12) DESC, threshold DESC LIMIT 1"""
 
 ORACLE_SQL["eval_confusion"] = """
 WITH d AS (SELECT lang AS label,
