@@ -258,15 +258,17 @@ def q_label_audit(spark, sf):
 
 @query("coverage_report")
 def q_coverage_report(spark, sf):
+    """User-population overlap in one pass over events: a left join to the
+    customer keys marks known users, one aggregation counts everything."""
     ev = table(spark, sf, "events").select("user_id")
     cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
-    ev_users = ev.distinct()
-    overlap = ev_users.join(cust, "user_id", "left_semi")
-    rows_known = ev.join(cust, "user_id", "left_semi")
-    n = F.count(F.lit(1))
-    return ev_users.agg(n.alias("event_users")).select(
-        "event_users", overlap.select(n).scalar().alias("overlap_users"),
-        rows_known.select(n).scalar().alias("events_of_known"), cust.select(n).scalar().alias("customers"))
+    known = cust.distinct().withColumn("_known", F.lit(True))
+    j = ev.join(known, "user_id", "left")
+    is_known = F.coalesce(F.col("_known"), F.lit(False))
+    return j.agg(F.count_distinct("user_id").alias("event_users"),
+                 F.count_distinct(F.when(is_known, F.col("user_id"))).alias("overlap_users"),
+                 F.count_if(is_known).alias("events_of_known"),
+                 cust.select(F.count(F.lit(1))).scalar().alias("customers"))
 
 
 @query("dedupe_first")
