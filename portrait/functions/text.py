@@ -66,13 +66,13 @@ def normalize_category(c: Column) -> Column:
 
 
 def java_split(c: Column, sep_regex: str) -> Column:
-    """``String.split`` semantics: trailing empty fields are dropped."""
+    """``String.split`` semantics: trailing empty fields are dropped (Spark's
+    ``split`` keeps them); an empty input gives ``[""]``."""
     parts = F.split(c, sep_regex)
-    # drop trailing empty strings (Java removes them, Spark keeps them)
-    return F.slice(parts, 1, F.greatest(
-        F.size(parts) - F.coalesce(F.array_position(
-            F.reverse(F.transform(parts, lambda x: x != "")), True) - 1, F.size(parts)),
-        F.lit(1)))
+    # 1-based position of the last non-empty field, 0 when there is none
+    last = F.size(parts) - F.array_position(F.reverse(F.transform(parts, lambda x: x != "")), True) + 1
+    kept = F.when(F.array_position(F.transform(parts, lambda x: x != ""), True) == 0, F.lit(0)).otherwise(last)
+    return F.when(c == "", F.array(F.lit(""))).otherwise(F.slice(parts, 1, kept))
 
 
 def url_host(url: Column) -> Column:

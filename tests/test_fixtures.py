@@ -265,3 +265,9 @@ def test_label_daily_unions_sources(spark):
     c = spark.createDataFrame([("u", "p", "x", 2), (None, "q", "y", 2)], schema)
     out = {(r.imei, r.labels, r.stat_date): r.times for r in PR.label_daily([a, b, c]).collect()}
     assert out == {("u", "p@x", 1): 3, ("v", "q@y", 2): 1, ("u", "p@x", 2): 1}
+
+
+def test_java_split_semantics(spark):
+    cases = {"a/b//": ["a", "b"], "///": [], "": [""], "a": ["a"], "/a": ["", "a"], "http://x/": ["http:", "", "x"]}
+    for s, want in cases.items():
+        assert one(spark, TX.java_split(F.col("s"), "/"), s) == want, s
