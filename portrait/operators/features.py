@@ -100,6 +100,11 @@ def sparse_indices(feature: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(idx, lambda i: i.isNotNull())))
 
 
+def columns_by_prefix(df: DataFrame, prefixes: Sequence[str]) -> list[str]:
+    """Feature columns chosen by name prefix, in table order (schema only, no data)."""
+    return [c for c in df.columns if any(c.startswith(p) for p in prefixes)]
+
+
 def feature_bag(df: DataFrame, cols: Sequence[str]) -> Column:
     """Row -> array of ``col_value`` tokens (``_`` removed from values, null or
     empty values skipped), in column order."""

@@ -347,7 +347,17 @@ def ad_wide(spark, sf) -> DataFrame:
     return AD.training_wide(ad_labels(spark, sf), ad_users(spark, sf), ad_units(spark, sf), ad_history(spark, sf))
 
 
-CTR_FEATURES = ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"]
+# feature columns of the wide row, chosen by name prefix
+CTR_FEATURE_PREFIXES = ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"]
+
+
+def ctr_features(wide: DataFrame) -> list[str]:
+    return feat.columns_by_prefix(wide, CTR_FEATURE_PREFIXES)
+
+
+def _ctr_rows(spark, sf) -> DataFrame:
+    wide = ad_wide(spark, sf)
+    return feat.ctr_feature_rows(wide, ctr_features(wide))
 
 
 @query("ad_click_label")
@@ -376,13 +386,13 @@ def q_ad_training_wide(spark, sf):
 
 @query("ctr_feature_rows")
 def q_ctr_feature_rows(spark, sf):
-    return feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES)
+    return _ctr_rows(spark, sf)
 
 
 @query("ctr_feature_lines")
 def q_ctr_feature_lines(spark, sf):
     """Labelled feature lines ``features##yf##label`` written and read back."""
-    rows = feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES)
+    rows = _ctr_rows(spark, sf)
     path = scratch_path(spark, "ctr_lines")
     SK.export_lines(rows, F.concat_ws("##yf##", "features", F.col("label").cast("string")), path)
     return spark.read.text(path)
@@ -390,7 +400,7 @@ def q_ctr_feature_lines(spark, sf):
 
 @query("feature_vocab")
 def q_feature_vocab(spark, sf):
-    return feat.feature_vocab(feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES))
+    return feat.feature_vocab(_ctr_rows(spark, sf))
 
 
 # ---------------------------------------------------------------- ratings
@@ -976,7 +986,7 @@ def q_batch_score(spark, sf):
 
 
 def ctr_model(spark, sf):
-    rows = feat.ctr_feature_rows(ad_wide(spark, sf), CTR_FEATURES)
+    rows = _ctr_rows(spark, sf)
     vocab = feat.feature_vocab(rows)
     cv = MD.vocab_vectorizer(vocab)
     bags = rows.withColumnRenamed("features", "bag").withColumn("tokens", F.split("bag", " "))

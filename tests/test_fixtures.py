@@ -271,3 +271,8 @@ def test_java_split_semantics(spark):
     cases = {"a/b//": ["a", "b"], "///": [], "": [""], "a": ["a"], "/a": ["", "a"], "http://x/": ["http:", "", "x"]}
     for s, want in cases.items():
         assert one(spark, TX.java_split(F.col("s"), "/"), s) == want, s
+
+
+def test_char_ngrams_for_unsegmented_script(spark):
+    assert one(spark, TX.char_ngrams(F.col("s"), 2), "你好世界") == ["你好", "好世", "世界"]
+    assert one(spark, TX.char_ngrams(F.col("s"), 2), "你") == ["你"]
