@@ -5,7 +5,6 @@ optimiser runs, so a lost executor does not replay the feature plan."""
 
 from __future__ import annotations
 
-from typing import Sequence
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, HashingTF, NGram
