@@ -100,6 +100,13 @@ seg_named AS (
 
 ORACLE_SQL["label_map"] = f"WITH {_SEG} SELECT user_id, label, label_name FROM seg_named"
 
+ORACLE_SQL["answer_labels"] = """
+WITH a AS (SELECT o_custkey AS user_id, o_orderkey,
+                  substr('ABCDE', TRY_CAST(split_part(o_orderpriority, '-', 1) AS INTEGER), 1) AS answer FROM orders),
+     f AS (SELECT user_id, arg_min(answer, o_orderkey) AS answer FROM a WHERE length(answer) = 1 GROUP BY user_id)
+SELECT f.user_id, f.answer, CAST(m.code AS BIGINT) AS label
+FROM f JOIN (VALUES ('A', 0), ('B', 1)) m(key, code) ON m.key = f.answer"""
+
 ORACLE_SQL["label_distribution"] = f"""WITH {_SEG}
 SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total,
        round(count(*) / sum(count(*)) OVER (), 4) AS share

@@ -178,6 +178,21 @@ def q_label_map(spark, sf):
     return segment_labels(spark, sf)
 
 
+@query("answer_labels")
+def q_answer_labels(spark, sf):
+    """Single-choice survey answers (the order priority's rank as a letter
+    A-E), first answer per user by order key, mapped with the marriage answer
+    table (A -> 0, B -> 1, other answers dropped)."""
+    o = table(spark, sf, "orders")
+    letter = F.substring(F.lit("ABCDE"), F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).try_cast("int"), 1)
+    ans = o.select(F.col("o_custkey").alias("user_id"), "o_orderkey", letter.alias("answer"))
+    ans = ans.where(L.single_choice(F.col("answer")))
+    first = L.dedupe_first(ans, "user_id", ["o_orderkey"], ["answer"]).select("user_id", "answer")
+    m = spark.createDataFrame(C.MARRIAGE_ANSWERS, "key string, code int")
+    return L.map_labels(first, "answer", m, case_insensitive=False, drop_codes=(), shift=0) \
+        .select("user_id", "answer", "label")
+
+
 @query("label_distribution")
 def q_label_distribution(spark, sf):
     return L.label_distribution(segment_labels(spark, sf))
