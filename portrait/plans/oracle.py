@@ -469,6 +469,19 @@ SELECT doc_id,
        CASE WHEN fall THEN 1.5 ELSE prob_2 END AS prob_2, known_label
 FROM r3"""
 
+ORACLE_SQL["hier_reconcile_refined"] = f"""
+WITH j AS (SELECT doc_id, 'c' || substr({_H}, 1, 1) || '_' || {_hexi(_H, 1)} AS label_1, {_hexf(_H, 2, 2)} AS prob_1,
+                  'c' || substr({_H}, 3, 1) || '-d' || substr({_H}, 4, 1) || '_' || {_hexi(_H, 4)} AS label_2,
+                  {_hexf(_H, 5, 2)} AS prob_2
+           FROM documents WHERE n_chars > 100),
+  {_RECON}
+SELECT doc_id,
+       CASE WHEN lift THEN p2[1] || '_' || CAST(('0x' || substr(p2[1], 2, 1))::BIGINT AS VARCHAR) ELSE label_1 END AS label_1,
+       CASE WHEN lift THEN 1.5 ELSE prob_1 END AS prob_1,
+       CASE WHEN fall THEN n1 || '-其它_' || id1 ELSE label_2 END AS label_2,
+       CASE WHEN fall THEN 1.5 ELSE prob_2 END AS prob_2
+FROM r3 WHERE NOT coalesce(conflict AND prob_1 <= 0.5 AND prob_2 <= 0.5, false)"""
+
 _HP = "md5(CAST(page_id AS VARCHAR))"
 ORACLE_SQL["manual_override"] = f"""WITH {_pages_cte()},
   used AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS category_id

@@ -727,6 +727,14 @@ def q_hier_reconcile(spark, sf):
         "doc_id", "label_1", "prob_1", "label_2", "prob_2", "known_label")
 
 
+@query("hier_reconcile_refined")
+def q_hier_reconcile_refined(spark, sf):
+    """Refined variant applied to the raw result lines: rows whose two levels
+    conflict while both probabilities are <= 0.5 are dropped."""
+    return CT.reconcile_levels(doc_predictions(spark, sf), hex_taxonomy(spark), drop_weak=True).select(
+        "doc_id", "label_1", "prob_1", "label_2", "prob_2")
+
+
 def page_predictions(spark, sf) -> DataFrame:
     pg = table(spark, sf, "pages").where(F.length("html") > 5000)
     h = F.md5(F.col("page_id").cast("string"))
