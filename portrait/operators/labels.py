@@ -145,12 +145,15 @@ def dedupe_first(df: DataFrame, key: str, order: Sequence[str], keep: Sequence[s
 
 
 def ranked_profile(df: DataFrame, key: str, label: str, score: str, digits: int = 3,
-                   sep: str = "###") -> DataFrame:
-    """Per key: ``label:score`` items sorted by score desc (ties: label asc),
-    joined with ``sep``.  Bounded by the label vocabulary per key."""
+                   sep: str = "###", tie: str | None = None) -> DataFrame:
+    """Per key: ``label:score`` items sorted by score desc (ties: label asc,
+    then ``tie`` desc), joined with ``sep``.  Bounded by the label vocabulary
+    (times the number of ``tie`` values) per key."""
     shown = F.round(F.col(score).cast("decimal(38,10)"), digits).cast(f"decimal(38,{digits})").cast("string")
-    items = F.collect_list(F.struct(F.negative(F.col(score)).alias("_ns"), F.col(label).alias("_l"),
-                                    shown.alias("_s")))
+    order = [F.negative(F.col(score)).alias("_ns"), F.col(label).alias("_l")]
+    if tie:
+        order.append(F.negative(F.col(tie)).alias("_nt"))
+    items = F.collect_list(F.struct(*order, shown.alias("_s")))
     return (df.groupBy(key).agg(F.array_sort(items).alias("_a"))
               .select(key, F.array_join(F.transform("_a", lambda x: F.concat(
                   x["_l"], F.lit(":"), x["_s"])), sep).alias("labels")))

@@ -58,13 +58,17 @@ def decay_factor(days):
 
 
 def decayed_profile(daily: DataFrame, as_of: _dt.date, since: _dt.date, user: str = "imei",
-                    day_col: str = "stat_date") -> DataFrame:
+                    day_col: str = "stat_date", per_day: bool = False) -> DataFrame:
     """Decayed sum of daily label counts since ``since`` (exclusive) up to the
-    as-of date, ranked into ``label:%.3f###...`` per user."""
+    as-of date, ranked into ``label:%.3f###...`` per user.  ``per_day=True``
+    keeps one entry per (label, day) as the original job prints them."""
     lo = int(since.strftime("%Y%m%d"))
     d = F.datediff(F.lit(as_of), F.to_date(F.col(day_col).cast("string"), "yyyyMMdd"))
     scored = (daily.where(F.col(day_col) > lo)
               .withColumn("_s", F.col("times").cast("decimal(20,0)") * decay_factor(d)))
+    if per_day:
+        entries = scored.select(user, "labels", day_col, F.round("_s", 3).alias("_s"))
+        return ranked_profile(entries, user, "labels", "_s", tie=day_col)
     per = scored.groupBy(user, "labels").agg(F.sum("_s").alias("_s"))
     return ranked_profile(per.withColumn("_s", F.round("_s", 3)), user, "labels", "_s")
 

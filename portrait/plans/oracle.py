@@ -279,6 +279,15 @@ ORACLE_SQL["label_profile"] = f"""WITH {_LABELS},
 SELECT imei, string_agg(labels || ':' || CAST(CAST(s AS DECIMAL(38,3)) AS VARCHAR), '###' ORDER BY s DESC, labels ASC) AS labels
 FROM sc GROUP BY imei"""
 
+ORACLE_SQL["label_profile_entries"] = f"""WITH {_LABELS},
+  sc AS (SELECT imei, labels, stat_date, round(CAST(times AS DECIMAL(20,0)) *
+                  ((31 - datediff('day', strptime(CAST(stat_date AS VARCHAR), '%Y%m%d')::DATE, DATE '{P.PROFILE_AS_OF.isoformat()}'))
+                   * CAST(0.03333 AS DECIMAL(6,5))), 3) AS s
+         FROM ld WHERE stat_date > {_PSINCE})
+SELECT imei, string_agg(labels || ':' || CAST(CAST(s AS DECIMAL(38,3)) AS VARCHAR), '###'
+                        ORDER BY s DESC, labels ASC, stat_date DESC) AS labels
+FROM sc GROUP BY imei"""
+
 ORACLE_SQL["event_counts"] = """
 SELECT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS stat_date, event_type, count(*) AS n
 FROM events WHERE event_type IN ('view', 'click') GROUP BY ALL"""

@@ -490,6 +490,13 @@ def q_label_profile(spark, sf):
     return PR.decayed_profile(daily_labels(spark, sf), P.PROFILE_AS_OF, since)
 
 
+@query("label_profile_entries")
+def q_label_profile_entries(spark, sf):
+    """The original output form: one decayed entry per (label, day)."""
+    since = D.offset_date_py(P.PROFILE_AS_OF, -1, 0)
+    return PR.decayed_profile(daily_labels(spark, sf), P.PROFILE_AS_OF, since, per_day=True)
+
+
 @query("event_counts")
 def q_event_counts(spark, sf):
     ev = table(spark, sf, "events").where(F.col("event_type").isin("view", "click"))
