@@ -14,7 +14,7 @@ SENTINEL_IMEI = "__IMEI__"
 
 
 def click_labels(log: DataFrame, keys: Sequence[str] = ("imei", "unit_id", "location"),
-                 hourly: bool = False) -> DataFrame:
+                 hourly: bool = False, extra_keys: Sequence[str] = ()) -> DataFrame:
     """Monitor-log rows -> one row per (user, unit, location, weekday, hour,
     MMdd) with label 1 if any of its events is a click.  Rows with a bad
     19-char timestamp are dropped; duplicates collapse in the aggregate.
@@ -29,10 +29,10 @@ def click_labels(log: DataFrame, keys: Sequence[str] = ("imei", "unit_id", "loca
         h = clean.select(*keys, F.substring("posttime", 1, 13).alias("time"),
                          (F.col("oper_type") == CLK).cast("bigint").alias("_clk"))
         return h.groupBy(*keys, "time").agg(F.max("_clk").alias("label"))
-    feats = clean.select(*keys, D.weekday_mon1(ts).alias("week"), F.hour(ts).cast("bigint").alias("hour"),
-                         F.date_format(ts, "MMdd").alias("date"),
+    feats = clean.select(*keys, *extra_keys, D.weekday_mon1(ts).alias("week"),
+                         F.hour(ts).cast("bigint").alias("hour"), F.date_format(ts, "MMdd").alias("date"),
                          (F.col("oper_type") == CLK).cast("bigint").alias("_clk"))
-    return feats.groupBy(*keys, "week", "hour", "date").agg(F.max("_clk").alias("label"))
+    return feats.groupBy(*keys, *extra_keys, "week", "hour", "date").agg(F.max("_clk").alias("label"))
 
 
 def click_history(log: DataFrame, user: str = "imei", unit: str = "unit_id") -> DataFrame:
@@ -51,3 +51,26 @@ def training_wide(labels: DataFrame, users: DataFrame, ads: DataFrame, history:
     j = (labels.join(users, user, "inner").join(ads, unit, "inner")
          .join(history, user, "left"))
     return j.withColumn("history_click_1m", F.coalesce(F.col("history_click_1m"), F.lit("null")))
+
+
+def click_history_by_day(clicks: DataFrame, day: str, user: str = "imei", unit: str = "unit_id",
+                         out_day: str = "job_day") -> DataFrame:
+    """Click history as of every job day D: units clicked in [D - 1 month
+    (lenient calendar), D - 1 day).  Each click is expanded to the job days
+    whose window contains it - at most 31 of them, a fan-out bounded by the
+    window length, not by the data - and then grouped per (user, D).  No
+    range or cross join is needed."""
+    c = F.col(day)
+    cand = clicks.select(user, unit, day, F.explode(F.sequence(F.date_add(c, 2), F.date_add(c, 32))).alias(out_day))
+    d = F.col(out_day)
+    inside = (D.offset_date(d, -1, 0) <= c) & (c < F.date_sub(d, 1))
+    return (cand.where(inside).groupBy(user, out_day)
+            .agg(F.array_join(F.array_sort(F.collect_set(unit)), " ").alias("history_click_1m")))
+
+
+def training_wide_by_day(labels: DataFrame, users: DataFrame, ads: DataFrame, history: DataFrame,
+                         user: str = "imei", unit: str = "unit_id", day: str = "job_day") -> DataFrame:
+    """Daily wide rows for many job days at once: history joined on (user, day)."""
+    j = (labels.join(users, user, "inner").join(ads, unit, "inner")
+         .join(history, [user, day], "left"))
+    return j.withColumn("history_click_1m", F.coalesce(F.col("history_click_1m"), F.lit("null")))

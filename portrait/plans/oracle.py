@@ -240,6 +240,44 @@ ORACLE_SQL["feature_vocab"] = f"""WITH {_ADS},
   toks AS (SELECT DISTINCT unnest(string_split(features, ' ')) AS feature FROM ctr)
 SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS idx FROM toks WHERE feature <> ''"""
 
+# month window of daily wide rows (job days [d - 1 month, d))
+_MLO = _off(P.AS_OF, -1, 0)
+_EV_LO = (_MLO - _dt.timedelta(days=1)).isoformat()
+_EV_HI = (P.AS_OF - _dt.timedelta(days=1)).isoformat()
+_H_LO = _off(_MLO, -1, 0).isoformat()
+_MONTH = f"""
+  mlog AS (SELECT md5(CAST(user_id AS VARCHAR)) AS imei, props->>'$.k' AS unit_id,
+                  'L' || CAST(CAST(floor(value / 25) AS BIGINT) AS VARCHAR) AS location, ts,
+                  CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS clk, CAST(ts AS DATE) AS day
+           FROM events WHERE event_type IN ('view', 'click')),
+  mlab AS (SELECT imei, unit_id, location, day + 1 AS job_day, CAST(isodow(ts) AS BIGINT) AS week,
+                  CAST(hour(ts) AS BIGINT) AS hour, strftime(ts, '%m%d') AS date, CAST(max(clk) AS BIGINT) AS label
+           FROM mlog WHERE ts >= TIMESTAMP '{_EV_LO}' AND ts < TIMESTAMP '{_EV_HI}' GROUP BY ALL),
+  mclk AS (SELECT imei, unit_id, day AS click_day FROM mlog
+           WHERE clk = 1 AND ts >= TIMESTAMP '{_H_LO}' AND ts < TIMESTAMP '{_EV_HI}'),
+  mcand AS (SELECT imei, unit_id, click_day,
+                   CAST(unnest(generate_series(CAST(click_day AS TIMESTAMP) + INTERVAL 2 DAY,
+                                               CAST(click_day AS TIMESTAMP) + INTERVAL 32 DAY, INTERVAL 1 DAY)) AS DATE)
+                   AS job_day FROM mclk),
+  mhist AS (SELECT imei, job_day, string_agg(DISTINCT unit_id, ' ' ORDER BY unit_id) AS history_click_1m
+            FROM mcand WHERE {_lenient('job_day', -1, 0)} <= click_day AND click_day < job_day - 1
+            GROUP BY imei, job_day),
+  mwide AS (SELECT mlab.*, users.seg, users.nation, users.bal, units.brand, units.ptype, units.psize,
+                   coalesce(mhist.history_click_1m, 'null') AS history_click_1m
+            FROM mlab JOIN users USING (imei) JOIN units USING (unit_id) LEFT JOIN mhist USING (imei, job_day))
+"""
+
+ORACLE_SQL["ad_training_month"] = f"""WITH {_ADS}, {_MONTH}
+SELECT CAST(strftime(job_day, '%Y%m%d') AS BIGINT) AS stat_date, imei, unit_id, location, week, hour, date, seg,
+       nation, bal, brand, ptype, psize, history_click_1m, label FROM mwide"""
+
+ORACLE_SQL["ctr_month_rows"] = f"""WITH {_ADS}, {_MONTH},
+  mrows AS (SELECT concat_ws(' ', {', '.join(
+      f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN '{c}_' || replace(CAST({c} AS VARCHAR), '_', '') END"
+      for c in ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"])}) AS features, label
+            FROM mwide)
+SELECT features, max(label) AS label FROM mrows GROUP BY features"""
+
 # ---------------------------------------------------------------- ratings
 _ACTS = """
   scores AS (SELECT * FROM (VALUES ('content_click', 1.0), ('content_comment', 2.0), ('content_like', 3.0),

@@ -375,6 +375,39 @@ def _ctr_rows(spark, sf) -> DataFrame:
     return feat.ctr_feature_rows(wide, ctr_features(wide))
 
 
+def month_window():
+    """Job days of the training window: [d - 1 month, d)."""
+    return D.offset_date_py(P.AS_OF, -1, 0), P.AS_OF
+
+
+@query("ad_training_month")
+def q_ad_training_month(spark, sf):
+    """Daily wide rows for every job day of the one-month training window,
+    each with its own as-of click history (what the daily job writes, day by
+    day, and the model job reads back as a month of partitions)."""
+    lo, hi = month_window()
+    # job day D labels the actions of day D - 1
+    ev_lo, ev_hi = lo - _dt.timedelta(days=1), hi - _dt.timedelta(days=1)
+    log = ad_monitor_log(spark, sf, ev_lo, ev_hi).withColumn(
+        "job_day", F.date_add(F.to_date(F.col("stat_date").cast("string"), "yyyyMMdd"), 1))
+    labels = AD.click_labels(log, extra_keys=["job_day"])
+    hist_lo = D.offset_date_py(lo, -1, 0)
+    clicks = (ad_monitor_log(spark, sf, hist_lo, ev_hi).where(F.col("oper_type") == AD.CLK)
+              .select("imei", "unit_id", F.to_date(F.col("stat_date").cast("string"), "yyyyMMdd").alias("click_day")))
+    hist = AD.click_history_by_day(clicks, "click_day")
+    wide = AD.training_wide_by_day(labels, ad_users(spark, sf), ad_units(spark, sf), hist)
+    return wide.select(D.stat_date(F.col("job_day")).alias("stat_date"), "imei", "unit_id", "location", "week",
+                       "hour", "date", "seg", "nation", "bal", "brand", "ptype", "psize", "history_click_1m", "label")
+
+
+@query("ctr_month_rows")
+def q_ctr_month_rows(spark, sf):
+    """CTR training rows over the month: feature bags merged across days,
+    label = any click."""
+    wide = q_ad_training_month(spark, sf)
+    return feat.ctr_feature_rows(wide, ctr_features(wide))
+
+
 @query("ad_click_label")
 def q_ad_click_label(spark, sf):
     return ad_labels(spark, sf).select("imei", "unit_id", "location", "week", "hour", "date", "label")

@@ -276,3 +276,19 @@ def test_java_split_semantics(spark):
 def test_char_ngrams_for_unsegmented_script(spark):
     assert one(spark, TX.char_ngrams(F.col("s"), 2), "你好世界") == ["你好", "好世", "世界"]
     assert one(spark, TX.char_ngrams(F.col("s"), 2), "你") == ["你"]
+
+
+def test_click_history_by_day_brute_force(spark):
+    import datetime as dt
+    days = [dt.date(2019, 2, 1) + dt.timedelta(days=i) for i in range(70)]
+    clicks = [("u", f"x{i % 7}", d) for i, d in enumerate(days) if i % 3 == 0]
+    df = spark.createDataFrame(clicks, "imei string, unit_id string, click_day date")
+    got = {(r.imei, r.job_day): r.history_click_1m for r in AD.click_history_by_day(df, "click_day").collect()}
+    want = {}
+    for job in [days[0] + dt.timedelta(days=i) for i in range(100)]:
+        lo, hi = D.offset_date_py(job, -1, 0), job - dt.timedelta(days=1)
+        units = sorted({u for _, u, c in clicks if lo <= c < hi})
+        if units:
+            want[("u", job)] = " ".join(units)
+    assert got == want
+    assert D.offset_date_py(dt.date(2019, 3, 31), -1, 0) == dt.date(2019, 3, 3)
