@@ -646,6 +646,10 @@ ORACLE_SQL["sparse_features"] = f"""WITH {_TOPK},
 SELECT user_id, CAST(count(*) AS BIGINT) AS nnz, string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY idx) AS indices
 FROM f GROUP BY user_id"""
 
-ORACLE_SQL["publish_marker"] = f"""WITH {_ADS},
-  toks AS (SELECT DISTINCT unnest(string_split(features, ' ')) AS feature FROM ctr)
+ORACLE_SQL["publish_marker"] = f"""WITH {_ADS}, {_MONTH},
+  mrows AS (SELECT concat_ws(' ', {', '.join(
+      f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN '{c}_' || replace(CAST({c} AS VARCHAR), '_', '') END"
+      for c in ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"])}) AS features
+            FROM mwide),
+  toks AS (SELECT DISTINCT unnest(string_split(features, ' ')) AS feature FROM mrows)
 SELECT '{_DAY}' AS marker, count(*) AS rows FROM toks WHERE feature <> '' AND NOT starts_with(split_part(feature, '_', 1), 'time')"""

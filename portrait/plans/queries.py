@@ -1049,7 +1049,9 @@ def q_batch_score(spark, sf):
 
 
 def ctr_model(spark, sf):
-    rows = _ctr_rows(spark, sf)
+    """LR over the one-month window of CTR rows (the training window the
+    model job reads), vocabulary-indexed multi-hot features."""
+    rows = q_ctr_month_rows(spark, sf)
     vocab = feat.feature_vocab(rows)
     cv = MD.vocab_vectorizer(vocab)
     bags = rows.withColumnRenamed("features", "bag").withColumn("tokens", F.split("bag", " "))
