@@ -8,7 +8,8 @@ from portrait.plans.oracle import ORACLE_SQL
 from portrait.plans.queries import QUERIES
 
 TIME_KEYS = ["scan_partition", "scan_date_range", "scan_hour_prefix", "ad_click_label", "ad_click_history",
-             "label_profile", "event_counts", "user_actions_daily", "latest_partition", "partition_overwrite"]
+             "label_profile", "event_counts", "user_actions_daily", "latest_partition", "partition_overwrite",
+             "ad_training_month", "ctr_month_rows", "label_profile_entries", "ad_click_hourly"]
 
 
 @pytest.mark.parametrize("tz", ["America/Los_Angeles", "Asia/Kolkata"])
