@@ -57,3 +57,29 @@ def test_hot_group_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_user_install_features_and_priority_union(spark):
+    from portrait.operators import features as FE
+    n = 30000
+    # user 0 holds a third of all install rows; apps 0..99, vocabulary = apps 0..49
+    pairs = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("user_id"),
+        (F.col("id") % 100).alias("app_id"))
+    vocab = spark.range(50).select(F.col("id").alias("app_id"), (49 - F.col("id")).alias("idx"),
+                                   F.concat(F.lit("a"), F.col("id").cast("string")).alias("app_name"))
+    f = {r.user_id: r for r in FE.install_features(pairs, vocab).collect()}
+    rows = pairs.collect()
+    want = collections.defaultdict(set)
+    for r in rows:
+        if r.app_id < 50:
+            want[r.user_id].add(49 - r.app_id)
+    assert set(f) == set(want)
+    for u, idx in want.items():
+        assert f[u].feature == " ".join(f"{i}:1" for i in sorted(idx)) and f[u].n_apps == len(idx)
+
+    a = pairs.select("user_id", F.lit(1).alias("label"), F.lit("a").alias("origin"))
+    b = pairs.select("user_id", F.lit(2).alias("label"), F.lit("b").alias("origin"))
+    u = L.priority_union([b.where(F.col("user_id") != 0), a], "user_id", "label")
+    got = {r.user_id: (r.label, r.origin) for r in u.collect()}
+    assert got[0] == (1, "a") and all(v == (2, "b") for k, v in got.items() if k != 0)
