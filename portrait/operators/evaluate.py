@@ -70,10 +70,15 @@ def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "predicti
     totals = cm.agg(F.sum("n").alias("t"), F.coalesce(F.sum(F.when(F.col("l") == F.col("p"), F.col("n"))), F.lit(0))
                     .alias("c")).first()
     total, correct = F.lit(totals["t"]), F.lit(totals["c"])
-    by_label = cm.groupBy(F.col("l").alias("cls")).agg(F.sum("n").alias("support"))
-    by_pred = cm.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("predicted"))
-    diag = cm.where(F.col("l") == F.col("p")).select(F.col("l").alias("cls"), F.col("n").alias("tp"))
-    j = by_label.join(by_pred, "cls", "full").join(diag, "cls", "left").fillna(0, ["support", "predicted", "tp"])
+    # each matrix cell counts once for its label and once for its prediction:
+    # one aggregation yields support, predicted and tp per class
+    cell = F.explode(F.array(
+        F.struct(F.col("l").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted"),
+                 F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(F.lit(0)).alias("tp")),
+        F.struct(F.col("p").alias("cls"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted"),
+                 F.lit(0).cast("bigint").alias("tp"))))
+    j = (cm.select(cell.alias("_c")).select("_c.*").groupBy("cls")
+         .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp")))
     tp = F.col("tp").cast("double")
     prec = F.when(F.col("predicted") > 0, tp / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, tp / F.col("support")).otherwise(0.0)
