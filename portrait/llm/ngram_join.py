@@ -13,17 +13,22 @@ Documents link when 100 * intersection >= 80 * union; the answer is the class
     tokens that may be missing).  Blocks of documents learn from the corpus
     which of their prefix tokens stand in a second prefix (see ``blocks``), and
     a set with too few of them can have no partner and is put aside.
-3.  Signatures.  Tokens standing in very many prefixes form the frequent class
-    and come last in the order.  Prefixes are extended, rare tokens first, until
-    they cannot all be missing: a rare token is a signature by itself; frequent
-    tokens are dealt into buckets, in which every pair of tokens is a signature
-    (a bucket with n tokens then accounts for n - 1 missing ones).  Two linked
-    sets always share a signature.
-4.  Verification.  In every signature group each member is compared with one
+3.  Refinement.  Over the whole sets that are left, the same exchange tells
+    which tokens stand in a second set; a set with less than 80 % of such
+    tokens has no partner and is put aside too.
+4.  Signatures.  The order of tokens is: those of one set only, rare ones by
+    hash, and last the frequent class, tokens of very many sets.  Prefixes are
+    extended in this order until they cannot all be missing from a partner:
+    tokens of one set are missing anyway, a rare token is a signature by itself;
+    frequent tokens are dealt into buckets, in which every pair of tokens is a
+    signature (a bucket with n tokens then accounts for n - 1 missing ones).
+    Two linked sets always share a signature.
+5.  Verification.  In every signature group each member is compared with one
     leader (the one it shares most signatures with), which joins large groups
     of copies in a few rounds without pairing their members; then every pair of
-    members that still lie in different components is compared.  All
-    comparisons are exact intersections of whole sets.
+    members that still lie in different components is compared, unless counts
+    of shared tokens by hash (a sketch) already bound their overlap below the
+    limit.  All comparisons are exact intersections of whole sets.
 
 Defined cases: null and empty texts (and texts of white space) have an empty
 set, n_shingles 0, and are linked with nothing; rows with a null id get a null
@@ -46,15 +51,19 @@ from portrait.session import scratch_path
 
 WORDS = 5
 NEED = 80                      # percent of the union
-FREQUENT = 64                  # prefixes a token stands in before it is of the frequent class
+FREQUENT = 64                  # sets a token stands in before it is of the frequent class
 FREQUENT_TOKENS = 50_000       # size of the frequent class: 0.4 MB that travel with the tasks
 BUCKET = 16                    # tokens of a whole set to a frequent bucket
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 4
+SKETCH = 32                    # counts of eight bits
 
 _SENT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("a", pa.binary()),
                    ("b", pa.binary())])
 SENT = "part int, block int, n int, a binary, b binary"
 SETS = "doc_id long, n long, rep long, h1 long, h2 long, tokens binary"
+REFINED = "node long, n int, s int, sketch array<long>, full boolean, sigs array<long>, tokens binary"
+_REFINED = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("s", pa.int32()), ("sketch", pa.list_(pa.int64())),
+                      ("full", pa.bool_()), ("sigs", pa.list_(pa.int64())), ("tokens", pa.binary())])
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("h1", pa.int64()),
                    ("h2", pa.int64()), ("tokens", pa.binary())])
 
@@ -133,22 +142,31 @@ def _ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return col.fill_null(0).to_numpy(zero_copy_only=False), col.is_valid().to_numpy(zero_copy_only=False)
 
 
-def _send(parts: int):
+def _chunks(tokens: np.ndarray, parts: int, block: int) -> pa.Table:
+    keys, counts = np.unique(tokens, return_counts=True)
+    edges = K.part_edges(keys, parts)
+    return pa.Table.from_pylist([
+        {"part": p, "block": block, "n": int(edges[p + 1] - edges[p]), "a": keys[edges[p]:edges[p + 1]].tobytes(),
+         "b": K.pack(counts[edges[p]:edges[p + 1]].astype(np.uint32))}
+        for p in np.flatnonzero(np.diff(edges)).tolist()], schema=_SENT)
+
+
+def _send_prefixes(parts: int):
     def run(key, table):
         sets = Sets(table["text"])
-        tokens, _ = sets.prefixes(sets.representatives(*_ids(table)))
-        keys, counts = np.unique(tokens, return_counts=True)
-        edges = K.part_edges(keys, parts)
-        return pa.Table.from_pylist([
-            {"part": p, "block": key[0].as_py(), "n": int(edges[p + 1] - edges[p]),
-             "a": keys[edges[p]:edges[p + 1]].tobytes(), "b": K.pack(counts[edges[p]:edges[p + 1]].astype(np.uint32))}
-            for p in np.flatnonzero(np.diff(edges)).tolist()], schema=_SENT)
+        return _chunks(sets.prefixes(sets.representatives(*_ids(table)))[0], parts, key[0].as_py())
+    return run
+
+
+def _send_sets(parts: int):
+    def run(key, table):
+        return _chunks(K.raw(b"".join(x.as_py() for x in table["tokens"])), parts, key[0].as_py())
     return run
 
 
 def _shared(key, table):
-    """Answers each block which of its tokens stand in a second prefix; block
-    -1 carries the frequent tokens and their counts."""
+    """Answers each block which of its tokens were sent twice; block -1 carries
+    the frequent tokens and their counts."""
     keys = np.concatenate([K.raw(x.as_py()) for x in table["a"]])
     counts = np.concatenate([K.unpack(x.as_py(), np.uint32) for x in table["b"]])
     distinct, at = K.merge(keys)
@@ -166,6 +184,16 @@ def _shared(key, table):
     return pa.Table.from_pylist(out, schema=_SENT)
 
 
+def _twice(answers: pa.Table, expected: int) -> np.ndarray:
+    """A block's answers in the order of its distinct tokens."""
+    got = sorted((r["part"], r["n"], r["a"]) for r in answers.select(["part", "n", "a"]).to_pylist())
+    out = np.concatenate([np.zeros(0, bool), *(np.unpackbits(K.raw(a, np.uint8), count=n).astype(bool)
+                                               for _, n, a in got)])
+    if len(out) != expected:
+        raise RuntimeError("the answers do not fit the block's tokens")
+    return out
+
+
 def _screen(key, docs, answers):
     """Every row with its set's size, local representative and hash; the whole
     set too where it may have partners."""
@@ -176,12 +204,7 @@ def _screen(key, docs, answers):
     rep = sets.representatives(ids, known)
     tokens, row = sets.prefixes(rep)
     keys, at = K.merge(tokens)
-    got = sorted((r["part"], r["n"], r["a"]) for r in answers.to_pylist())
-    twice = np.concatenate([np.zeros(0, bool), *(np.unpackbits(K.raw(a, np.uint8), count=n).astype(bool)
-                                                 for _, n, a in got)])
-    if len(twice) != len(keys):
-        raise RuntimeError("the answers do not fit the block's tokens")
-    shared = np.bincount(row, twice[at], len(rep))
+    shared = np.bincount(row, _twice(answers, len(keys))[at], len(rep))
     keep = (rep == np.arange(len(rep))) & (sets.n > 1) & (shared >= screen_need(sets.n))
     whole = [sets.tokens[sets.first[i]:sets.first[i + 1]].tobytes() if keep[i] else None for i in range(len(rep))]
     has = rep >= 0
@@ -198,18 +221,21 @@ def buckets_of(size: np.ndarray | int):
     return np.maximum(1, (1 << np.int64(np.floor(np.log2(size)))) // BUCKET)
 
 
-def signatures_of(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Signatures of one set (tokens sorted, two or more)."""
-    n = len(tokens)
-    tau = missing(n)
+def signatures_of(tokens: np.ndarray, frequent: np.ndarray, size: int) -> np.ndarray:
+    """Signatures of a set of ``size`` tokens, two or more, of which ``tokens``
+    (sorted) stand in another set too."""
+    n = size
+    need = missing(n) + 1 - (n - len(tokens))               # tokens to account for
+    if need <= 0:
+        return np.zeros(0, np.uint64)
     if len(frequent):
         place = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         often = frequent[place] == tokens
     else:
-        often = np.zeros(n, bool)
+        often = np.zeros(len(tokens), bool)
     rare = tokens[~often]
-    out = [rare[:tau + 1]]
-    left = tau + 1 - len(out[0])
+    out = [rare[:need]]
+    left = need - len(out[0])
     if left > 0:                                            # the rest from frequent tokens
         mine = tokens[often]
         for m in sorted({int(buckets_of(n)), int(buckets_of(100 * n // NEED))}):
@@ -230,18 +256,35 @@ def signatures_of(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _signer(frequent: np.ndarray):
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                tokens = K.raw(batch.column(1)[i].as_py())
-                sig = np.unique(signatures_of(tokens, frequent))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(sig.view(np.int64)), pa.array(np.full(len(sig), batch.column(0)[i].as_py(), np.int64)),
-                    pa.array(np.full(len(sig), len(tokens), np.int32))], names=["sig", "node", "n"])
+def _refine(frequent: np.ndarray):
+    def run(key, sets, answers):
+        if not len(sets):
+            return _REFINED.empty_table()
+        nodes = sets["node"].to_pylist()
+        mine = [K.raw(x.as_py()) for x in sets["tokens"]]
+        keys, at = K.merge(np.concatenate(mine))
+        twice, end, out = _twice(answers, len(keys))[at], 0, []
+        for node, tokens in zip(nodes, mine, strict=True):
+            n, begin, end = len(tokens), end, end + len(tokens)
+            shared = tokens[twice[begin:end]]
+            if 100 * len(shared) < NEED * n:
+                continue
+            counts = np.bincount((shared % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+            sketch = np.minimum(counts, 255).astype(np.uint8).view(np.int64)
+            sigs = np.unique(signatures_of(shared, frequent, n)).view(np.int64)
+            out.append({"node": node, "n": n, "s": len(shared), "sketch": sketch,
+                        "full": bool(counts.max() >= 255), "sigs": sigs, "tokens": tokens.tobytes()})
+        return pa.Table.from_pylist(out, schema=_REFINED)
     return run
 
 
+def _overlap_bound(x: str, y: str) -> str:
+    """SQL for an upper bound of the overlap of two sets from their sketches
+    (of which one has no count of 255, which stands for more)."""
+    count = lambda k, i: f"(shiftrightunsigned({k}{i // 8}, {8 * (i % 8)}) & 255)"
+    return " + ".join(f"least({count(x, i)}, {count(y, i)})" for i in range(SKETCH))
+
+
 def _verify(batches):
     for batch in batches:
         keep = []
@@ -270,30 +313,38 @@ def _pairs(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def links(sets: DataFrame, signatures: DataFrame) -> DataFrame:
+def links(sets: DataFrame) -> DataFrame:
     """Verified links (a, b) whose components are those of all linked pairs."""
     spark = sets.sparkSession
+    able = lambda s1, n1, s2, n2: F.expr(  # noqa: E731  no more than the shared tokens of either set overlap
+        f"100 * least({s1}, {s2}) >= {NEED} * ({n1} + {n2} - least({s1}, {s2}))")
+    signatures = sets.select("node", "n", "s", F.explode("sigs").alias("sig"))
     tried = found = spark.createDataFrame([], "a long, b long")
     comp = found.select(F.col("a").alias("node"), F.col("b").alias("c"))
     rounds = LEADER_ROUNDS
     while rounds >= 0:
         sig = signatures.join(comp, "node", "left").withColumn("c", F.coalesce("c", "node"))
-        open_ = (sig.groupBy("sig").agg(F.min(F.struct("c", "node")).alias("low"), F.max("c").alias("high"))
-                 .filter("low.c < high").select("sig", "low"))
+        open_ = (sig.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"),
+                                        F.min(F.struct(F.expr("n - s"), "node", "c", "n", "s")).alias("l"))
+                 .filter("low < high").select("sig", "l"))
         members = sig.join(open_, "sig")
         if rounds:
             best = F.max_by("leader", F.struct("k", -F.col("leader"))).alias("leader")
-            pairs = (members.filter("c != low.c").groupBy("node", F.col("low.node").alias("leader"))
-                     .agg(F.count(F.lit(1)).alias("k"))
+            pairs = (members.filter("c != l.c").filter(able("s", "n", "l.s", "l.n"))
+                     .groupBy("node", F.col("l.node").alias("leader")).agg(F.count(F.lit(1)).alias("k"))
                      .withColumns(dict(zip("ab", _pairs(F.col("node"), F.col("leader")), strict=True)))
                      .join(tried, ["a", "b"], "left_anti")
                      .groupBy("node").agg(best).select(*_pairs(F.col("node"), F.col("leader"))).distinct())
         else:
-            left = members.select("sig", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-            right = members.select("sig", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
-            pairs = (left.join(right, "sig").filter("a < b and ca != cb")
-                     .filter(f"100 * nb >= {NEED} * na and 100 * na >= {NEED} * nb")
-                     .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+            # pairs within the leader's component are none: one side is never of it
+            side = lambda x: (members.filter("c != l.c") if x == "a" else members).join(sets.select("node", "sketch", "full"), "node").select(
+                "sig", F.col("node").alias(x), F.col("c").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("full").alias(f"full{x}"),
+                F.col("s").alias(f"s{x}"), *[F.get("sketch", F.lit(i)).alias(f"{x}k{i}") for i in range(SKETCH // 8)])
+            left, right = side("a"), side("b")
+            pairs = (left.join(right, (left["sig"] == right["sig"]) & F.expr("ca != cb")
+                               & able("sa", "na", "sb", "nb")
+                               & F.expr(f"(fulla and fullb) or {100 + NEED} * ({_overlap_bound('ak', 'bk')}) >= {NEED} * (na + nb)"))
+                     .select(*_pairs(F.col("a"), F.col("b"))).distinct().join(tried, ["a", "b"], "left_anti"))
         now = _stored(verify(pairs, sets), "links")
         tried = tried.union(now.select("a", "b"))
         new = now.filter("linked").select("a", "b")
@@ -313,29 +364,37 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = K.block_count(rows, F.col("text"), block_bytes)
     rows = K.with_block(rows, n, "doc_id", "text")
-    shared = _stored(rows.groupBy("block").applyInArrow(_send(n), SENT)
-                     .groupBy("part").applyInArrow(_shared, SENT), "shingle-answers")
-    answers = shared.filter("block >= 0")
-    often = shared.filter("block < 0").select("a", "b")
-    frequent = _frequent(often)
+    answers = (rows.groupBy("block").applyInArrow(_send_prefixes(n), SENT)
+               .groupBy("part").applyInArrow(_shared, SENT).filter("block >= 0"))
     members = _stored(rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_screen, SETS), "shingle-sets")
     classes = members.filter("rep is not null").groupBy("h1", "h2").agg(F.min("rep").alias("root"))
     sets = _stored(members.filter("tokens is not null").join(classes, ["h1", "h2"]).filter("rep = root")
                    .select(F.col("rep").alias("node"), "tokens"), "class-sets")
-    signatures = _stored(sets.select("node", "tokens").mapInArrow(_signer(frequent), "sig long, node long, n int"),
-                         "signatures")
+    sets = refine(sets, block_bytes)
     named = members.select("doc_id", "n", "h1", "h2").join(classes, ["h1", "h2"], "left")
     # an id with several sets is one node: its classes belong together
     first = named.filter("root is not null").groupBy("doc_id").agg(F.min("root").alias("b"))
     same = named.join(first, "doc_id").filter("root != b").select(F.col("root").alias("a"), "b")
-    comp = components(links(sets, signatures).union(same))
+    comp = components(links(sets).union(same))
     return named.join(comp.withColumnRenamed("node", "root"), "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("class_id"),
         F.coalesce("component", "root", "doc_id").alias("component_id"))
 
 
+def refine(sets: DataFrame, block_bytes: int = K.BLOCK_BYTES) -> DataFrame:
+    """Sets (node, tokens) that may have partners, with their number of shared
+    tokens, the sketch of these and their signatures."""
+    n = K.block_count(sets, F.col("tokens"), block_bytes)
+    sets = K.with_block(sets, n, "node")
+    shared = _stored(sets.groupBy("block").applyInArrow(_send_sets(n), SENT)
+                     .groupBy("part").applyInArrow(_shared, SENT), "shared-tokens")
+    frequent = _frequent(shared.filter("block < 0").select("a", "b"))
+    return _stored(sets.groupBy("block").cogroup(shared.filter("block >= 0").groupBy("block"))
+                   .applyInArrow(_refine(frequent), REFINED), "refined-sets")
+
+
 def _frequent(often: DataFrame) -> np.ndarray:
-    """The frequent class: the tokens of most prefixes, FREQUENT_TOKENS at most
+    """The frequent class: the tokens of most sets, FREQUENT_TOKENS at most
     (which tokens are in it changes the work, never the result)."""
     def run(batches):
         for batch in batches:
