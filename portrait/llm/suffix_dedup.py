@@ -13,15 +13,16 @@ growing lengths, each round sorting and counting (rank, distance) pairs:
 
 *   length 50: the sampled strings themselves; starts of a sampled position
     that stands alone are unique and leave.
-*   length 337: the starts of a sampled position are cut into cells of 64
-    distances; a cell whose common 337 bytes are unique leaves.
+*   lengths 337 and 393: the starts of a sampled position are cut into cells of
+    64, then 8 distances; a cell whose common bytes are unique leaves.
 *   length 400: every start that is left, by its own string.
 
 In every round, cells whose whole context (all bytes of all their starts) is
 found twice are repeated as a whole and are settled at once, so that large
 groups of copies never come down to single starts; a repeated context is
-followed further by one owner only.  Strings are ranked by 128-bit hashes.
-Texts are joined with a document's own cells or starts only.
+followed further by one owner only.  Equality is that of 128 bits of hash.
+Texts are joined with a document's own runs only, after a filter of fixed size
+(a bit map of hashed keys) has left out most texts without any.
 
 Defined cases: null and short texts have nothing removed (null counts as
 empty); rows are separate documents even if all their columns are equal (such
@@ -32,8 +33,10 @@ an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +46,8 @@ from portrait.session import scratch_path
 
 THRESHOLD = 400
 SAMPLE = 50                    # length of sampled strings
-CELL = 64                      # distances to a cell in the second round
+CELLS = (64, 8)                # distances to a cell in the rounds between
+FILTER_BITS = 1 << 26          # size of the key filter: 8 MB
 SLICE = 128 << 10
 
 R1, R2 = B.Roller(11), B.Roller(12)
@@ -113,14 +117,23 @@ def _slices(texts):
 
 
 SEGMENTS = "doc_id long, key long, n_bytes long, sha256 string, runs binary"
-RUNS = "key long, first int, last int, pos int, core1 long, core2 long, rim1 long, rim2 long"
-STARTS = "key long, first int, rank1 long, rank2 long"
+RUNS = "key long, at long, core long, rim long"
+STARTS = "key long, at long, rank1 long, rank2 long"
+
+
+def _packed(first: np.ndarray, last: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """A run of starts in one number (last and pos are less than 1024 beyond first)."""
+    return first << 20 | (last - first) << 10 | (pos - first)
+
+
+def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    first = at >> 20
+    return first, first + (at >> 10 & 1023), first + (at & 1023)
 
 
 def _segments(batches):
-    """Per document: its size and digest, and its runs (first start, last
-    start, sampled position, rank of the sampled string, two ranks of the
-    context) as packed 64-bit numbers."""
+    """Per document: its size and digest, and its runs (place, rank of the
+    sampled string, rank of the context) as 64-bit numbers."""
     for batch in batches:
         texts = batch.column(2)
         runs: list[list[bytes]] = [[] for _ in range(len(texts))]
@@ -128,10 +141,9 @@ def _segments(batches):
             r, a, z, p, gram, ranks = sampled(buf, off)
             if not len(r):
                 continue
-            h1, h2 = ranks.of(a, z + THRESHOLD, (p - a) * 4096 + (p - z))
+            rim, _ = ranks.of(a, z + THRESHOLD, (p - a) * 4096 + (p - z))
             begin = off[r] - base
-            packed = np.column_stack([(a - begin).astype(np.uint64), (z - begin).astype(np.uint64),
-                                      (p - begin).astype(np.uint64), gram, h1, h2])
+            packed = np.column_stack([_packed(a - begin, z - begin, p - begin).astype(np.uint64), gram, rim])
             edges = np.searchsorted(r, np.arange(rows + 1))
             for i in np.flatnonzero(np.diff(edges)).tolist():
                 runs[row + i].append(packed[edges[i]:edges[i + 1]].tobytes())
@@ -145,13 +157,10 @@ def _segments(batches):
 def _run_rows(batches):
     for batch in batches:
         packed = [x.as_py() for x in batch.column(1)]
-        keys = np.repeat(batch.column(0).to_numpy(), [len(x) // 48 for x in packed])
-        x = np.frombuffer(b"".join(packed), np.uint64).reshape(-1, 6)
-        rank = lambda i: pa.array(np.ascontiguousarray(x[:, i]).view(np.int64))  # noqa: E731,B023
-        zero = pa.array(np.zeros(len(x), np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys), *(pa.array(x[:, i].astype(np.int32)) for i in range(3)), rank(3), zero, rank(4), rank(5)],
-            names=["key", "first", "last", "pos", "core1", "core2", "rim1", "rim2"])
+        keys = np.repeat(batch.column(0).to_numpy(), [len(x) // 24 for x in packed])
+        x = np.frombuffer(b"".join(packed), np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(np.ascontiguousarray(x[:, i])) for i in range(3))],
+                                         names=["key", "at", "core", "rim"])
 
 
 def judge(runs: DataFrame) -> DataFrame:
@@ -159,21 +168,20 @@ def judge(runs: DataFrame) -> DataFrame:
     ``whole`` (their context stands elsewhere too, so all starts are repeated)
     or ``open`` (their core stands in another context too; of equal contexts
     the owner only); all others are unique and leave."""
-    core, rim = ["core1", "core2"], ["rim1", "rim2"]
-    contexts = runs.groupBy(*core, *rim).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("owner"))
-    wanted = (contexts.join(contexts.groupBy(*core).agg(F.count(F.lit(1)).alias("contexts")), core)
-              .filter("n > 1 or contexts > 1"))
-    return (runs.join(wanted, core + rim).select(
-        "key", "first", "last", "pos", (F.col("n") > 1).alias("whole"),
-        ((F.col("contexts") > 1) & ((F.col("n") == 1) | (F.col("key") == F.col("owner")))).alias("open"))
+    contexts = runs.groupBy("core", "rim").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("owner"))
+    cores = contexts.groupBy("core").agg((F.min("rim") != F.max("rim")).alias("several"))
+    wanted = contexts.join(cores, "core").filter("n > 1 or several")
+    return (runs.join(wanted, ["core", "rim"]).select(
+        "key", "at", (F.col("n") > 1).alias("whole"),
+        (F.col("several") & ((F.col("n") == 1) | (F.col("key") == F.col("owner")))).alias("open"))
         .filter("whole or open").distinct())
 
 
 def _open_runs(scalar) -> np.ndarray:
-    """(first, last, pos) of the open runs in a list of structs."""
+    """Rows (first, last, pos) of the open runs in a list of structs (at, open)."""
     rows = scalar.values
-    x = np.column_stack([rows.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)])
-    return x[rows.field(3).to_numpy(zero_copy_only=False)]
+    at = rows.field(0).to_numpy(zero_copy_only=False)[rows.field(1).to_numpy(zero_copy_only=False)]
+    return np.column_stack(_unpacked(at))
 
 
 def _pieces(text, x: np.ndarray):
@@ -185,40 +193,49 @@ def _pieces(text, x: np.ndarray):
             yield a, Ranks(buf[a:a + PIECE + 2 * THRESHOLD]), mine - a
 
 
-def _cells(batches):
+def _batch(out: list, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)],
+                                      names=names)
+
+
+def _cells(width: int):
     """Cells of the open runs of each text."""
-    for batch in batches:
-        out: list[list[np.ndarray]] = []
-        for key, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-            for offset, ranks, x in _pieces(text, _open_runs(runs)):
-                near, far = x[:, 2] - x[:, 1], x[:, 2] - x[:, 0]       # distances of the last and first start
-                i, rank = B.expand(far // CELL - near // CELL + 1)
-                cell = (near // CELL)[i] + rank
-                low, high = np.maximum(cell * CELL, near[i]), np.minimum(cell * CELL + CELL - 1, far[i])
-                pos = x[i, 2]
-                first, last = pos - high, pos - low
-                core = ranks.of(pos - cell * CELL, pos - (cell * CELL + CELL - 1) + THRESHOLD, cell)
-                rim = ranks.of(first, last + THRESHOLD, low * 4096 + high)
-                out.append([np.full(len(pos), key), first + offset, last + offset, pos + offset,
-                            *(h.view(np.int64) for h in (*core, *rim))])
-        if out:
-            kinds = [np.int64, np.int32, np.int32, np.int32] + [np.int64] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c).astype(k)) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                names=["key", "first", "last", "pos", "core1", "core2", "rim1", "rim2"])
+    def run(batches):
+        for batch in batches:
+            out: list[list[np.ndarray]] = []
+            for key, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                for offset, ranks, x in _pieces(text, _open_runs(runs)):
+                    near, far = x[:, 2] - x[:, 1], x[:, 2] - x[:, 0]       # distances of the last and first start
+                    i, rank = B.expand(far // width - near // width + 1)
+                    cell = (near // width)[i] + rank
+                    low, high = np.maximum(cell * width, near[i]), np.minimum(cell * width + width - 1, far[i])
+                    pos = x[i, 2]
+                    first, last = pos - high, pos - low
+                    core, _ = ranks.of(pos - cell * width, pos - (cell * width + width - 1) + THRESHOLD, cell)
+                    _, rim = ranks.of(first, last + THRESHOLD, low * 4096 + high)
+                    out.append([np.full(len(pos), key), _packed(first + offset, last + offset, pos + offset),
+                                core.view(np.int64), rim.view(np.int64)])
+            if out:
+                yield _batch(out, ["key", "at", "core", "rim"])
+    return run
 
 
 def _starts(batches):
     """Every start of the open cells of each text, with the rank of its string."""
     for batch in batches:
+        out: list[list[np.ndarray]] = []
         for key, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
             for offset, ranks, x in _pieces(text, _open_runs(runs)):
                 i, rank = B.expand(x[:, 1] - x[:, 0] + 1)
                 at = x[i, 0] + rank
                 h1, h2 = ranks.of(at, at + THRESHOLD)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(at), key, np.int64)), pa.array((at + offset).astype(np.int32)),
-                    pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["key", "first", "rank1", "rank2"])
+                out.append([np.full(len(at), key), _packed(at + offset, at + offset, at + offset),
+                            h1.view(np.int64), h2.view(np.int64)])
+            if sum(len(x[0]) for x in out) > 1_000_000:
+                yield _batch(out, ["key", "at", "rank1", "rank2"])
+                out = []
+        if out:
+            yield _batch(out, ["key", "at", "rank1", "rank2"])
 
 
 def spans_of(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
@@ -237,7 +254,7 @@ def _cut(batches):
         out = []
         for text, runs in zip(batch.column(1), batch.column(2), strict=True):
             raw, at, keep = text.as_buffer().to_pybytes(), 0, []
-            first, last = (runs.values.field(i).to_numpy().astype(np.int64) for i in range(2))
+            first, last, _ = _unpacked(runs.values.to_numpy())
             spans = spans_of(first, last)
             for a, b in spans:
                 keep.append(raw[at:a])
@@ -253,37 +270,55 @@ def _cut(batches):
 
 def _list(df: DataFrame, *cols: str) -> DataFrame:
     """A document's own runs as one list (it has no more than bytes)."""
-    return df.groupBy("key").agg(F.collect_list(F.struct(*cols)).alias("runs"))
+    return df.groupBy("key").agg(F.collect_list(F.struct(*cols) if len(cols) > 1 else cols[0]).alias("runs"))
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def key_filter(keys: DataFrame, bits: int = FILTER_BITS):
+    """A test for rows whose key may be among ``keys``: all that are, and of the
+    others the share of bits that are set.  The bit map has a fixed size; it is
+    put together on the executors and fetched once."""
+    at = F.pmod(F.xxhash64(F.lit(17), "key"), F.lit(bits))
+    rows = (keys.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map")).collect())
+    size = 4096                                             # bytes of a bucket's map
+    whole = np.zeros((bits // (8 * size) + 2, size), np.uint8)
+    for bucket, data in rows:
+        whole[bucket] = np.frombuffer(data, np.uint8)
+    flat = whole.reshape(-1)
+
+    @F.pandas_udf("boolean")
+    def may(bucket: pd.Series, bit: pd.Series) -> pd.Series:
+        place = bucket.to_numpy() * (8 * size) + bit.to_numpy()
+        return pd.Series(flat[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1)
+    return may(F.bitmap_bucket_number(at), F.bitmap_bit_position(at))
+
+
 def repeated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For rows (doc_id, key, text): the figures of every row, and the texts
     with anything removed (key, n_removed, n_spans, kept_sha256, kept)."""
-    fields = "first", "last", "pos", "open", "whole"
     segments = _stored(rows.mapInArrow(_segments, SEGMENTS), "segments")
     runs = segments.filter("length(runs) > 0").select("key", "runs").mapInArrow(_run_rows, RUNS)
-    texts = _stored(rows.join(_list(judge(runs), *fields), "key").select("key", "text", "runs"), "texts")
-    whole = texts.select("key", F.inline("runs")).filter("whole")
-
+    judged = _stored(_list(judge(runs), "at", "open", "whole"), "judged-runs")
+    texts = _stored(rows.select("key", "text").filter(key_filter(judged)).join(judged, "key")
+                    .select("key", "text", "runs"), "texts")
+    settled = [texts.select("key", F.inline("runs")).filter("whole").select("key", "at")]
     closer = texts.filter(F.exists("runs", lambda r: r["open"]))
-    cells = _stored(closer.mapInArrow(_cells, RUNS), "cells")
-    judged = _stored(judge(cells), "judged-cells")
-    settled = judged.filter("whole")
-
-    starts = _stored(closer.select("key", "text").join(_list(judged.filter("open"), *fields), "key")
-                     .select("key", "text", "runs").mapInArrow(_starts, STARTS), "starts")
+    for width in CELLS:
+        cells = _stored(closer.mapInArrow(_cells(width), RUNS), "cells")
+        judged = _stored(judge(cells), "judged-cells")
+        settled.append(judged.filter("whole").select("key", "at"))
+        closer = texts.select("key", "text").join(_list(judged.filter("open"), "at", "open"), "key").select("key", "text", "runs")
+    starts = _stored(closer.mapInArrow(_starts, STARTS), "starts")
     rank = ["rank1", "rank2"]
     twice = starts.groupBy(*rank).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*rank)
-    single = starts.join(twice, rank).select("key", "first", F.col("first").alias("last"))
-
-    both = lambda df: df.select("key", "first", "last")
-    found = _list(both(whole).unionAll(both(settled)).unionAll(single).distinct(), "first", "last")
+    settled.append(starts.join(twice, rank).select("key", "at"))
+    found = _list(reduce(DataFrame.unionAll, settled).distinct(), "at")
     cut = texts.select("key", "text").join(found, "key").mapInArrow(
         _cut, "key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return segments.select("doc_id", "key", "n_bytes", "sha256"), cut.dropDuplicates(["key"])
@@ -308,13 +343,16 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     text.  A cut inside a character leaves bytes that are no text; these are
     dropped from what is returned."""
     _, cut = repeated(_keyed(docs, id_col, text_col))
-    cut = cut.select(F.col("key").alias("__key"), "kept").mapInArrow(_as_text, "__key long, __kept string")
+    cut = _stored(cut.select("key", "kept").mapInArrow(_as_text, "key long, __kept string"), "cut-texts")
     key = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
-    out = docs.join(cut, key == F.col("__key"), "left")
-    return out.select(*[F.coalesce("__kept", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))
+    may = key_filter(cut)
+    out = rows.filter(may).join(cut, "key", "left").unionByName(rows.filter(~may).withColumn("__kept", F.lit(None).cast("string")))
+    return out.select(*[(F.coalesce("__kept", F.col("row")[c]) if c == text_col else F.col("row")[c]).alias(c)
+                        for c in docs.columns])
 
 
 def _as_text(batches):
     for batch in batches:
         kept = [x.as_py().decode("utf-8", "ignore") for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["__key", "__kept"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["key", "__kept"])
