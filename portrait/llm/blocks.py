@@ -49,6 +49,25 @@ def raw(data: bytes, kind=np.uint64) -> np.ndarray:
     return np.frombuffer(data, kind)
 
 
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as differences of 6 bytes (8 where one needs more),
+    after the first key."""
+    step = np.diff(keys)
+    width = 6 if not len(step) or int(step.max()) < 1 << 48 else 8
+    return keys[:1].tobytes() + np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def unpack_sorted(data: bytes, n: int) -> np.ndarray:
+    """The inverse, for n keys."""
+    if n < 2:
+        return raw(data)
+    width = (len(data) - 8) // (n - 1)
+    step = np.zeros((n, 8), np.uint8)
+    step[0] = raw(data[:8], np.uint8)
+    step[1:, :width] = raw(data[8:], np.uint8).reshape(-1, width)
+    return np.cumsum(step.reshape(-1).view(np.uint64))
+
+
 def merge(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted keys, and for every key its place among them."""
     return np.unique(keys, return_inverse=True)

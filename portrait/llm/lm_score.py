@@ -1,16 +1,15 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Tokens are the lower-cased (A-Z) words of a text and one end.  Unigrams are
-smoothed by adding 1/2; bigrams by absolute discounting with discount 1:
+smoothed by adding 1/2, and bigrams interpolate with them (Jelinek-Mercer):
 
-    p(v | u) = max(c(uv) - 1, 0) / c(u) + left(u) * p(v)
-    left(u)  = 1 - sum over v of max(c(uv) - 1, 0) / c(u)
+    p(v | u) = MIX * c(uv) / c(u) + (1 - MIX) * p(v)
 
-so pairs seen once carry no mass of their own, which is exact and not a
-cut-off.  A word seen in training is a state; a pair seen twice or more is an
-arc with weight log10 p(v | u); every state has a failure arc of weight
-log10 left(u) to the root, whose arcs are the unigrams.  A text is traversed
-once from left to right, carrying the state and adding up weights.
+where u was seen in training, else p(v).  A word seen in training is a state; a
+pair seen is an arc with weight log10 p(v | u); the failure arc of a state has
+weight log10 (1 - MIX) and leads to the root, whose arcs are the unigrams and
+which is also the state of unseen words.  A text is traversed once from left to
+right, carrying the state and adding up weights.
 
 Counting and look-up share one exchange (see ``blocks``): each block of
 documents sends its distinct words and pairs with their training counts, and
@@ -32,13 +31,15 @@ from pyspark.sql import functions as F
 
 from portrait.llm import blocks as K
 from portrait.llm import bytesops as B
-from portrait.session import scratch_path
 
 END, BEGIN = np.uint64(0x656E642D6F662D74), np.uint64(0x626567696E2D2D2D)      # two fixed keys
-WORDS, PAIRS, MASS, TOTALS = 1, 2, 3, 4
-SENT = "kind int, part int, block int, a binary, b binary, c binary"
-_SENT = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int32()),
-                   ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
+MIX = 0.3
+WORDS, PAIRS = 1, 2
+SENT = "kind int, part int, block int, n int, keys binary, counts binary"
+_SENT = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()),
+                   ("keys", pa.binary()), ("counts", pa.binary())])
+ANSWER = "kind int, part int, block int, counts binary"
+_ANSWER = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
@@ -70,102 +71,68 @@ class Tokens:
         self.cur, self.hist, self.counts = np.concatenate(cur), np.concatenate(hist), np.concatenate(counts)
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct words (BEGIN among them), and each token's place there."""
-        words, at = np.unique(np.concatenate((self.cur, [BEGIN])), return_inverse=True)
-        return words, at[:-1]
+        """Distinct words, and each token's place there."""
+        return np.unique(self.cur, return_inverse=True)
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pair keys, each one's first token, each token's place."""
-        key = B.mix(B.mix(self.hist + np.uint64(B.GOLDEN)) * np.uint64(B.MIX2) + self.cur)
-        return np.unique(key, return_index=True, return_inverse=True)
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys of (state, token), and each token's place there."""
+        return np.unique(B.mix(B.mix(self.hist + np.uint64(B.GOLDEN)) * np.uint64(B.MIX2) + self.cur),
+                         return_inverse=True)
 
 
 def _send(parts: int):
     def run(key, table):
-        block = key[0].as_py()
         t = Tokens(table["text"])
         train = np.repeat(table["train"].to_numpy(zero_copy_only=False), t.counts)
         out = []
-
-        def chunks(kind, keys, counts, other=None):
+        for kind, (keys, at) in ((WORDS, t.words()), (PAIRS, t.pairs())):
+            counts = np.bincount(at, train, len(keys)).astype(np.uint64)
             edges = K.part_edges(keys, parts)
             for p in np.flatnonzero(np.diff(edges)).tolist():
-                s = slice(edges[p], edges[p + 1])
-                out.append({"kind": kind, "part": p, "block": block, "a": keys[s].tobytes(),
-                            "b": K.pack(counts[s]), "c": b"" if other is None else other[s].tobytes()})
-        words, at = t.words()
-        chunks(WORDS, words, np.bincount(at, train, len(words)).astype(np.uint64))
-        keys, first, at = t.pairs()
-        chunks(PAIRS, keys, np.bincount(at, train, len(keys)).astype(np.uint64), t.hist[first])
+                mine = slice(edges[p], edges[p + 1])
+                out.append({"kind": kind, "part": p, "block": key[0].as_py(), "n": int(edges[p + 1] - edges[p]),
+                            "keys": K.pack_sorted(keys[mine]), "counts": K.pack(counts[mine])})
         return pa.Table.from_pylist(out, schema=_SENT)
     return run
 
 
-def _total(parts: int):
-    def run(key, table):
-        kind, part = key[0].as_py(), key[1].as_py()
-        blocks = table["block"].to_pylist()
-        keys = [K.raw(x.as_py()) for x in table["a"]]
-        distinct, at = K.merge(np.concatenate(keys))
-        counts = np.concatenate([K.unpack(x.as_py(), np.uint64) for x in table["b"]])
-        total = np.bincount(at, counts, len(distinct)).astype(np.uint64)
-        out, begin = [], 0
-        if kind == PAIRS:
-            total[total < 2] = 0
-        answer = total[at]
-        for block, mine in zip(blocks, keys, strict=True):
-            out.append({"kind": kind, "part": part, "block": block,
-                        "a": mine.tobytes() if kind == WORDS else b"",
-                        "b": K.pack(answer[begin:begin + len(mine)]), "c": b""})
-            begin += len(mine)
-        if kind == WORDS:
-            out.append({"kind": TOTALS, "part": part, "block": -1, "c": b"",
-                        "a": int(total.sum()).to_bytes(8, "little"),
-                        "b": int((total > 0).sum()).to_bytes(8, "little")})
-        else:                                               # discounted mass of every state, by its own part
-            from_state = np.zeros(len(distinct), np.uint64)
-            from_state[at] = np.concatenate([K.raw(x.as_py()) for x in table["c"]])
-            arc = total > 0
-            states, place = K.merge(from_state[arc])
-            mass = np.bincount(place, total[arc] - np.uint64(1), len(states)).astype(np.uint64)
-            edges = K.part_edges(states, parts)
-            for p in np.flatnonzero(np.diff(edges)).tolist():
-                s = slice(edges[p], edges[p + 1])
-                out.append({"kind": MASS, "part": p, "block": -1, "a": states[s].tobytes(), "b": K.pack(mass[s]),
-                            "c": b""})
-        return pa.Table.from_pylist(out, schema=_SENT)
-    return run
+def _added(table: pa.Table):
+    """Keys of all blocks merged: each entry's place, and the totals."""
+    keys = [K.unpack_sorted(x.as_py(), n) for x, n in zip(table["keys"], table["n"].to_pylist(), strict=True)]
+    distinct, at = K.merge(np.concatenate(keys))
+    counts = np.concatenate([K.unpack(x.as_py(), np.uint64) for x in table["counts"]])
+    return at, np.bincount(at, counts, len(distinct)).astype(np.uint64)
 
 
-def _mass(key, table):
-    """Adds the discounted mass of each word to the answers of a part."""
-    kind = table["kind"].to_numpy()
-    mass = table.filter(pa.array(kind == MASS))
-    states, at = K.merge(np.concatenate([np.zeros(0, np.uint64), *(K.raw(x.as_py()) for x in mass["a"])]))
-    total = np.bincount(at, np.concatenate([np.zeros(0), *(K.unpack(x.as_py(), np.uint64) for x in mass["b"])]),
-                        len(states)).astype(np.uint64)
-    out = []
-    for row in table.filter(pa.array(kind == WORDS)).to_pylist():
-        words, got = K.raw(row["a"]), np.zeros(len(row["a"]) // 8, np.uint64)
-        if len(states):
-            place = np.minimum(np.searchsorted(states, words), len(states) - 1)
-            got = np.where(states[place] == words, total[place], np.uint64(0))
-        out.append(row | {"a": b"", "c": K.pack(got)})
-    return pa.Table.from_pylist(out, schema=_SENT)
+def _answer(key, table):
+    """The totals of each block's keys, in their order."""
+    at, total = _added(table)
+    end, out = 0, []
+    for block, n in zip(table["block"].to_pylist(), table["n"].to_pylist(), strict=True):
+        begin, end = end, end + n
+        out.append({"kind": key[0].as_py(), "part": key[1].as_py(), "block": block,
+                    "counts": K.pack(total[at[begin:end]])})
+    return pa.Table.from_pylist(out, schema=_ANSWER)
+
+
+def _size(key, table):
+    """A part's share of N and V."""
+    if key[0].as_py() != WORDS:
+        return pa.table({"n_train": pa.array([], pa.int64()), "v_train": pa.array([], pa.int64())})
+    _, total = _added(table)
+    return pa.table({"n_train": [int(total.sum())], "v_train": [int((total > 0).sum())]})
 
 
 class Automaton:
-    """States are words by place in a sorted list; pairs by place in another.
-    Root arcs, failure arcs and pair arcs are arrays of log10 weights."""
-
-    def __init__(self, count, mass, root: float, unit: float, end: int, begin: int):
-        """count and mass by word; ``root`` is N + (V + 1) / 2 and ``unit`` what a count is worth there."""
-        history = count.astype(float)
-        history[begin] = count[end]                         # every training text begins and ends once
-        self.history = history
-        self.unigram = (count + unit) / root if root else np.ones(len(count))
-        self.left = np.where(history > 0, 1 - mass / np.maximum(history, 1), 1.0)
-        self.root_arc, self.fail_arc = np.log10(self.unigram), np.log10(self.left)
+    """States are words by place in a sorted list, and one more for the begin
+    of a text; arcs are given by the counts of their pairs."""
+
+    def __init__(self, count: np.ndarray, n_train: int, v_train: int, end: int):
+        count = count.astype(float)
+        self.seen = np.append(count, count[end])            # every training text begins and ends once
+        self.unigram = (count + 0.5) / (n_train + 0.5 * (v_train + 1))
+        self.root_arc = np.log10(self.unigram)
+        self.fail_arc = np.where(self.seen > 0, np.log10(1 - MIX), 0.0)
 
     def traverse(self, state: np.ndarray, word: np.ndarray, pair_count: np.ndarray) -> np.ndarray:
         """Weight of every step: the pair's arc where there is one, else the
@@ -173,61 +140,49 @@ class Automaton:
         all texts are taken at once."""
         step = self.fail_arc[state] + self.root_arc[word]
         arc = pair_count > 0
-        u, v = state[arc], word[arc]
-        step[arc] = np.log10((pair_count[arc] - 1.0) / self.history[u] + self.left[u] * self.unigram[v])
+        step[arc] = np.log10(MIX * pair_count[arc] / self.seen[state[arc]] + (1 - MIX) * self.unigram[word[arc]])
         return step
 
 
-def _answer(table: pa.Table, kind: int, column: str) -> np.ndarray:
-    rows = sorted((r["part"], r[column]) for r in table.filter(
-        pa.array(table["kind"].to_numpy() == kind)).to_pylist())
-    return np.concatenate([np.zeros(0, np.uint64), *(K.unpack(x, np.uint64) for _, x in rows)])
-
-
-def _score(n_train: int, v_train: int):
-    def run(key, docs, answers):
-        if not len(docs):
-            return _SCORED.empty_table()
-        t = Tokens(docs["text"])
-        words, word = t.words()
-        keys, _, pair = t.pairs()
-        count, mass, arcs = (_answer(answers, *x) for x in ((WORDS, "b"), (WORDS, "c"), (PAIRS, "b")))
-        if (len(count), len(arcs)) != (len(words), len(keys)):
-            raise RuntimeError("the answers do not fit the block's tokens")
-        begin = int(np.searchsorted(words, BEGIN))
-        end = int(np.searchsorted(words, END))
-        model = Automaton(count, mass, n_train + 0.5 * (v_train + 1) if n_train else 0.0, 0.5, end, begin)
-        state = np.roll(word, 1)
-        ends = np.cumsum(t.counts)
-        state[ends - t.counts] = begin
-        row = np.repeat(np.arange(len(t.counts)), t.counts)
-        rows = len(t.counts)
-        weight = model.traverse(state, word, arcs[pair].astype(float))
-        return pa.table({
-            "doc_id": docs["doc_id"], "held_out": pa.array(~docs["train"].to_numpy(zero_copy_only=False)),
-            "n_tokens": pa.array(t.counts), "n_known": pa.array(np.bincount(row, count[word] > 0, rows).astype(np.int64)),
-            "train_tokens": pa.array(np.full(rows, n_train)),
-            "base_score": pa.array(np.bincount(row, model.root_arc[word], rows)),
-            "score": pa.array(np.bincount(row, weight, rows))})
-    return run
+def _got(answers: pa.Table, kind: int, expected: int) -> np.ndarray:
+    rows = sorted((r["part"], r["counts"]) for r in answers.to_pylist() if r["kind"] == kind)
+    out = np.concatenate([np.zeros(0, np.uint64), *(K.unpack(x, np.uint64) for _, x in rows)])
+    if len(out) != expected:
+        raise RuntimeError("the answers do not fit the block's tokens")
+    return out
+
+
+def _score(key, docs, answers):
+    rows = len(docs)
+    if not rows:
+        return _SCORED.empty_table()
+    t = Tokens(docs["text"])
+    words, word = t.words()
+    keys, pair = t.pairs()
+    n_train, v_train = answers["n_train"][0].as_py() or 0, answers["v_train"][0].as_py() or 0
+    count, arcs = _got(answers, WORDS, len(words)), _got(answers, PAIRS, len(keys))
+    model = Automaton(count, n_train, v_train, int(np.searchsorted(words, END)))
+    state = np.roll(word, 1)
+    state[np.cumsum(t.counts) - t.counts] = len(words)      # the begin of each text
+    row = np.repeat(np.arange(rows), t.counts)
+    weight = model.traverse(state, word, arcs[pair].astype(float))
+    return pa.table({
+        "doc_id": docs["doc_id"], "held_out": pa.array(~docs["train"].to_numpy(zero_copy_only=False)),
+        "n_tokens": pa.array(t.counts), "n_known": pa.array(np.bincount(row, count[word] > 0, rows).astype(np.int64)),
+        "train_tokens": pa.array(np.full(rows, n_train)),
+        "base_score": pa.array(np.bincount(row, model.root_arc[word], rows)),
+        "score": pa.array(np.bincount(row, weight, rows))})
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, fold: int = 1,
           block_bytes: int = K.BLOCK_BYTES) -> DataFrame:
-    """One row per document, scored by a model of the rows that are not held out."""
-    spark = docs.sparkSession
+    """One row per document, scored by a model of the rows that are not held
+    out.  All is one query, in which the blocks are exchanged once."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = K.block_count(rows, F.col("text"), block_bytes)
     rows = K.with_block(rows.withColumn("train", ~held_out(F.col("doc_id"), folds, fold)), n, "doc_id", "text")
-    sent = rows.groupBy("block").applyInArrow(_send(n), SENT)
-    path = scratch_path(spark, "lm-totals")
-    sent.groupBy("kind", "part").applyInArrow(_total(n), SENT).write.parquet(path)
-    got = spark.read.parquet(path)
-    totals = got.filter(F.col("kind") == TOTALS).select("a", "b").toLocalIterator()     # two numbers a part
-    n_train = v_train = 0
-    for a, b in totals:
-        n_train += int.from_bytes(a, "little")
-        v_train += int.from_bytes(b, "little")
-    words = got.filter(F.col("kind").isin(WORDS, MASS)).groupBy("part").applyInArrow(_mass, SENT)
-    answers = words.unionByName(got.filter(F.col("kind") == PAIRS))
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(n_train, v_train), SCORED)
+    parts = rows.groupBy("block").applyInArrow(_send(n), SENT).groupBy("kind", "part")
+    size = parts.applyInArrow(_size, "n_train long, v_train long").agg(F.sum("n_train").alias("n_train"),
+                                                                       F.sum("v_train").alias("v_train"))
+    answers = parts.applyInArrow(_answer, ANSWER).crossJoin(F.broadcast(size))          # one row
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, SCORED)

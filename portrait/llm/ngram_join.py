@@ -146,7 +146,7 @@ def _chunks(tokens: np.ndarray, parts: int, block: int) -> pa.Table:
     keys, counts = np.unique(tokens, return_counts=True)
     edges = K.part_edges(keys, parts)
     return pa.Table.from_pylist([
-        {"part": p, "block": block, "n": int(edges[p + 1] - edges[p]), "a": keys[edges[p]:edges[p + 1]].tobytes(),
+        {"part": p, "block": block, "n": int(edges[p + 1] - edges[p]), "a": K.pack_sorted(keys[edges[p]:edges[p + 1]]),
          "b": K.pack(counts[edges[p]:edges[p + 1]].astype(np.uint32))}
         for p in np.flatnonzero(np.diff(edges)).tolist()], schema=_SENT)
 
@@ -167,7 +167,7 @@ def _send_sets(parts: int):
 def _shared(key, table):
     """Answers each block which of its tokens were sent twice; block -1 carries
     the frequent tokens and their counts."""
-    keys = np.concatenate([K.raw(x.as_py()) for x in table["a"]])
+    keys = np.concatenate([K.unpack_sorted(x.as_py(), n) for x, n in zip(table["a"], table["n"].to_pylist(), strict=True)])
     counts = np.concatenate([K.unpack(x.as_py(), np.uint32) for x in table["b"]])
     distinct, at = K.merge(keys)
     total = np.bincount(at, counts, len(distinct)).astype(np.uint64)
