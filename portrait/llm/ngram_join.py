@@ -55,6 +55,7 @@ FREQUENT = 64                  # sets a token stands in before it is of the freq
 FREQUENT_TOKENS = 50_000       # size of the frequent class: 0.4 MB that travel with the tasks
 BUCKET = 16                    # tokens of a whole set to a frequent bucket
 LEADER_ROUNDS = 4
+BLOCK_BYTES = 8 << 20          # text of a block; a task holds its shingles too
 SKETCH = 32                    # counts of eight bits
 
 _SENT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("a", pa.binary()),
@@ -357,7 +358,7 @@ def links(sets: DataFrame) -> DataFrame:
     return found
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = K.BLOCK_BYTES) -> DataFrame:
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class_id (smallest id
     with the same set) and component_id (smallest id reachable by links)."""
     spark = docs.sparkSession
@@ -381,7 +382,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_
         F.coalesce("component", "root", "doc_id").alias("component_id"))
 
 
-def refine(sets: DataFrame, block_bytes: int = K.BLOCK_BYTES) -> DataFrame:
+def refine(sets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Sets (node, tokens) that may have partners, with their number of shared
     tokens, the sketch of these and their signatures."""
     n = K.block_count(sets, F.col("tokens"), block_bytes)
