@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portrait.session import scratch_path
+
 MIN_WORDS = 50
 MIN_DOCS = 20          # a line in this many texts of its host, or fewer, is never boilerplate
 SHARE = 0.01           # nor one in this share of the host's texts
@@ -40,8 +42,8 @@ def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def _line_key(line: Column) -> Column:
-    flat = F.concat_ws(" ", _words(line))
+def _line_key(words: Column) -> Column:
+    flat = F.concat_ws(" ", words)
     return F.xxhash64(F.translate(F.lower(flat), "123456789", "000000000"))
 
 
@@ -80,28 +82,40 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFra
 
 def line_rows(rows: DataFrame) -> DataFrame:
     """One row per line with a word: doc_id, text hash, host, line hash, words."""
-    at = F.explode(F.transform(
-        F.filter(F.split("text", "\n"), lambda x: _without(x, " " + WHITE) != ""),
-        lambda x: F.struct(_line_key(x).alias("line"), F.size(_words(x)).alias("words"))))
+    words = F.filter(F.transform(F.split("text", "\n"), _words), lambda w: F.size(w) > 0)
+    at = F.explode(F.transform(words, lambda w: F.struct(_line_key(w).alias("line"), F.size(w).alias("words"))))
     return (rows.select("doc_id", F.xxhash64("text").alias("th"), "host", at.alias("l"))
             .select("doc_id", "th", "host", "l.line", "l.words"))
 
 
-def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+def frequent_lines(rows: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
     """(host, line) pairs that more texts of the host hold than the limit."""
     count = lines.groupBy("host", "line").agg(F.count_distinct("th").alias("n_docs")).filter(F.col("n_docs") > min_docs)
-    hosts = lines.groupBy("host").agg(F.count_distinct("th").alias("host_docs"))
+    hosts = (rows.filter(_without(F.col("text"), " " + WHITE) != "").select("host", F.xxhash64("text").alias("th"))
+             .groupBy("host").agg(F.count_distinct("th").alias("host_docs")))
     return (count.join(hosts, "host").filter(F.col("n_docs") > share * F.col("host_docs"))
             .select("host", "line"))
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _removed(rows: DataFrame, min_docs: int, share: float) -> DataFrame:
+    """Lines above the limits (with the document they stand in), from a stored
+    table of line hashes, which is made in one pass over the texts."""
+    lines = _stored(line_rows(rows), "lines")
+    return lines.join(frequent_lines(rows, lines, min_docs, share), ["host", "line"])
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
     """One row per document: its base figures, words in removed lines
-    (n_line_words) and whether it is kept."""
+    (n_line_words) and whether it is kept; ``th`` and ``host`` tell equal ids apart."""
     rows = _rows(docs, id_col, text_col, host_col)
-    lines = line_rows(rows)
-    gone = (lines.join(frequent_lines(lines, min_docs, share), ["host", "line"])
+    gone = (_removed(rows, min_docs, share)
             .groupBy(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"), F.col("host").alias("gone_host"))
             .agg(F.sum("words").alias("gone_words"), F.count(F.lit(1)).alias("gone_lines")))
     # equal rows would have their lines counted once for each: back to one row's share
@@ -114,7 +128,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     out = stats.join(gone, stats["doc_id"].eqNullSafe(gone["gone_id"]) & (stats["th"] == gone["gone_th"])
                      & (stats["host"] == gone["gone_host"]), "left")
     left = F.col("n_words") - F.col("n_line_words")
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+    return out.select("doc_id", "th", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       F.coalesce("n_line_words", F.lit(0)).alias("n_line_words")).withColumn(
         "kept", ~F.col("base_failed") & (left >= keep_share * F.col("n_words")))
 
@@ -123,19 +137,19 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
           min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
     """The kept documents with all their columns, boilerplate lines removed
     from the text (a text without such lines is returned unchanged)."""
-    lines = line_rows(_rows(docs, id_col, text_col, host_col))
-    gone = (lines.join(frequent_lines(lines, min_docs, share), ["host", "line"])
-            .groupBy(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"), F.col("host").alias("gone_host"))
-            .agg(F.collect_set("line").alias("gone_lines")))       # a part of the document's own lines
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    at, host, key = (docs.columns.index(c) for c in (text_col, host_col, id_col))
-    rows = docs.toDF(*names).withColumn("text", F.col(f"c{at}"))
-    rows = base_stats(rows.withColumn("th", F.xxhash64("text"))).filter(~F.col("base_failed"))
-    out = rows.join(gone, rows[f"c{key}"].eqNullSafe(gone["gone_id"]) & (rows["th"] == gone["gone_th"])
-                    & (F.coalesce(rows[f"c{host}"].cast("string"), F.lit("")) == gone["gone_host"]), "left")
-    out = out.withColumn("clean", F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(F.array_join(F.filter(
-        F.split("text", "\n"), lambda x: (_without(x, " " + WHITE) == "")
-        | ~F.array_contains(F.col("gone_lines"), _line_key(x))), "\n")))
-    out = out.filter(F.size(_words(F.col("clean"))) >= keep_share * F.col("n_words"))
-    return out.select(*[(F.col("clean") if i == at else F.col(n)).alias(c)
-                        for i, (n, c) in enumerate(zip(names, docs.columns, strict=True))])
+    rows = _rows(docs, id_col, text_col, host_col)
+    same = ["doc_id", "th", "host"]
+    # stored before it is filtered: a filter would be pushed into the array functions and repeat them
+    verdict = _stored(judge(rows, "doc_id", "text", "host", min_docs, share, keep_share).select(*same, "kept"), "verdicts")
+    verdict = verdict.filter("kept").distinct()
+    gone = (_removed(rows, min_docs, share).groupBy(*same).agg(F.collect_set("line").alias("lines")))  # of its own lines
+    kept = verdict.join(gone, [verdict[c].eqNullSafe(gone[c]) for c in same], "left").select(
+        *[verdict[c].alias(f"kept_{c}") for c in same], "lines")
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"),
+                      F.xxhash64(F.col(text_col)).alias("th"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"))
+    out = own.join(kept, [own[c].eqNullSafe(kept[f"kept_{c}"]) for c in same])
+    text = F.col("row")[text_col]
+    clean_text = F.when(F.col("lines").isNull(), text).otherwise(F.array_join(F.filter(
+        F.split(text, "\n"), lambda x: (_without(x, " " + WHITE) == "")
+        | ~F.array_contains(F.col("lines"), _line_key(_words(x)))), "\n"))
+    return out.select(*[(clean_text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
