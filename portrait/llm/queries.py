@@ -74,8 +74,9 @@ def op5_license_scan(spark, sf):
 @query
 def op6_chat_format(spark, sf):
     text = "</s>[INST] ok [/INST]"
-    own = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)],
-                                "conv_id long, turn long, role string, text string")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                F.lit(text).alias("text"))
     rows = table(spark, sf, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
                                                     "role", "text")
     return chat_format.digest(chat_format.conversations(rows.unionByName(own)))
