@@ -128,9 +128,11 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     out = stats.join(gone, stats["doc_id"].eqNullSafe(gone["gone_id"]) & (stats["th"] == gone["gone_th"])
                      & (stats["host"] == gone["gone_host"]), "left")
     left = F.col("n_words") - F.col("n_line_words")
-    return out.select("doc_id", "th", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+    # stored, so that a caller's filter is not pushed into the array functions, which would repeat them
+    out = out.select("doc_id", "th", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       F.coalesce("n_line_words", F.lit(0)).alias("n_line_words")).withColumn(
         "kept", ~F.col("base_failed") & (left >= keep_share * F.col("n_words")))
+    return _stored(out, "verdicts")
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -139,9 +141,7 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     from the text (a text without such lines is returned unchanged)."""
     rows = _rows(docs, id_col, text_col, host_col)
     same = ["doc_id", "th", "host"]
-    # stored before it is filtered: a filter would be pushed into the array functions and repeat them
-    verdict = _stored(judge(rows, "doc_id", "text", "host", min_docs, share, keep_share).select(*same, "kept"), "verdicts")
-    verdict = verdict.filter("kept").distinct()
+    verdict = judge(rows, "doc_id", "text", "host", min_docs, share, keep_share).filter("kept").select(*same).distinct()
     gone = (_removed(rows, min_docs, share).groupBy(*same).agg(F.collect_set("line").alias("lines")))  # of its own lines
     kept = verdict.join(gone, [verdict[c].eqNullSafe(gone[c]) for c in same], "left").select(
         *[verdict[c].alias(f"kept_{c}") for c in same], "lines")
