@@ -55,16 +55,16 @@ FREQUENT = 64                  # sets a token stands in before it is of the freq
 FREQUENT_TOKENS = 50_000       # size of the frequent class: 0.4 MB that travel with the tasks
 BUCKET = 16                    # tokens of a whole set to a frequent bucket
 LEADER_ROUNDS = 4
-BLOCK_BYTES = 8 << 20          # text of a block; a task holds its shingles too
+BLOCK_BYTES = 4 << 20          # text of a block; a task holds its shingles too
 SKETCH = 32                    # counts of eight bits
 
 _SENT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("a", pa.binary()),
                    ("b", pa.binary())])
 SENT = "part int, block int, n int, a binary, b binary"
 SETS = "doc_id long, n long, rep long, h1 long, h2 long, tokens binary"
-REFINED = "node long, n int, s int, sketch array<long>, full boolean, sigs array<long>, tokens binary"
+REFINED = "node long, n int, s int, sketch array<long>, full boolean, sigs array<long>, tokens array<long>"
 _REFINED = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("s", pa.int32()), ("sketch", pa.list_(pa.int64())),
-                      ("full", pa.bool_()), ("sigs", pa.list_(pa.int64())), ("tokens", pa.binary())])
+                      ("full", pa.bool_()), ("sigs", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("h1", pa.int64()),
                    ("h2", pa.int64()), ("tokens", pa.binary())])
 
@@ -274,7 +274,7 @@ def _refine(frequent: np.ndarray):
             sketch = np.minimum(counts, 255).astype(np.uint8).view(np.int64)
             sigs = np.unique(signatures_of(shared, frequent, n)).view(np.int64)
             out.append({"node": node, "n": n, "s": len(shared), "sketch": sketch,
-                        "full": bool(counts.max() >= 255), "sigs": sigs, "tokens": tokens.tobytes()})
+                        "full": bool(counts.max() >= 255), "sigs": sigs, "tokens": tokens.view(np.int64)})
         return pa.Table.from_pylist(out, schema=_REFINED)
     return run
 
@@ -286,22 +286,13 @@ def _overlap_bound(x: str, y: str) -> str:
     return " + ".join(f"least({count(x, i)}, {count(y, i)})" for i in range(SKETCH))
 
 
-def _verify(batches):
-    for batch in batches:
-        keep = []
-        for a, b in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = K.raw(a.as_py()), K.raw(b.as_py())
-            small, large = (x, y) if len(x) <= len(y) else (y, x)
-            common = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-            keep.append(100 * common >= NEED * (len(x) + len(y) - common))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keep)], names=["a", "b", "linked"])
-
-
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) with whether their sets (node, tokens) link."""
     with_b = pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b")
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a")
-    return both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(_verify, "a long, b long, linked boolean")
+    common = both.select("a", "b", F.size(F.array_intersect("tokens_a", "tokens_b")).alias("k"),
+                         (F.size("tokens_a") + F.size("tokens_b")).alias("n"))
+    return common.select("a", "b", F.expr(f"100 * k >= {NEED} * (n - k)").alias("linked"))
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
