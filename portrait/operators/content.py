@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from portrait import config as C
 from portrait.functions import text as TX
 from portrait.operators.ordering import global_index
-from portrait.session import bounded_broadcast
 
 
 def taxonomy(names: DataFrame, name: str = "name", id_col: str = "category_id") -> DataFrame:
@@ -26,7 +25,7 @@ def normalize_categories(df: DataFrame, raw: str, used: DataFrame, aliases: Data
     cat = TX.normalize_category(F.col(raw))
     out = df.withColumn("_cat", cat)
     if aliases is not None:
-        a = bounded_broadcast(aliases.select(F.col("alias").alias("_cat"), F.col("canonical").alias("_canon")))
+        a = aliases.select(F.col("alias").alias("_cat"), F.col("canonical").alias("_canon"))
         out = out.join(a, "_cat", "left").withColumn("_cat", F.coalesce("_canon", "_cat")).drop("_canon")
     u = used.select(F.col("name").alias("_cat"), F.col("category_id").alias("_id"))
     out = out.join(u, "_cat", "left")
@@ -75,7 +74,7 @@ def page_domain_labels(pages: DataFrame, url: str, title: str = "title",
     d = pages.withColumn("domain", TX.url_host(F.col(url)))
     d = d.where(~F.col("domain").isin(list(deny_domains))).where(~F.col(title).isin(list(deny_titles)))
     if known is not None:
-        d = d.join(bounded_broadcast(known.select("domain", F.col("label").alias("_kl"))), "domain", "left")
+        d = d.join(known.select("domain", F.col("label").alias("_kl")), "domain", "left")
         d = d.withColumn("label", F.coalesce(F.col("_kl"), F.lit("unk"))).drop("_kl")
     else:
         d = d.withColumn("label", F.lit("unk"))
@@ -90,10 +89,12 @@ def text_groups(df: DataFrame, key_cols: Sequence[str], id_col: str) -> DataFram
     Grouping is exact on the full key columns (partial aggregation collapses
     copies map-side, so the text crosses the network once); rows are matched
     back to their group on two independent hashes of the key (xxhash64 and
-    md5, 192 bits), so the join moves ids and hashes, not texts."""
-    keyed = df.select(id_col, *key_cols,
-                      F.xxhash64(*key_cols).alias("_h1"),
-                      F.md5(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in key_cols])).alias("_h2"))
+    md5, 192 bits), so the join moves ids and hashes, not texts.  Both hashes
+    take in which columns are null and how long each is."""
+    parts = [x for c in key_cols for x in (F.coalesce(F.length(F.col(c).cast("string")), F.lit(-1)).cast("string"),
+                                           F.coalesce(F.col(c).cast("string"), F.lit("")))]
+    keyed = df.select(id_col, *key_cols, F.xxhash64(*parts).alias("_h1"),
+                      F.md5(F.concat_ws("\u0001", *parts)).alias("_h2"))
     g = (keyed.groupBy(*key_cols, "_h1", "_h2")
          .agg(F.min(id_col).alias("group_id"), F.count(F.lit(1)).alias("group_size"))
          .select("_h1", "_h2", "group_id", "group_size"))
@@ -115,24 +116,25 @@ def reconcile_levels(df: DataFrame, used_l1: DataFrame, drop_weak: bool = False)
     level-1 label becomes the level-2 parent (with its taxonomy id) at
     confidence 1.5; otherwise level 2 becomes ``<name>-其它_<id>`` at 1.5.
     With ``drop_weak`` rows where both probabilities are <= 0.5 and the levels
-    conflict are dropped.  Rows without predictions pass unchanged."""
+    conflict are dropped.  Rows without predictions pass unchanged; a parent
+    without a taxonomy id gives a null label."""
     n1 = F.split_part(F.col("label_1"), F.lit("_"), F.lit(1))
     id1 = F.split_part(F.col("label_1"), F.lit("_"), F.lit(2))
     p2parts = F.split(F.trim(F.col("label_2")), "-")
     parent2 = p2parts[0]
     conflict = (F.size(p2parts) == 2) & (n1 != parent2)
-    u = bounded_broadcast(used_l1.select(F.col("name").alias("_pn"), F.col("category_id").alias("_pid")))
+    u = used_l1.select(F.col("name").alias("_pn"), F.col("category_id").alias("_pid"))
     d = df.withColumn("_parent2", parent2).join(u, F.col("_parent2") == F.col("_pn"), "left")
     lift = conflict & (F.col("prob_2") > F.col("prob_1")) & (F.col("prob_2") >= 0.7)
     fall = conflict & ~lift
     if drop_weak:
-        d = d.where(~(conflict & (F.col("prob_1") <= 0.5) & (F.col("prob_2") <= 0.5)))
+        d = d.where(~F.coalesce(conflict & (F.col("prob_1") <= 0.5) & (F.col("prob_2") <= 0.5), F.lit(False)))
     rc = F.lit(C.RULE_CONFIDENCE)
     d = d.withColumn("_lift", F.coalesce(lift, F.lit(False))).withColumn("_fall", F.coalesce(fall, F.lit(False)))
     others = [c for c in df.columns if c not in ("label_1", "prob_1", "label_2", "prob_2")]
     return d.select(
         *others,
-        F.when(F.col("_lift"), F.concat_ws("_", F.col("_parent2"), F.col("_pid").cast("string")))
+        F.when(F.col("_lift"), F.concat(F.col("_parent2"), F.lit("_"), F.col("_pid").cast("string")))
         .otherwise(F.col("label_1")).alias("label_1"),
         F.when(F.col("_lift"), rc).otherwise(F.col("prob_1")).alias("prob_1"),
         F.when(F.col("_fall"), F.concat(n1, F.lit("-" + TX.OTHER_SUFFIX + "_"), id1))
@@ -143,13 +145,13 @@ def reconcile_levels(df: DataFrame, used_l1: DataFrame, drop_weak: bool = False)
 def manual_override(df: DataFrame, manual: str, used: DataFrame) -> DataFrame:
     """A known manual label beats the prediction: label_1 = ``label_id`` at
     1.5, no level 2, source 'Manual'; otherwise source 'Pred'."""
-    u = bounded_broadcast(used.select(F.col("name").alias("_mn"), F.col("category_id").alias("_mid")))
+    u = used.select(F.col("name").alias("_mn"), F.col("category_id").alias("_mid"))
     d = df.join(u, F.col(manual) == F.col("_mn"), "left")
     is_manual = F.coalesce(F.col(manual), F.lit("unk")) != "unk"
     others = [c for c in df.columns if c not in ("label_1", "prob_1", "label_2", "prob_2")]
     return d.select(
         *others,
-        F.when(is_manual, F.concat_ws("_", F.col(manual), F.col("_mid").cast("string")))
+        F.when(is_manual, F.concat(F.col(manual), F.lit("_"), F.col("_mid").cast("string")))
         .otherwise(F.col("label_1")).alias("label_1"),
         F.when(is_manual, F.lit(C.RULE_CONFIDENCE)).otherwise(F.col("prob_1")).alias("prob_1"),
         F.when(is_manual, F.lit("null")).otherwise(F.col("label_2")).alias("label_2"),

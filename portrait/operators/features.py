@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portrait.operators.ordering import global_index, top_k_indexed
-from portrait.session import bounded_broadcast
 
 
 def dedupe_catalog(catalog: DataFrame, key: str = "app_id", name: str = "app_name",
@@ -58,7 +57,7 @@ def install_features(pairs: DataFrame, vocab: DataFrame, user: str = "user_id",
     installed apps found in the vocabulary, ``apps`` = their names in the same
     order.  The vocabulary is the top-K list, so broadcasting it is bounded by
     K; per-user sets are bounded by K too (partial collect_set)."""
-    v = bounded_broadcast(vocab.select(key, index, name))
+    v = vocab.select(key, index, name)
     per_user = (pairs.join(v, key, "inner")
                 .groupBy(user)
                 .agg(F.array_sort(F.collect_set(F.struct(F.col(index), F.col(name)))).alias("_a")))
@@ -74,7 +73,7 @@ def install_stats(pairs: DataFrame, vocab: DataFrame, user: str = "user_id",
                   key: str = "app_id", index: str = "idx") -> DataFrame:
     """One row: users with a list, users whose list has no vocabulary app,
     users kept, min / max kept list length - in a single aggregation pass."""
-    v = bounded_broadcast(vocab.select(key, index))
+    v = vocab.select(key, index)
     # distinct vocabulary apps per user: a set bounded by K, built with one
     # partial + final aggregate (count_distinct would add an aggregation level)
     per_user = (pairs.join(v, key, "left").groupBy(user)

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portrait import config as C
-from portrait.session import bounded_broadcast
 
 
 def map_labels(df: DataFrame, value: str, mapping: DataFrame, key_col: str = "key",
@@ -20,7 +19,7 @@ def map_labels(df: DataFrame, value: str, mapping: DataFrame, key_col: str = "ke
     v = F.lower(F.trim(F.col(value))) if case_insensitive else F.col(value)
     m = mapping.select((F.lower(F.col(key_col)) if case_insensitive else F.col(key_col)).alias("_k"),
                        F.col(code_col).alias("_code"))
-    joined = df.join(bounded_broadcast(m), v == F.col("_k"), "inner")
+    joined = df.join(m, v == F.col("_k"), "inner")
     if drop_codes:
         joined = joined.where(~F.col("_code").isin(list(drop_codes)))
     return joined.withColumn(out, (F.col("_code") - shift).cast("bigint")).drop("_k", "_code")

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from portrait import config as C
 from portrait.operators.labels import ranked_profile
-from portrait.session import bounded_broadcast
 
 
 def score_map(spark) -> DataFrame:
@@ -23,7 +22,7 @@ def actions_daily(events: DataFrame, scores: DataFrame, keys: Sequence[str] = ("
                   day_col: str = "stat_date") -> DataFrame:
     """Count per (user, item, action, day) for actions in the score map (inner
     join against a fixed-size map, broadcast)."""
-    kept = events.join(bounded_broadcast(scores.select("action")), "action", "inner").dropna(subset=list(keys))
+    kept = events.join(scores.select("action"), "action", "inner").dropna(subset=list(keys))
     return kept.groupBy(*keys, day_col).agg(F.count(F.lit(1)).cast("double").alias("frequency"))
 
 
@@ -37,7 +36,7 @@ def actions_range(daily: DataFrame, lo: int, hi: int, keys: Sequence[str] = ("im
 
 def item_rating(actions: DataFrame, scores: DataFrame, user: str = "imei", item: str = "item_id") -> DataFrame:
     """rating = sum(score(action) * frequency) per (user, item)."""
-    j = actions.join(bounded_broadcast(scores), "action", "inner")
+    j = actions.join(scores, "action", "inner")
     return j.groupBy(user, item).agg(F.sum(F.col("score") * F.col("frequency")).alias("rating"))
 
 
@@ -62,9 +61,9 @@ def decayed_profile(daily: DataFrame, as_of: _dt.date, since: _dt.date, user: st
     """Decayed sum of daily label counts since ``since`` (exclusive) up to the
     as-of date, ranked into ``label:%.3f###...`` per user.  ``per_day=True``
     keeps one entry per (label, day) as the original job prints them."""
-    lo = int(since.strftime("%Y%m%d"))
+    lo, hi = (int(day.strftime("%Y%m%d")) for day in (since, as_of))
     d = F.datediff(F.lit(as_of), F.to_date(F.col(day_col).cast("string"), "yyyyMMdd"))
-    scored = (daily.where(F.col(day_col) > lo)
+    scored = (daily.where((F.col(day_col) > lo) & (F.col(day_col) <= hi))
               .withColumn("_s", F.col("times").cast("decimal(20,0)") * decay_factor(d)))
     if per_day:
         entries = scored.select(user, "labels", day_col, F.round("_s", 3).alias("_s"))

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from portrait.session import bounded_broadcast
 
 
 def hash_unit(id_col: Column) -> Column:
@@ -35,7 +34,7 @@ def balance_classes(df: DataFrame, id_col: str, label: str) -> DataFrame:
     aggregate over a handful of rows, joined back by broadcast."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     frac = counts.select(label, (F.min("_n").over(Window.partitionBy()) / F.col("_n")).alias("_f"))
-    j = df.join(bounded_broadcast(frac), label)
+    j = df.join(frac, label)
     return j.where(hash_unit(F.col(id_col)) < F.col("_f")).drop("_f")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,11 +50,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint dir; only when none is set (local tests)
-    create one, so a cluster's shared folder is never replaced."""
+    """Use the configured checkpoint dir.  Only a local session (tests), where
+    all tasks see the same disk, gets a folder of its own when none is set."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="portrait-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -72,25 +75,3 @@ def freeze(df: DataFrame) -> DataFrame:
     so a lost executor does not force recomputation of the whole upstream plan."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin rebalance only when the input has fewer partitions than the
-    cluster has cores (e.g. one large file with a single row group), so
-    CPU-heavy per-row work (regexes, tokenizing, hashing) is not pinned to one
-    task.  A normally split input is returned unchanged - no extra shuffle."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint a data-derived lookup side only after checking its size:
-    the count stops at ``max_rows + 1`` (bounded work).  Larger inputs are
-    returned unhinted, so the planner uses a shuffle join (AQE may still
-    broadcast it if its measured bytes are small)."""
-    from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -20,12 +20,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "stat_da
 
 def overwrite_partition(df: DataFrame, path: str, job_date: int | None,
                         partition_col: str = "stat_date") -> None:
-    """Replace exactly one ``stat_date`` partition with ``df`` (create the
-    table if missing), or the whole dataset when ``job_date`` is None."""
+    """Replace one ``stat_date`` partition with ``df`` (create the table if
+    missing), or the whole dataset when ``job_date`` is None.  Rows that carry
+    ``stat_date`` themselves go to their own partitions, never to another day's."""
     if job_date is None:
         df.write.mode("overwrite").parquet(path)
         return
-    overwrite_partitions(df.withColumn(partition_col, F.lit(int(job_date)).cast("bigint")), path, partition_col)
+    if partition_col not in df.columns:
+        df = df.withColumn(partition_col, F.lit(int(job_date)).cast("bigint"))
+    overwrite_partitions(df, path, partition_col)
 
 
 def guarded_write(df: DataFrame, path: str, job_date: int | None, min_rows: int,

@@ -236,28 +236,6 @@ def test_delimited_text_sink_round_trip(spark):
     assert got == [("u1", "married", None, 20240116), ("u2", "unmarried", "null", 20240116)]
 
 
-def test_bounded_broadcast_falls_back(spark):
-    import contextlib
-    import io
-    from portrait.session import bounded_broadcast
-    big = spark.range(50).withColumnRenamed("id", "k")
-    small = spark.range(5).withColumnRenamed("id", "k")
-
-    def plan(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        return buf.getvalue()
-
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(big.join(bounded_broadcast(small, 10), "k"))
-        assert "BroadcastHashJoin" not in plan(big.join(bounded_broadcast(big, 10), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_label_daily_unions_sources(spark):
     schema = "imei string, pred string, label string, stat_date long"
     a = spark.createDataFrame([("u", "p", "x", 1), ("u", "p", "x", 1)], schema)
