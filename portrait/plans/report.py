@@ -8,10 +8,7 @@ shuffle join.  Counts are taken from the initial adaptive plan.
 
 Reading the table: intermediates that are checkpointed when the query is built
 (top-K vocabulary, dense indexes, model training sets, sink round trips) show
-up as scans, so their work is not counted here; text tables with fewer
-partitions than cores (the single-row-group test files) carry one extra
-round-robin exchange from ``session.spread``, which a normally split input
-does not get."""
+up as scans, so their work is not counted here."""
 
 from __future__ import annotations
 
