@@ -58,10 +58,12 @@ def click_history_by_day(clicks: DataFrame, day: str, user: str = "imei", unit:
     """Click history as of every job day D: units clicked in [D - 1 month
     (lenient calendar), D - 1 day).  Each click is expanded to the job days
     whose window contains it - at most 31 of them, a fan-out bounded by the
-    window length, not by the data - and then grouped per (user, D).  No
-    range or cross join is needed."""
+    window length, not by the data - and then grouped per (user, D).  Repeated
+    clicks of a day are one before they are expanded.  No range or cross join
+    is needed."""
     c = F.col(day)
-    cand = clicks.select(user, unit, day, F.explode(F.sequence(F.date_add(c, 2), F.date_add(c, 32))).alias(out_day))
+    once = clicks.select(user, unit, day).distinct()
+    cand = once.select(user, unit, day, F.explode(F.sequence(F.date_add(c, 2), F.date_add(c, 32))).alias(out_day))
     d = F.col(out_day)
     inside = (D.offset_date(d, -1, 0) <= c) & (c < F.date_sub(d, 1))
     return (cand.where(inside).groupBy(user, out_day)

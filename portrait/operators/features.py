@@ -107,12 +107,14 @@ def columns_by_prefix(df: DataFrame, prefixes: Sequence[str]) -> list[str]:
 
 
 def feature_bag(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Row -> array of ``col_value`` tokens (``_`` removed from values, null or
-    empty values skipped), in column order."""
-    toks = [F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "",
-                   F.concat(F.lit(c + "_"), F.replace(F.col(c).cast("string"), F.lit("_"), F.lit(""))))
-            for c in cols]
-    return F.filter(F.array(*toks), lambda x: x.isNotNull())
+    """Row -> array of ``col_value`` tokens, one for each blank-separated element
+    of a value (``_`` removed from elements; null, empty and blank values give
+    none), in column order."""
+    def tokens(c: str) -> Column:
+        value = F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("_"), F.lit(""))
+        elements = F.filter(F.split(value, " "), lambda e: e != "")
+        return F.transform(elements, lambda e: F.concat(F.lit(c + "_"), e))
+    return F.flatten(F.array(*[tokens(c) for c in cols]))
 
 
 def ctr_feature_rows(wide: DataFrame, feature_cols: Sequence[str], label: str = "label") -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as _dt
 
 AS_OF = _dt.date(2024, 1, 16)        # job date for the event-table jobs
 PROFILE_AS_OF = _dt.date(2024, 1, 31)  # as-of date for the decayed profile
+RANGE_DAYS = 15                        # days between the bounds of the action range that ends at the job date
 TOP_K = 500                            # catalogue top-K (reference: 30,000)
 FLAG_APPS = (1, 7, 42)                 # apps whose install sets a flag
 STUDENT_APPS = (3, 11, 19)             # apps that mark a student

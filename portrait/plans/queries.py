@@ -131,7 +131,8 @@ def q_scan_date_range(spark, sf):
 
 @query("scan_hour_prefix")
 def q_scan_hour_prefix(spark, sf):
-    ev = TB.with_partition_cols(table(spark, sf, "events"), F.col("ts"))
+    day = TB.ts_day_slice(table(spark, sf, "events"), "ts", P.AS_OF)
+    ev = TB.with_partition_cols(day, F.col("ts"))
     return TB.scan_hour_prefix(ev, P.AS_OF).select("event_id", "stat_hour")
 
 
@@ -456,8 +457,9 @@ ACTION_OF_EVENT = [("click", "content_click"), ("view", "video_play"), ("purchas
                    ("signup", "content_comment")]
 
 
-def action_log(spark, sf) -> DataFrame:
-    ev = table(spark, sf, "events")
+def action_log(spark, sf, lo: _dt.date, hi: _dt.date) -> DataFrame:
+    """Actions of the days [lo, hi); the bounds are pushed to the scan."""
+    ev = TB.ts_range_slice(table(spark, sf, "events"), "ts", lo, hi)
     m = F.broadcast(spark.createDataFrame(ACTION_OF_EVENT, "event_type string, action string"))
     return ev.join(m, "event_type", "left").select(
         F.md5(F.col("user_id").cast("string")).alias("imei"),
@@ -465,41 +467,46 @@ def action_log(spark, sf) -> DataFrame:
         D.stat_date(F.col("ts")).alias("stat_date"))
 
 
-def daily_actions(spark, sf) -> DataFrame:
-    return PR.actions_daily(action_log(spark, sf), PR.score_map(spark))
+def daily_actions(spark, sf, lo: _dt.date, hi: _dt.date) -> DataFrame:
+    return PR.actions_daily(action_log(spark, sf, lo, hi), PR.score_map(spark))
 
 
-RANGE_LO, RANGE_HI = 20240101, 20240116
+def ranged_actions(spark, sf) -> DataFrame:
+    """Actions of the open range (job date - RANGE_DAYS, job date)."""
+    lo = P.AS_OF - _dt.timedelta(days=P.RANGE_DAYS)
+    bounds = (int(d.strftime("%Y%m%d")) for d in (lo, P.AS_OF))
+    return PR.actions_range(daily_actions(spark, sf, lo, P.AS_OF), *bounds)
 
 
 @query("user_actions_daily")
 def q_user_actions_daily(spark, sf):
-    day = int(P.AS_OF.strftime("%Y%m%d"))
-    return daily_actions(spark, sf).where(F.col("stat_date") == day) \
+    return daily_actions(spark, sf, P.AS_OF, P.AS_OF + _dt.timedelta(days=1)) \
         .select("imei", "item_id", "action", "frequency")
 
 
 @query("user_actions_range")
 def q_user_actions_range(spark, sf):
-    return PR.actions_range(daily_actions(spark, sf), RANGE_LO, RANGE_HI)
+    return ranged_actions(spark, sf)
 
 
 @query("item_rating")
 def q_item_rating(spark, sf):
-    acts = PR.actions_range(daily_actions(spark, sf), RANGE_LO, RANGE_HI)
-    return PR.item_rating(acts, PR.score_map(spark))
+    return PR.item_rating(ranged_actions(spark, sf), PR.score_map(spark))
 
 
 # ---------------------------------------------------------------- daily labels / profile
 LABEL_EVENT_TYPES = ("click", "view", "purchase", "signup")
 
 
-def label_sources(spark, sf) -> list[DataFrame]:
+def label_sources(spark, sf, lo: _dt.date | None = None, hi: _dt.date | None = None) -> list[DataFrame]:
     """(user, pred, label, day) rows.  In production these are several result
     tables unioned by ``label_daily``; here all of them live in ``events``, so
     they are read with one scan (a filter per source would become one scan
-    per source after predicate pushdown)."""
-    ev = table(spark, sf, "events").where(F.col("event_type").isin(*LABEL_EVENT_TYPES))
+    per source after predicate pushdown).  With bounds, of the days [lo, hi)."""
+    ev = table(spark, sf, "events")
+    if lo is not None:
+        ev = TB.ts_range_slice(ev, "ts", lo, hi)
+    ev = ev.where(F.col("event_type").isin(*LABEL_EVENT_TYPES))
     part = table(spark, sf, "part").select(F.col("p_partkey"), F.col("p_brand").alias("pred"),
                                            F.col("p_type").alias("label"))
     base = ev.select(F.md5(F.col("user_id").cast("string")).alias("imei"),
@@ -508,8 +515,15 @@ def label_sources(spark, sf) -> list[DataFrame]:
     return [base]
 
 
-def daily_labels(spark, sf) -> DataFrame:
-    return PR.label_daily(label_sources(spark, sf))
+def daily_labels(spark, sf, lo: _dt.date | None = None, hi: _dt.date | None = None) -> DataFrame:
+    return PR.label_daily(label_sources(spark, sf, lo, hi))
+
+
+def profile(spark, sf, **form) -> DataFrame:
+    """Decayed profile as of PROFILE_AS_OF; only its month is scanned."""
+    since = D.offset_date_py(P.PROFILE_AS_OF, -1, 0)
+    daily = daily_labels(spark, sf, since, P.PROFILE_AS_OF + _dt.timedelta(days=1))
+    return PR.decayed_profile(daily, P.PROFILE_AS_OF, since, **form)
 
 
 @query("label_daily")
@@ -519,15 +533,13 @@ def q_label_daily(spark, sf):
 
 @query("label_profile")
 def q_label_profile(spark, sf):
-    since = D.offset_date_py(P.PROFILE_AS_OF, -1, 0)
-    return PR.decayed_profile(daily_labels(spark, sf), P.PROFILE_AS_OF, since)
+    return profile(spark, sf)
 
 
 @query("label_profile_entries")
 def q_label_profile_entries(spark, sf):
     """The original output form: one decayed entry per (label, day)."""
-    since = D.offset_date_py(P.PROFILE_AS_OF, -1, 0)
-    return PR.decayed_profile(daily_labels(spark, sf), P.PROFILE_AS_OF, since, per_day=True)
+    return profile(spark, sf, per_day=True)
 
 
 @query("event_counts")
@@ -547,9 +559,11 @@ def q_event_counts_sets(spark, sf):
 @query("run_metrics")
 def q_run_metrics(spark, sf):
     ev = table(spark, sf, "events").select("user_id", F.get_json_object("props", "$.k").alias("item_id"))
-    return ev.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("users"),
-                  F.count_distinct("item_id").alias("items"),
-                  F.count_distinct("user_id", "item_id").alias("user_items"))
+    pairs = ev.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    both = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
+    return pairs.agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("rows"),
+                     F.count_distinct("user_id").alias("users"), F.count_distinct("item_id").alias("items"),
+                     F.count_if(both).alias("user_items"))
 
 
 @query("questionnaire_best")

@@ -2,7 +2,9 @@
 
 import datetime as dt
 
+from portrait.operators.ads import click_history_by_day
 from portrait.operators.content import manual_override, reconcile_levels, text_groups
+from portrait.operators.features import feature_bag
 from portrait.operators.profiles import decayed_profile
 from portrait.sources.sinks import overwrite_partition
 
@@ -33,3 +35,17 @@ def test_partitions_keep_their_dates_and_profiles_end_at_the_as_of_day(spark, tm
     one = decayed_profile(daily, dt.date(2024, 1, 2), dt.date(2023, 12, 20)).collect()
     two = decayed_profile(daily.filter("stat_date < 20240201"), dt.date(2024, 1, 2), dt.date(2023, 12, 20)).collect()
     assert one == two
+
+
+def test_feature_bag_has_one_token_for_each_element(spark):
+    rows = [(1, "12 7_", "phone x"), (2, None, " "), (3, "", "a")]
+    df = spark.createDataFrame(rows, "id long, history string, model string")
+    got = {r.id: r.bag for r in df.select("id", feature_bag(df, ["history", "model"]).alias("bag")).collect()}
+    assert got == {1: ["history_12", "history_7", "model_phone", "model_x"], 2: [], 3: ["model_a"]}
+
+
+def test_click_history_by_day_with_repeated_clicks(spark):
+    day = dt.date(2024, 1, 5)
+    df = spark.createDataFrame([("u", "a", day)] * 3 + [("u", "b", day)], "imei string, unit_id string, day date")
+    got = {(r.imei, r.job_day): r.history_click_1m for r in click_history_by_day(df, "day").collect()}
+    assert got[("u", dt.date(2024, 1, 7))] == "a b" and ("u", dt.date(2024, 1, 6)) not in got

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from portrait.jobs import run_job
 from portrait.plans import params
+from portrait.plans.queries import QUERIES
 from portrait.session import scratch_path
 
 
@@ -22,3 +23,18 @@ def test_job_publishes_dated_partitions(spark):
     for d in ("2024-01-10", "2024-01-11"):
         n = ev.where(F.to_date("ts") == F.lit(d)).count()
         assert t.where(F.col("stat_date") == int(d.replace("-", ""))).count() == n
+
+
+def test_windows_end_at_the_job_date(spark):
+    before = params.AS_OF, params.PROFILE_AS_OF
+    for job in ("label_profile", "user_actions_range"):
+        early, late = (run_job(spark, job, day, SF_SMALL) for day in ("20240110", "20240120"))
+        assert set(early.collect()) != set(late.collect())
+    assert (params.AS_OF, params.PROFILE_AS_OF) == before
+
+
+def test_day_windows_reach_the_scan(spark):
+    for key in ("scan_hour_prefix", "user_actions_daily", "user_actions_range", "item_rating", "label_profile",
+                "label_profile_entries"):
+        plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan, key
