@@ -983,7 +983,8 @@ def q_install_model_labels(spark, sf):
     f = feat.install_features(vocab_pairs(spark, sf, vocab), vocab).select("user_id", "feature")
     vec = MD.sparse_from_indices(f.withColumn("idx", feat.sparse_indices(F.col("feature"))), "idx", P.TOP_K)
     known = segment_labels(spark, sf).select("user_id", (F.col("label") == 0).cast("bigint").alias("label"))
-    sets = L.train_predict_split(vec.select("user_id", "features"), known, "user_id")
+    # read for training, tuning and prediction: computed once
+    sets = freeze(L.train_predict_split(vec.select("user_id", "features"), known, "user_id"))
     labelled = sets.where(F.col("split") == "train").withColumn("label", F.col("label").cast("double"))
     train, valid = MD.split(labelled, "user_id")
     model = MD.train_lr(train)
