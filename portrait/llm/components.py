@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portrait.session import freeze
+from portrait.session import scratch_path
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """A written table: small link tables are read back in a few tasks, not in
+    one for each partition that wrote them."""
+    path = scratch_path(df.sparkSession, "components")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -21,8 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
     component is its smallest node.  Each round links every node's larger, then
     its smaller neighbours to the least one; a node with very many neighbours is
     a partial aggregate and a join that can be split.  Rounds grow with the
-    logarithm of the longest chain; each is checkpointed."""
-    now = freeze(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    logarithm of the longest chain; each is stored."""
+    now = _stored(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
     while state[0]:
         # large star: larger neighbours of u (and u) to the least neighbour
@@ -34,9 +42,22 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
-        now = freeze(small)
+        now = _stored(small)
         last, state = state, _state(now)
         if state == last:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def extended(known: DataFrame, new: DataFrame) -> DataFrame:
+    """Components (node, component) of the links behind ``known``, which has the
+    same form, and of ``new`` links (a, b).  Nodes are contracted to their known
+    components first, so only links between components take part in the rounds."""
+    end = lambda x: known.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    ends = _stored(new.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
+        "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
+    moved = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(
+        F.col("node").alias("component"), F.col("component").alias("to"))
+    nodes = known.select("node", "component").union(ends.select("a", "ca")).union(ends.select("b", "cb")).distinct()
+    return _stored(nodes.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")))

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from portrait.llm import blocks as K
 from portrait.llm import bytesops as B
-from portrait.llm.components import components
+from portrait.llm.components import extended
 from portrait.session import scratch_path
 
 WORDS = 5
@@ -305,17 +305,17 @@ def _pairs(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """Verified links (a, b) whose components are those of all linked pairs."""
+def linked(sets: DataFrame) -> DataFrame:
+    """Components (node, component) of all linked pairs, for the nodes that have a link."""
     spark = sets.sparkSession
     able = lambda s1, n1, s2, n2: F.expr(  # noqa: E731  no more than the shared tokens of either set overlap
         f"100 * least({s1}, {s2}) >= {NEED} * ({n1} + {n2} - least({s1}, {s2}))")
     signatures = sets.select("node", "n", "s", F.explode("sigs").alias("sig"))
-    tried = found = spark.createDataFrame([], "a long, b long")
-    comp = found.select(F.col("a").alias("node"), F.col("b").alias("c"))
+    tried = spark.createDataFrame([], "a long, b long")
+    comp = spark.createDataFrame([], "node long, component long")
     rounds = LEADER_ROUNDS
     while rounds >= 0:
-        sig = signatures.join(comp, "node", "left").withColumn("c", F.coalesce("c", "node"))
+        sig = signatures.join(comp.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
         open_ = (sig.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"),
                                         F.min(F.struct(F.expr("n - s"), "node", "c", "n", "s")).alias("l"))
                  .filter("low < high").select("sig", "l"))
@@ -340,13 +340,11 @@ def links(sets: DataFrame) -> DataFrame:
         now = _stored(verify(pairs, sets), "links")
         tried = tried.union(now.select("a", "b"))
         new = now.filter("linked").select("a", "b")
-        found = found.union(new)
-        if rounds:
-            rounds = 0 if new.isEmpty() else rounds - 1
-            comp = components(found).withColumnRenamed("component", "c")
-        else:
-            rounds = -1
-    return found
+        none = new.isEmpty()
+        if not none:
+            comp = extended(comp, new)
+        rounds = 0 if rounds and none else rounds - 1
+    return comp
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -367,7 +365,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_
     # an id with several sets is one node: its classes belong together
     first = named.filter("root is not null").groupBy("doc_id").agg(F.min("root").alias("b"))
     same = named.join(first, "doc_id").filter("root != b").select(F.col("root").alias("a"), "b")
-    comp = components(links(sets).union(same))
+    comp = extended(linked(sets), same)
     return named.join(comp.withColumnRenamed("node", "root"), "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("class_id"),
         F.coalesce("component", "root", "doc_id").alias("component_id"))
