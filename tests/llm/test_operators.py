@@ -283,6 +283,15 @@ def test_components(llm):
     assert got == {x: find(x) for x in parent if any(x in e and e[0] != e[1] for e in edges)}
 
 
+def test_components_extended(llm):
+    links = lambda pairs: llm.createDataFrame(pairs, "a long, b long")
+    known = components.components(links([(5, 4), (9, 8), (3, 2)]))
+    got = components.extended(known, links([(5, 9), (8, 1), (7, 6), (2, 3)]))
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 2), (3, 2), (4, 1), (5, 1), (6, 6), (7, 6), (8, 1), (9, 1)]
+    same = components.extended(known, links([]))
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, known.collect()))
+
+
 # ------------------------------------------------------------- license scan
 def test_license_scan(llm, docs):
     classes = [(n, ALNUM.findall(low(t))) for n, t in license_scan.TEMPLATES]
