@@ -34,6 +34,8 @@ Defined cases: null and empty texts (and texts of white space) have an empty
 set, n_shingles 0, and are linked with nothing; rows with a null id get a null
 component and link nothing; rows that share an id are one node; repeated rows
 stay rows; an empty table gives an empty result; other columns are not read.
+``keep_one`` leaves one row of a component, whether its others are repeated rows
+or have no id.
 """
 
 from __future__ import annotations
@@ -47,6 +49,7 @@ from pyspark.sql import functions as F
 from portrait.llm import blocks as K
 from portrait.llm import bytesops as B
 from portrait.llm.components import extended
+from portrait.operators.ordering import global_index
 from portrait.session import scratch_path
 
 WORDS = 5
@@ -57,6 +60,8 @@ BUCKET = 16                    # tokens of a whole set to a frequent bucket
 LEADER_ROUNDS = 4
 BLOCK_BYTES = 4 << 20          # text of a block; a task holds its shingles too
 SKETCH = 32                    # counts of eight bits
+WORD = r"[^\x20\x09-\x0D]"      # a text with no such character has an empty set
+NODE = "__node"
 
 _SENT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("a", pa.binary()),
                    ("b", pa.binary())])
@@ -396,9 +401,39 @@ def _frequent(often: DataFrame) -> np.ndarray:
     return np.sort(top.to_numpy(np.int64).view(np.uint64))
 
 
+def _noded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows with a node each: their id; rows with a text but no id get an
+    unused number, equal texts the same one, above all ids if there is room."""
+    own = F.col(id_col).cast("long")
+    nameless = F.coalesce(own.isNull() & F.col(text_col).rlike(WORD), F.lit(False))
+    known = docs.filter(~nameless).withColumn(NODE, own)
+    low, high, any_ = docs.agg(F.min(own), F.max(own), F.max(nameless)).first()
+    if not any_:
+        return known
+    rows = docs.filter(nameless).withColumn("__text", F.sha2(F.col(text_col), 256))
+    numbers = _stored(global_index(rows.select("__text").distinct(), [F.col("__text")], NODE), "nameless-texts")
+    n = numbers.count()
+    first = 0 if high is None else high + 1 if high + n < 1 << 63 else low - n
+    rows = rows.join(numbers, "__text").withColumn(NODE, F.col(NODE) + F.lit(first)).drop("__text")
+    return known.unionByName(rows.select(known.columns))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with all their columns, of every component the one with
-    the smallest id (all rows of that id); documents with an empty set or a
-    null id all stay."""
-    gone = join(docs, id_col, text_col).filter("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """One row, with all its columns, of every component: of its smallest id,
+    and where rows share that id, the one with the least text digest (equal rows:
+    any one).  Rows without an id take part by their texts, and stay only if no
+    row with an id is in their component.  Rows with an empty set all stay."""
+    rows = _noded(docs, id_col, text_col)
+    words = F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))
+    nodes = _stored(join(rows, NODE, text_col).filter("n_shingles > 0").select("doc_id", "component_id"), "kept-components")
+    gone = nodes.filter("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    kept = rows.join(gone, (F.col(NODE) == F.col("__gone")) & words, "left_anti")
+    again = (nodes.filter("component_id = doc_id").groupBy(F.col("doc_id").alias("__again"))
+             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__again"))
+    if again.isEmpty():
+        return kept.select(docs.columns)
+    same = (F.col(NODE) == F.col("__again")) & words
+    order = F.struct(F.sha2(F.col(text_col), 256), F.to_json(F.struct(*[c for c in docs.columns if c != text_col])))
+    one = (rows.join(again, same, "left_semi").groupBy(NODE)
+           .agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
+    return kept.join(again, same, "left_anti").select(docs.columns).unionByName(one)

@@ -249,6 +249,29 @@ def test_ngram_join_drifting_group(llm):
     assert {r.doc_id for r in kept.collect()} == {r["component_id"] for r in joined(rows)}
 
 
+def test_keep_one_row_of_a_component(llm):
+    """Repeated rows, rows of one id with two texts, and texts without an id."""
+    text = lambda k, n=90: " ".join(f"{k}{i}" for i in range(n))
+    near = lambda k: " ".join([text(k, 88), "other"])
+    top = (1 << 63) - 1
+    rows = [(1, text("a"), "x"), (1, text("a"), "x"), (1, text("a"), "y"), (2, text("b"), "x"), (None, text("b"), "x"),
+            (None, near("b"), "x"), (None, text("c"), "x"), (None, text("c"), "x"), (None, near("c"), "x"),
+            (3, text("d"), "x"), (3, text("e"), "x"), (4, near("e"), "x"), (None, "", "x"), (None, None, "x"), (5, " ", "x"),
+            (5, " ", "x"), (7, text("f"), None), (6, text("f"), "x"), (6, text("f"), "x")]
+    names = lambda df: sorted(((r.doc_id, (r.text or "")[:2]) for r in df.collect()), key=repr)
+    df = llm.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'clash' as node", "1 as n")
+    got = ngram_join.keep_one(df)
+    assert got.columns == df.columns
+    wanted = [(1, "a0"), (2, "b0"), (None, "c0"), (5, " "), (5, " "), (6, "f0"), (None, ""), (None, "")]
+    assert [x for x in names(got) if x[0] != 3] == sorted(wanted, key=repr)
+    assert [r.doc_id for r in got.collect()].count(3) == 1
+    assert ngram_join.keep_one(df.limit(0)).count() == 0
+    high = ngram_join.keep_one(df.union(llm.createDataFrame([(top, text("g"), "x", "clash", 1)], df.schema)))
+    assert [x for x in names(high) if x[0] == top] == [(top, "g0")] and high.count() == 10
+    assert names(ngram_join.keep_one(df.filter("doc_id is null"))) == sorted(
+        [(None, "b0"), (None, "c0"), (None, ""), (None, "")], key=repr)
+
+
 def test_signatures_are_shared_by_linked_sets():
     rng = np.random.default_rng(3)
     for _ in range(400):

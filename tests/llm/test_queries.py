@@ -47,3 +47,15 @@ def test_pipeline(llm, tmp_path):
     assert ids(d1) == ids(d0) - ids(decontaminate.scan(d0, bench).filter("contaminated"))
     back = sentencepiece_codec.decode(e1, sentencepiece_codec.Vocabulary.load(VOCABULARY))
     assert {(r.doc_id, r.text) for r in back.collect()} == {(r.doc_id, r.text) for r in e0.collect()}
+
+
+def test_pipeline_keeps_a_row_given_twice(llm):
+    """A repeated row and a copy without id leave one row, whose text the next stage does not remove."""
+    import corpus_pipeline as P
+    text = " ".join(f"clean{i}" for i in range(90))
+    rows = [(1, text), (1, text), (2, text), (None, text), (3, " ".join(f"own{i}" for i in range(90)))]
+    stages, docs = dict(P.STAGES), llm.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "length(text) n_chars")
+    once = stages["n-gram Jaccard join"](llm, docs, SMALL)
+    assert sorted(r.doc_id for r in once.collect()) == [1, 3]
+    left = {r.doc_id: r for r in stages["suffix-array dedup"](llm, once, SMALL).collect()}
+    assert left[1].text == text and left[1].n_chars == len(text)
