@@ -12,8 +12,10 @@ for every block (one for ordinary benchmarks), results being merged per
 document by summing word bit maps.
 
 Defined cases: null or empty text has no words, is never hit and keeps its
-row; an item without words has no window; repeated rows give repeated results;
-null ids stay null; an empty benchmark hits nothing.  Other columns, whatever
+row; an item without words has no window; windows of items with a null id hit
+like all others, these items count as one in n_items, stand as one null (first)
+in ``items`` and are left out of the digest; repeated rows give repeated
+results; null ids stay null; an empty benchmark hits nothing.  Other columns, whatever
 their names, pass through ``remove`` unread.
 """
 
@@ -39,8 +41,8 @@ SCAN_SCHEMA = ("doc_id long, n_words long, n_hit long, n_items long, items_sha25
 class WindowSet:
     """Windows of benchmark items: sorted hashes by length, with the words and items of each."""
 
-    def __init__(self, items: list[tuple[str, bytes]], size: int = WORDS):
-        by: dict[int, dict[bytes, set[str]]] = {}
+    def __init__(self, items: list[tuple[str | None, bytes]], size: int = WORDS):
+        by: dict[int, dict[bytes, set[str | None]]] = {}
         for item, text in items:
             words = normal_words(text)
             n = min(size, len(words))
@@ -53,12 +55,20 @@ class WindowSet:
             start, stop, _ = B.words_of(buf, np.array([0, len(buf)]), B.ALNUM)
             hashes = B.window_hashes(B.word_hashes(buf, start, stop), n)[::n]
             order = np.argsort(hashes, kind="stable")
-            self.lengths[n] = hashes[order], [(keys[i], sorted(windows[keys[i]])) for i in order]
+            self.lengths[n] = hashes[order], [(keys[i], in_order(windows[keys[i]])) for i in order]
 
     def __len__(self) -> int:
         return sum(len(h) for h, _ in self.lengths.values())
 
 
+def in_order(items) -> list[str | None]:
+    return sorted(items, key=lambda x: (x is not None, x or ""))
+
+
+def digest(items: list[str | None]) -> str:
+    return hashlib.sha256(",".join(x for x in items if x is not None).encode()).hexdigest()
+
+
 def normal_words(text: bytes) -> list[bytes]:
     buf = np.frombuffer(text, np.uint8)
     start, stop, _ = B.words_of(buf, np.array([0, len(buf)]), B.ALNUM)
@@ -71,7 +81,7 @@ def _scan_slice(windows: WindowSet, buf: np.ndarray, off: np.ndarray):
     start, stop, first = B.words_of(buf, off, B.ALNUM)
     n_words = np.diff(first)
     hit = np.zeros(len(start) + 1, np.int64)
-    items: dict[int, set[str]] = {}
+    items: dict[int, set[str | None]] = {}
     hashes = B.word_hashes(buf, start, stop) if len(start) else np.zeros(0, np.uint64)
     last = np.repeat(first[1:], n_words)       # where each word's row ends
     low = None
@@ -107,14 +117,14 @@ def _scanner(windows: WindowSet, share: int):
                 start, stop, first, n_words, hit, items = _scan_slice(windows, buf, off)
                 sums = np.concatenate(([0], np.cumsum(hit)))
                 n_hit = sums[first[1:]] - sums[first[:-1]]
-                names = [sorted(items.get(i, ())) for i in range(rows)]
+                names = [in_order(items.get(i, ())) for i in range(rows)]
                 spans = [[{"start": a - int(off[i]), "stop": b - int(off[i])} for a, b in
                           _spans(hit[first[i]:first[i + 1]], start[first[i]:first[i + 1]], stop[first[i]:first[i + 1]])]
                          if n_hit[i] else [] for i in range(rows)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, rows), pa.array(n_words.astype(np.int64)), pa.array(n_hit),
                     pa.array([len(x) for x in names], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]),
+                    pa.array([digest(x) for x in names], pa.string()),
                     pa.array((n_hit > 0) & (share * n_hit >= n_words)),
                     pa.array(names, pa.list_(pa.string())),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
@@ -127,10 +137,10 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col:
     """Window sets of at most about ``block_windows`` windows: items come to the
     driver one partition at a time and a block is closed when it is full."""
     rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("binary"))
-    part: list[tuple[str, bytes]] = []
+    part: list[tuple[str | None, bytes]] = []
     held, made = 0, False
     for item, text in rows.toLocalIterator():
-        if item is None or text is None:
+        if text is None:
             continue
         part.append((item, bytes(text)))
         held += max(1, len(text) // 4)           # no item has more windows than this
@@ -174,7 +184,7 @@ def _block_step(windows: WindowSet):
                 for i in range(rows):
                     now = np.packbits(hit[first[i]:first[i + 1]])
                     bits.append((now | np.frombuffer(old[i], np.uint8)).tobytes() if old[i] else now.tobytes())
-                    names[i] = sorted({*names[i], *items.get(i, ())})
+                    names[i] = in_order({*names[i], *items.get(i, ())})
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, rows), batch.column(1).slice(row, rows),
                     pa.array(names, pa.list_(pa.string())), pa.array(bits, pa.binary())],
@@ -195,7 +205,7 @@ def _block_end(share: int):
                     n_hit = int(hit.sum())
                     out.append({"doc_id": batch.column(0)[row + i].as_py(), "n_words": b - a, "n_hit": n_hit,
                                 "n_items": len(names),
-                                "items_sha256": hashlib.sha256(",".join(names).encode()).hexdigest(),
+                                "items_sha256": digest(names),
                                 "contaminated": n_hit > 0 and share * n_hit >= b - a, "items": names,
                                 "spans": [{"start": x - int(off[i]), "stop": y - int(off[i])}
                                           for x, y in _spans(hit, start[a:b], stop[a:b])]})

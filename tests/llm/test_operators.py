@@ -96,6 +96,31 @@ def test_decontaminate(llm, docs, block):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {d for d, _ in texts} - bad
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_WINDOWS, 5])
+def test_decontaminate_items_without_id(llm, block):
+    """Against the query's SQL; the windows of such items cut and drop documents too."""
+    import duckdb
+
+    from portrait.llm.oracle import ORACLE_SQL
+    text = lambda k, n=40: " ".join(f"{k}{i}" for i in range(n))
+    docs = [(0, text("a")), (1, "x " * 900 + text("b")), (2, text("a") + " " + text("c")), (3, text("d")), (None, text("b")), (4, None)]
+    bench = [(None, text("a")), (None, text("b", 20)), (7, text("c")), (8, text("a", 15)), (None, None), (None, ""), (9, None)]
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", bench)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    df, items = llm.createDataFrame(docs, "doc_id long, text string"), llm.createDataFrame(bench, "item_id long, text string")
+    # the SQL joins by document id, so the row without one is looked at below
+    wanted = con.execute(f"SELECT {', '.join(COLS1)} FROM ({ORACLE_SQL['op1_decontaminate']}) WHERE doc_id IS NOT NULL").fetchall()
+    found = decontaminate.scan(df, items, block_windows=block).collect()
+    assert sorted([tuple(r[c] for c in COLS1) for r in found if r.doc_id is not None]) == sorted(wanted)
+    got = {r.doc_id: r for r in found}
+    assert (got[0].n_hit, got[0].n_items, got[0]["items"]) == (40, 2, [None, "8"])
+    assert (got[None].n_hit, got[None].n_items, got[None]["items"]) == (20, 1, [None])
+    assert got[1].n_hit == 20 and not got[1].contaminated and got[3].n_hit == 0
+    assert {r.doc_id for r in decontaminate.remove(df, items, block_windows=block).collect()} == {1, 3, 4}
+
+
 def test_decontaminate_spans_and_no_benchmark(llm, edge):
     bench = benchmark(llm)
     cut = decontaminate.remove(edge, bench, what="spans")
