@@ -20,7 +20,7 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, names in os.walk(package):
             for n in sorted(names):
-                if n.endswith(".py"):
+                if n.endswith((".py", ".txt")):
                     full = os.path.join(folder, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(package)))
     sc.addPyFile(path)

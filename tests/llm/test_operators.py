@@ -358,6 +358,38 @@ def test_license_scan(llm, docs):
     expect(license_scan.scan(docs), wanted, "doc_id", "n_templates", "templates")
 
 
+def test_license_texts_and_notices(llm):
+    """Whole texts with changed words, notices in other wordings, and licences that must not be taken for each other."""
+    rng = np.random.default_rng(4)
+    texts = {n: t for n, t in license_scan.TEMPLATES if n.endswith("-text")}
+    assert len(texts) >= 15
+
+    def edited(text, share):
+        w = text.split()
+        for k in rng.choice(len(w), int(share * len(w)), replace=False):
+            w[k] = f"edit{k}"
+        return "before this " * 30 + " ".join(w) + " and after" * 40
+    header = ("you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software "
+              "Foundation; either version {} of the License, or (at your option) any later version.")
+    cases = [(edited(t, 0.02), {n}) for n, t in texts.items()]
+    cases += [(header.format(k, v), {n}) for k, v, n in [
+        ("General Public License", "2", "gpl-2.0-header"), ("General Public License", "3", "gpl-3.0-header"),
+        ("Lesser General Public License", "2.1", "lgpl-2.1-header"), ("Affero General Public License", "3", "agpl-3.0-header")]]
+    cases += [("Released under an MIT License", {"mit"}), ("It is licensed under CC BY 4.0.", {"cc-by-4.0"}),
+              ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", {"cc-by-sa-4.0"}),
+              ("licensed under the Mozilla Public License, version 2.0", {"mpl-2.0"}),
+              ("This work is licensed under the GNU General Public License, version 2.", {"gpl-2.0"}),
+              ("This work is licensed under the GNU General Public License, version 3.", {"gpl-3.0"})]
+    none = ["Licensed under the Apache License, Version 1.1", "Released under the BSD License", edited(texts["gpl-2-text"], 0.3)]
+    rows = list(enumerate([t for t, _ in cases] + none))
+    got = {r.doc_id: set(r.templates.split(",")) for r in license_scan.scan(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, wanted) in enumerate(cases):
+        assert wanted <= got[i], (wanted, got[i], text[:80])
+    exact = range(len(texts), len(cases))
+    assert [got[i] for i in exact] == [cases[i][1] for i in exact]
+    assert [got[len(cases) + i] for i in range(len(none))] == [{""}] * len(none)
+
+
 def test_license_band_numbers():
     for c in license_scan.classes_of(license_scan.TEMPLATES):
         jaccard = c.need / (3 * c.size - c.need)
