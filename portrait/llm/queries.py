@@ -13,11 +13,14 @@ from portrait.llm import (
     license_scan,
     lm_score,
     ngram_join,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     sentencepiece_codec,
+    simhash,
     suffix_dedup,
     url_filter,
+    whitening,
 )
 from portrait.llm.ship import ship
 
@@ -108,6 +111,22 @@ def op10_lm_score(spark, sf):
     return lm_score.score(table(spark, sf, "documents"))
 
 
+@query
+def op11_periodic_runs(spark, sf):
+    """A tenth of the texts get a planted repetition first."""
+    return periodic_runs.report(table(spark, sf, "documents"), plant=True).drop("n_words")
+
+
+@query
+def op12_simhash(spark, sf):
+    return simhash.join(table(spark, sf, "documents"))
+
+
+@query
+def op13_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 @query
 def pipeline(spark, sf):
     import corpus_pipeline
