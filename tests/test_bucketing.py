@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from portrait.session import scratch_path
 from portrait.sources.tables import table, write_bucketed
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from portrait.jobs import run_job
 from portrait.plans import params
 from portrait.plans.queries import QUERIES

@@ -3,7 +3,7 @@ column names, order-insensitive values); the others must run."""
 
 import pytest
 
-from conftest import SF_CHECK, SF_SMALL
+from tables import SF_CHECK, SF_SMALL
 from portrait.plans.check import compare, duckdb_conn
 from portrait.plans.oracle import ORACLE_SQL
 from portrait.plans.queries import QUERIES

@@ -6,7 +6,7 @@ import io
 
 import pytest
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from portrait.plans.oracle import ORACLE_SQL
 from portrait.plans.queries import QUERIES
 

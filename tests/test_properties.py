@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from tables import SF_CHECK
 from portrait.operators import evaluate as EV
 from portrait.plans.queries import QUERIES
 

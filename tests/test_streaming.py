@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from portrait.functions import dates as D
 from portrait.session import scratch_path
 from portrait.sources.tables import table

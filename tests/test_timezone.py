@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_CHECK
+from tables import SF_CHECK
 from portrait.plans.check import compare, duckdb_conn
 from portrait.plans.oracle import ORACLE_SQL
 from portrait.plans.queries import QUERIES
