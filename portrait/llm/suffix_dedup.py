@@ -1,11 +1,12 @@
 """Removal of repeated passages by distributed prefix doubling on sampled suffixes.
 
-Every byte covered by a string of ``THRESHOLD`` (400) bytes that also starts
-anywhere else is removed; strings never cross documents, overlaps count, and
-all strings are judged on the input.
+Every byte covered by a string of ``length`` bytes (``THRESHOLD``, 400, if not
+given) that also starts anywhere else is removed; strings never cross documents,
+overlaps count, and all strings are judged on the input.  Lengths from 150 to
+1000 are possible.
 
 A suffix array of all positions would hold a row per byte.  Here each start is
-tied to one sampled position: the place, within its 400 bytes, of the 50-byte
+tied to one sampled position: the place, within its bytes, of the 50-byte
 string with the least hash (the last one at a tie).  Equal strings have their
 sampled position at the same distance, so ranks need be compared only between
 starts with equal (sampled 50-byte string, distance).  Ranks are compared at
@@ -13,9 +14,9 @@ growing lengths, each round sorting and counting (rank, distance) pairs:
 
 *   length 50: the sampled strings themselves; starts of a sampled position
     that stands alone are unique and leave.
-*   lengths 337 and 393: the starts of a sampled position are cut into cells of
-    64, then 8 distances; a cell whose common bytes are unique leaves.
-*   length 400: every start that is left, by its own string.
+*   63 and 7 bytes below the length: the starts of a sampled position are cut into
+    cells of 64, then 8 distances; a cell whose common bytes are unique leaves.
+*   the whole length: every start that is left, by its own string.
 
 In every round, cells whose whole context (all bytes of all their starts) is
 found twice are repeated as a whole and are settled at once, so that large
@@ -45,6 +46,7 @@ from portrait.llm import bytesops as B
 from portrait.session import scratch_path
 
 THRESHOLD = 400
+LENGTHS = (150, 1000)          # lengths that the packed runs can hold
 SAMPLE = 50                    # length of sampled strings
 CELLS = (64, 8)                # distances to a cell in the rounds between
 FILTER_BITS = 1 << 26          # size of the key filter: 8 MB
@@ -78,7 +80,7 @@ class Ranks:
         return (B.mix(R1.ranges(self.s1, start, stop) + salt), B.mix(R2.ranges(self.s2, start, stop) ^ B.mix(salt)))
 
 
-def sampled(buf: np.ndarray, off: np.ndarray, t: int = THRESHOLD, k: int = SAMPLE):
+def sampled(buf: np.ndarray, off: np.ndarray, t: int, k: int = SAMPLE):
     """Runs of starts with one sampled position, of all texts of a slice:
     row, first start, last start, position (all in the slice), and the rank of
     the sampled string."""
@@ -103,7 +105,7 @@ def sampled(buf: np.ndarray, off: np.ndarray, t: int = THRESHOLD, k: int = SAMPL
     return row, first, last, pos, gram[pos], ranks
 
 
-def _slices(texts):
+def _slices(texts, t: int):
     """Slices of rows; a row beyond PIECE bytes comes in pieces that overlap, so
     that every start is in exactly one: (row, rows, bytes, offsets, offset of
     the piece in its row)."""
@@ -111,8 +113,8 @@ def _slices(texts):
         if rows > 1 or len(buf) <= PIECE:
             yield row, rows, buf, off, 0
             continue
-        for a in range(0, len(buf) - THRESHOLD + 1, PIECE):
-            part = buf[a:a + PIECE + THRESHOLD - 1]
+        for a in range(0, len(buf) - t + 1, PIECE):
+            part = buf[a:a + PIECE + t - 1]
             yield row, 1, part, np.array([0, len(part)]), a
 
 
@@ -131,27 +133,29 @@ def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, first + (at >> 10 & 1023), first + (at & 1023)
 
 
-def _segments(batches):
+def _segments(t: int):
     """Per document: its size and digest, and its runs (place, rank of the
     sampled string, rank of the context) as 64-bit numbers."""
-    for batch in batches:
-        texts = batch.column(2)
-        runs: list[list[bytes]] = [[] for _ in range(len(texts))]
-        for row, rows, buf, off, base in _slices(texts):
-            r, a, z, p, gram, ranks = sampled(buf, off)
-            if not len(r):
-                continue
-            rim, _ = ranks.of(a, z + THRESHOLD, (p - a) * 4096 + (p - z))
-            begin = off[r] - base
-            packed = np.column_stack([_packed(a - begin, z - begin, p - begin).astype(np.uint64), gram, rim])
-            edges = np.searchsorted(r, np.arange(rows + 1))
-            for i in np.flatnonzero(np.diff(edges)).tolist():
-                runs[row + i].append(packed[edges[i]:edges[i + 1]].tobytes())
-        whole = [x.as_py() for x in texts.cast(pa.large_binary()).fill_null(b"")]
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1), pa.array([len(x) for x in whole], pa.int64()),
-            pa.array([hashlib.sha256(x).hexdigest() for x in whole], pa.string()),
-            pa.array([b"".join(x) for x in runs], pa.binary())], names=["doc_id", "key", "n_bytes", "sha256", "runs"])
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(2)
+            runs: list[list[bytes]] = [[] for _ in range(len(texts))]
+            for row, rows, buf, off, base in _slices(texts, t):
+                r, a, z, p, gram, ranks = sampled(buf, off, t)
+                if not len(r):
+                    continue
+                rim, _ = ranks.of(a, z + t, (p - a) * 4096 + (p - z))
+                begin = off[r] - base
+                packed = np.column_stack([_packed(a - begin, z - begin, p - begin).astype(np.uint64), gram, rim])
+                edges = np.searchsorted(r, np.arange(rows + 1))
+                for i in np.flatnonzero(np.diff(edges)).tolist():
+                    runs[row + i].append(packed[edges[i]:edges[i + 1]].tobytes())
+            whole = [x.as_py() for x in texts.cast(pa.large_binary()).fill_null(b"")]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array([len(x) for x in whole], pa.int64()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in whole], pa.string()),
+                pa.array([b"".join(x) for x in runs], pa.binary())], names=["doc_id", "key", "n_bytes", "sha256", "runs"])
+    return run
 
 
 def _run_rows(batches):
@@ -184,13 +188,13 @@ def _open_runs(scalar) -> np.ndarray:
     return np.column_stack(_unpacked(at))
 
 
-def _pieces(text, x: np.ndarray):
+def _pieces(text, x: np.ndarray, t: int):
     """(offset, ranks, runs) over a text; a long one in pieces that hold their runs' bytes."""
     buf = np.frombuffer(text.as_buffer(), np.uint8)
     for a in range(0, len(buf), PIECE):
         mine = x[(x[:, 0] >= a) & (x[:, 0] < a + PIECE)]
         if len(mine):
-            yield a, Ranks(buf[a:a + PIECE + 2 * THRESHOLD]), mine - a
+            yield a, Ranks(buf[a:a + PIECE + 2 * t]), mine - a
 
 
 def _batch(out: list, names: list[str]) -> pa.RecordBatch:
@@ -198,21 +202,21 @@ def _batch(out: list, names: list[str]) -> pa.RecordBatch:
                                       names=names)
 
 
-def _cells(width: int):
+def _cells(width: int, t: int):
     """Cells of the open runs of each text."""
     def run(batches):
         for batch in batches:
             out: list[list[np.ndarray]] = []
             for key, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                for offset, ranks, x in _pieces(text, _open_runs(runs)):
+                for offset, ranks, x in _pieces(text, _open_runs(runs), t):
                     near, far = x[:, 2] - x[:, 1], x[:, 2] - x[:, 0]       # distances of the last and first start
                     i, rank = B.expand(far // width - near // width + 1)
                     cell = (near // width)[i] + rank
                     low, high = np.maximum(cell * width, near[i]), np.minimum(cell * width + width - 1, far[i])
                     pos = x[i, 2]
                     first, last = pos - high, pos - low
-                    core, _ = ranks.of(pos - cell * width, pos - (cell * width + width - 1) + THRESHOLD, cell)
-                    _, rim = ranks.of(first, last + THRESHOLD, low * 4096 + high)
+                    core, _ = ranks.of(pos - cell * width, pos - (cell * width + width - 1) + t, cell)
+                    _, rim = ranks.of(first, last + t, low * 4096 + high)
                     out.append([np.full(len(pos), key), _packed(first + offset, last + offset, pos + offset),
                                 core.view(np.int64), rim.view(np.int64)])
             if out:
@@ -220,52 +224,56 @@ def _cells(width: int):
     return run
 
 
-def _starts(batches):
+def _starts(t: int):
     """Every start of the open cells of each text, with the rank of its string."""
-    for batch in batches:
-        out: list[list[np.ndarray]] = []
-        for key, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-            for offset, ranks, x in _pieces(text, _open_runs(runs)):
-                i, rank = B.expand(x[:, 1] - x[:, 0] + 1)
-                at = x[i, 0] + rank
-                h1, h2 = ranks.of(at, at + THRESHOLD)
-                out.append([np.full(len(at), key), _packed(at + offset, at + offset, at + offset),
-                            h1.view(np.int64), h2.view(np.int64)])
-            if sum(len(x[0]) for x in out) > 1_000_000:
+    def run(batches):
+        for batch in batches:
+            out: list[list[np.ndarray]] = []
+            for key, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                for offset, ranks, x in _pieces(text, _open_runs(runs), t):
+                    i, rank = B.expand(x[:, 1] - x[:, 0] + 1)
+                    at = x[i, 0] + rank
+                    h1, h2 = ranks.of(at, at + t)
+                    out.append([np.full(len(at), key), _packed(at + offset, at + offset, at + offset),
+                                h1.view(np.int64), h2.view(np.int64)])
+                if sum(len(x[0]) for x in out) > 1_000_000:
+                    yield _batch(out, ["key", "at", "rank1", "rank2"])
+                    out = []
+            if out:
                 yield _batch(out, ["key", "at", "rank1", "rank2"])
-                out = []
-        if out:
-            yield _batch(out, ["key", "at", "rank1", "rank2"])
+    return run
 
 
-def spans_of(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
+def spans_of(first: np.ndarray, last: np.ndarray, t: int) -> list[tuple[int, int]]:
     """Maximal byte runs covered by strings with starts first..last."""
     order = np.argsort(first, kind="stable")
-    a, b = first[order], np.maximum.accumulate(last[order] + THRESHOLD)
+    a, b = first[order], np.maximum.accumulate(last[order] + t)
     new = np.ones(len(a), bool)
     new[1:] = a[1:] > b[:-1]
     i = np.flatnonzero(new)
     return list(zip(a[i].tolist(), b[np.append(i[1:], len(a)) - 1].tolist(), strict=True))
 
 
-def _cut(batches):
+def _cut(t: int):
     """Texts without their repeated runs."""
-    for batch in batches:
-        out = []
-        for text, runs in zip(batch.column(1), batch.column(2), strict=True):
-            raw, at, keep = text.as_buffer().to_pybytes(), 0, []
-            first, last, _ = _unpacked(runs.values.to_numpy())
-            spans = spans_of(first, last)
-            for a, b in spans:
-                keep.append(raw[at:a])
-                at = b
-            keep = b"".join([*keep, raw[at:]])
-            out.append((len(raw) - len(keep), len(spans), hashlib.sha256(keep).hexdigest(), keep))
-        n_removed, n_spans, digest, kept = zip(*out, strict=True) if out else ((),) * 4
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
-            pa.array(digest, pa.string()), pa.array(kept, pa.binary())],
-            names=["key", "n_removed", "n_spans", "kept_sha256", "kept"])
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text, runs in zip(batch.column(1), batch.column(2), strict=True):
+                raw, at, keep = text.as_buffer().to_pybytes(), 0, []
+                first, last, _ = _unpacked(runs.values.to_numpy())
+                spans = spans_of(first, last, t)
+                for a, b in spans:
+                    keep.append(raw[at:a])
+                    at = b
+                keep = b"".join([*keep, raw[at:]])
+                out.append((len(raw) - len(keep), len(spans), hashlib.sha256(keep).hexdigest(), keep))
+            n_removed, n_spans, digest, kept = zip(*out, strict=True) if out else ((),) * 4
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
+                pa.array(digest, pa.string()), pa.array(kept, pa.binary())],
+                names=["key", "n_removed", "n_spans", "kept_sha256", "kept"])
+    return run
 
 
 def _list(df: DataFrame, *cols: str) -> DataFrame:
@@ -299,10 +307,12 @@ def key_filter(keys: DataFrame, bits: int = FILTER_BITS):
     return may(F.bitmap_bucket_number(at), F.bitmap_bit_position(at))
 
 
-def repeated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeated(rows: DataFrame, length: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """For rows (doc_id, key, text): the figures of every row, and the texts
     with anything removed (key, n_removed, n_spans, kept_sha256, kept)."""
-    segments = _stored(rows.mapInArrow(_segments, SEGMENTS), "segments")
+    if not LENGTHS[0] <= length <= LENGTHS[1]:
+        raise ValueError(f"length must be from {LENGTHS[0]} to {LENGTHS[1]} bytes")
+    segments = _stored(rows.mapInArrow(_segments(length), SEGMENTS), "segments")
     runs = segments.filter("length(runs) > 0").select("key", "runs").mapInArrow(_run_rows, RUNS)
     judged = _stored(_list(judge(runs), "at", "open", "whole"), "judged-runs")
     texts = _stored(rows.select("key", "text").filter(key_filter(judged)).join(judged, "key")
@@ -310,17 +320,17 @@ def repeated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     settled = [texts.select("key", F.inline("runs")).filter("whole").select("key", "at")]
     closer = texts.filter(F.exists("runs", lambda r: r["open"]))
     for width in CELLS:
-        cells = _stored(closer.mapInArrow(_cells(width), RUNS), "cells")
+        cells = _stored(closer.mapInArrow(_cells(width, length), RUNS), "cells")
         judged = _stored(judge(cells), "judged-cells")
         settled.append(judged.filter("whole").select("key", "at"))
         closer = texts.select("key", "text").join(_list(judged.filter("open"), "at", "open"), "key").select("key", "text", "runs")
-    starts = _stored(closer.mapInArrow(_starts, STARTS), "starts")
+    starts = _stored(closer.mapInArrow(_starts(length), STARTS), "starts")
     rank = ["rank1", "rank2"]
     twice = starts.groupBy(*rank).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*rank)
     settled.append(starts.join(twice, rank).select("key", "at"))
     found = _list(reduce(DataFrame.unionAll, settled).distinct(), "at")
     cut = texts.select("key", "text").join(found, "key").mapInArrow(
-        _cut, "key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        _cut(length), "key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return segments.select("doc_id", "key", "n_bytes", "sha256"), cut.dropDuplicates(["key"])
 
 
@@ -329,20 +339,20 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return d.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    figures, cut = repeated(_keyed(docs, id_col, text_col))
+    figures, cut = repeated(_keyed(docs, id_col, text_col), length)
     cut = cut.drop("kept")
     return figures.join(cut, "key", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
 
 
-def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = THRESHOLD) -> DataFrame:
     """The documents with all their columns, repeated bytes removed from the
     text.  A cut inside a character leaves bytes that are no text; these are
     dropped from what is returned."""
-    _, cut = repeated(_keyed(docs, id_col, text_col))
+    _, cut = repeated(_keyed(docs, id_col, text_col), length)
     cut = _stored(cut.select("key", "kept").mapInArrow(_as_text, "key long, __kept string"), "cut-texts")
     key = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))

@@ -479,6 +479,11 @@ def test_suffix_dedup(docs):
     assert left.columns == docs.columns and left.count() == len(rows)
 
 
+def test_suffix_dedup_of_shorter_strings(docs):
+    rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
+    expect(suffix_dedup.report(docs, length=250), deduped(rows, 250), *COLS8)
+
+
 def test_suffix_dedup_edits(llm):
     """Copies with single changes, periodic texts, overlapping repeats, matches
     of 399 and 400 bytes, and texts cut into pieces."""
@@ -494,8 +499,11 @@ def test_suffix_dedup_edits(llm):
     docs += [base[300:900] + base[1500:2200], text(9000) + base[:500] + text(700)]
     rows = list(enumerate(docs))
     df = llm.createDataFrame(rows, "doc_id long, text string")
-    wanted = deduped([(d, t.encode()) for d, t in rows])
-    expect(suffix_dedup.report(df), wanted, *COLS8)
+    for length in (400, 150, 1000):
+        wanted = deduped([(d, t.encode()) for d, t in rows], length)
+        expect(suffix_dedup.report(df, length=length), wanted, *COLS8)
+    with pytest.raises(ValueError):
+        suffix_dedup.report(df, length=100)
 
 
 # ------------------------------------------------------------- classifier
