@@ -16,6 +16,9 @@ from portrait.llm.queries import VOCABULARY
 from portrait.llm.ship import ship
 from portrait.session import scratch_path
 
+# Length of a repeated passage: fifty words of four letters and a blank.
+PASSAGE_BYTES = 250
+
 
 def _counted(before: DataFrame, after: DataFrame) -> DataFrame:
     """``after`` with n_chars (where there is such a column) of its text."""
@@ -36,9 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without byte strings that also stand elsewhere."""
+    """Documents without passages of PASSAGE_BYTES that also stand elsewhere."""
     ship(spark)
-    return _counted(docs, suffix_dedup.remove(docs))
+    return _counted(docs, suffix_dedup.remove(docs, length=PASSAGE_BYTES))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
