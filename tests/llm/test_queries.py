@@ -40,7 +40,7 @@ def test_pipeline(llm, tmp_path):
     assert ids(q1) == ids(quality_rules.judge(q0).filter("kept"))
     assert ids(j1) == {r.component_id for r in ngram_join.join(j0).collect()}
     assert ids(s1) == ids(s0)
-    cut = {r.doc_id: r for r in suffix_dedup.report(s0).collect()}
+    cut = {r.doc_id: r for r in suffix_dedup.report(s0, length=P.PASSAGE_BYTES).collect()}
     for r in s1.collect():
         assert len(r.text.encode()) <= cut[r.doc_id].n_bytes - cut[r.doc_id].n_removed
     bench = llm.read.parquet(f"{SMALL}/benchmark.parquet")
@@ -49,6 +49,18 @@ def test_pipeline(llm, tmp_path):
     assert {(r.doc_id, r.text) for r in back.collect()} == {(r.doc_id, r.text) for r in e0.collect()}
 
 
+def test_pipeline_removes_passages_of_fifty_words(llm):
+    """A passage of 51 words, below 400 bytes, in two documents that share nothing else."""
+    import corpus_pipeline as P
+    own = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    passage = " ".join(f"word{i % 7}{chr(97 + i % 26)}" for i in range(51))
+    rows = [(1, f"{own('a')} {passage} {own('b')}"), (2, f"{own('c')} {passage} {own('d')}"), (3, own("e"))]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in dict(P.STAGES)["suffix-array dedup"](llm, docs, SMALL).collect()}
+    assert 250 < len(passage) < 400 and not any(passage in t for t in left.values())
+    assert left[3] == own("e") and all(left[i].startswith(own(k)) for i, k in ((1, "a"), (2, "c")))
+
+
 def test_pipeline_keeps_a_row_given_twice(llm):
     """A repeated row and a copy without id leave one row, whose text the next stage does not remove."""
     import corpus_pipeline as P
