@@ -3,8 +3,6 @@ that is broadcast - its size is fixed, independent of the input data."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
 # Occupation answer -> class code (compared case-insensitively); codes not
@@ -61,7 +59,3 @@ USELESS_TITLES = ["百度一下", "下载百度网盘", "赞评论"]
 # Confidence given to a rule-decided label.
 RULE_CONFIDENCE = 1.5
 # ---------------------------------------------------------------------------
-
-
-def mapping_df(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)

@@ -38,11 +38,6 @@ def weekday_mon1(ts: Column) -> Column:
     return (F.weekday(ts) + 1).cast("bigint")
 
 
-def days_between(as_of: _dt.date, d: Column) -> Column:
-    """Whole days from ``d`` to the job's as-of date (never the wall clock)."""
-    return F.datediff(F.lit(as_of), d)
-
-
 def valid_posttime(s: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` strings of exactly 19 characters that parse."""
     return (F.length(s) == 19) & F.try_to_timestamp(F.regexp_replace(s, "T", " "),
@@ -54,4 +49,4 @@ def parse_posttime(s: Column) -> Column:
 
 
 __all__ = ["stat_date", "parse_yyyymmdd", "offset_date", "offset_date_py", "weekday_mon1",
-           "days_between", "valid_posttime", "parse_posttime", "calendar"]
+           "valid_posttime", "parse_posttime", "calendar"]

@@ -86,5 +86,3 @@ def decode_base64(c: Column) -> Column:
     return F.decode(F.unbase64(c), "utf-8")
 
 
-def strip_label_prefix(c: Column, prefix: str = "__label__") -> Column:
-    return F.when(F.startswith(c, F.lit(prefix)), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(c)

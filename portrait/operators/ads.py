@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portrait.functions import dates as D
@@ -53,26 +53,40 @@ def training_wide(labels: DataFrame, users: DataFrame, ads: DataFrame, history:
     return j.withColumn("history_click_1m", F.coalesce(F.col("history_click_1m"), F.lit("null")))
 
 
-def click_history_by_day(clicks: DataFrame, day: str, user: str = "imei", unit: str = "unit_id",
-                         out_day: str = "job_day") -> DataFrame:
-    """Click history as of every job day D: units clicked in [D - 1 month
-    (lenient calendar), D - 1 day).  Each click is expanded to the job days
-    whose window contains it - at most 31 of them, a fan-out bounded by the
-    window length, not by the data - and then grouped per (user, D).  Repeated
-    clicks of a day are one before they are expanded.  No range or cross join
-    is needed."""
+def click_intervals(clicks: DataFrame, day: str, user: str = "imei", unit: str = "unit_id") -> DataFrame:
+    """Job-day intervals (user, unit, lo, hi) in which a unit is in a user's
+    click history: job day D sees clicks of [D - 1 month (lenient calendar), D - 1
+    day).  A click's job days are found inside one row (two stretches of days at
+    the end of a short month, else one); overlapping and adjoining stretches of a
+    (user, unit) are merged, so an interval stands for any number of clicks."""
     c = F.col(day)
-    once = clicks.select(user, unit, day).distinct()
-    cand = once.select(user, unit, day, F.explode(F.sequence(F.date_add(c, 2), F.date_add(c, 32))).alias(out_day))
-    d = F.col(out_day)
-    inside = (D.offset_date(d, -1, 0) <= c) & (c < F.date_sub(d, 1))
-    return (cand.where(inside).groupBy(user, out_day)
-            .agg(F.array_join(F.array_sort(F.collect_set(unit)), " ").alias("history_click_1m")))
+    once = clicks.select(user, unit, day).dropna().distinct()
+    days = F.filter(F.sequence(F.date_add(c, 2), F.date_add(c, 32)), lambda d: D.offset_date(d, -1, 0) <= c)
+    ends = lambda step: F.filter("_days", lambda d: ~F.array_contains("_days", F.date_add(d, step)))
+    pieces = once.withColumn("_days", days).select(
+        user, unit, F.inline(F.arrays_zip(ends(-1).alias("lo"), ends(1).alias("hi"))))
+    w = Window.partitionBy(user, unit).orderBy("lo")
+    before = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opened = pieces.withColumn("_new", F.coalesce((F.col("lo") > F.date_add(before, 1)).cast("int"), F.lit(1)))
+    return (opened.withColumn("_island", F.sum("_new").over(w)).groupBy(user, unit, "_island")
+            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_island"))
 
 
-def training_wide_by_day(labels: DataFrame, users: DataFrame, ads: DataFrame, history: DataFrame,
+def history_on_days(days: DataFrame, intervals: DataFrame, user: str = "imei", unit: str = "unit_id",
+                    day: str = "job_day") -> DataFrame:
+    """``history_click_1m`` (sorted, blank-joined units) of the (user, day) rows
+    of ``days`` that have one: an equi-join on the user, restricted by day, of the
+    days asked for with the merged intervals."""
+    asked = days.select(user, day).distinct()
+    inside = asked.join(intervals, user).where((F.col("lo") <= F.col(day)) & (F.col(day) <= F.col("hi")))
+    return inside.groupBy(user, day).agg(
+        F.array_join(F.array_sort(F.collect_set(unit)), " ").alias("history_click_1m"))
+
+
+def training_wide_by_day(labels: DataFrame, users: DataFrame, ads: DataFrame, intervals: DataFrame,
                          user: str = "imei", unit: str = "unit_id", day: str = "job_day") -> DataFrame:
-    """Daily wide rows for many job days at once: history joined on (user, day)."""
-    j = (labels.join(users, user, "inner").join(ads, unit, "inner")
-         .join(history, [user, day], "left"))
-    return j.withColumn("history_click_1m", F.coalesce(F.col("history_click_1m"), F.lit("null")))
+    """Daily wide rows for many job days at once, each with the history of its day."""
+    j = labels.join(users, user, "inner").join(ads, unit, "inner")
+    history = history_on_days(j, intervals.withColumnRenamed(unit, "_unit"), user, "_unit", day)
+    return (j.join(history, [user, day], "left")
+            .withColumn("history_click_1m", F.coalesce(F.col("history_click_1m"), F.lit("null"))))

@@ -7,7 +7,7 @@ so no step needs all rows in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portrait.operators.ordering import running_totals
@@ -26,24 +26,20 @@ def auc(df: DataFrame, score: str = "score", label: str = "label", digits: int =
     positive for score >= threshold."""
     g = running_totals(_per_score(df, score, label), [F.col("score").asc()], ["neg"])
     below = F.col("cum_neg") - F.col("neg")
-    out = g.agg(
-        F.round(F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))), F.sum("pos") * F.sum("neg")),
-                digits).alias("auc"),
-        F.sum("pos").cast("bigint").alias("n_pos"), F.sum("neg").cast("bigint").alias("n_neg"))
-    if threshold is None:
-        return out
-    hit = F.when(F.col(score) >= threshold, F.col(label) == 1).otherwise(F.col(label) != 1)
-    acc = df.select(F.round(F.avg(hit.cast("double")), digits)).scalar()
-    return out.select("*", acc.alias("accuracy"))
+    out = [F.round(F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))), F.sum("pos") * F.sum("neg")),
+                   digits).alias("auc"),
+           F.sum("pos").cast("bigint").alias("n_pos"), F.sum("neg").cast("bigint").alias("n_neg")]
+    if threshold is not None:
+        hits = F.sum(F.when(F.col("score") >= threshold, F.col("pos")).otherwise(F.col("neg")))
+        out.append(F.round(F.try_divide(hits, F.sum(F.col("pos") + F.col("neg"))), digits).alias("accuracy"))
+    return g.agg(*out)
 
 
 def f_measure_by_threshold(df: DataFrame, score: str = "score", label: str = "label", beta: float = 1.0) -> DataFrame:
     """Precision, recall and F-beta when predicting positive for score >= t,
     for every distinct score t."""
-    g = _per_score(df, score, label)
-    # one number, fetched once and used as a literal in every ratio below
-    total_pos = F.lit(g.agg(F.sum("pos")).first()[0])
-    c = running_totals(g, [F.col("score").desc()], ["pos", "neg"])
+    c = running_totals(_per_score(df, score, label), [F.col("score").desc()], ["pos", "neg"])
+    total_pos = c.agg(F.max("cum_pos")).scalar()          # of the stored totals, not of the input again
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     precision = F.try_divide(tp, tp + fp)
     recall = F.try_divide(tp, total_pos)
@@ -67,9 +63,6 @@ def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "predicti
     """Per class: tp, fp, fn, precision, recall, F1, plus overall accuracy.
     Everything after the first aggregate runs on (#classes)^2 rows."""
     cm = df.groupBy(F.col(label).alias("l"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    totals = cm.agg(F.sum("n").alias("t"), F.coalesce(F.sum(F.when(F.col("l") == F.col("p"), F.col("n"))), F.lit(0))
-                    .alias("c")).first()
-    total, correct = F.lit(totals["t"]), F.lit(totals["c"])
     # each matrix cell counts once for its label and once for its prediction:
     # one aggregation yields support, predicted and tp per class
     cell = F.explode(F.array(
@@ -80,6 +73,8 @@ def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "predicti
     j = (cm.select(cell.alias("_c")).select("_c.*").groupBy("cls")
          .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp")))
     tp = F.col("tp").cast("double")
+    whole = Window.partitionBy()                            # one row for each class
+    total, correct = F.sum("support").over(whole), F.sum("tp").over(whole)
     prec = F.when(F.col("predicted") > 0, tp / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, tp / F.col("support")).otherwise(0.0)
     f1 = F.when((prec + rec) > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
@@ -91,10 +86,6 @@ def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "predicti
         F.round(f1, digits).alias("f1"), F.round(F.try_divide(correct.cast("double"), total), digits).alias("accuracy"))
 
 
-def accuracy(label: str = "label", pred: str = "prediction") -> Column:
-    return F.avg((F.col(label) == F.col(pred)).cast("double"))
-
-
 def threshold_report(scored: DataFrame, thresholds: dict, score: str = "score", label: str = "label",
                      digits: int = 6) -> DataFrame:
     """For each named threshold: AUC of the 0/1 predictions (score >= t) and

@@ -1,6 +1,6 @@
 """Linear and text classifiers with Spark ML: training on an id-hash split,
-threshold tuning, batch scoring of many saved models on one feature table,
-coefficient export.  Training data is checkpointed before the iterative
+threshold tuning, batch scoring of many saved models on one feature table.
+Training data is checkpointed before the iterative
 optimiser runs, so a lost executor does not replay the feature plan."""
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from portrait.operators.sampling import hash_split
 from portrait.session import freeze
 
-MAX_DRIVER_VOCAB = 1 << 21   # vocabularies above this are hashed instead
-
 
 def dense_features(c: Column) -> Column:
     return array_to_vector(c)
@@ -34,21 +32,6 @@ def sparse_from_indices(df: DataFrame, idx: str, dim: int, out: str = "features"
     return index_vectorizer(dim, "_idx_tokens", out).transform(toks).drop("_idx_tokens")
 
 
-def vocab_vectorizer(vocab: DataFrame, term: str = "feature", index: str = "idx", input_col: str = "tokens",
-                     output_col: str = "features") -> CountVectorizerModel:
-    """Multi-hot vectors over a learned vocabulary (position = ``idx``).  The
-    vocabulary reaches the driver once; its size is checked first."""
-    n = vocab.count()
-    if n > MAX_DRIVER_VOCAB:
-        raise ValueError(f"vocabulary of {n} terms is too large for a driver-side model; use hashed_features")
-    terms = [r[0] for r in vocab.orderBy(index).select(term).toLocalIterator()]
-    return CountVectorizerModel.from_vocabulary(terms, inputCol=input_col, outputCol=output_col, binary=True)
-
-
-def hashed_features(input_col: str, output_col: str = "features", bits: int = 18) -> HashingTF:
-    return HashingTF(inputCol=input_col, outputCol=output_col, numFeatures=1 << bits, binary=True)
-
-
 def split(df: DataFrame, id_col: str, threshold_hex: str = "cccccccc"):
     s = df.withColumn("_split", hash_split(F.col(id_col), threshold_hex))
     return s.where(F.col("_split") == "train").drop("_split"), s.where(F.col("_split") == "valid").drop("_split")
@@ -85,18 +68,6 @@ def text_features(df: DataFrame, tokens: str, bits: int = 18) -> DataFrame:
         .drop("_bigrams", "_terms")
 
 
-def coefficients(spark, model, vocab: DataFrame, term: str = "feature", index: str = "idx",
-                 skip_prefix: str | None = "time", digits: int = 5) -> DataFrame:
-    """Model weights joined to feature names: ``feature weight`` with the
-    weight printed to ``digits`` decimals; features with ``skip_prefix`` out."""
-    w = spark.createDataFrame([(i, float(v)) for i, v in enumerate(model.coefficients.toArray())],
-                              f"{index} bigint, weight double")
-    j = vocab.join(w, index)
-    if skip_prefix:
-        j = j.where(~F.startswith(F.split_part(F.col(term), F.lit("_"), F.lit(1)), F.lit(skip_prefix)))
-    return j.select(term, "weight", F.format_string(f"%s %.{digits}f", F.col(term), F.col("weight")).alias("line"))
-
-
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 

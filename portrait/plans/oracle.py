@@ -199,6 +199,12 @@ _Y = (P.AS_OF - _dt.timedelta(days=1)).strftime("%Y%m%d")
 _HIST_LO = _off(P.AS_OF, -1, 0).strftime("%Y%m%d")
 _HIST_HI = _off(P.AS_OF, 0, -1).strftime("%Y%m%d")
 
+_CTR_COLUMNS = ["unit_id", "location", "week", "hour", "date", "seg", "nation", "bal", "brand", "ptype", "psize",
+                "history_click_1m"]
+# one token for each blank-separated element of a value
+_BAG = "concat_ws(' ', " + ", ".join(
+    f"""nullif(array_to_string(list_transform(list_filter(string_split(replace(coalesce(CAST({c} AS VARCHAR), ''), '_', ''), ' '),
+        lambda e: e <> ''), lambda e: '{c}_' || e), ' '), '')""" for c in _CTR_COLUMNS) + ")"
 _ADS = f"""
   log AS (SELECT md5(CAST(user_id AS VARCHAR)) AS imei, props->>'$.k' AS unit_id,
                  'L' || CAST(CAST(floor(value / 25) AS BIGINT) AS VARCHAR) AS location, ts,
@@ -219,9 +225,7 @@ _ADS = f"""
   wide AS (SELECT lab.*, users.seg, users.nation, users.bal, units.brand, units.ptype, units.psize,
                   coalesce(hist.history_click_1m, 'null') AS history_click_1m
            FROM lab JOIN users USING (imei) JOIN units USING (unit_id) LEFT JOIN hist USING (imei)),
-  rows_ AS (SELECT concat_ws(' ', {', '.join(
-      f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN '{c}_' || replace(CAST({c} AS VARCHAR), '_', '') END"
-      for c in ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"])}) AS features, label
+  rows_ AS (SELECT {_BAG} AS features, label
            FROM wide),
   ctr AS (SELECT features, max(label) AS label FROM rows_ GROUP BY features)
 """
@@ -271,12 +275,53 @@ ORACLE_SQL["ad_training_month"] = f"""WITH {_ADS}, {_MONTH}
 SELECT CAST(strftime(job_day, '%Y%m%d') AS BIGINT) AS stat_date, imei, unit_id, location, week, hour, date, seg,
        nation, bal, brand, ptype, psize, history_click_1m, label FROM mwide"""
 
-ORACLE_SQL["ctr_month_rows"] = f"""WITH {_ADS}, {_MONTH},
-  mrows AS (SELECT concat_ws(' ', {', '.join(
-      f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN '{c}_' || replace(CAST({c} AS VARCHAR), '_', '') END"
-      for c in ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"])}) AS features, label
-            FROM mwide)
-SELECT features, max(label) AS label FROM mrows GROUP BY features"""
+_MROWS = f"""{_MONTH},
+  mrows AS (SELECT features, max(label) AS label FROM (SELECT {_BAG} AS features, label FROM mwide) GROUP BY features)"""
+ORACLE_SQL["ctr_month_rows"] = f"""WITH {_ADS}, {_MROWS}
+SELECT features, label FROM mrows"""
+
+
+def _ctr_training() -> str:
+    """The rounds of the long-form logistic regression, one after the other."""
+    from portrait.operators.longform import ROUNDS, momentum
+    out = f"""{_MROWS},
+  ex AS MATERIALIZED (SELECT row_number() OVER (ORDER BY features) AS row, features, label::DOUBLE AS label,
+             substring(md5(features), 1, 8) < 'cccccccc' AS train FROM mrows),
+  long AS MATERIALIZED (SELECT DISTINCT row, label, train, unnest(string_split(features, ' ')) AS feature FROM ex),
+  tr AS MATERIALIZED (SELECT * FROM long WHERE train),
+  most AS (SELECT max(m) AS m FROM (SELECT count(*) AS m FROM tr GROUP BY row)),
+  steps AS (SELECT feature, 4.0::DOUBLE / (count(*) * any_value(most.m)) AS step FROM tr, most GROUP BY feature),
+  w0 AS MATERIALIZED (SELECT feature, step, 0.0::DOUBLE AS weight, 0.0::DOUBLE AS ahead
+         FROM (SELECT DISTINCT feature FROM long WHERE feature <> '') LEFT JOIN steps USING (feature))"""
+    for k, look in enumerate(momentum(ROUNDS)):
+        out += f""",
+  m{k} AS MATERIALIZED (SELECT row, any_value(label) AS label, sum(ahead) AS margin FROM tr JOIN w{k} USING (feature) GROUP BY row),
+  g{k} AS (SELECT feature, sum(1 / (1 + exp(-margin)) - m{k}.label) AS g FROM tr JOIN m{k} USING (row) GROUP BY feature),
+  n{k} AS (SELECT feature, step, weight AS old, ahead - coalesce(step * g, 0) AS weight FROM w{k} LEFT JOIN g{k} USING (feature)),
+  w{k + 1} AS MATERIALIZED (SELECT feature, step, weight, weight + {look!r}::DOUBLE * (weight - old) AS ahead FROM n{k})"""
+    return out + f""",
+  trained AS MATERIALIZED (SELECT feature, weight FROM w{ROUNDS})"""
+
+
+_TRAINED = _ctr_training()
+ORACLE_SQL["ctr_weights"] = f"""WITH {_ADS}, {_TRAINED},
+  shown AS (SELECT feature, CASE WHEN round(weight, 5) = 0 THEN 0.0::DOUBLE ELSE round(weight, 5) END AS weight FROM trained
+            WHERE split_part(feature, '_', 1) <> 'date')
+SELECT feature, weight, feature || ' ' || printf('%.5f', weight) AS line FROM shown"""
+ORACLE_SQL["ctr_threshold"] = f"""WITH {_ADS}, {_TRAINED},
+  scored AS (SELECT round(1 / (1 + exp(-sum(weight))), 9) AS score, any_value(label) AS label
+             FROM long JOIN trained USING (feature) WHERE NOT train GROUP BY row),
+  per AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY score),
+  cum AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS total FROM per
+          WINDOW w AS (ORDER BY score DESC)),
+  pr AS (SELECT score, tp / (tp + fp) AS p, CASE WHEN total > 0 THEN tp / total END AS r FROM cum),
+  f AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM pr)
+SELECT score AS threshold, round(f, 6) AS f_measure, round(p, 6) AS precision, round(r, 6) AS recall
+FROM f ORDER BY round(f, 12) DESC, score DESC LIMIT 1"""
+ORACLE_SQL["publish_marker"] = f"""WITH {_ADS}, {_MROWS},
+  toks AS (SELECT DISTINCT unnest(string_split(features, ' ')) AS feature FROM mrows)
+SELECT '{P.AS_OF.strftime('%Y%m%d')}' AS marker, count(*) AS rows FROM toks
+WHERE feature <> '' AND split_part(feature, '_', 1) <> 'date'"""
 
 # ---------------------------------------------------------------- ratings
 _ACTS = """
@@ -646,10 +691,3 @@ ORACLE_SQL["sparse_features"] = f"""WITH {_TOPK},
 SELECT user_id, CAST(count(*) AS BIGINT) AS nnz, string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY idx) AS indices
 FROM f GROUP BY user_id"""
 
-ORACLE_SQL["publish_marker"] = f"""WITH {_ADS}, {_MONTH},
-  mrows AS (SELECT concat_ws(' ', {', '.join(
-      f"CASE WHEN coalesce(CAST({c} AS VARCHAR), '') <> '' THEN '{c}_' || replace(CAST({c} AS VARCHAR), '_', '') END"
-      for c in ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"])}) AS features
-            FROM mwide),
-  toks AS (SELECT DISTINCT unnest(string_split(features, ' ')) AS feature FROM mrows)
-SELECT '{_DAY}' AS marker, count(*) AS rows FROM toks WHERE feature <> '' AND NOT starts_with(split_part(feature, '_', 1), 'time')"""

@@ -17,6 +17,7 @@ from portrait.operators import content as CT
 from portrait.operators import evaluate as EV
 from portrait.operators import features as feat
 from portrait.operators import labels as L
+from portrait.operators import longform as LF
 from portrait.operators import models as MD
 from portrait.operators import profiles as PR
 from portrait.operators import sampling as SM
@@ -364,7 +365,8 @@ def ad_wide(spark, sf) -> DataFrame:
 
 
 # feature columns of the wide row, chosen by name prefix
-CTR_FEATURE_PREFIXES = ["location", "week", "hour", "seg", "nation", "bal", "brand", "ptype", "psize"]
+CTR_FEATURE_PREFIXES = ["unit_id", "location", "week", "hour", "date", "seg", "nation", "bal", "brand", "ptype", "psize",
+                        "history_click_1m"]
 
 
 def ctr_features(wide: DataFrame) -> list[str]:
@@ -395,8 +397,7 @@ def q_ad_training_month(spark, sf):
     hist_lo = D.offset_date_py(lo, -1, 0)
     clicks = (ad_monitor_log(spark, sf, hist_lo, ev_hi).where(F.col("oper_type") == AD.CLK)
               .select("imei", "unit_id", F.to_date(F.col("stat_date").cast("string"), "yyyyMMdd").alias("click_day")))
-    hist = AD.click_history_by_day(clicks, "click_day")
-    wide = AD.training_wide_by_day(labels, ad_users(spark, sf), ad_units(spark, sf), hist)
+    wide = AD.training_wide_by_day(labels, ad_users(spark, sf), ad_units(spark, sf), AD.click_intervals(clicks, "click_day"))
     return wide.select(D.stat_date(F.col("job_day")).alias("stat_date"), "imei", "unit_id", "location", "week",
                        "hour", "date", "seg", "nation", "bal", "brand", "ptype", "psize", "history_click_1m", "label")
 
@@ -1064,37 +1065,35 @@ def q_batch_score(spark, sf):
 
 
 def ctr_model(spark, sf):
-    """LR over the one-month window of CTR rows (the training window the
-    model job reads), vocabulary-indexed multi-hot features."""
-    rows = q_ctr_month_rows(spark, sf)
-    vocab = feat.feature_vocab(rows)
-    cv = MD.vocab_vectorizer(vocab)
-    bags = rows.withColumnRenamed("features", "bag").withColumn("tokens", F.split("bag", " "))
-    data = cv.transform(bags).withColumn("label", F.col("label").cast("double"))
-    train, valid = MD.split(data, "bag")
-    model = MD.train_lr(train)
-    return model, vocab, valid
+    """Weights over the one-month window of CTR rows (the training window the
+    model job reads), learnt on the long form: (weights, vocabulary, long form)."""
+    vocab, long = LF.examples(q_ctr_month_rows(spark, sf))
+    return LF.train(long.where(F.col("split") == "train"), vocab), vocab, long
+
+
+def ctr_weight_lines(spark, sf) -> DataFrame:
+    """Weights of all features but the day's, which means nothing to a later day."""
+    weights, vocab, _ = ctr_model(spark, sf)
+    return LF.weight_lines(weights, vocab, skip_prefix="date")
 
 
 @query("ctr_weights")
 def q_ctr_weights(spark, sf):
-    model, vocab, _ = ctr_model(spark, sf)
-    return MD.coefficients(spark, model, vocab)
+    return ctr_weight_lines(spark, sf)
 
 
 @query("ctr_threshold")
 def q_ctr_threshold(spark, sf):
-    model, _, valid = ctr_model(spark, sf)
-    out = model.transform(valid)
-    return EV.best_threshold(out.select(MD.positive_score(out).alias("score"), "label"))
+    """Best threshold on the validation rows; scores to nine decimals."""
+    weights, _, long = ctr_model(spark, sf)
+    m = LF.margins(long.where(F.col("split") == "valid"), weights)
+    return EV.best_threshold(m.select(F.round(LF.probability(F.col("margin")), 9).alias("score"), "label"))
 
 
 @query("publish_marker")
 def q_publish_marker(spark, sf):
-    model, vocab, _ = ctr_model(spark, sf)
     base = scratch_path(spark, "ctr")
-    lines = MD.coefficients(spark, model, vocab)
-    SK.export_lines(lines, F.col("line"), f"{base}/weights")
+    SK.export_lines(ctr_weight_lines(spark, sf), F.col("line"), f"{base}/weights")
     day = int(P.AS_OF.strftime("%Y%m%d"))
     SK.write_marker(spark, f"{base}/ready", day)
     marker = spark.read.text(f"{base}/ready").select(F.col("value").alias("marker"))

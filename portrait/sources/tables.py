@@ -25,11 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def _as_date(day) -> _dt.date:
     if isinstance(day, _dt.date):
         return day
@@ -42,16 +37,6 @@ def scan_partition(df: DataFrame, day, partition_col: str = "stat_date") -> Data
     return df.where(F.col(partition_col) == F.lit(int(_as_date(day).strftime("%Y%m%d"))))
 
 
-def scan_range(df: DataFrame, start, end, partition_col: str = "stat_date",
-               include_start: bool = True) -> DataFrame:
-    """Half-open partition range ``[start, end)`` (or ``(start, end)``)."""
-    lo = int(_as_date(start).strftime("%Y%m%d"))
-    hi = int(_as_date(end).strftime("%Y%m%d"))
-    c = F.col(partition_col)
-    lower = c >= lo if include_start else c > lo
-    return df.where(lower & (c < hi))
-
-
 def scan_hour_prefix(df: DataFrame, day, partition_col: str = "stat_hour") -> DataFrame:
     """Hourly string partitions of one day; ``like 'd%'`` written as a range so
     both pruning and min/max statistics apply."""

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from portrait.operators.ads import click_history_by_day
+from portrait.operators.ads import click_intervals, history_on_days
 from portrait.operators.content import manual_override, reconcile_levels, text_groups
 from portrait.operators.features import feature_bag
 from portrait.operators.profiles import decayed_profile
@@ -46,6 +46,9 @@ def test_feature_bag_has_one_token_for_each_element(spark):
 
 def test_click_history_by_day_with_repeated_clicks(spark):
     day = dt.date(2024, 1, 5)
-    df = spark.createDataFrame([("u", "a", day)] * 3 + [("u", "b", day)], "imei string, unit_id string, day date")
-    got = {(r.imei, r.job_day): r.history_click_1m for r in click_history_by_day(df, "day").collect()}
+    df = spark.createDataFrame([("u", "a", day)] * 3 + [("u", "b", day), ("u", "b", None), (None, "b", day)],
+                               "imei string, unit_id string, day date")
+    asked = spark.createDataFrame([("u", dt.date(2024, 1, d)) for d in range(5, 9)] + [("v", day)], "imei string, job_day date")
+    assert click_intervals(df, "day").count() == 2
+    got = {(r.imei, r.job_day): r.history_click_1m for r in history_on_days(asked, click_intervals(df, "day")).collect()}
     assert got[("u", dt.date(2024, 1, 7))] == "a b" and ("u", dt.date(2024, 1, 6)) not in got

@@ -261,9 +261,12 @@ def test_click_history_by_day_brute_force(spark):
     days = [dt.date(2019, 2, 1) + dt.timedelta(days=i) for i in range(70)]
     clicks = [("u", f"x{i % 7}", d) for i, d in enumerate(days) if i % 3 == 0]
     df = spark.createDataFrame(clicks, "imei string, unit_id string, click_day date")
-    got = {(r.imei, r.job_day): r.history_click_1m for r in AD.click_history_by_day(df, "click_day").collect()}
+    jobs = [days[0] + dt.timedelta(days=i) for i in range(100)]
+    asked = spark.createDataFrame([("u", j) for j in jobs for _ in range(2)], "imei string, job_day date")
+    intervals = AD.click_intervals(df, "click_day")
+    got = {(r.imei, r.job_day): r.history_click_1m for r in AD.history_on_days(asked, intervals).collect()}
     want = {}
-    for job in [days[0] + dt.timedelta(days=i) for i in range(100)]:
+    for job in jobs:
         lo, hi = D.offset_date_py(job, -1, 0), job - dt.timedelta(days=1)
         units = sorted({u for _, u, c in clicks if lo <= c < hi})
         if units:
