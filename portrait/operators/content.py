@@ -48,24 +48,6 @@ def category_levels(df: DataFrame, path: str, sep_regex: str = r"\|") -> DataFra
               .withColumn("category_3", F.array_join(parts, "-")))
 
 
-def level_dictionary(df: DataFrame, col: str) -> DataFrame:
-    """Label dictionary of one level: name, support count, dense id (order:
-    count desc, name asc)."""
-    counts = df.groupBy(F.col(col).alias("name")).agg(F.count(F.lit(1)).alias("count"))
-    return global_index(counts, [F.col("count").desc(), F.col("name").asc()], "id")
-
-
-def attach_level_labels(df: DataFrame, dicts: Sequence[DataFrame]) -> DataFrame:
-    """``label_k = count-id`` for each level (left joins, null when unknown).
-    Dictionaries are bounded by the taxonomy size."""
-    out = df
-    for k, d in enumerate(dicts, start=1):
-        lab = d.select(F.col("name").alias(f"category_{k}"),
-                       F.concat_ws("-", F.col("count").cast("string"), F.col("id").cast("string")).alias(f"label_{k}"))
-        out = out.join(lab, f"category_{k}", "left")
-    return out
-
-
 def page_domain_labels(pages: DataFrame, url: str, title: str = "title",
                        known: DataFrame | None = None, deny_domains: Sequence[str] = (),
                        deny_titles: Sequence[str] = ()) -> DataFrame:
@@ -157,3 +139,14 @@ def manual_override(df: DataFrame, manual: str, used: DataFrame) -> DataFrame:
         F.when(is_manual, F.lit("null")).otherwise(F.col("label_2")).alias("label_2"),
         F.when(is_manual, F.lit(-1.0)).otherwise(F.col("prob_2")).alias("prob_2"),
         F.when(is_manual, F.lit("Manual")).otherwise(F.lit("Pred")).alias("label_source"))
+
+
+def training_lines(rows: DataFrame, levels: Sequence[int] = (1, 2)) -> DataFrame:
+    """(field, level, line) of labelled articles (ftitle, fcontent, fcategory,
+    fcategory_id, level): ``__label__<category>_<id>, <text>`` for the title and
+    for the content.  Rows with a null field are left out."""
+    head = F.concat(F.lit("__label__"), F.col("fcategory"), F.lit("_"), F.col("fcategory_id").cast("string"), F.lit(", "))
+    texts = F.inline(F.array(F.struct(F.lit("title").alias("field"), F.col("ftitle").alias("text")),
+                             F.struct(F.lit("content").alias("field"), F.col("fcontent").alias("text"))))
+    clean = rows.dropna(subset=["fid", "ftitle", "fcontent", "fcategory"]).where(F.col("level").isin(list(levels)))
+    return clean.select("level", head.alias("head"), texts).select("field", "level", F.concat("head", "text").alias("line"))

@@ -69,6 +69,15 @@ def global_index(df: DataFrame, order: Sequence[Column], name: str = "idx") -> D
     return out.withColumn(name, (F.col("_off") + F.col("_pos")).cast("bigint")).drop(_PID, "_pos", "_off")
 
 
+def segmented_index(df: DataFrame, segment: str, order: Sequence[Column], name: str = "idx") -> DataFrame:
+    """Dense 0-based position of each row within its segment: one sort by
+    (segment, order), positions over the whole, less the segment's first one
+    (one row per segment; segments are few by meaning, such as levels)."""
+    whole = global_index(df, [F.col(segment).asc(), *order], "_at")
+    first = whole.groupBy(segment).agg(F.min("_at").alias("_first"))
+    return whole.join(first, segment).withColumn(name, F.col("_at") - F.col("_first")).drop("_at", "_first")
+
+
 def top_k_indexed(df: DataFrame, order: Sequence[Column], k: int, name: str = "idx") -> DataFrame:
     """First ``k`` rows of a total order with their 0-based index.  ``limit``
     after ``orderBy`` plans as TakeOrderedAndProject (per-partition heaps of

@@ -523,11 +523,22 @@ SELECT DISTINCT 'd' || CAST(l.doc_id AS VARCHAR) AS id, d.lang AS label_1,
        d.lang || '-' || d.source AS label_2, CAST(CASE WHEN l.toxic = 1 THEN 0.8 ELSE 0.4 END AS DOUBLE) AS prob_2
 FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE d.n_chars >= 100"""
 
-ORACLE_SQL["multi_level_results"] = """
-SELECT r1.p_partkey AS id, r1.p_name AS text, r1.p_type AS pred_1, r2.p_type || '-' || r2.p_brand AS pred_2,
-       r3.p_brand || '-' || CAST(r3.p_size AS VARCHAR) AS pred_3
-FROM part r1 JOIN part r2 ON r2.p_partkey = r1.p_partkey AND r2.p_name = r1.p_name AND r2.p_size > 10
-JOIN part r3 ON r3.p_partkey = r1.p_partkey AND r3.p_name = r1.p_name AND r3.p_retailprice > 950"""
+_SCORED = f"""{_GOODS},
+  lines AS (SELECT k.level, md5(CAST(p_partkey AS VARCHAR)) AS id,
+                   CASE WHEN p_partkey % 23 = 0 THEN replace(p_name, ' ', '|') WHEN p_partkey % 29 = 0 THEN '' ELSE p_name END AS text,
+                   CASE WHEN (p_partkey + k.level) % 31 = 0 THEN '' WHEN (p_partkey + k.level) % 37 = 0 THEN '__label__99999'
+                        ELSE '__label__' || CAST((p_partkey * (2 * k.level + 1)) % (5 * k.level * k.level) AS VARCHAR) END AS pred
+            FROM part, (VALUES (1::BIGINT), (2), (3)) k(level)),
+  parsed AS (SELECT *, len(string_split(text, '|')) = 1 AND length(text) > 1 AND length(pred) > 1 AS kept FROM lines)"""
+ORACLE_SQL["result_line_counts"] = f"""WITH {_SCORED}
+SELECT level, count(*) AS lines, count(*) FILTER (NOT kept) AS rejected FROM parsed GROUP BY level"""
+ORACLE_SQL["multi_level_results"] = f"""WITH {_SCORED},
+  dict AS (SELECT 1 AS level, name, id FROM i1 UNION ALL SELECT 2, name, id FROM i2 UNION ALL SELECT 3, name, id FROM i3),
+  named AS (SELECT DISTINCT p.level, p.id, p.text, p.pred, coalesce(d.name, '') AS label
+            FROM parsed p LEFT JOIN dict d ON d.level = p.level AND p.pred = '__label__' || CAST(d.id AS VARCHAR) WHERE p.kept)
+SELECT a.id, a.text, a.pred AS pred_1, a.label AS label_1, b.pred AS pred_2, b.label AS label_2, c.pred AS pred_3, c.label AS label_3
+FROM named a JOIN named b ON b.id = a.id AND b.text = a.text AND b.level = 2
+JOIN named c ON c.id = a.id AND c.text = a.text AND c.level = 3 WHERE a.level = 1"""
 
 
 def _hexf(h, start, n):
@@ -626,6 +637,20 @@ WITH a AS (SELECT doc_id, trim(split_part(text, chr(10), 1)) AS title, trim(text
 SELECT CAST(doc_id AS VARCHAR) || '##yf##' || array_to_string({_tokens(_keep('title', chr(92) + 'p{L}'))}, ' ') AS value
 FROM a WHERE length(title) > 1 AND length(content) > 1"""
 
+_RAW_CATEGORY = "CASE WHEN doc_id % 3 = 0 THEN lang ELSE lang || '_' || source END"
+ORACLE_SQL["content_train_lines"] = f"""
+WITH a AS (SELECT doc_id, trim(split_part(text, chr(10), 1)) AS title, trim(text) AS content, source, lang FROM documents),
+     a2 AS (SELECT *, {_norm_cat(_RAW_CATEGORY)} AS name FROM a WHERE length(title) > 1 AND length(content) > 1),
+     used AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS id FROM (SELECT DISTINCT name FROM a2) t),
+     r AS (SELECT '__label__' || replace(name, ',', '-') || '_' || CAST(id AS VARCHAR) || ', ' AS head,
+                  array_to_string({_tokens('title')}, ' ') AS title, array_to_string({_tokens('content')}, ' ') AS content,
+                  CAST(CASE WHEN len(string_split(name, ',')) = 2 THEN 2 ELSE 1 END AS BIGINT) AS level
+           FROM a2 JOIN used USING (name)
+           WHERE source = '{P.TRAIN_SOURCE}'
+             AND DATE '{P.AS_OF.isoformat()}' - CAST(doc_id % 900 AS INTEGER) >= DATE '{_off(P.AS_OF, P.TRAIN_MONTHS, 0).isoformat()}')
+SELECT 'title' AS field, level, head || title AS value FROM r
+UNION ALL SELECT 'content', level, head || content FROM r"""
+
 ORACLE_SQL["export_train_lines"] = f"""WITH {_GOODS},
   g2 AS (SELECT g0.fid, p.p_name AS ftitle FROM g0 JOIN part p ON p.p_partkey = g0.fid),
   lv2 AS (SELECT lv.*, g2.ftitle FROM lv JOIN g2 USING (fid))

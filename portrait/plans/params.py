@@ -17,3 +17,5 @@ MIN_SUPPORT = 120                      # minimum class support (reference: 10,00
 GUARD_MIN_ROWS = 1000                  # guarded write threshold
 SPLIT_HEX = "cccccccc"                 # md5 prefix below this -> train (0.8)
 TRAIN_MIN_SUPPORT = 10                 # class support needed in exported training lines
+TRAIN_MONTHS = -18                     # window of the content training lines, in months before the job date
+TRAIN_SOURCE = "src2"                  # source of the content training lines

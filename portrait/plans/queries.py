@@ -21,6 +21,7 @@ from portrait.operators import longform as LF
 from portrait.operators import models as MD
 from portrait.operators import profiles as PR
 from portrait.operators import sampling as SM
+from portrait.operators import shopping as SH
 from portrait.plans import params as P
 from portrait.session import freeze, scratch_path
 from portrait.sources import sinks as SK
@@ -631,34 +632,34 @@ def goods(spark, sf) -> DataFrame:
     return p.select(F.col("p_partkey").alias("fid"), F.col("p_name").alias("ftitle"), path.alias("fcategory"))
 
 
-def level_dictionaries(spark, sf) -> list[DataFrame]:
-    """Per-level dictionaries written as TSV files and read back with the
-    dictionary loader (the format the labelling side exchanges)."""
-    g = CT.category_levels(goods(spark, sf), "fcategory")
-    out = []
-    for k in (1, 2, 3):
-        d = CT.level_dictionary(g, f"category_{k}")
-        path = scratch_path(spark, f"dict{k}")
-        SK.export_lines(d, F.concat_ws("\t", "name", F.col("count").cast("string"), F.col("id").cast("string")), path)
-        out.append(TF.load_label_dictionary(spark, path))
-    return out
+def label_files(spark, sf, rows: DataFrame) -> DataFrame:
+    """The dictionary of all levels, written as TSV files (the format the
+    labelling side exchanges) and read back with the dictionary loader."""
+    d = SH.level_dictionary(rows)
+    path = scratch_path(spark, "dictionaries")
+    SK.export_lines(d, F.concat_ws("\t", "name", F.col("count").cast("string"), F.col("id").cast("string")), path,
+                    partition_by=["level"])
+    return TF.load_label_dictionary(spark, path)
+
+
+def labelled_goods(spark, sf) -> DataFrame:
+    """Goods with their three-level paths and ``count-id`` labels, as a stored
+    table; the goods are scanned once."""
+    rows = freeze(CT.category_levels(goods(spark, sf), "fcategory"))
+    path = scratch_path(spark, "labelled-goods")
+    SH.attach_labels(rows, label_files(spark, sf, rows)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query("category_path")
 def q_category_path(spark, sf):
-    g = CT.category_levels(goods(spark, sf), "fcategory")
-    return CT.attach_level_labels(g, level_dictionaries(spark, sf)).select(
-        "fid", "category_1", "label_1", "category_2", "label_2", "category_3", "label_3")
+    return labelled_goods(spark, sf).select("fid", "category_1", "label_1", "category_2", "label_2", "category_3", "label_3")
 
 
 @query("label_dictionary")
 def q_label_dictionary(spark, sf):
-    ds = level_dictionaries(spark, sf)
-    out = None
-    for k, d in enumerate(ds, start=1):
-        t = d.withColumn("level", F.lit(k).cast("bigint"))
-        out = t if out is None else out.unionByName(t)
-    return out.select("level", "name", "count", "id")
+    """The dictionaries of the three levels, from the labelled table."""
+    return SH.dictionary_of(labelled_goods(spark, sf))
 
 
 @query("load_alias_map")
@@ -741,16 +742,34 @@ def q_parse_scored_lines(spark, sf):
     return TF.parse_scored_lines(spark, path)
 
 
+def scored_files(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Result lines ``id|text|__label__<number>`` of three levels as the scoring
+    side writes them, and the dictionary of their numbers.  Some lines are bad:
+    a text with the separator, no prediction, no text, a number nobody knows."""
+    dictionary = SH.dictionary_of(labelled_goods(spark, sf))
+    p = table(spark, sf, "part")
+    number = lambda k: (F.col("p_partkey") * (2 * k + 1)) % (5 * k * k)
+    pred = lambda k: F.when((F.col("p_partkey") + k) % 31 == 0, F.lit("")).otherwise(
+        F.concat(F.lit(SH.PREFIX), F.when((F.col("p_partkey") + k) % 37 == 0, F.lit("99999")).otherwise(number(k).cast("string"))))
+    text = F.when(F.col("p_partkey") % 23 == 0, F.replace("p_name", F.lit(" "), F.lit("|"))).when(
+        F.col("p_partkey") % 29 == 0, F.lit("")).otherwise(F.col("p_name"))
+    rows = p.select(F.md5(F.col("p_partkey").cast("string")).alias("id"), text.alias("text"),
+                    F.inline(F.array(*[F.struct(F.lit(k).alias("level"), pred(k).alias("pred")) for k in SH.LEVELS])))
+    path = scratch_path(spark, "scored-files")
+    SK.export_lines(rows, F.concat_ws("|", "id", "text", "pred"), path, partition_by=["level"])
+    return SH.result_lines(spark.read.text(path)), dictionary
+
+
 @query("multi_level_results")
 def q_multi_level_results(spark, sf):
-    p = table(spark, sf, "part")
-    r1 = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("text"), F.col("p_type").alias("pred_1"))
-    r2 = p.where(F.col("p_size") > 10).select(F.col("p_partkey").alias("id"), F.col("p_name").alias("text"),
-                                              F.concat_ws("-", "p_type", "p_brand").alias("pred_2"))
-    r3 = p.where(F.col("p_retailprice") > 950).select(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("text"),
-        F.concat_ws("-", "p_brand", F.col("p_size").cast("string")).alias("pred_3"))
-    return r1.join(r2, ["id", "text"]).join(r3, ["id", "text"])
+    parsed, dictionary = scored_files(spark, sf)
+    return SH.result_sets(parsed, dictionary)
+
+
+@query("result_line_counts")
+def q_result_line_counts(spark, sf):
+    """Lines read and rejected for each level's result file."""
+    return SH.line_counts(scored_files(spark, sf)[0])
 
 
 def _hexfrac(h, start, n):
@@ -858,19 +877,35 @@ def q_export_infer_lines(spark, sf):
 
 @query("export_train_lines")
 def q_export_train_lines(spark, sf):
-    g = CT.category_levels(goods(spark, sf), "fcategory")
-    dicts = level_dictionaries(spark, sf)
-    rows = None
-    for k, d in enumerate(dicts, start=1):
-        kept = d.where(F.col("count") >= P.TRAIN_MIN_SUPPORT).select(F.col("name").alias(f"category_{k}"), "id")
-        t = g.join(kept, f"category_{k}").select(
-            F.lit(k).alias("level"), F.concat(F.lit("__label__"), F.col("id").cast("string"), F.lit(", "),
-                                              F.col("ftitle")).alias("line"))
-        rows = t if rows is None else rows.unionByName(t)
     path = scratch_path(spark, "train")
-    SK.export_lines(rows, F.col("line"), path, partition_by=["level"])
-    back = spark.read.text(path)
-    return back.select(F.col("level").cast("bigint").alias("level"), "value")
+    lines = SH.train_lines(labelled_goods(spark, sf), "ftitle", P.TRAIN_MIN_SUPPORT)
+    SK.export_lines(lines, F.col("line"), path, partition_by=["level"])
+    return spark.read.text(path).select(F.col("level").cast("bigint").alias("level"), "value")
+
+
+def content_training_rows(spark, sf) -> DataFrame:
+    """Labelled articles by day: the language is a level 1 category, language and
+    source one of level 2; article n was written n % 900 days before the job date."""
+    a = article_rows(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    raw = F.when(F.col("doc_id") % 3 == 0, F.col("lang")).otherwise(F.concat_ws("_", "lang", "source"))
+    a = a.withColumn("raw", raw)
+    used = CT.taxonomy(a.select(TX.normalize_category(F.col("raw")).alias("name")))
+    day = F.date_sub(F.lit(P.AS_OF), (F.col("doc_id") % 900).cast("int"))
+    return CT.normalize_categories(a, "raw", used).select(
+        F.col("doc_id").alias("fid"), TX.tokenize(F.col("title")).alias("ftitle"), TX.tokenize(F.col("content")).alias("fcontent"),
+        F.col("category").alias("fcategory"), F.col("category_id").alias("fcategory_id"), "level", F.col("source").alias("fsource"),
+        D.stat_date(day).alias("stat_date"))
+
+
+@query("content_train_lines")
+def q_content_train_lines(spark, sf):
+    """``__label__<category>_<id>, <text>`` lines of one source in an 18-month
+    window, in one folder for each field (title, content) and level."""
+    since = int(D.offset_date_py(P.AS_OF, P.TRAIN_MONTHS, 0).strftime("%Y%m%d"))
+    rows = content_training_rows(spark, sf).where((F.col("stat_date") >= since) & (F.col("fsource") == P.TRAIN_SOURCE))
+    path = scratch_path(spark, "content-train")
+    SK.export_lines(CT.training_lines(rows), F.col("line"), path, partition_by=["field", "level"])
+    return spark.read.text(path).select("field", F.col("level").cast("bigint").alias("level"), "value")
 
 
 @query("partition_overwrite")
