@@ -28,6 +28,11 @@ PARENT_ANSWERS = [("A", 1), ("B", 1), ("C", 1), ("D", 1), ("E", 1), ("F", 1), ("
 # Child stage answer: A-C -> 0, D-F -> 1.
 CHILD_ANSWERS = [("A", 0), ("B", 0), ("C", 0), ("D", 1), ("E", 1), ("F", 1)]
 # Consumption answer: A -> 0, any other non-empty answer -> 1.
+CONSUMPTION_LOW = "A"
+# Sex -> class.
+SEXES = [("male", 1), ("female", 0)]
+# Ages up to this one count as unmarried (0), above as married (1).
+MARRIAGE_AGE = 35
 # Source code -> source name.
 SOURCE_NAMES = [(2, "UC"), (76, "Baidu")]
 # Time-decay of daily label counts: factor = (DECAY_DAYS - d + 1) * DECAY_STEP.

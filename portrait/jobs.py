@@ -28,15 +28,11 @@ def run_job(spark: SparkSession, job: str, job_date: str, tables: str, out: str
     if job not in QUERIES:
         raise KeyError(f"unknown job {job!r}; known: {', '.join(sorted(QUERIES))}")
     day = dt.datetime.strptime(job_date, "%Y%m%d").date()
-    saved = params.AS_OF, params.PROFILE_AS_OF
-    params.AS_OF = params.PROFILE_AS_OF = day
-    try:
+    with params.job_day(day):
         df = QUERIES[job](spark, tables)
         if out:
             overwrite_partition(df, f"{out.rstrip('/')}/{job}", int(job_date))
         return df
-    finally:
-        params.AS_OF, params.PROFILE_AS_OF = saved
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portrait.operators.ordering import global_index, top_k_indexed
 
 
-def dedupe_catalog(catalog: DataFrame, key: str = "app_id", name: str = "app_name",
-                   metric: str = "install_num") -> DataFrame:
-    """Keep, per key, the row with the largest metric (ties: largest name) -
-    a partial aggregate, so a hot key never gathers its rows in one task."""
-    best = F.max(F.struct(F.col(metric), F.col(name))).alias("_b")
-    return (catalog.groupBy(key).agg(best)
-            .select(key, F.col("_b." + name).alias(name), F.col("_b." + metric).alias(metric)))
+def best_listing(listings: DataFrame, key: str = "app_id", metric: str = "install_num") -> DataFrame:
+    """The largest metric of each key's listings - a partial aggregate, so a hot
+    key never gathers its rows in one task."""
+    return listings.groupBy(key).agg(F.max(metric).alias(metric))
 
 
 def catalog_order(key: str = "app_id", metric: str = "install_num") -> list[Column]:
@@ -36,37 +36,50 @@ def catalog_index(catalog: DataFrame, key: str = "app_id", metric: str = "instal
     return global_index(catalog, catalog_order(key, metric), index)
 
 
-def prefixed_vocab(vocab: DataFrame, prefix: str | None, key: str = "app_id") -> DataFrame:
-    """Optionally prefix the vocabulary key (first population's ids carry '11')."""
-    if not prefix:
-        return vocab
-    return vocab.withColumn(key, F.concat(F.lit(prefix), F.col(key).cast("string")))
-
-
 def parse_install_list(df: DataFrame, user: str, value: str, out_key: str = "app_id") -> DataFrame:
     """``"id:cnt id:cnt"`` -> one (user, app_id) row per token (id part kept)."""
-    toks = F.filter(F.split(F.col(value), " "), lambda x: x != "")
     return (df.where(F.col(user).isNotNull() & F.col(value).isNotNull())
-              .select(user, F.explode(toks).alias("_tok"))
-              .select(user, F.split_part(F.col("_tok"), F.lit(":"), F.lit(1)).alias(out_key)))
-
-
-def install_features(pairs: DataFrame, vocab: DataFrame, user: str = "user_id",
-                     key: str = "app_id", index: str = "idx", name: str = "app_name") -> DataFrame:
-    """Per user: ``feature`` = ``"idx:1 idx:1 ..."`` in index order over the
-    installed apps found in the vocabulary, ``apps`` = their names in the same
-    order.  The vocabulary is the top-K list, so broadcasting it is bounded by
-    K; per-user sets are bounded by K too (partial collect_set)."""
-    v = vocab.select(key, index, name)
-    per_user = (pairs.join(v, key, "inner")
-                .groupBy(user)
-                .agg(F.array_sort(F.collect_set(F.struct(F.col(index), F.col(name)))).alias("_a")))
-    return per_user.select(
+              .select(user, F.explode(packed_ids(F.col(value))).alias(out_key)))
+
+
+def packed_ids(value: Column) -> Column:
+    """``"id:cnt id:cnt"`` -> array of the id parts."""
+    return F.transform(F.filter(F.split(value, " "), lambda x: x != ""), lambda x: F.split_part(x, F.lit(":"), F.lit(1)))
+
+
+def vocabulary_index(ids: Column, keys: Sequence[str]) -> Column:
+    """Positions of a row's ids in a list of keys: sorted, distinct, unknown ids
+    left out.  The keys (a top-K list) travel with the tasks; a row's own list is
+    looked up where it lies, without exploding it."""
+    known = pa.array([str(k) for k in keys], pa.string())
+
+    @F.arrow_udf("array<int>")
+    def look_up(lists: pa.Array) -> pa.Array:
+        flat = pc.index_in(lists.flatten(), value_set=known)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        edges = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(edges), flat)
+    return F.array_sort(F.array_distinct(F.filter(look_up(ids), lambda i: i.isNotNull())))
+
+
+def install_features(packed: DataFrame, vocab: DataFrame, user: str = "user_id", value: str = "value",
+                     key: str = "app_id", index: str = "idx", name: str = "app_name", prefix: str = "") -> DataFrame:
+    """Per user with a packed install list: ``feature`` = ``"idx:1 idx:1 ..."`` in
+    index order over the installed apps found in the vocabulary (users without
+    any are left out), ``apps`` = their names in the same order.  No row leaves
+    its place: there is one row per user already.  The vocabulary is the top-K
+    list (indexes 0 to K - 1), whose size is K; with ``prefix`` the lists' ids
+    carry it before the vocabulary's."""
+    entries = vocab.select(index, key, name).orderBy(index).collect()          # K rows
+    names = F.lit([e[name] for e in entries]) if entries else F.expr("cast(array() as array<string>)")
+    found = (packed.where(F.col(user).isNotNull() & F.col(value).isNotNull())
+             .select(user, vocabulary_index(packed_ids(F.col(value)), [f"{prefix}{e[key]}" for e in entries]).alias("_i"))
+             .where(F.size("_i") > 0))
+    return found.select(
         user,
-        F.array_join(F.transform("_a", lambda s: F.concat(s[index].cast("string"), F.lit(":1"))), " ")
-        .alias("feature"),
-        F.array_join(F.transform("_a", lambda s: s[name]), " ").alias("apps"),
-        F.size("_a").cast("bigint").alias("n_apps"))
+        F.array_join(F.transform("_i", lambda i: F.concat(i.cast("string"), F.lit(":1"))), " ").alias("feature"),
+        F.array_join(F.transform("_i", lambda i: F.get(names, i)), " ").alias("apps"),
+        F.size("_i").cast("bigint").alias("n_apps"))
 
 
 def install_stats(pairs: DataFrame, vocab: DataFrame, user: str = "user_id",

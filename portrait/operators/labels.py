@@ -25,6 +25,27 @@ def map_labels(df: DataFrame, value: str, mapping: DataFrame, key_col: str = "ke
     return joined.withColumn(out, (F.col("_code") - shift).cast("bigint")).drop("_k", "_code")
 
 
+def profile_labels(answers: DataFrame, kind: str = "kind", value: str = "value") -> DataFrame:
+    """Long table of answers (user_id, kind, value) -> (kind, user_id, label): the
+    code and answer tables of all profile labels as one lookup.  Occupations
+    compare case-insensitively and are shifted to 0-based; parents, children and
+    marriage take single letters of their tables; any consumption answer but A is
+    1 and an empty one none; ages up to 35 are 0, above 1; sexes are male 1,
+    female 0.  Answers without a label are left out."""
+    spark = answers.sparkSession
+    tables = ([("occupation", k.lower(), c - 1) for k, c in C.OCCUPATION_CODES]
+              + [("marriage", k, c) for k, c in C.MARRIAGE_ANSWERS] + [("parent", k, c) for k, c in C.PARENT_ANSWERS]
+              + [("child_stage", k, c) for k, c in C.CHILD_ANSWERS] + [("sex", k, c) for k, c in C.SEXES])
+    fixed = F.broadcast(spark.createDataFrame(tables, "_kind string, _key string, _code long"))
+    v = F.when(F.col(kind) == "occupation", F.lower(F.trim(value))).otherwise(F.col(value))
+    age = F.col(value).try_cast("int")
+    by_rule = (F.when((F.col(kind) == "consumption") & (F.col(value) != ""), (F.col(value) != C.CONSUMPTION_LOW).cast("long"))
+               .when((F.col(kind) == "marriage_by_age") & age.isNotNull(), (age > C.MARRIAGE_AGE).cast("long")))
+    label = F.coalesce(by_rule, F.col("_code"))
+    return (answers.join(fixed, (F.col(kind) == F.col("_kind")) & (v == F.col("_key")), "left")
+            .select(F.col(kind).alias("kind"), "user_id", label.alias("label")).where(F.col("label").isNotNull()))
+
+
 def single_choice(c: Column) -> Column:
     """Predicate: answer is exactly one character (multi-choice dropped)."""
     return F.length(c) == 1

@@ -6,6 +6,8 @@ optimiser runs, so a lost executor does not replay the feature plan."""
 from __future__ import annotations
 
 
+from typing import Sequence
+
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, HashingTF, NGram
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -38,10 +40,12 @@ def split(df: DataFrame, id_col: str, threshold_hex: str = "cccccccc"):
 
 
 def train_lr(train: DataFrame, features: str = "features", label: str = "label", multinomial: bool = False,
-             max_iter: int = 100, reg: float = 0.0, intercept: bool = False):
+             max_iter: int = 100, reg: float = 0.0, intercept: bool = False, stored: bool = False):
+    """Logistic regression; ``stored`` says that the rows are frozen already."""
     lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg,
                             fitIntercept=intercept, family="multinomial" if multinomial else "auto")
-    return lr.fit(freeze(train.select(features, label)))
+    rows = train.select(features, label)
+    return lr.fit(rows if stored else freeze(rows))
 
 
 def train_svm(train: DataFrame, features: str = "features", label: str = "label", max_iter: int = 100,
@@ -60,6 +64,39 @@ def top1(model_out: DataFrame, prob: str = "probability") -> tuple[Column, Colum
     return F.col("prediction"), F.array_max(arr)
 
 
+def top_down(scores: Column, parent_of: Sequence[int]) -> tuple[Column, Column, Column, Column]:
+    """Two-level decision from the scores of child classes (``parent_of[i]`` is
+    the parent of class i): the parent with the largest sum of its children's
+    scores, that sum, the child with the largest score among that parent's own
+    children, and its score.  Ties go to the first class."""
+    sums = F.array(*[sum(F.get(scores, F.lit(i)) for i, p in enumerate(parent_of) if p == k)
+                     for k in range(max(parent_of) + 1)])
+    parent = (F.array_position(sums, F.array_max(sums)) - 1).cast("int")
+    own = F.transform(scores, lambda x, i: F.when(F.get(F.lit(list(parent_of)), i) == parent, x))
+    child = (F.array_position(own, F.array_max(own)) - 1).cast("int")
+    return parent, F.array_max(sums), child, F.array_max(own)
+
+
+def stacked(spark, models: dict) -> DataFrame:
+    """Binary linear models as rows (tag, weights, intercept)."""
+    rows = [(tag, [float(x) for x in m.coefficients.toArray()], float(m.intercept)) for tag, m in models.items()]
+    return spark.createDataFrame(rows, "tag string, weights array<double>, intercept double")
+
+
+def dot(x: Column, weights: Column) -> Column:
+    return F.aggregate(F.zip_with(x, weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+
+
+def score_all(df: DataFrame, id_col: str, vector: str, models: DataFrame) -> DataFrame:
+    """(id, tag, value): the positive score of every stacked model for every
+    row, in one pass over the rows; the stack (models times dimensions) is a
+    literal of the plan."""
+    stack = models.select(F.array_sort(F.collect_list(F.struct("tag", "weights", "intercept")))).scalar()
+    scored = F.transform(F.col("_stack"), lambda m: F.struct(
+        m["tag"].alias("tag"), (1 / (1 + F.exp(-(dot(F.col(vector), m["weights"]) + m["intercept"])))).alias("value")))
+    return df.select(id_col, vector, stack.alias("_stack")).select(id_col, F.inline(scored))
+
+
 def text_features(df: DataFrame, tokens: str, bits: int = 18) -> DataFrame:
     """Unigrams and bigrams hashed into a sparse vector."""
     with_bi = NGram(n=2, inputCol=tokens, outputCol="_bigrams").transform(df)

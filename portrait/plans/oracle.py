@@ -76,6 +76,10 @@ ORACLE_SQL["latest_partition"] = """
 WITH o AS (SELECT o_orderkey, o_custkey, CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS stat_date FROM orders)
 SELECT * FROM o WHERE stat_date = (SELECT max(stat_date) FROM o)"""
 
+ORACLE_SQL["latest_partition_table"] = """
+WITH o AS (SELECT o_orderkey, o_custkey, CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) AS stat_date FROM orders)
+SELECT * FROM o WHERE stat_date = (SELECT max(stat_date) FROM o)"""
+
 ORACLE_SQL["clean_rows"] = """
 SELECT DISTINCT user_id, event_type, item_id FROM (
   SELECT user_id, nullif(nullif(event_type, 'error'), '') AS event_type, props->>'$.k' AS item_id, props
@@ -352,7 +356,7 @@ _LABELS = """
   ld AS (SELECT imei, pred || '@' || label AS labels, count(*) AS times, stat_date FROM base
          WHERE imei IS NOT NULL AND pred IS NOT NULL AND label IS NOT NULL GROUP BY imei, pred, label, stat_date)
 """
-ORACLE_SQL["label_daily"] = f"WITH {_LABELS} SELECT * FROM ld"
+ORACLE_SQL["label_daily"] = f"WITH {_LABELS} SELECT * FROM ld WHERE stat_date = {P.AS_OF.strftime('%Y%m%d')}"
 _PSINCE = _off(P.PROFILE_AS_OF, -1, 0).strftime("%Y%m%d")
 ORACLE_SQL["label_profile"] = f"""WITH {_LABELS},
   sc AS (SELECT imei, labels, round(sum(CAST(times AS DECIMAL(20,0)) *
@@ -384,12 +388,15 @@ ORACLE_SQL["run_metrics"] = """
 SELECT count(*) AS rows, count(DISTINCT user_id) AS users, count(DISTINCT props->>'$.k') AS items,
        count(DISTINCT (user_id, props->>'$.k')) AS user_items FROM events"""
 
-ORACLE_SQL["questionnaire_best"] = """
-WITH s AS (SELECT user_id, event_type,
-                  CAST(sum(CASE WHEN coalesce(props->>'$.k', '') <> '' THEN 1 ELSE 0 END) AS BIGINT) AS answered
-           FROM events GROUP BY user_id, event_type),
+ORACLE_SQL["questionnaire_best"] = f"""
+WITH q AS (SELECT o_custkey AS user_id, o_orderstatus AS a0,
+                  CASE WHEN o_totalprice < {P.POOR_SHEET} THEN '' ELSE substr(o_orderpriority, 1, 1) END AS a1,
+                  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(year(o_orderdate) % 3 AS VARCHAR) END AS a10 FROM orders),
+     s AS (SELECT DISTINCT user_id, concat_ws(';', '0=' || a0, '1=' || a1, '10=' || a10) AS answers,
+                  CAST((coalesce(a0, '') <> '')::INT + (coalesce(a1, '') <> '')::INT + (coalesce(a10, '') <> '')::INT AS BIGINT) AS answered
+           FROM q),
      b AS (SELECT user_id, max(answered) AS m FROM s GROUP BY user_id)
-SELECT s.user_id, s.event_type, s.answered, c.c_custkey, c.c_name
+SELECT s.user_id, s.answers, s.answered, c.c_custkey, c.c_name
 FROM s JOIN b ON b.user_id = s.user_id AND s.answered = b.m JOIN customer c ON c.c_custkey = s.user_id"""
 
 # ---------------------------------------------------------------- text / content
@@ -716,3 +723,44 @@ ORACLE_SQL["sparse_features"] = f"""WITH {_TOPK},
 SELECT user_id, CAST(count(*) AS BIGINT) AS nnz, string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY idx) AS indices
 FROM f GROUP BY user_id"""
 
+# ---------------------------------------------------------------- further forms
+def _pairs_sql(rows) -> str:
+    return ", ".join(f"('{k}', {c})" for k, c in rows)
+
+
+from portrait import config as _C  # noqa: E402
+
+_CODES = ", ".join(f"'{k}'" for k, _ in _C.OCCUPATION_CODES) + ", 'it', '?'"
+_LETTER = "substr('ABCDEFGH', CAST(c_custkey * {} % 8 + 1 AS BIGINT), 1)"
+ORACLE_SQL["profile_label_maps"] = f"""
+WITH c AS (SELECT c_custkey AS user_id, ([{_CODES}])[c_custkey % {len(_C.OCCUPATION_CODES) + 2} + 1] AS occupation,
+                  {_LETTER.format(3)} AS marriage, {_LETTER.format(1)} AS parent, {_LETTER.format(5)} AS child,
+                  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE {_LETTER.format(7)} END AS consumption, c_custkey % 60 + 10 AS age,
+                  CASE WHEN c_custkey % 5 = 4 THEN NULL WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex FROM customer),
+  oc(k, v) AS (VALUES {_pairs_sql([(k.lower(), c - 1) for k, c in _C.OCCUPATION_CODES])}),
+  ma(k, v) AS (VALUES {_pairs_sql(_C.MARRIAGE_ANSWERS)}), pa(k, v) AS (VALUES {_pairs_sql(_C.PARENT_ANSWERS)}),
+  ch(k, v) AS (VALUES {_pairs_sql(_C.CHILD_ANSWERS)})
+SELECT 'occupation' AS kind, user_id, CAST(v AS BIGINT) AS label FROM c JOIN oc ON lower(c.occupation) = oc.k
+UNION ALL SELECT 'marriage', user_id, v FROM c JOIN ma ON ma.k = marriage
+UNION ALL SELECT 'parent', user_id, v FROM c JOIN pa ON pa.k = parent
+UNION ALL SELECT 'child_stage', user_id, v FROM c JOIN ch ON ch.k = child
+UNION ALL SELECT 'consumption', user_id, CASE WHEN consumption = 'A' THEN 0 ELSE 1 END FROM c WHERE consumption <> ''
+UNION ALL SELECT 'marriage_by_age', user_id, CASE WHEN age <= 35 THEN 0 ELSE 1 END FROM c
+UNION ALL SELECT 'sex', user_id, CASE sex WHEN 'male' THEN 1 ELSE 0 END FROM c WHERE sex IS NOT NULL"""
+
+ORACLE_SQL["downsample_negatives"] = f"""
+SELECT doc_id, CAST(quality AS BIGINT) AS label FROM labels
+WHERE quality = 1 OR (quality = 0 AND CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0
+                      < {P.NEGATIVE_FRACTION})"""
+
+ORACLE_SQL["hive_text_table"] = f"""
+SELECT user_id, parent, nullif(child_stage, 'null') AS child_stage, marriage, CAST({P.AS_OF.strftime('%Y%m%d')} AS BIGINT) AS stat_date
+FROM ({ORACLE_SQL["consistency_merge"]}) m"""
+
+_VALID = "SELECT count(*) FROM embeddings WHERE NOT substring(md5(CAST(vec_id AS VARCHAR)), 1, 8) < 'cccccccc'"
+ORACLE_SQL["model_score_check"] = f"""
+SELECT 'lr_binary' AS model, ({_VALID}) AS scored, CAST(0 AS BIGINT) AS wrong
+UNION ALL SELECT 'svm_binary', ({_VALID}), 0
+UNION ALL SELECT 'lr_multiclass', ({_VALID}), 0
+UNION ALL SELECT 'batch_score', (SELECT 11 * count(*) FROM embeddings), 0
+UNION ALL SELECT 'text_classify', (SELECT count(*) FROM documents), 0"""

@@ -4,6 +4,8 @@ These are parameters of the queries, not row caps: every query reads its whole
 input tables."""
 
 import datetime as _dt
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 AS_OF = _dt.date(2024, 1, 16)        # job date for the event-table jobs
 PROFILE_AS_OF = _dt.date(2024, 1, 31)  # as-of date for the decayed profile
@@ -19,3 +21,28 @@ SPLIT_HEX = "cccccccc"                 # md5 prefix below this -> train (0.8)
 TRAIN_MIN_SUPPORT = 10                 # class support needed in exported training lines
 TRAIN_MONTHS = -18                     # window of the content training lines, in months before the job date
 TRAIN_SOURCE = "src2"                  # source of the content training lines
+NEGATIVE_FRACTION = 0.3                # share of the negatives kept in a training set
+FILE_BYTES = 64 << 20                  # wanted size of an exported file
+POOR_SHEET = 120000                    # orders below this price leave the second answer empty
+
+_job_day: ContextVar[_dt.date | None] = ContextVar("job_day", default=None)
+
+
+def as_of() -> _dt.date:
+    """The running job's date (of this thread of work alone), else AS_OF."""
+    return _job_day.get() or AS_OF
+
+
+def profile_as_of() -> _dt.date:
+    return _job_day.get() or PROFILE_AS_OF
+
+
+@contextmanager
+def job_day(day: _dt.date):
+    """Queries built inside are those of that day, whatever other jobs of the
+    process run."""
+    token = _job_day.set(day)
+    try:
+        yield
+    finally:
+        _job_day.reset(token)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from portrait.operators import labels as L
 from portrait.operators import longform as LF
 from portrait.operators import models as MD
 from portrait.operators import profiles as PR
+from portrait.operators import questionnaire as QN
 from portrait.operators import sampling as SM
 from portrait.operators import shopping as SH
 from portrait.plans import params as P
@@ -40,15 +42,14 @@ def query(name: str):
 
 
 # ---------------------------------------------------------------- installs
-def app_catalog(spark, sf) -> DataFrame:
-    """Catalogue listings: one row per (app, listing) with its install count;
-    an app has several listings, the best one is kept by ``dedupe_catalog``."""
+def app_listings(spark, sf) -> DataFrame:
+    """Catalogue listings: one row per (app, listing) with its install count; an
+    app has several listings, the best one is kept by ``best_listing``.  Apps
+    without a name are left out (keys only: names join after the cut)."""
     li = table(spark, sf, "lineitem")
     listings = (li.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("install_num"))
                 .select(F.col("l_partkey").alias("app_id"), "install_num"))
-    names = table(spark, sf, "part").select(F.col("p_partkey").alias("app_id"),
-                                             F.col("p_name").alias("app_name"))
-    return listings.join(names, "app_id", "inner")
+    return listings.join(table(spark, sf, "part").select(F.col("p_partkey").alias("app_id")), "app_id", "left_semi")
 
 
 def install_pairs(spark, sf) -> DataFrame:
@@ -59,20 +60,25 @@ def install_pairs(spark, sf) -> DataFrame:
     return o.join(li, "o_orderkey").select("user_id", "app_id")
 
 
-def vocab_pairs(spark, sf, vocab: DataFrame) -> DataFrame:
-    """(user, app) rows restricted to vocabulary apps: lineitem is semi-joined
-    to the broadcast top-K list (bounded by K) before the shuffle join with
-    orders, so only rows that can become features are shuffled."""
-    o = table(spark, sf, "orders").select(F.col("o_orderkey"), F.col("o_custkey").alias("user_id"))
-    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
-                                              F.col("l_partkey").alias("app_id"))
-    li = li.join(F.broadcast(vocab.select("app_id")), "app_id", "left_semi")   # <= TOP_K rows by construction
-    return o.join(li, "o_orderkey").select("user_id", "app_id")
+def packed_installs(spark, sf, prefix: str = "") -> DataFrame:
+    """The install table: one row per user with the packed list ``id:count ...``,
+    stored as the upstream job leaves it."""
+    pairs = install_pairs(spark, sf).groupBy("user_id", "app_id").agg(F.count(F.lit(1)).alias("n"))
+    item = F.concat(F.lit(prefix), F.col("app_id").cast("string"), F.lit(":"), F.col("n").cast("string"))
+    path = scratch_path(spark, "installs")
+    pairs.groupBy("user_id").agg(F.array_join(F.collect_list(item), " ").alias("value")).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def top_apps(spark, sf) -> DataFrame:
-    """Top-K vocabulary, checkpointed: at most K rows, reused by several joins."""
-    return freeze(feat.topk_catalog(feat.dedupe_catalog(app_catalog(spark, sf)), P.TOP_K))
+    """Top-K vocabulary with names, checkpointed: at most K rows, reused by several joins."""
+    top = feat.topk_catalog(feat.best_listing(app_listings(spark, sf)), P.TOP_K)
+    names = table(spark, sf, "part").select(F.col("p_partkey").alias("app_id"), F.col("p_name").alias("app_name"))
+    return freeze(F.broadcast(top).join(names, "app_id"))
+
+
+def install_rows(spark, sf) -> DataFrame:
+    return feat.install_features(packed_installs(spark, sf), top_apps(spark, sf))
 
 
 @query("topk_catalog")
@@ -82,24 +88,18 @@ def q_topk_catalog(spark, sf):
 
 @query("catalog_index")
 def q_catalog_index(spark, sf):
-    cat = feat.dedupe_catalog(app_catalog(spark, sf))
-    return feat.catalog_index(cat).select("app_id", "install_num", "idx")
+    return feat.catalog_index(feat.best_listing(app_listings(spark, sf))).select("app_id", "install_num", "idx")
 
 
 @query("install_features")
 def q_install_features(spark, sf):
-    vocab = top_apps(spark, sf)
-    return feat.install_features(vocab_pairs(spark, sf, vocab), vocab)
+    return install_rows(spark, sf)
 
 
 @query("install_features_prefixed")
 def q_install_features_prefixed(spark, sf):
-    """First population: its install ids carry the '11' prefix, so the
-    vocabulary keys are prefixed before the broadcast join."""
-    vocab = top_apps(spark, sf)
-    pairs = vocab_pairs(spark, sf, vocab).select(
-        "user_id", F.concat(F.lit("11"), F.col("app_id").cast("string")).alias("app_id"))
-    return feat.install_features(pairs, feat.prefixed_vocab(vocab, "11"))
+    """First population: the ids of its lists carry the '11' prefix."""
+    return feat.install_features(packed_installs(spark, sf, "11"), top_apps(spark, sf), prefix="11")
 
 
 @query("install_stats")
@@ -117,15 +117,15 @@ def q_install_flag(spark, sf):
 
 @query("scan_partition")
 def q_scan_partition(spark, sf):
-    ev = TB.ts_day_slice(table(spark, sf, "events"), "ts", P.AS_OF)
+    ev = TB.ts_day_slice(table(spark, sf, "events"), "ts", P.as_of())
     return ev.select("event_id", "user_id", "event_type", "stat_date")
 
 
 @query("scan_date_range")
 def q_scan_date_range(spark, sf):
     """History window [d - 1 month, d - 1 day) with the lenient calendar."""
-    lo = D.offset_date_py(P.AS_OF, -1, 0)
-    hi = D.offset_date_py(P.AS_OF, 0, -1)
+    lo = D.offset_date_py(P.as_of(), -1, 0)
+    hi = D.offset_date_py(P.as_of(), 0, -1)
     ev = TB.ts_range_slice(table(spark, sf, "events"), "ts", lo, hi)
     prev = F.date_format(D.offset_date(F.to_date("ts"), -1, 0), "yyyyMMdd")
     return ev.select("event_id", "user_id", "stat_date", prev.alias("prev_month_day"))
@@ -133,9 +133,9 @@ def q_scan_date_range(spark, sf):
 
 @query("scan_hour_prefix")
 def q_scan_hour_prefix(spark, sf):
-    day = TB.ts_day_slice(table(spark, sf, "events"), "ts", P.AS_OF)
+    day = TB.ts_day_slice(table(spark, sf, "events"), "ts", P.as_of())
     ev = TB.with_partition_cols(day, F.col("ts"))
-    return TB.scan_hour_prefix(ev, P.AS_OF).select("event_id", "stat_hour")
+    return TB.scan_hour_prefix(ev, P.as_of()).select("event_id", "stat_hour")
 
 
 @query("latest_partition")
@@ -144,6 +144,16 @@ def q_latest_partition(spark, sf):
     return TB.latest_partition(o).select("o_orderkey", "o_custkey", "stat_date")
 
 
+@query("latest_partition_table")
+def q_latest_partition_table(spark, sf):
+    """The newest partition of a catalogue table, found from its metadata; one
+    partition is read."""
+    name = f"orders_by_month_{uuid.uuid4().hex[:8]}"
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyyMM").cast("bigint").alias("stat_date"))
+    (o.repartition("stat_date").write.partitionBy("stat_date").option("path", scratch_path(spark, "orders-by-month")).saveAsTable(name))
+    return TB.latest_partition_of_table(spark, name).select("o_orderkey", "o_custkey", "stat_date")
+
+
 # ---------------------------------------------------------------- cleaning
 @query("clean_rows")
 def q_clean_rows(spark, sf):
@@ -196,6 +206,24 @@ def q_answer_labels(spark, sf):
         .select("user_id", "answer", "label")
 
 
+@query("profile_label_maps")
+def q_profile_label_maps(spark, sf):
+    """Every answer and code table of the profile labels in one long table (kind,
+    user_id, label).  Answers are letters A-H made of the customer's figures."""
+    c = table(spark, sf, "customer")
+    letter = lambda n: F.substring(F.lit("ABCDEFGH"), (F.col("c_custkey") * n % 8 + 1).cast("int"), 1)
+    codes = F.array(*[F.lit(k) for k, _ in C.OCCUPATION_CODES], F.lit("it"), F.lit("?"))
+    occupation = F.get(codes, (F.col("c_custkey") % (len(C.OCCUPATION_CODES) + 2)).cast("int"))
+    age = (F.col("c_custkey") % 60 + 10).cast("int")
+    sex = F.when(F.col("c_custkey") % 5 == 4, F.lit(None)).when(F.col("c_custkey") % 2 == 0, "male").otherwise("female")
+    rows = c.select(F.col("c_custkey").alias("user_id"), F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), value.alias("value")) for kind, value in (
+            ("occupation", occupation), ("marriage", letter(3)), ("parent", letter(1)), ("child_stage", letter(5)),
+            ("consumption", F.when(F.col("c_custkey") % 7 == 0, F.lit("")).otherwise(letter(7))),
+            ("marriage_by_age", age.cast("string")), ("sex", sex))])))
+    return L.profile_labels(rows)
+
+
 @query("label_distribution")
 def q_label_distribution(spark, sf):
     return L.label_distribution(segment_labels(spark, sf))
@@ -203,8 +231,7 @@ def q_label_distribution(spark, sf):
 
 @query("train_predict_sets")
 def q_train_predict_sets(spark, sf):
-    vocab = top_apps(spark, sf)
-    users = feat.install_features(vocab_pairs(spark, sf, vocab), vocab).select("user_id")
+    users = install_rows(spark, sf).select("user_id")
     return L.train_predict_split(users, segment_labels(spark, sf), "user_id").select("user_id", "label", "split")
 
 
@@ -332,7 +359,7 @@ def ad_monitor_log(spark, sf, start=None, end=None) -> DataFrame:
 
 
 def _yesterday():
-    return P.AS_OF - _dt.timedelta(days=1)
+    return P.as_of() - _dt.timedelta(days=1)
 
 
 def ad_labels(spark, sf) -> DataFrame:
@@ -342,9 +369,9 @@ def ad_labels(spark, sf) -> DataFrame:
 
 
 def ad_history(spark, sf) -> DataFrame:
-    lo = int(D.offset_date_py(P.AS_OF, -1, 0).strftime("%Y%m%d"))
-    hi = int(D.offset_date_py(P.AS_OF, 0, -1).strftime("%Y%m%d"))
-    log = ad_monitor_log(spark, sf, D.offset_date_py(P.AS_OF, -1, 0), D.offset_date_py(P.AS_OF, 0, -1))
+    lo = int(D.offset_date_py(P.as_of(), -1, 0).strftime("%Y%m%d"))
+    hi = int(D.offset_date_py(P.as_of(), 0, -1).strftime("%Y%m%d"))
+    log = ad_monitor_log(spark, sf, D.offset_date_py(P.as_of(), -1, 0), D.offset_date_py(P.as_of(), 0, -1))
     return AD.click_history(log.where((F.col("stat_date") >= lo) & (F.col("stat_date") < hi)))
 
 
@@ -381,7 +408,7 @@ def _ctr_rows(spark, sf) -> DataFrame:
 
 def month_window():
     """Job days of the training window: [d - 1 month, d)."""
-    return D.offset_date_py(P.AS_OF, -1, 0), P.AS_OF
+    return D.offset_date_py(P.as_of(), -1, 0), P.as_of()
 
 
 @query("ad_training_month")
@@ -475,14 +502,14 @@ def daily_actions(spark, sf, lo: _dt.date, hi: _dt.date) -> DataFrame:
 
 def ranged_actions(spark, sf) -> DataFrame:
     """Actions of the open range (job date - RANGE_DAYS, job date)."""
-    lo = P.AS_OF - _dt.timedelta(days=P.RANGE_DAYS)
-    bounds = (int(d.strftime("%Y%m%d")) for d in (lo, P.AS_OF))
-    return PR.actions_range(daily_actions(spark, sf, lo, P.AS_OF), *bounds)
+    lo = P.as_of() - _dt.timedelta(days=P.RANGE_DAYS)
+    bounds = (int(d.strftime("%Y%m%d")) for d in (lo, P.as_of()))
+    return PR.actions_range(daily_actions(spark, sf, lo, P.as_of()), *bounds)
 
 
 @query("user_actions_daily")
 def q_user_actions_daily(spark, sf):
-    return daily_actions(spark, sf, P.AS_OF, P.AS_OF + _dt.timedelta(days=1)) \
+    return daily_actions(spark, sf, P.as_of(), P.as_of() + _dt.timedelta(days=1)) \
         .select("imei", "item_id", "action", "frequency")
 
 
@@ -497,40 +524,46 @@ def q_item_rating(spark, sf):
 
 
 # ---------------------------------------------------------------- daily labels / profile
-LABEL_EVENT_TYPES = ("click", "view", "purchase", "signup")
+LABEL_SOURCES = ("click", "view", "purchase", "signup")
 
 
-def label_sources(spark, sf, lo: _dt.date | None = None, hi: _dt.date | None = None) -> list[DataFrame]:
-    """(user, pred, label, day) rows.  In production these are several result
-    tables unioned by ``label_daily``; here all of them live in ``events``, so
-    they are read with one scan (a filter per source would become one scan
-    per source after predicate pushdown).  With bounds, of the days [lo, hi)."""
-    ev = table(spark, sf, "events")
-    if lo is not None:
-        ev = TB.ts_range_slice(ev, "ts", lo, hi)
-    ev = ev.where(F.col("event_type").isin(*LABEL_EVENT_TYPES))
+def label_rows(spark, sf, lo: _dt.date, hi: _dt.date) -> DataFrame:
+    """(source, imei, pred, label, stat_date) rows of the days [lo, hi)."""
+    ev = TB.ts_range_slice(table(spark, sf, "events"), "ts", lo, hi).where(F.col("event_type").isin(*LABEL_SOURCES))
     part = table(spark, sf, "part").select(F.col("p_partkey"), F.col("p_brand").alias("pred"),
                                            F.col("p_type").alias("label"))
-    base = ev.select(F.md5(F.col("user_id").cast("string")).alias("imei"),
-                     F.get_json_object("props", "$.k").try_cast("bigint").alias("p_partkey"),
-                     D.stat_date(F.col("ts")).alias("stat_date")).join(part, "p_partkey")
-    return [base]
+    return ev.select(F.col("event_type").alias("source"), F.md5(F.col("user_id").cast("string")).alias("imei"),
+                     F.get_json_object("props", "$.k").try_cast("bigint").alias("p_partkey"), "stat_date").join(part, "p_partkey") \
+        .select("source", "imei", "pred", "label", "stat_date")
 
 
-def daily_labels(spark, sf, lo: _dt.date | None = None, hi: _dt.date | None = None) -> DataFrame:
-    return PR.label_daily(label_sources(spark, sf, lo, hi))
+def label_sources(spark, sf) -> list[DataFrame]:
+    """The result tables of the four sources, each read for the job date only.
+    Here one event type stands for each; they are written first, a folder per
+    source and day, as their own jobs leave them."""
+    day = P.as_of()
+    path = scratch_path(spark, "label-results")
+    label_rows(spark, sf, day - _dt.timedelta(days=1), day + _dt.timedelta(days=1)).repartition("source", "stat_date") \
+        .write.partitionBy("source", "stat_date").parquet(path)
+    results = spark.read.schema("imei string, pred string, label string, source string, stat_date long").parquet(path)
+    return [TB.scan_partition(results.where(F.col("source") == s), day) for s in LABEL_SOURCES]
 
 
 def profile(spark, sf, **form) -> DataFrame:
     """Decayed profile as of PROFILE_AS_OF; only its month is scanned."""
-    since = D.offset_date_py(P.PROFILE_AS_OF, -1, 0)
-    daily = daily_labels(spark, sf, since, P.PROFILE_AS_OF + _dt.timedelta(days=1))
-    return PR.decayed_profile(daily, P.PROFILE_AS_OF, since, **form)
+    as_of = P.profile_as_of()
+    since = D.offset_date_py(as_of, -1, 0)
+    daily = PR.label_daily([label_rows(spark, sf, since, as_of + _dt.timedelta(days=1))])
+    return PR.decayed_profile(daily, as_of, since, **form)
 
 
 @query("label_daily")
 def q_label_daily(spark, sf):
-    return daily_labels(spark, sf)
+    """The job date's label counts over all sources; only that day's partition of
+    the record is replaced."""
+    path = scratch_path(spark, "label-record")
+    SK.overwrite_partitions(PR.label_daily(label_sources(spark, sf)), path)
+    return TB.scan_partition(spark.read.parquet(path), P.as_of()).withColumn("stat_date", F.col("stat_date").cast("bigint"))
 
 
 @query("label_profile")
@@ -560,26 +593,37 @@ def q_event_counts_sets(spark, sf):
 
 @query("run_metrics")
 def q_run_metrics(spark, sf):
+    """Rows, distinct users, items and user-item pairs, each distinct count from
+    its own distinct keys (a plain partial aggregate, no expanded copies)."""
     ev = table(spark, sf, "events").select("user_id", F.get_json_object("props", "$.k").alias("item_id"))
-    pairs = ev.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
-    both = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
-    return pairs.agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("rows"),
-                     F.count_distinct("user_id").alias("users"), F.count_distinct("item_id").alias("items"),
-                     F.count_if(both).alias("user_items"))
+    keys = lambda *c: ev.dropna(subset=list(c)).select(*c).distinct().select(F.count(F.lit(1))).scalar()
+    return ev.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", keys("user_id").alias("users"), keys("item_id").alias("items"), keys("user_id", "item_id").alias("user_items"))
+
+
+def answer_sheets(spark, sf) -> DataFrame:
+    """Raw sheets (user_id, content): an order is a sheet of three or four answers
+    as JSON; some are empty, one may be missing, one key is of no question, and
+    the order of the keys differs."""
+    o = table(spark, sf, "orders")
+    item = lambda k, v: F.concat(F.lit(f'"{k}":"'), v, F.lit('"'))
+    first = F.substring("o_orderpriority", 1, 1)
+    items = [item("0", F.col("o_orderstatus")),
+             item("1", F.when(F.col("o_totalprice") < P.POOR_SHEET, F.lit("")).otherwise(first)),
+             F.when(F.col("o_orderkey") % 5 != 0, item("10", (F.year("o_orderdate") % 3).cast("string"))),
+             item("17", F.col("o_orderkey").cast("string"))]
+    content = F.when(F.col("o_orderkey") % 2 == 0, F.concat_ws(",", *items)).otherwise(F.concat_ws(",", *items[::-1]))
+    return o.select(F.col("o_custkey").alias("user_id"), F.concat(F.lit("{"), content, F.lit("}")).alias("content"))
 
 
 @query("questionnaire_best")
 def q_questionnaire_best(spark, sf):
-    """Answer sheets per (user, sheet): answered = non-empty JSON answers;
-    keep each user's most complete sheets (ties kept); re-key to customers."""
-    ev = table(spark, sf, "events")
-    ans = F.get_json_object("props", "$.k")
-    sheets = (ev.groupBy("user_id", "event_type")
-              .agg(F.sum(F.when(F.coalesce(ans, F.lit("")) != "", 1).otherwise(0)).cast("bigint").alias("answered")))
-    top = L.rows_at_group_max(sheets, "user_id", "answered")
+    """Distinct answer sheets of each user, the most complete ones (ties kept),
+    re-keyed to customers."""
+    top = QN.best_sheets(QN.sheets(answer_sheets(spark, sf), "user_id", "content"), "user_id")
     cust = table(spark, sf, "customer").select("c_custkey", "c_name")
     return top.join(cust, top["user_id"] == cust["c_custkey"]).select(
-        "user_id", "event_type", "answered", "c_custkey", "c_name")
+        "user_id", QN.shown(F.col("answers")).alias("answers"), "answered", "c_custkey", "c_name")
 
 
 # ---------------------------------------------------------------- text / content
@@ -859,6 +903,13 @@ def q_balance_classes(spark, sf):
     return SM.balance_classes(lab, "doc_id", "label")
 
 
+@query("downsample_negatives")
+def q_downsample_negatives(spark, sf):
+    """A fraction of the negatives, all positives."""
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("bigint").alias("label"))
+    return SM.downsample(lab, "doc_id", "label", {0: P.NEGATIVE_FRACTION, 1: 1.0})
+
+
 @query("min_support_classes")
 def q_min_support_classes(spark, sf):
     d = table(spark, sf, "documents")
@@ -890,7 +941,7 @@ def content_training_rows(spark, sf) -> DataFrame:
     raw = F.when(F.col("doc_id") % 3 == 0, F.col("lang")).otherwise(F.concat_ws("_", "lang", "source"))
     a = a.withColumn("raw", raw)
     used = CT.taxonomy(a.select(TX.normalize_category(F.col("raw")).alias("name")))
-    day = F.date_sub(F.lit(P.AS_OF), (F.col("doc_id") % 900).cast("int"))
+    day = F.date_sub(F.lit(P.as_of()), (F.col("doc_id") % 900).cast("int"))
     return CT.normalize_categories(a, "raw", used).select(
         F.col("doc_id").alias("fid"), TX.tokenize(F.col("title")).alias("ftitle"), TX.tokenize(F.col("content")).alias("fcontent"),
         F.col("category").alias("fcategory"), F.col("category_id").alias("fcategory_id"), "level", F.col("source").alias("fsource"),
@@ -901,7 +952,7 @@ def content_training_rows(spark, sf) -> DataFrame:
 def q_content_train_lines(spark, sf):
     """``__label__<category>_<id>, <text>`` lines of one source in an 18-month
     window, in one folder for each field (title, content) and level."""
-    since = int(D.offset_date_py(P.AS_OF, P.TRAIN_MONTHS, 0).strftime("%Y%m%d"))
+    since = int(D.offset_date_py(P.as_of(), P.TRAIN_MONTHS, 0).strftime("%Y%m%d"))
     rows = content_training_rows(spark, sf).where((F.col("stat_date") >= since) & (F.col("fsource") == P.TRAIN_SOURCE))
     path = scratch_path(spark, "content-train")
     SK.export_lines(CT.training_lines(rows), F.col("line"), path, partition_by=["field", "level"])
@@ -914,13 +965,27 @@ def q_partition_overwrite(spark, sf):
     path = scratch_path(spark, "daily_counts")
     all_days = ev.groupBy("stat_date", "event_type").agg(F.count(F.lit(1)).alias("n"))
     SK.overwrite_partitions(all_days, path)
-    day = int(P.AS_OF.strftime("%Y%m%d"))
+    day = int(P.as_of().strftime("%Y%m%d"))
     redo = (ev.where((F.col("stat_date") == day) & (F.col("event_type") == "click"))
             .groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
     SK.overwrite_partition(redo, path, day)
     return spark.read.parquet(path).select(F.col("stat_date").cast("bigint").alias("stat_date"), "event_type", "n")
 
 
+@query("hive_text_table")
+def q_hive_text_table(spark, sf):
+    """Predictions as a text table (``\\x01`` between fields, ``\\N`` for null) in
+    files of a wanted size, one dated partition and a folder per marriage state,
+    read back."""
+    merged = q_consistency_merge(spark, sf).withColumn("child_stage", F.expr("nullif(child_stage, 'null')"))
+    path = scratch_path(spark, "text-table")
+    SK.write_delimited(merged.select("user_id", "parent", "child_stage", "marriage"), path, int(P.as_of().strftime("%Y%m%d")),
+                       partition_by=["marriage"], target_bytes=P.FILE_BYTES)
+    back = SK.read_delimited(spark, path, ["user_id", "parent", "child_stage"])
+    return back.select(F.col("user_id").cast("bigint").alias("user_id"), "parent", "child_stage", "marriage",
+                       F.col("stat_date").cast("bigint").alias("stat_date"))
+
+
 @query("guarded_write")
 def q_guarded_write(spark, sf):
     path = scratch_path(spark, "guarded")
@@ -961,9 +1026,9 @@ def q_eval_confusion(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("label"),
                                              lang_rule(F.col("text")).alias("prediction"))
     path = scratch_path(spark, "validation")
-    day = int(P.AS_OF.strftime("%Y%m%d"))
+    day = int(P.as_of().strftime("%Y%m%d"))
     SK.overwrite_partition(d, path, day)
-    stored = TB.scan_partition(spark.read.parquet(path), P.AS_OF)
+    stored = TB.scan_partition(spark.read.parquet(path), P.as_of())
     return EV.confusion_metrics(stored)
 
 
@@ -972,8 +1037,7 @@ def q_eval_confusion(spark, sf):
 
 @query("sparse_features")
 def q_sparse_features(spark, sf):
-    vocab = top_apps(spark, sf)
-    f = feat.install_features(vocab_pairs(spark, sf, vocab), vocab).select("user_id", "feature")
+    f = install_rows(spark, sf).select("user_id", "feature")
     idx = f.withColumn("idx", feat.sparse_indices(F.col("feature")))
     v = MD.sparse_from_indices(idx, "idx", P.TOP_K)
     nnz = F.size(F.filter(MD.vector_to_array(F.col("features")), lambda x: x != 0)).cast("bigint")
@@ -1015,8 +1079,7 @@ def q_install_model_labels(spark, sf):
     to known labels (unlabelled = predict set), train on the labelled part,
     tune the threshold on a hash hold-out, predict the rest, and publish known
     labels over predictions (known wins)."""
-    vocab = top_apps(spark, sf)
-    f = feat.install_features(vocab_pairs(spark, sf, vocab), vocab).select("user_id", "feature")
+    f = install_rows(spark, sf).select("user_id", "feature")
     vec = MD.sparse_from_indices(f.withColumn("idx", feat.sparse_indices(F.col("feature"))), "idx", P.TOP_K)
     known = segment_labels(spark, sf).select("user_id", (F.col("label") == 0).cast("bigint").alias("label"))
     # read for training, tuning and prediction: computed once
@@ -1050,53 +1113,112 @@ def q_svm_binary(spark, sf):
     return out.select("vec_id", "label", "prediction", MD.vector_to_array(F.col("rawPrediction"))[1].alias("margin"))
 
 
-LANG_IDS = [("en", 0.0), ("fr", 1.0), ("de", 2.0), ("es", 3.0)]
+LANGS = ["en", "fr", "de", "es"]
+CHILDREN = [f"{lang}-{q}" for lang in LANGS for q in (0, 1)]      # child classes: language and quality
 
 
 @query("text_classify")
 def q_text_classify(spark, sf):
-    """Two-level text classifier trained and applied in one job: level 1 =
-    quality (known labels), level 2 = language; every document is scored."""
+    """Two-level text classifier trained and applied in one job: level 1 = the
+    language, level 2 = the quality within that language.  One model over the
+    children; level 2 is chosen among the children of level 1 only.  The features
+    are written once, spread by document, so that training has many tasks."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", TX.tokens(F.col("text")).alias("tokens"))
-    feats = freeze(MD.text_features(docs, "tokens").select("doc_id", "lang", "features"))
-    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    m1 = MD.train_lr(feats.join(lab, "doc_id"), max_iter=30, reg=0.01)
-    langs = F.broadcast(spark.createDataFrame(LANG_IDS, "lang string, label double"))
-    train2, _ = MD.split(feats.join(langs, "lang"), "doc_id")
-    m2 = MD.train_lr(train2, multinomial=True, max_iter=30, reg=0.01)
-    s1 = m1.transform(feats)
-    p1, q1 = MD.top1(s1)
-    s1 = s1.select("doc_id", "features", p1.alias("pred_1"), q1.alias("prob_1"))
-    s2 = m2.transform(s1)
-    p2, q2 = MD.top1(s2)
-    return s2.select("doc_id", "pred_1", "prob_1", p2.alias("pred_2"), q2.alias("prob_2"))
-
-
-BATCH_TARGETS = [("low_class", lambda c: c < 5), ("even_class", lambda c: c.isin(0, 2, 4, 6, 8)),
-                 ("top_class", lambda c: c >= 7)]
+    tasks = spark.sparkContext.defaultParallelism
+    feats = freeze(MD.text_features(docs, "tokens").select("doc_id", "lang", "features").repartition(tasks, "doc_id"))
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    child = F.array_position(F.lit(CHILDREN), F.concat_ws("-", "lang", F.col("quality").cast("string"))) - 1
+    train = feats.join(lab, "doc_id").withColumn("label", child.cast("double")).where(F.col("label") >= 0)
+    model = MD.train_lr(train, multinomial=True, max_iter=30, reg=0.01)
+    parent, prob_1, own, prob_2 = MD.top_down(F.col("_p"), [i // 2 for i in range(len(CHILDREN))])
+    # a class without a training row has no score
+    scores = F.slice(F.concat(MD.vector_to_array(F.col("probability")), F.array_repeat(F.lit(0.0), len(CHILDREN))), 1, len(CHILDREN))
+    return model.transform(feats).select("doc_id", scores.alias("_p")).select(
+        "doc_id", F.get(F.lit(LANGS), parent).alias("pred_1"), prob_1.alias("prob_1"),
+        F.get(F.lit(CHILDREN), own).alias("pred_2"), prob_2.alias("prob_2"))
+
+
+# the tags of the batch scoring: one binary target each
+BATCH_TARGETS = [("gender", lambda c: c < 5), ("age", lambda c: c.isin(0, 2, 4, 6, 8)), ("marriage", lambda c: c >= 7),
+                 ("parent", lambda c: c < 3), ("child", lambda c: c.isin(1, 4, 7)), ("career", lambda c: c.isin(0, 9)),
+                 ("education", lambda c: c.isin(2, 3, 5)), ("estate", lambda c: c >= 4), ("car", lambda c: c.isin(6, 8)),
+                 ("income", lambda c: c >= 8), ("consumption", lambda c: c.isin(1, 2, 3, 4, 5))]
+
+
+def saved_models(spark, sf) -> dict:
+    """One model per tag, trained on the same stored rows, saved and loaded."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    train, _ = MD.split(embedding_rows(spark, sf), "vec_id")
+    train = freeze(train)
+    base, out = scratch_path(spark, "models"), {}
+    for tag, cond in BATCH_TARGETS:
+        model = MD.train_lr(train.withColumn("label", cond(F.col("label")).cast("double")), max_iter=20, stored=True)
+        MD.save_model(model, f"{base}/{tag}")
+        out[tag] = MD.load_model(f"{base}/{tag}", LogisticRegressionModel)
+    return out
 
 
 @query("batch_score")
 def q_batch_score(spark, sf):
-    """Train one model per tag, save each, load them back and score the same
-    feature table with all of them: long output (id, tag, value)."""
-    from pyspark.ml.classification import LogisticRegressionModel
-    rows = embedding_rows(spark, sf)
-    train, _ = MD.split(rows, "vec_id")
-    base = scratch_path(spark, "models")
-    for tag, cond in BATCH_TARGETS:
-        MD.save_model(MD.train_lr(train.withColumn("label", cond(F.col("label")).cast("double")), max_iter=50),
-                      f"{base}/{tag}")
-    feats = rows.select("vec_id", "features")
+    """Train one model per tag, save each, load them back and score the feature
+    table with all of them in one scan: long output (id, tag, value)."""
+    feats = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
     if feats.isEmpty():
         return spark.createDataFrame([], "vec_id bigint, tag string, value double")
-    out = None
-    for tag, _ in BATCH_TARGETS:
-        m = MD.load_model(f"{base}/{tag}", LogisticRegressionModel)
-        s = m.transform(feats)
-        t = s.select("vec_id", F.lit(tag).alias("tag"), MD.positive_score(s).alias("value"))
-        out = t if out is None else out.unionByName(t)
-    return out
+    return MD.score_all(feats, "vec_id", "v", MD.stacked(spark, saved_models(spark, sf)))
+
+
+def _wrong(df: DataFrame, name: str, bad) -> DataFrame:
+    return df.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("scored"),
+                  F.coalesce(F.count_if(F.coalesce(bad, F.lit(True))), F.lit(0)).alias("wrong"))
+
+
+@query("model_score_check")
+def q_model_score_check(spark, sf):
+    """For each linear model the number of validation rows, and of those whose
+    score differs from one recomputed from the model's weights alone; for the
+    tags against each saved model's own transform; for the text classifier, whose
+    second level is no child of the first or whose scores are out of order."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    rows = freeze(embedding_rows(spark, sf))
+    binary = rows.withColumn("label", (F.col("label") < 5).cast("double"))
+    near = lambda a, b: F.abs(a - b) > 1e-9
+    array = lambda m: F.lit([float(x) for x in m])
+    out = []
+    train, valid = MD.split(binary, "vec_id")
+    lr, svm = MD.train_lr(train), MD.train_svm(train)
+    scored = lr.transform(valid)
+    margin = MD.dot(F.col("v"), array(lr.coefficients.toArray())) + lr.intercept
+    out.append(_wrong(scored.select("vec_id", MD.positive_score(scored).alias("s")).join(vectors, "vec_id"), "lr_binary",
+                      near(F.col("s"), 1 / (1 + F.exp(-margin)))))
+    margin = MD.dot(F.col("v"), array(svm.coefficients.toArray())) + svm.intercept
+    out.append(_wrong(svm.transform(valid).select("vec_id", MD.vector_to_array(F.col("rawPrediction"))[1].alias("s"), "prediction")
+                      .join(vectors, "vec_id"), "svm_binary",
+                      near(F.col("s"), margin) | ((margin > 0) != (F.col("prediction") == 1))))
+    train, valid = MD.split(rows, "vec_id")
+    many = MD.train_lr(train, multinomial=True)
+    matrix = [(array(w), float(b)) for w, b in zip(many.coefficientMatrix.toArray(), many.interceptVector.toArray(), strict=True)]
+    raw = F.array(*[MD.dot(F.col("v"), w) + b for w, b in matrix])
+    s = many.transform(valid).select("vec_id", "prediction", MD.vector_to_array(F.col("probability")).alias("p")).join(vectors, "vec_id")
+    s = s.withColumn("raw", raw).withColumn("e", F.transform("raw", lambda x: F.exp(x - F.array_max("raw"))))
+    total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
+    off = F.exists(F.zip_with("p", "e", lambda p, e: F.abs(p - e / total) > 1e-9), lambda x: x)
+    out.append(_wrong(s, "lr_multiclass", off | (F.array_position("raw", F.array_max("raw")) - 1 != F.col("prediction"))))
+    models = saved_models(spark, sf)
+    own = None
+    for tag, m in models.items():
+        t = m.transform(rows)
+        t = t.select("vec_id", F.lit(tag).alias("tag"), MD.positive_score(t).alias("s"))
+        own = t if own is None else own.unionByName(t)
+    tags = MD.score_all(vectors, "vec_id", "v", MD.stacked(spark, models))
+    out.append(_wrong(own.join(tags, ["vec_id", "tag"], "left"), "batch_score", near(F.col("s"), F.col("value"))))
+    text = q_text_classify(spark, sf)
+    out.append(_wrong(text, "text_classify", ~F.startswith("pred_2", F.concat("pred_1", F.lit("-"))) | (F.col("prob_2") > F.col("prob_1") + 1e-9)
+                      | (F.col("prob_1") > 1 + 1e-9) | (F.col("prob_1") < 0.25 - 1e-9)))
+    result = out[0]
+    for df in out[1:]:
+        result = result.unionByName(df)
+    return result
 
 
 def ctr_model(spark, sf):
@@ -1129,7 +1251,7 @@ def q_ctr_threshold(spark, sf):
 def q_publish_marker(spark, sf):
     base = scratch_path(spark, "ctr")
     SK.export_lines(ctr_weight_lines(spark, sf), F.col("line"), f"{base}/weights")
-    day = int(P.AS_OF.strftime("%Y%m%d"))
+    day = int(P.as_of().strftime("%Y%m%d"))
     SK.write_marker(spark, f"{base}/ready", day)
     marker = spark.read.text(f"{base}/ready").select(F.col("value").alias("marker"))
     n = spark.read.text(f"{base}/weights").select(F.count(F.lit(1)))

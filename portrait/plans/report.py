@@ -33,8 +33,9 @@ def summarize(df) -> dict:
         "partial_agg": "yes" if re.search(r"partial_", p) else "-",
         "window": "yes" if count("Window") else "-",
         "group_limit": "yes" if count("WindowGroupLimit") else "-",
-        "python": "yes" if (count("MapInPandas") or count("ArrowEvalPython") or count("BatchEvalPython")) else "-",
-        "pushed_filters": "yes" if re.search(r"PushedFilters: \[[^\]]+\]", p) else "-",
+        "python": "yes" if any(re.search(r"Python|InPandas|InArrow", o) for o in ops) else "-",
+        "pushed_filters": "yes" if any(re.sub(r"IsNotNull\([^)]*\),? ?", "", f) for f in
+                                       re.findall(r"PushedFilters: \[([^\]]*)\]", p)) else "-",
     }
 
 

@@ -56,13 +56,15 @@ def test_install_features_duplicates_unknown_and_prefix(spark):
     raw = spark.createDataFrame([("u1", "1:2 1:3 9:1"), ("u2", "7:1"), ("u3", None)], "imei string, value string")
     pairs = FE.parse_install_list(raw, "imei", "value")
     vocab = spark.createDataFrame([("1", "one", 0), ("9", "nine", 1)], "app_id string, app_name string, idx long")
-    f = {r.imei: r for r in FE.install_features(pairs, vocab, user="imei").collect()}
+    f = {r.imei: r for r in FE.install_features(raw, vocab, user="imei").collect()}
     assert set(f) == {"u1"}
-    assert f["u1"].feature == "0:1 1:1" and f["u1"].apps == "one nine"
+    assert f["u1"].feature == "0:1 1:1" and f["u1"].apps == "one nine" and f["u1"].n_apps == 2
     st = FE.install_stats(pairs, vocab, user="imei").first()
     assert (st.users_total, st.users_empty, st.users_kept, st.min_len, st.max_len) == (2, 1, 1, 2, 2)
-    pv = FE.prefixed_vocab(vocab, "11")
-    assert sorted(r.app_id for r in pv.collect()) == ["111", "119"]
+    prefixed = spark.createDataFrame([("u1", "119:2 9:3 111:1"), ("u2", "1:1"), (None, "111:1"), ("u4", "")], "imei string, value string")
+    f = FE.install_features(prefixed, vocab, user="imei", prefix="11").collect()
+    assert [tuple(r) for r in f] == [("u1", "0:1 1:1", "one nine", 2)]
+    assert FE.install_features(raw, vocab.limit(0), user="imei").count() == 0
 
 
 def test_sparse_indices_drop_malformed(spark):

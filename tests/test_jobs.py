@@ -33,6 +33,41 @@ def test_windows_end_at_the_job_date(spark):
     assert (params.AS_OF, params.PROFILE_AS_OF) == before
 
 
+def test_two_jobs_of_one_process_keep_their_dates(spark):
+    """Queries built by threads at the same time, read later."""
+    import datetime as dt
+    import threading
+    got, gate = {}, threading.Barrier(2)
+
+    def build(day):
+        with params.job_day(day):
+            gate.wait(30)
+            got[day] = QUERIES["scan_partition"](spark, SF_SMALL)
+            gate.wait(30)
+    days = [dt.date(2024, 1, 10), dt.date(2024, 1, 12)]
+    threads = [threading.Thread(target=build, args=(d,)) for d in days]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    for d in days:
+        assert {r[0] for r in got[d].select("stat_date").distinct().collect()} == {int(d.strftime("%Y%m%d"))}
+    assert params.as_of() == params.AS_OF
+
+
+def test_label_record_holds_the_job_date_only(spark):
+    out = scratch_path(spark, "warehouse")
+    for day in ("20240110", "20240111", "20240110"):
+        run_job(spark, "label_daily", day, SF_SMALL, out)
+    t = spark.read.parquet(f"{out}/label_daily")
+    assert {r[0] for r in t.select("stat_date").distinct().collect()} == {20240110, 20240111}
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").where(F.col("event_type") != "error")
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    n = ev.where(F.to_date("ts") == F.lit("2024-01-10")).withColumn("p_partkey", F.get_json_object("props", "$.k").cast("long")) \
+        .join(part, "p_partkey").count()
+    assert t.where("stat_date = 20240110").agg(F.sum("times")).first()[0] == n
+
+
 def test_day_windows_reach_the_scan(spark):
     for key in ("scan_hour_prefix", "user_actions_daily", "user_actions_range", "item_rating", "label_profile",
                 "label_profile_entries"):

@@ -68,7 +68,8 @@ def test_hot_user_install_features_and_priority_union(spark):
         (F.col("id") % 100).alias("app_id"))
     vocab = spark.range(50).select(F.col("id").alias("app_id"), (49 - F.col("id")).alias("idx"),
                                    F.concat(F.lit("a"), F.col("id").cast("string")).alias("app_name"))
-    f = {r.user_id: r for r in FE.install_features(pairs, vocab).collect()}
+    packed = pairs.groupBy("user_id").agg(F.array_join(F.collect_list(F.concat(F.col("app_id").cast("string"), F.lit(":1"))), " ").alias("value"))
+    f = {r.user_id: r for r in FE.install_features(packed, vocab).collect()}
     rows = pairs.collect()
     want = collections.defaultdict(set)
     for r in rows:
