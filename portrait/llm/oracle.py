@@ -97,12 +97,34 @@ h AS (SELECT host, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUB
              list_reverse(string_split(host, '.')) AS parts FROM p LEFT JOIN o USING (page_id) GROUP BY host),
 k AS (SELECT host, n, bad, parts[1] AS suffix, CASE WHEN len(parts) > 1 THEN parts[2] || '.' || parts[1] ELSE host END AS domain
       FROM h),
-e AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0.5 END AS rate FROM k),
-sx AS (SELECT suffix, (sum(bad) + 10.0::DOUBLE * any_value(rate)) / (sum(n) + 10.0::DOUBLE) AS m FROM k, e GROUP BY suffix),
-dm AS (SELECT domain, (sum(bad) + 10.0::DOUBLE * any_value(m)) / (sum(n) + 10.0::DOUBLE) AS m FROM k JOIN sx USING (suffix)
-       GROUP BY domain),
-hm AS (SELECT host, n, (bad + 10.0::DOUBLE * m) / (n + 10.0::DOUBLE) AS m FROM k JOIN dm USING (domain)),
-j AS (SELECT host, m - 1.645::DOUBLE * sqrt(m * (1 - m) / (n + 11.0::DOUBLE)) > 0.5 AS blocked FROM hm)
+dg AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM k GROUP BY domain, suffix),
+sg AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM k GROUP BY suffix),
+lv AS (SELECT 0 AS l, '' AS parent, n, bad FROM sg WHERE n > 0 UNION ALL SELECT 1, suffix, n, bad FROM dg WHERE n > 0
+       UNION ALL SELECT 2, domain, n, bad FROM k WHERE n > 0),
+per AS (SELECT l, count(*) AS k, sum(n) AS w, sum(n * n) AS q, sum(bad) AS b, sum(bad * bad / n) AS s FROM lv GROUP BY l, parent),
+mom AS (SELECT l, sum(s - b * b / w - b / w * (1 - b / w) * (k - 1)) AS spare,
+               sum(b / w * (1 - b / w) * (w - q / w - (k - 1))) AS room FROM per GROUP BY l),
+st AS (SELECT l, CASE WHEN room > 0 THEN 1 / greatest(least(spare / room, 1 / 1.5::DOUBLE), 1 / 10001.0::DOUBLE) - 1
+                      ELSE 10.0::DOUBLE END AS m FROM mom),
+e AS (SELECT CASE WHEN sum(n) > 0 THEN (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1) ELSE 0.5::DOUBLE END AS rate,
+             coalesce((SELECT m FROM st WHERE l = 0), 10.0::DOUBLE) AS m0, coalesce((SELECT m FROM st WHERE l = 1), 10.0::DOUBLE) AS m1,
+             coalesce((SELECT m FROM st WHERE l = 2), 10.0::DOUBLE) AS m2 FROM k),
+sx AS (SELECT suffix, (bad + m0 * rate) / (n + m0) AS m FROM sg, e),
+dm AS (SELECT domain, (dg.bad + m1 * sx.m) / (dg.n + m1) AS m FROM dg JOIN sx USING (suffix), e),
+ab AS (SELECT host, bad + m2 * dm.m AS a, n - bad + m2 * (1 - dm.m) AS b FROM k JOIN dm USING (domain), e),
+rg AS (SELECT host, a, b, ln(a / b) AS y0, ln(a / b) - 8 * sqrt(1 / a + 1 / b) - 30 / a AS lo,
+              ln(a / b) + 8 * sqrt(1 / a + 1 / b) + 30 / b AS hi FROM ab),
+tp AS (SELECT *, a * y0 - (a + b) * (greatest(y0, 0) + ln(1 + exp(-abs(y0)))) AS top FROM rg),
+gr AS (SELECT host, side, any_value(lo) AS lo, any_value(hi) AS hi, any_value(abs(from_ - to_)) / 128
+              * sum(CASE WHEN i IN (0, 128) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                    * exp(a * y - (a + b) * (greatest(y, 0) + ln(1 + exp(-abs(y)))) - top)) AS area
+       FROM (SELECT *, from_ + i * (to_ - from_) / 128 AS y FROM (
+               SELECT *, 0 AS side, lo AS from_, 0.0::DOUBLE AS to_ FROM tp
+               UNION ALL SELECT *, 1, 0.0::DOUBLE, hi FROM tp) z, range(0, 129) g(i) WHERE lo < 0 AND hi > 0)
+       GROUP BY host, side),
+ar AS (SELECT host, sum(area) FILTER (side = 1) / sum(area) AS above FROM gr GROUP BY host),
+j AS (SELECT host, CASE WHEN lo >= 0 THEN true WHEN hi <= 0 THEN false ELSE above >= 0.95 END AS blocked
+      FROM tp LEFT JOIN ar USING (host))
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fit USING (page_id) JOIN j USING (host)""",
     "op8_suffix_dedup": """

@@ -5,14 +5,20 @@ path starts with the rule's path, and the longest fitting one wins.  Pages
 without a rule are judged by their host's reputation: labelled outcomes (bad or
 good) are shrunk through beta-binomial priors along suffix, registered domain
 and host.  The overall rate is the prior of a suffix, the posterior mean of the
-suffix that of its domains, and that of a domain the prior of its hosts, each
-worth ``strength`` observations; a host is blocked when the lower bound of its
-posterior, mean - z * sd, is above ``limit``.  The suffix is the last label of
-the host, the registered domain its last two (no public suffix list is shipped;
-``levels`` can be replaced).
-
-All counts are partial aggregates; the three tables are joined by key and pages
-meet their host's verdict in a shuffle join, which can be split when skewed.
+suffix that of its domains, and that of a domain the prior of its hosts.  What a
+prior is worth, in observations, is estimated from the outcomes at each level by
+moments: how much more the rates of suffixes, of domains within their suffix and
+of hosts within their domain differ than chance would make them (Kleinman's
+estimate, pooled over parents; ``STRENGTHS`` bounds it, ``STRENGTH`` stands in
+where no parent has two labelled children).  A host is blocked when its beta
+posterior puts ``confidence`` or more on rates above ``limit``, that is when the
+lower bound of its rate at that confidence is above it.  The posterior's share
+is integrated over the log-odds, where the density has no poles, by Simpson's
+rule on both sides of the limit.  The suffix is the last label of the host, the
+registered domain its last two (no public suffix list is shipped).
+
+All counts are partial aggregates; the tables are joined by key and pages meet
+their host's verdict in a shuffle join, which can be split when skewed.
 
 Defined cases: null urls and urls without ``://`` have empty host and path and
 get no rule; they share the reputation of the empty host; pages without a label
@@ -22,12 +28,18 @@ counted; without any label every host gets the neutral prior 1/2.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portrait.session import scratch_path
+
 STRENGTH = 10.0
-Z = 1.645
+STRENGTHS = (0.5, 10_000.0)
+CONFIDENCE = 0.95
 LIMIT = 0.5
+STEPS = 128            # of Simpson's rule, on each side of the limit
 
 
 def host_of(url: Column) -> Column:
@@ -57,31 +69,66 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return out
 
 
-def _posterior(n: Column, bad: Column, mean: Column, strength: float) -> Column:
+def _posterior(n: Column, bad: Column, mean: Column, strength: Column) -> Column:
     return (bad + strength * mean) / (n + strength)
 
 
-def host_reputation(hosts: DataFrame, strength: float = STRENGTH, z: float = Z, limit: float = LIMIT) -> DataFrame:
+def _strength(groups: DataFrame, *parent: str) -> Column:
+    """What the prior of ``groups`` (n, bad; children of ``parent``) is worth, in
+    observations: a scalar subquery."""
+    per = groups.filter("n > 0").groupBy(*parent).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("w"), F.sum(F.col("n") * F.col("n")).alias("q"), F.sum("bad").alias("b"),
+        F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("s"))
+    pq = F.col("b") / F.col("w") * (1 - F.col("b") / F.col("w"))
+    spare = F.col("s") - F.col("b") * F.col("b") / F.col("w") - pq * (F.col("k") - 1)
+    room = pq * (F.col("w") - F.col("q") / F.col("w") - (F.col("k") - 1))
+    low, high = (1 / (1 + m) for m in reversed(STRENGTHS))
+    within = F.greatest(F.least(F.col("spare") / F.col("room"), F.lit(high)), F.lit(low))
+    return per.agg(F.sum(spare).alias("spare"), F.sum(room).alias("room")).select(
+        F.when(F.col("room") > 0, 1 / within - 1).otherwise(F.lit(STRENGTH))).scalar()
+
+
+def share_above(a: Column, b: Column, limit: float, steps: int = STEPS) -> Column:
+    """The share of a beta distribution above ``limit``."""
+    cut = math.log(limit / (1 - limit))
+    mode, wide = F.log(a / b), 8 * F.sqrt(1 / a + 1 / b)
+    low, high = mode - wide - 30 / a, mode + wide + 30 / b       # beyond them nothing is left
+    height = lambda y: a * y - (a + b) * (F.greatest(y, F.lit(0.0)) + F.log(1 + F.exp(-F.abs(y))))
+    top = height(mode)
+
+    def side(start: Column, stop: Column) -> Column:
+        step = (stop - start) / steps
+        weight = lambda i: F.when((i == 0) | (i == steps), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        return step * F.aggregate(F.sequence(F.lit(0), F.lit(steps)), F.lit(0.0),
+                                  lambda s, i: s + weight(i) * F.exp(height(start + i * step) - top))
+    below, above = side(low, F.lit(cut)), side(F.lit(cut), high)
+    return F.when(low >= cut, 1.0).when(high <= cut, 0.0).otherwise(above / (below + above))
+
+
+def host_reputation(hosts: DataFrame, confidence: float = CONFIDENCE, limit: float = LIMIT) -> DataFrame:
     """``hosts``: host, n and bad (labelled pages, bad ones), one row a host.
-    Returns host, mean, lower (the posterior bound) and blocked."""
+    Returns host, n, bad, mean, above (the posterior's share above the limit) and blocked."""
     h = hosts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"),
                      F.col("n").cast("double").alias("n"), F.col("bad").cast("double").alias("bad"))
-    sums = lambda *by: h.groupBy(*by).agg(F.sum("n").alias(f"n_{(by or ['all'])[0]}"),
-                                          F.sum("bad").alias(f"bad_{(by or ['all'])[0]}"))
-    every = sums().select(F.when(F.col("n_all") > 0, F.col("bad_all") / F.col("n_all")).otherwise(0.5).alias("rate"))
-    suffix = sums("suffix").join(F.broadcast(every)).select(       # one row
-        "suffix", _posterior(F.col("n_suffix"), F.col("bad_suffix"), F.col("rate"), strength).alias("suffix_mean"))
-    domain = sums("domain", "suffix").join(suffix, "suffix").select(
-        "domain", _posterior(F.col("n_domain"), F.col("bad_domain"), F.col("suffix_mean"), strength).alias("domain_mean"))
-    out = h.join(domain, "domain").withColumn("mean", _posterior(F.col("n"), F.col("bad"), F.col("domain_mean"), strength))
-    sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + strength + 1))
-    return out.withColumn("lower", F.col("mean") - z * sd).select(
-        "host", "n", "bad", "mean", "lower", (F.col("lower") > limit).alias("blocked"))
+    counts = lambda *by: h.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    domains, suffixes = counts("domain", "suffix"), counts("suffix")
+    rate = h.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).select(
+        F.when(F.col("n") > 0, (F.col("bad") + 0.5) / (F.col("n") + 1)).otherwise(0.5)).scalar()
+    worth = [_strength(suffixes), _strength(domains, "suffix"), _strength(h, "domain")]
+    suffix = suffixes.select("suffix", _posterior(F.col("n"), F.col("bad"), rate, worth[0]).alias("suffix_mean"))
+    domain = domains.join(suffix, "suffix").select(
+        "domain", _posterior(F.col("n"), F.col("bad"), F.col("suffix_mean"), worth[1]).alias("prior"))
+    out = h.join(domain, "domain").withColumn("worth", worth[2])
+    out = out.select("host", "n", "bad", _posterior(F.col("n"), F.col("bad"), F.col("prior"), F.col("worth")).alias("mean"),
+                     (F.col("bad") + F.col("worth") * F.col("prior")).alias("a"),
+                     (F.col("n") - F.col("bad") + F.col("worth") * (1 - F.col("prior"))).alias("b"))
+    return out.withColumn("above", share_above(F.col("a"), F.col("b"), limit)).select(
+        "host", "n", "bad", "mean", "above", (F.col("above") >= confidence).alias("blocked"))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id",
-          url_col: str = "url", outcome_id_col: str = "page_id", bad_col: str = "bad", strength: float = STRENGTH,
-          z: float = Z, limit: float = LIMIT) -> DataFrame:
+          url_col: str = "url", outcome_id_col: str = "page_id", bad_col: str = "bad", confidence: float = CONFIDENCE,
+          limit: float = LIMIT) -> DataFrame:
     """One row per page: host, path, rule, verdict and the host's posterior.
     ``outcomes``: page id and whether the page is bad (boolean)."""
     p = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"),
@@ -89,10 +136,17 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str
     o = (outcomes.filter(F.col(bad_col).isNotNull())
          .groupBy(F.col(outcome_id_col).alias("page_id"))
          .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(bad_col).cast("long")).alias("bad")))
-    seen = p.join(o, "page_id", "left").groupBy("host").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-                                                            F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    seen = _stored(p.join(o, "page_id", "left").groupBy("host").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                                                                    F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "hosts")
+    known = _stored(host_reputation(seen, confidence, limit), "host-reputation")
     ruled = p.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
-    return ruled.join(host_reputation(seen, strength, z, limit), "host").select(
+    return ruled.join(known, "host").select(
         "page_id", "host", "path", F.col("r.rule").alias("rule"),
         F.coalesce("r.verdict", F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),
-        F.col("mean").alias("bad_mean"), F.col("lower").alias("bad_lower"))
+        F.col("mean").alias("bad_mean"), F.col("above").alias("bad_above"))
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -438,17 +438,52 @@ def test_url_rules_and_reputation(llm):
     assert (got[4].rule, got[5].rule) == (None, "com/")
     assert (got[6].rule, got[7].rule, got[8].host) == ("net/es/", None, "a.net")
     assert {got[i].verdict for i in range(100, 160)} == {"block"}
-    rate = 60 / 61
+    # one labelled suffix, domains of which one has labels of each kind, hosts alone in their domains
+    rate, low = 60.5 / 62, url_filter.STRENGTHS[0]
     suffix = (60 + 10 * rate) / 71
-    domain = (0 + 10 * suffix) / 11
+    domain = (0 + low * suffix) / (1 + low)                    # bad.org and x.org differ as much as can be
     mean = (0 + 10 * domain) / 11
-    assert got[9].bad_mean == pytest.approx(mean)
-    assert got[9].bad_lower == pytest.approx(mean - 1.645 * math.sqrt(mean * (1 - mean) / 12))
-    assert (got[9].verdict == "block") == (got[9].bad_lower > 0.5)
+    assert got[9].bad_mean == pytest.approx(mean) and got[9].verdict == "allow"
+    assert got[100].bad_above > 0.999999
     assert len(got) == len({p for p, _ in urls})
     assert {r.verdict for r in url_filter.judge(pages, labels.limit(0), []).collect()} == {"allow"}
 
 
+def test_share_of_a_beta_distribution(llm):
+    """For whole a and b the share is a sum of binomial terms."""
+    from pyspark.sql import functions as F
+    cases = [(a, b) for a in (1, 2, 5, 40, 700) for b in (1, 3, 30, 900)]
+    df = llm.createDataFrame([(float(a), float(b)) for a, b in cases], "a double, b double")
+    for limit in (0.5, 0.2):
+        got = df.select("a", "b", url_filter.share_above(F.col("a"), F.col("b"), limit).alias("s")).collect()
+        for r in got:
+            n = int(r.a + r.b) - 1
+            term = [math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(limit)
+                             + (n - j) * math.log(1 - limit)) for j in range(int(r.a))]
+            assert r.s == pytest.approx(math.fsum(term), abs=2e-5), (r, limit)
+    # fractions: against a fine sum of the density
+    t = (np.arange(2_000_000) + 0.5) / 2_000_000
+    for a, b in ((0.6, 0.7), (0.9, 4.2), (30.5, 0.8)):
+        p = t ** (a - 1) * (1 - t) ** (b - 1)
+        got = llm.createDataFrame([(a, b)], "a double, b double").select(url_filter.share_above(F.col("a"), F.col("b"), 0.5)).first()[0]
+        assert got == pytest.approx(p[t > 0.5].sum() / p.sum(), abs=2e-3)
+
+
+def test_strength_is_estimated_from_the_outcomes(llm):
+    """Hosts drawn from beta distributions of a known strength, two domains."""
+    rng = np.random.default_rng(8)
+    for worth in (3.0, 60.0):
+        rows = [(d, 200.0, float(rng.binomial(200, rng.beta(worth * m, worth * (1 - m))))) for d, m in (("a", 0.3), ("b", 0.7))
+                for _ in range(800)]
+        df = llm.createDataFrame(rows, "domain string, n double, bad double")
+        got = llm.range(1).select(url_filter._strength(df, "domain")).first()[0]
+        assert 0.8 * worth < got < 1.25 * worth
+    same = llm.createDataFrame([("a", 100.0, 50.0)] * 50, "domain string, n double, bad double")
+    assert llm.range(1).select(url_filter._strength(same, "domain")).first()[0] == pytest.approx(url_filter.STRENGTHS[1])
+    assert llm.range(1).select(url_filter._strength(same.limit(1), "domain")).first()[0] == url_filter.STRENGTH
+    assert llm.range(1).select(url_filter._strength(same.limit(0), "domain")).first()[0] == url_filter.STRENGTH
+
+
 # ------------------------------------------------------------- suffix dedup
 def deduped(rows, t=400):
     count = Counter()
@@ -562,5 +597,5 @@ def test_lm_score(docs, block_bytes):
 # ------------------------------------------------------------- queries
 def test_every_query_is_registered():
     import __spark_entry__ as entry
-    assert {int(m[1]) for m in map(re.compile(r"op(\d+)_").match, entry.queries()) if m} == set(range(1, 11))
+    assert {int(m[1]) for m in map(re.compile(r"op(\d+)_").match, entry.queries()) if m} == set(range(1, 14))
     assert "pipeline" in entry.queries() and set(QUERIES) <= set(entry.queries())
