@@ -22,6 +22,7 @@ their names, pass through ``remove`` unread.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portrait.llm import bytesops as B
+from portrait.session import scratch_path
 
 WORDS = 13
 SHARE = 20                     # contaminated when hit words are 1/20 of all
@@ -158,18 +160,30 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     whose windows occur, the verdict, the items and the hit spans (byte
     offsets of the text, end exclusive)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = list(benchmark_blocks(benchmark, item_col, item_text_col, size, block_windows))
-    out = [rows.mapInArrow(_scanner(b, share), SCAN_SCHEMA) for b in blocks]
-    return out[0] if len(out) == 1 else _scan_blocks(rows, blocks, share)
+    first, rest = _first(benchmark_blocks(benchmark, item_col, item_text_col, size, block_windows))
+    return rows.mapInArrow(_scanner(first, share), SCAN_SCHEMA) if rest is None else _scan_blocks(rows, chain([first], rest), share)
 
 
-def _scan_blocks(rows: DataFrame, blocks: list[WindowSet], share: int) -> DataFrame:
-    """More than one block: the documents are scanned block after block, the
-    hit words and items of earlier blocks travelling with the row."""
+def _first(blocks) -> tuple[WindowSet, object]:
+    """The first block, and the others where there are any (None: there are not)."""
+    first, second = next(blocks), next(blocks, None)
+    return first, None if second is None else chain([second], blocks)
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _scan_blocks(rows: DataFrame, blocks, share: int) -> DataFrame:
+    """More than one block: the documents are scanned block after block, the hit
+    words and items of earlier blocks travelling with the row.  Each pass is
+    written before the next begins, so a task, and the driver, holds one block."""
     state = rows.select("doc_id", "text", F.expr("cast(array() as array<string>)").alias("items"),
                         F.lit(b"").alias("hit"))
     for b in blocks:
-        state = state.mapInArrow(_block_step(b), "doc_id long, text string, items array<string>, hit binary")
+        state = _stored(state.mapInArrow(_block_step(b), "doc_id long, text string, items array<string>, hit binary"), "scan-pass")
     return state.mapInArrow(_block_end(share), SCAN_SCHEMA)
 
 
@@ -216,17 +230,41 @@ def _block_end(share: int):
     return run
 
 
-def _remover(windows: list[WindowSet], share: int, text_at: int, whole: bool):
+def _or(hit: np.ndarray, first: np.ndarray, old: list[bytes]) -> np.ndarray:
+    """Hit words together with those of earlier passes (packed, one list a row)."""
+    hit = hit.copy()
+    for i, bits in enumerate(old):
+        if bits:
+            a, b = int(first[i]), int(first[i + 1])
+            hit[a:b] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
+    return hit
+
+
+def _marker(windows: WindowSet, text_at: int, hit_at: int):
+    """Rows with the hit words of this pass and of those before in their last column."""
     def run(batches):
         for batch in batches:
             for row, rows, buf, off in B.text_slices(batch.column(text_at)):
-                hit, parts = None, None
-                for w in windows:
-                    start, stop, first, n_words, now, _ = _scan_slice(w, buf, off)
-                    hit = now if hit is None else hit | now
+                _, _, first, _, hit, _ = _scan_slice(windows, buf, off)
+                part = batch.slice(row, rows)
+                hit = _or(hit, first, part.column(hit_at).to_pylist())
+                bits = [np.packbits(hit[first[i]:first[i + 1]]).tobytes() for i in range(rows)]
+                yield part.set_column(hit_at, part.schema.field(hit_at), pa.array(bits, pa.binary()))
+    return run
+
+
+def _remover(windows: WindowSet, share: int, text_at: int, whole: bool, hit_at: int | None = None):
+    """The last pass: ``hit_at`` is the column with the hit words of earlier ones."""
+    def run(batches):
+        for batch in batches:
+            for row, rows, buf, off in B.text_slices(batch.column(text_at)):
+                start, stop, first, n_words, hit, _ = _scan_slice(windows, buf, off)
+                part = batch.slice(row, rows)
+                if hit_at is not None:
+                    hit = _or(hit, first, part.column(hit_at).to_pylist())
+                    part = part.select(range(hit_at))
                 sums = np.concatenate(([0], np.cumsum(hit)))
                 n_hit = sums[first[1:]] - sums[first[:-1]]
-                part = batch.slice(row, rows)
                 if whole:
                     yield part.filter(pa.array(~((n_hit > 0) & (share * n_hit >= n_words))))
                     continue
@@ -250,8 +288,15 @@ def remove(docs: DataFrame, benchmark: DataFrame, what: str = "documents", text_
            block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """The documents with all their columns, without the contaminated ones
     (``what="documents"``) or without the hit spans (``what="spans"``)."""
-    blocks = list(benchmark_blocks(benchmark, item_col, item_text_col, size, block_windows))
+    first, rest = _first(benchmark_blocks(benchmark, item_col, item_text_col, size, block_windows))
     names = [f"c{i}" for i in range(len(docs.columns))]     # clashing names are no matter inside
-    at = docs.columns.index(text_col)
+    at, whole = docs.columns.index(text_col), what == "documents"
     kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields, strict=True))
-    return docs.toDF(*names).mapInArrow(_remover(blocks, share, at, what == "documents"), kinds).toDF(*docs.columns)
+    rows = docs.toDF(*names)
+    if rest is None:
+        return rows.mapInArrow(_remover(first, share, at, whole), kinds).toDF(*docs.columns)
+    rows, end = rows.withColumn("hit", F.lit(b"")), len(names)
+    for after in rest:                                      # one block a pass; the last one removes
+        rows = _stored(rows.mapInArrow(_marker(first, at, end), f"{kinds}, hit binary"), "hit-pass")
+        first = after
+    return rows.mapInArrow(_remover(first, share, at, whole, end), kinds).toDF(*docs.columns)

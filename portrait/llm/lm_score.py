@@ -1,20 +1,25 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Tokens are the lower-cased (A-Z) words of a text and one end.  Unigrams are
-smoothed by adding 1/2, and bigrams interpolate with them (Jelinek-Mercer):
+smoothed by adding 1/2, and bigrams fall back to them by Witten and Bell's rule:
 
-    p(v | u) = MIX * c(uv) / c(u) + (1 - MIX) * p(v)
+    p(v | u) = (c(uv) + d(u) p(v)) / (c(u) + d(u))
 
-where u was seen in training, else p(v).  A word seen in training is a state; a
-pair seen is an arc with weight log10 p(v | u); the failure arc of a state has
-weight log10 (1 - MIX) and leads to the root, whose arcs are the unigrams and
-which is also the state of unseen words.  A text is traversed once from left to
-right, carrying the state and adding up weights.
+where u was seen in training, else p(v); d(u) is the number of different tokens
+that follow u there.  A word seen in training is a state; a pair seen is an arc
+with weight log10 p(v | u); the failure arc of a state has weight log10 of
+d(u) / (c(u) + d(u)), its own mass left for tokens it has no arc for, and leads to
+the root, whose arcs are the unigrams and which is also the state of unseen words.
+A text is traversed once from left to right, carrying the state and adding up
+weights.
 
-Counting and look-up share one exchange (see ``blocks``): each block of
+Counting and look-up share the exchanges (see ``blocks``): each block of
 documents sends its distinct words and pairs with their training counts, and
 gets back the corpus totals of exactly these, which make up the part of the
-automaton its texts can reach.  Nothing of the corpus' size is held anywhere.
+automaton its texts can reach.  With each total comes whether the block is the
+first of those that sent the key, so that every pair of the corpus has one block
+that counts it for its state; these counts, one number a word, are added up in a
+second exchange.  Nothing of the corpus' size is held anywhere.
 
 Defined cases: null and empty texts are the end token alone; rows whose held-out
 flag is null (null id) count as training rows; repeated rows count as often as
@@ -33,16 +38,10 @@ from portrait.llm import blocks as K
 from portrait.llm import bytesops as B
 
 END, BEGIN = np.uint64(0x656E642D6F662D74), np.uint64(0x626567696E2D2D2D)      # two fixed keys
-MIX = 0.3
-WORDS, PAIRS = 1, 2
-SENT = "kind int, part int, block int, n int, keys binary, counts binary"
-_SENT = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()),
-                   ("keys", pa.binary()), ("counts", pa.binary())])
-ANSWER = "kind int, part int, block int, counts binary"
-_ANSWER = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
-SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+WORDS, PAIRS, NEXT = 1, 2, 3
+SCORED = ("copy long, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
-_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+_SCORED = pa.schema([("copy", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
                      ("score", pa.float64())])
 
@@ -70,6 +69,10 @@ class Tokens:
             counts.append(n + 1)
         self.cur, self.hist, self.counts = np.concatenate(cur), np.concatenate(hist), np.concatenate(counts)
 
+    def states(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct states, and the place of each token's state there."""
+        return np.unique(self.hist, return_inverse=True)
+
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct words, and each token's place there."""
         return np.unique(self.cur, return_inverse=True)
@@ -80,59 +83,46 @@ class Tokens:
                          return_inverse=True)
 
 
-def _send(parts: int):
+def _send(exchange: K.Exchange):
+    """Words and pairs of a block with their training counts."""
     def run(key, table):
         t = Tokens(table["text"])
-        train = np.repeat(table["train"].to_numpy(zero_copy_only=False), t.counts)
+        train = np.repeat(table["m"].to_numpy() * table["train"].to_numpy(zero_copy_only=False), t.counts)
         out = []
         for kind, (keys, at) in ((WORDS, t.words()), (PAIRS, t.pairs())):
-            counts = np.bincount(at, train, len(keys)).astype(np.uint64)
-            edges = K.part_edges(keys, parts)
-            for p in np.flatnonzero(np.diff(edges)).tolist():
-                mine = slice(edges[p], edges[p + 1])
-                out.append({"kind": kind, "part": p, "block": key[0].as_py(), "n": int(edges[p + 1] - edges[p]),
-                            "keys": K.pack_sorted(keys[mine]), "counts": K.pack(counts[mine])})
-        return pa.Table.from_pylist(out, schema=_SENT)
+            out += exchange.send(kind, key[0].as_py(), keys, np.bincount(at, train, len(keys)))
+        return pa.Table.from_pylist(out, schema=K._SENT)
     return run
 
 
-def _added(table: pa.Table):
-    """Keys of all blocks merged: each entry's place, and the totals."""
-    keys = [K.unpack_sorted(x.as_py(), n) for x, n in zip(table["keys"], table["n"].to_pylist(), strict=True)]
-    distinct, at = K.merge(np.concatenate(keys))
-    counts = np.concatenate([K.unpack(x.as_py(), np.uint64) for x in table["counts"]])
-    return at, np.bincount(at, counts, len(distinct)).astype(np.uint64)
-
-
-def _answer(key, table):
-    """The totals of each block's keys, in their order."""
-    at, total = _added(table)
-    end, out = 0, []
-    for block, n in zip(table["block"].to_pylist(), table["n"].to_pylist(), strict=True):
-        begin, end = end, end + n
-        out.append({"kind": key[0].as_py(), "part": key[1].as_py(), "block": block,
-                    "counts": K.pack(total[at[begin:end]])})
-    return pa.Table.from_pylist(out, schema=_ANSWER)
-
-
-def _size(key, table):
-    """A part's share of N and V."""
-    if key[0].as_py() != WORDS:
-        return pa.table({"n_train": pa.array([], pa.int64()), "v_train": pa.array([], pa.int64())})
-    _, total = _added(table)
-    return pa.table({"n_train": [int(total.sum())], "v_train": [int((total > 0).sum())]})
+def _send_next(exchange: K.Exchange):
+    """For each state of a block, how many different pairs of the corpus with
+    that state fall to this block to count."""
+    def run(key, table, answers):
+        if not len(table):
+            return K._SENT.empty_table()
+        t = Tokens(table["text"])
+        pairs, at = t.pairs()
+        states, state = t.states()
+        total, own = K.received(answers, PAIRS, len(pairs))
+        of = np.zeros(len(pairs), np.int64)
+        of[at] = state                                       # a pair has one state
+        counted = np.bincount(of, own & (total > 0), len(states))
+        return pa.Table.from_pylist(exchange.send(NEXT, key[0].as_py(), states, counted), schema=K._SENT)
+    return run
 
 
 class Automaton:
     """States are words by place in a sorted list, and one more for the begin
     of a text; arcs are given by the counts of their pairs."""
 
-    def __init__(self, count: np.ndarray, n_train: int, v_train: int, end: int):
-        count = count.astype(float)
+    def __init__(self, count: np.ndarray, n_train: int, v_train: int, end: int, followers: np.ndarray):
+        count, self.followers = count.astype(float), followers.astype(float)
         self.seen = np.append(count, count[end])            # every training text begins and ends once
         self.unigram = (count + 0.5) / (n_train + 0.5 * (v_train + 1))
         self.root_arc = np.log10(self.unigram)
-        self.fail_arc = np.where(self.seen > 0, np.log10(1 - MIX), 0.0)
+        left = np.divide(self.followers, self.seen + self.followers, out=np.ones(len(self.seen)), where=self.seen > 0)
+        self.fail_arc = np.log10(np.where(left > 0, left, 1.0))
 
     def traverse(self, state: np.ndarray, word: np.ndarray, pair_count: np.ndarray) -> np.ndarray:
         """Weight of every step: the pair's arc where there is one, else the
@@ -140,18 +130,11 @@ class Automaton:
         all texts are taken at once."""
         step = self.fail_arc[state] + self.root_arc[word]
         arc = pair_count > 0
-        step[arc] = np.log10(MIX * pair_count[arc] / self.seen[state[arc]] + (1 - MIX) * self.unigram[word[arc]])
+        seen, d = self.seen[state[arc]], self.followers[state[arc]]
+        step[arc] = np.log10((pair_count[arc] + d * self.unigram[word[arc]]) / (seen + d))
         return step
 
 
-def _got(answers: pa.Table, kind: int, expected: int) -> np.ndarray:
-    rows = sorted((r["part"], r["counts"]) for r in answers.to_pylist() if r["kind"] == kind)
-    out = np.concatenate([np.zeros(0, np.uint64), *(K.unpack(x, np.uint64) for _, x in rows)])
-    if len(out) != expected:
-        raise RuntimeError("the answers do not fit the block's tokens")
-    return out
-
-
 def _score(key, docs, answers):
     rows = len(docs)
     if not rows:
@@ -159,15 +142,22 @@ def _score(key, docs, answers):
     t = Tokens(docs["text"])
     words, word = t.words()
     keys, pair = t.pairs()
+    states, _ = t.states()
     n_train, v_train = answers["n_train"][0].as_py() or 0, answers["v_train"][0].as_py() or 0
-    count, arcs = _got(answers, WORDS, len(words)), _got(answers, PAIRS, len(keys))
-    model = Automaton(count, n_train, v_train, int(np.searchsorted(words, END)))
+    (count, _), (arcs, _) = K.received(answers, WORDS, len(words)), K.received(answers, PAIRS, len(keys))
+    follow, _ = K.received(answers, NEXT, len(states))
+    followers = np.zeros(len(words) + 1)                    # by word, and the begin; the end is no state
+    at = np.minimum(np.searchsorted(words, states), len(words) - 1)
+    known = words[at] == states
+    followers[at[known]] = follow[known]
+    followers[-1] = follow[states == BEGIN].sum()
+    model = Automaton(count, n_train, v_train, int(np.searchsorted(words, END)), followers)
     state = np.roll(word, 1)
     state[np.cumsum(t.counts) - t.counts] = len(words)      # the begin of each text
     row = np.repeat(np.arange(rows), t.counts)
     weight = model.traverse(state, word, arcs[pair].astype(float))
     return pa.table({
-        "doc_id": docs["doc_id"], "held_out": pa.array(~docs["train"].to_numpy(zero_copy_only=False)),
+        "copy": docs["copy"], "doc_id": docs["doc_id"], "held_out": pa.array(~docs["train"].to_numpy(zero_copy_only=False)),
         "n_tokens": pa.array(t.counts), "n_known": pa.array(np.bincount(row, count[word] > 0, rows).astype(np.int64)),
         "train_tokens": pa.array(np.full(rows, n_train)),
         "base_score": pa.array(np.bincount(row, model.root_arc[word], rows)),
@@ -175,14 +165,19 @@ def _score(key, docs, answers):
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, fold: int = 1,
-          block_bytes: int = K.BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = K.BLOCK_BYTES, fan: int = K.FAN) -> DataFrame:
     """One row per document, scored by a model of the rows that are not held
     out.  All is one query, in which the blocks are exchanged once."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = K.block_count(rows, F.col("text"), block_bytes)
-    rows = K.with_block(rows.withColumn("train", ~held_out(F.col("doc_id"), folds, fold)), n, "doc_id", "text")
-    parts = rows.groupBy("block").applyInArrow(_send(n), SENT).groupBy("kind", "part")
-    size = parts.applyInArrow(_size, "n_train long, v_train long").agg(F.sum("n_train").alias("n_train"),
-                                                                       F.sum("v_train").alias("v_train"))
-    answers = parts.applyInArrow(_answer, ANSWER).crossJoin(F.broadcast(size))          # one row
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, SCORED)
+    total = K.text_bytes(rows, F.col("text"))
+    rows, everyone = K.copies(rows, total, block_bytes)
+    exchange = K.Exchange(K.block_count(total, block_bytes), fan)
+    rows = K.with_block(rows.withColumn("train", ~held_out(F.col("doc_id"), folds, fold)), exchange.blocks, "doc_id", "text")
+    blocks = rows.groupBy("block")
+    answers, sizes = exchange.totals(blocks.applyInArrow(_send(exchange), K.SENT))
+    size = sizes.filter(F.col("kind") == WORDS).agg(F.sum("total").alias("n_train"), F.sum("present").alias("v_train"))
+    # the states come second: they need to know whose each pair is
+    after, _ = exchange.totals(blocks.cogroup(answers.groupBy("block")).applyInArrow(_send_next(exchange), K.SENT))
+    every = answers.union(after).crossJoin(F.broadcast(size))                          # one row
+    scored = blocks.cogroup(every.groupBy("block")).applyInArrow(_score, SCORED)
+    return everyone(scored)

@@ -17,7 +17,7 @@ Documents link when 100 * intersection >= 80 * union; the answer is the class
     which tokens stand in a second set; a set with less than 80 % of such
     tokens has no partner and is put aside too.
 4.  Signatures.  The order of tokens is: those of one set only, rare ones by
-    hash, and last the frequent class, tokens of very many sets.  Prefixes are
+    hash, and last the frequent class, all tokens of very many sets.  Prefixes are
     extended in this order until they cannot all be missing from a partner:
     tokens of one set are missing anyway, a rare token is a signature by itself;
     frequent tokens are dealt into buckets, in which every pair of tokens is a
@@ -55,22 +55,17 @@ from portrait.session import scratch_path
 WORDS = 5
 NEED = 80                      # percent of the union
 FREQUENT = 64                  # sets a token stands in before it is of the frequent class
-FREQUENT_TOKENS = 50_000       # size of the frequent class: 0.4 MB that travel with the tasks
 BUCKET = 16                    # tokens of a whole set to a frequent bucket
 LEADER_ROUNDS = 4
 BLOCK_BYTES = 4 << 20          # text of a block; a task holds its shingles too
 SKETCH = 32                    # counts of eight bits
 WORD = r"[^\x20\x09-\x0D]"      # a text with no such character has an empty set
-NODE = "__node"
 
-_SENT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("a", pa.binary()),
-                   ("b", pa.binary())])
-SENT = "part int, block int, n int, a binary, b binary"
-SETS = "doc_id long, n long, rep long, h1 long, h2 long, tokens binary"
+SETS = "copy long, doc_id long, n long, rep long, h1 long, h2 long, tokens binary"
 REFINED = "node long, n int, s int, sketch array<long>, full boolean, sigs array<long>, tokens array<long>"
 _REFINED = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("s", pa.int32()), ("sketch", pa.list_(pa.int64())),
                       ("full", pa.bool_()), ("sigs", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("h1", pa.int64()),
+_SETS = pa.schema([("copy", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("h1", pa.int64()),
                    ("h2", pa.int64()), ("tokens", pa.binary())])
 
 
@@ -148,56 +143,24 @@ def _ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return col.fill_null(0).to_numpy(zero_copy_only=False), col.is_valid().to_numpy(zero_copy_only=False)
 
 
-def _chunks(tokens: np.ndarray, parts: int, block: int) -> pa.Table:
-    keys, counts = np.unique(tokens, return_counts=True)
-    edges = K.part_edges(keys, parts)
-    return pa.Table.from_pylist([
-        {"part": p, "block": block, "n": int(edges[p + 1] - edges[p]), "a": K.pack_sorted(keys[edges[p]:edges[p + 1]]),
-         "b": K.pack(counts[edges[p]:edges[p + 1]].astype(np.uint32))}
-        for p in np.flatnonzero(np.diff(edges)).tolist()], schema=_SENT)
-
-
-def _send_prefixes(parts: int):
+def _send_prefixes(exchange: K.Exchange):
     def run(key, table):
         sets = Sets(table["text"])
-        return _chunks(sets.prefixes(sets.representatives(*_ids(table)))[0], parts, key[0].as_py())
+        keys, counts = np.unique(sets.prefixes(sets.representatives(*_ids(table)))[0], return_counts=True)
+        return pa.Table.from_pylist(exchange.send(0, key[0].as_py(), keys, counts), schema=K._SENT)
     return run
 
 
-def _send_sets(parts: int):
+def _send_sets(exchange: K.Exchange):
     def run(key, table):
-        return _chunks(K.raw(b"".join(x.as_py() for x in table["tokens"])), parts, key[0].as_py())
+        keys, counts = np.unique(K.raw(b"".join(x.as_py() for x in table["tokens"])), return_counts=True)
+        return pa.Table.from_pylist(exchange.send(0, key[0].as_py(), keys, counts), schema=K._SENT)
     return run
 
 
-def _shared(key, table):
-    """Answers each block which of its tokens were sent twice; block -1 carries
-    the frequent tokens and their counts."""
-    keys = np.concatenate([K.unpack_sorted(x.as_py(), n) for x, n in zip(table["a"], table["n"].to_pylist(), strict=True)])
-    counts = np.concatenate([K.unpack(x.as_py(), np.uint32) for x in table["b"]])
-    distinct, at = K.merge(keys)
-    total = np.bincount(at, counts, len(distinct)).astype(np.uint64)
-    twice, begin, out = (total > 1)[at], 0, []
-    part = key[0].as_py()
-    for block, n in zip(table["block"].to_pylist(), table["n"].to_pylist(), strict=True):
-        out.append({"part": part, "block": block, "n": n,
-                    "a": np.packbits(twice[begin:begin + n]).tobytes(), "b": b""})
-        begin += n
-    often = total > FREQUENT
-    if often.any():
-        out.append({"part": part, "block": -1, "n": int(often.sum()), "a": distinct[often].tobytes(),
-                    "b": total[often].tobytes()})
-    return pa.Table.from_pylist(out, schema=_SENT)
-
-
-def _twice(answers: pa.Table, expected: int) -> np.ndarray:
-    """A block's answers in the order of its distinct tokens."""
-    got = sorted((r["part"], r["n"], r["a"]) for r in answers.select(["part", "n", "a"]).to_pylist())
-    out = np.concatenate([np.zeros(0, bool), *(np.unpackbits(K.raw(a, np.uint8), count=n).astype(bool)
-                                               for _, n, a in got)])
-    if len(out) != expected:
-        raise RuntimeError("the answers do not fit the block's tokens")
-    return out
+def _totals(answers: pa.Table, expected: int) -> np.ndarray:
+    """In how many sets each of a block's distinct tokens stands."""
+    return K.received(answers, 0, expected)[0]
 
 
 def _screen(key, docs, answers):
@@ -210,13 +173,13 @@ def _screen(key, docs, answers):
     rep = sets.representatives(ids, known)
     tokens, row = sets.prefixes(rep)
     keys, at = K.merge(tokens)
-    shared = np.bincount(row, _twice(answers, len(keys))[at], len(rep))
+    shared = np.bincount(row, (_totals(answers, len(keys)) > 1)[at], len(rep))
     keep = (rep == np.arange(len(rep))) & (sets.n > 1) & (shared >= screen_need(sets.n))
     whole = [sets.tokens[sets.first[i]:sets.first[i + 1]].tobytes() if keep[i] else None for i in range(len(rep))]
     has = rep >= 0
     null = pa.array(~has)
     column = lambda x: pc.if_else(null, pa.scalar(None, pa.int64()), pa.array(x.astype(np.int64)))
-    return pa.table({"doc_id": docs["doc_id"].combine_chunks(), "n": pa.array(sets.n.astype(np.int64)),
+    return pa.table({"copy": docs["copy"].combine_chunks(), "doc_id": docs["doc_id"].combine_chunks(), "n": pa.array(sets.n.astype(np.int64)),
                      "rep": column(ids[np.maximum(rep, 0)]), "h1": column(sets.h1.view(np.int64)),
                      "h2": column(sets.h2.view(np.int64)), "tokens": pa.array(whole, pa.binary())})
 
@@ -227,18 +190,13 @@ def buckets_of(size: np.ndarray | int):
     return np.maximum(1, (1 << np.int64(np.floor(np.log2(size)))) // BUCKET)
 
 
-def signatures_of(tokens: np.ndarray, frequent: np.ndarray, size: int) -> np.ndarray:
+def signatures_of(tokens: np.ndarray, often: np.ndarray, size: int) -> np.ndarray:
     """Signatures of a set of ``size`` tokens, two or more, of which ``tokens``
-    (sorted) stand in another set too."""
+    (sorted) stand in another set too, and those marked ``often`` in very many."""
     n = size
     need = missing(n) + 1 - (n - len(tokens))               # tokens to account for
     if need <= 0:
         return np.zeros(0, np.uint64)
-    if len(frequent):
-        place = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        often = frequent[place] == tokens
-    else:
-        often = np.zeros(len(tokens), bool)
     rare = tokens[~often]
     out = [rare[:need]]
     left = need - len(out[0])
@@ -262,26 +220,25 @@ def signatures_of(tokens: np.ndarray, frequent: np.ndarray, size: int) -> np.nda
     return np.concatenate(out)
 
 
-def _refine(frequent: np.ndarray):
-    def run(key, sets, answers):
-        if not len(sets):
-            return _REFINED.empty_table()
-        nodes = sets["node"].to_pylist()
-        mine = [K.raw(x.as_py()) for x in sets["tokens"]]
-        keys, at = K.merge(np.concatenate(mine))
-        twice, end, out = _twice(answers, len(keys))[at], 0, []
-        for node, tokens in zip(nodes, mine, strict=True):
-            n, begin, end = len(tokens), end, end + len(tokens)
-            shared = tokens[twice[begin:end]]
-            if 100 * len(shared) < NEED * n:
-                continue
-            counts = np.bincount((shared % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-            sketch = np.minimum(counts, 255).astype(np.uint8).view(np.int64)
-            sigs = np.unique(signatures_of(shared, frequent, n)).view(np.int64)
-            out.append({"node": node, "n": n, "s": len(shared), "sketch": sketch,
-                        "full": bool(counts.max() >= 255), "sigs": sigs, "tokens": tokens.view(np.int64)})
-        return pa.Table.from_pylist(out, schema=_REFINED)
-    return run
+def _refine(key, sets, answers):
+    if not len(sets):
+        return _REFINED.empty_table()
+    nodes = sets["node"].to_pylist()
+    mine = [K.raw(x.as_py()) for x in sets["tokens"]]
+    keys, at = K.merge(np.concatenate(mine))
+    total, end, out = _totals(answers, len(keys))[at], 0, []
+    for node, tokens in zip(nodes, mine, strict=True):
+        n, begin, end = len(tokens), end, end + len(tokens)
+        count = total[begin:end]
+        shared, often = tokens[count > 1], count[count > 1] > FREQUENT
+        if 100 * len(shared) < NEED * n:
+            continue
+        counts = np.bincount((shared % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+        sketch = np.minimum(counts, 255).astype(np.uint8).view(np.int64)
+        sigs = np.unique(signatures_of(shared, often, n)).view(np.int64)
+        out.append({"node": node, "n": n, "s": len(shared), "sketch": sketch,
+                    "full": bool(counts.max() >= 255), "sigs": sigs, "tokens": tokens.view(np.int64)})
+    return pa.Table.from_pylist(out, schema=_REFINED)
 
 
 def _overlap_bound(x: str, y: str) -> str:
@@ -352,69 +309,63 @@ def linked(sets: DataFrame) -> DataFrame:
     return comp
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+         fan: int = K.FAN) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class_id (smallest id
     with the same set) and component_id (smallest id reachable by links)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = K.block_count(rows, F.col("text"), block_bytes)
-    rows = K.with_block(rows, n, "doc_id", "text")
-    answers = (rows.groupBy("block").applyInArrow(_send_prefixes(n), SENT)
-               .groupBy("part").applyInArrow(_shared, SENT).filter("block >= 0"))
-    members = _stored(rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_screen, SETS), "shingle-sets")
+    total = K.text_bytes(rows, F.col("text"))
+    rows, everyone = K.copies(rows, total, block_bytes)
+    exchange = K.Exchange(K.block_count(total, block_bytes), fan)
+    blocks = K.with_block(rows, exchange.blocks, "doc_id", "text").groupBy("block")
+    answers, _ = exchange.totals(blocks.applyInArrow(_send_prefixes(exchange), K.SENT))
+    members = _stored(blocks.cogroup(answers.groupBy("block")).applyInArrow(_screen, SETS), "shingle-sets")
     classes = members.filter("rep is not null").groupBy("h1", "h2").agg(F.min("rep").alias("root"))
     sets = _stored(members.filter("tokens is not null").join(classes, ["h1", "h2"]).filter("rep = root")
                    .select(F.col("rep").alias("node"), "tokens"), "class-sets")
-    sets = refine(sets, block_bytes)
-    named = members.select("doc_id", "n", "h1", "h2").join(classes, ["h1", "h2"], "left")
+    sets = refine(sets, block_bytes, fan)
+    named = members.select("copy", "doc_id", "n", "h1", "h2").join(classes, ["h1", "h2"], "left")
     # an id with several sets is one node: its classes belong together
     first = named.filter("root is not null").groupBy("doc_id").agg(F.min("root").alias("b"))
     same = named.join(first, "doc_id").filter("root != b").select(F.col("root").alias("a"), "b")
     comp = extended(linked(sets), same)
-    return named.join(comp.withColumnRenamed("node", "root"), "root", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("class_id"),
-        F.coalesce("component", "root", "doc_id").alias("component_id"))
+    return everyone(named.join(comp.withColumnRenamed("node", "root"), "root", "left").select(
+        "copy", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("class_id"),
+        F.coalesce("component", "root", "doc_id").alias("component_id")))
 
 
-def refine(sets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def refine(sets: DataFrame, block_bytes: int = BLOCK_BYTES, fan: int = K.FAN) -> DataFrame:
     """Sets (node, tokens) that may have partners, with their number of shared
     tokens, the sketch of these and their signatures."""
-    n = K.block_count(sets, F.col("tokens"), block_bytes)
-    sets = K.with_block(sets, n, "node")
-    shared = _stored(sets.groupBy("block").applyInArrow(_send_sets(n), SENT)
-                     .groupBy("part").applyInArrow(_shared, SENT), "shared-tokens")
-    frequent = _frequent(shared.filter("block < 0").select("a", "b"))
-    return _stored(sets.groupBy("block").cogroup(shared.filter("block >= 0").groupBy("block"))
-                   .applyInArrow(_refine(frequent), REFINED), "refined-sets")
-
-
-def _frequent(often: DataFrame) -> np.ndarray:
-    """The frequent class: the tokens of most sets, FREQUENT_TOKENS at most
-    (which tokens are in it changes the work, never the result)."""
-    def run(batches):
-        for batch in batches:
-            for a, b in zip(batch.column(0), batch.column(1), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(K.raw(a.as_py()).view(np.int64)),
-                                                  pa.array(K.raw(b.as_py()).view(np.int64))], names=["token", "df"])
-    top = (often.mapInArrow(run, "token long, df long").orderBy(F.desc("df"), "token").limit(FREQUENT_TOKENS)
-           .select("token").toPandas()["token"])
-    return np.sort(top.to_numpy(np.int64).view(np.uint64))
-
-
-def _noded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows with a node each: their id; rows with a text but no id get an
+    exchange = K.Exchange(K.block_count(K.text_bytes(sets, F.col("tokens")), block_bytes), fan)
+    blocks = K.with_block(sets, exchange.blocks, "node").groupBy("block")
+    answers, _ = exchange.totals(blocks.applyInArrow(_send_sets(exchange), K.SENT))
+    return _stored(blocks.cogroup(answers.groupBy("block")).applyInArrow(_refine, REFINED), "refined-sets")
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _noded(docs: DataFrame, id_col: str, text_col: str, node: str) -> DataFrame:
+    """The rows with a ``node`` each: their id; rows with a text but no id get an
     unused number, equal texts the same one, above all ids if there is room."""
-    own = F.col(id_col).cast("long")
+    own, digest = F.col(id_col).cast("long"), _free(docs, "digest")
     nameless = F.coalesce(own.isNull() & F.col(text_col).rlike(WORD), F.lit(False))
-    known = docs.filter(~nameless).withColumn(NODE, own)
+    known = docs.filter(~nameless).withColumn(node, own)
     low, high, any_ = docs.agg(F.min(own), F.max(own), F.max(nameless)).first()
     if not any_:
         return known
-    rows = docs.filter(nameless).withColumn("__text", F.sha2(F.col(text_col), 256))
-    numbers = _stored(global_index(rows.select("__text").distinct(), [F.col("__text")], NODE), "nameless-texts")
+    rows = docs.filter(nameless).withColumn(digest, F.sha2(F.col(text_col), 256))
+    numbers = _stored(global_index(rows.select(digest).distinct(), [F.col(digest)], node), "nameless-texts")
     n = numbers.count()
     first = 0 if high is None else high + 1 if high + n < 1 << 63 else low - n
-    rows = rows.join(numbers, "__text").withColumn(NODE, F.col(NODE) + F.lit(first)).drop("__text")
+    rows = rows.join(numbers, digest).withColumn(node, F.col(node) + F.lit(first)).drop(digest)
     return known.unionByName(rows.select(known.columns))
 
 
@@ -423,17 +374,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     and where rows share that id, the one with the least text digest (equal rows:
     any one).  Rows without an id take part by their texts, and stay only if no
     row with an id is in their component.  Rows with an empty set all stay."""
-    rows = _noded(docs, id_col, text_col)
+    node, lost, again_ = (_free(docs, c) for c in ("node", "lost", "again"))
+    rows = _noded(docs, id_col, text_col, node)
     words = F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))
-    nodes = _stored(join(rows, NODE, text_col).filter("n_shingles > 0").select("doc_id", "component_id"), "kept-components")
-    gone = nodes.filter("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = rows.join(gone, (F.col(NODE) == F.col("__gone")) & words, "left_anti")
-    again = (nodes.filter("component_id = doc_id").groupBy(F.col("doc_id").alias("__again"))
-             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__again"))
+    nodes = _stored(join(rows, node, text_col).filter("n_shingles > 0").select("doc_id", "component_id"), "kept-components")
+    gone = nodes.filter("component_id != doc_id").select(F.col("doc_id").alias(lost)).distinct()
+    kept = rows.join(gone, (F.col(node) == F.col(lost)) & words, "left_anti")
+    again = (nodes.filter("component_id = doc_id").groupBy(F.col("doc_id").alias(again_))
+             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(again_))
     if again.isEmpty():
         return kept.select(docs.columns)
-    same = (F.col(NODE) == F.col("__again")) & words
+    same = (F.col(node) == F.col(again_)) & words
     order = F.struct(F.sha2(F.col(text_col), 256), F.to_json(F.struct(*[c for c in docs.columns if c != text_col])))
-    one = (rows.join(again, same, "left_semi").groupBy(NODE)
+    one = (rows.join(again, same, "left_semi").groupBy(node)
            .agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
     return kept.join(again, same, "left_anti").select(docs.columns).unionByName(one)

@@ -155,7 +155,10 @@ def training_matrix(rows: DataFrame, labels: DataFrame, label_col: str, sample_r
               .filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
               .groupBy("doc_id").agg(F.max("y").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    chosen = rows.join(F.broadcast(sample), "doc_id").select("y", "doc_id", "text")    # sample_rows pairs of numbers
+    found = rows.join(F.broadcast(sample), "doc_id")         # sample_rows pairs of numbers
+    # rows that share an id: the one with the least digest, so that the bound holds for rows too
+    chosen = (found.groupBy("doc_id").agg(F.min(F.struct(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"), "text", "y")).alias("r"))
+              .select("r.y", "doc_id", "r.text"))
 
     def run(batches):
         for batch in batches:

@@ -23,6 +23,7 @@ and travels with the tasks.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 
@@ -51,6 +52,7 @@ class Vocabulary:
         self.starts |= pieces                               # what a piece begins with: its piece, if it is one
         self.splits = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in pieces)
         self.lines = self.splits and not any("\n" in p for p in pieces)
+        self.digest = hashlib.sha256(repr((sorted(pieces.items()), byte_ids)).encode()).hexdigest()   # of all pieces
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -162,16 +164,15 @@ class Codec:
         return raw[1:] if raw[:1] == " " else raw
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[str, Codec] = {}
 
 
 def _codec(vocabulary: Vocabulary) -> Codec:
     """One codec a worker for each vocabulary, so that its memory outlives a task."""
-    key = hash((len(vocabulary.pieces), tuple(vocabulary.byte_ids), tuple(list(vocabulary.pieces.items())[::97])))
-    if key not in _CODECS:
+    if vocabulary.digest not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(vocabulary)
-    return _CODECS[key]
+        _CODECS[vocabulary.digest] = Codec(vocabulary)
+    return _CODECS[vocabulary.digest]
 
 
 def _encoder(vocabulary: Vocabulary):

@@ -311,7 +311,7 @@ def test_signatures_are_shared_by_linked_sets():
         if 100 * len(common) < 80 * (len(x) + len(y) - len(common)) or len(y) < 2 or n == len(common) == len(y):
             continue
         frequent = np.sort(rng.choice(common, int(rng.integers(0, len(common) + 1)), replace=False))
-        a, b = (ngram_join.signatures_of(common, frequent, len(z)) for z in (x, y))
+        a, b = (ngram_join.signatures_of(common, np.isin(common, frequent), len(z)) for z in (x, y))
         assert len(np.intersect1d(a, b)), (len(x), len(y), len(common), len(frequent))
 
 
@@ -569,8 +569,8 @@ def test_statistics_fit_any_slicing(llm):
 
 
 # ------------------------------------------------------------- language model
-@pytest.mark.parametrize("block_bytes", [1 << 24, 20_000])
-def test_lm_score(docs, block_bytes):
+@pytest.mark.parametrize("block_bytes, fan", [(1 << 24, 64), (20_000, 64), (20_000, 3)])
+def test_lm_score(docs, block_bytes, fan):
     rows = [(r.doc_id, [*WHITE.findall(low(r.text)), "\0end"]) for r in docs.collect()]
     train = [d is None or zlib.crc32(str(d).encode()) % 5 != 1 for d, _ in rows]
     count, pairs, begins = Counter(), Counter(), sum(train)
@@ -580,16 +580,17 @@ def test_lm_score(docs, block_bytes):
             pairs.update(zip(["\0begin", *t[:-1]], t, strict=True))
     n, v = sum(count.values()), len(count)
     wanted = []
+    after = Counter(a for a, _ in pairs)
     for (d, t), own in zip(rows, train, strict=True):
         base = score = 0.0
         for a, b in zip(["\0begin", *t[:-1]], t, strict=True):
             p = (count[b] + 0.5) / (n + 0.5 * (v + 1))
             seen = begins if a == "\0begin" else count[a]
             base += math.log10(p)
-            score += math.log10(lm_score.MIX * pairs[a, b] / seen + (1 - lm_score.MIX) * p if seen else p)
+            score += math.log10((pairs[a, b] + after[a] * p) / (seen + after[a]) if seen else p)
         wanted.append([d, not own, len(t), sum(count[x] > 0 for x in t), n, round(base, 6), round(score, 6)])
     got = [[r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)]
-           for r in lm_score.score(docs, block_bytes=block_bytes).collect()]
+           for r in lm_score.score(docs, block_bytes=block_bytes, fan=fan).collect()]
     for a, b in zip(sorted(got, key=repr), sorted(wanted, key=repr), strict=True):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9, abs=1e-4)
 
@@ -599,3 +600,93 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry
     assert {int(m[1]) for m in map(re.compile(r"op(\d+)_").match, entry.queries()) if m} == set(range(1, 14))
     assert "pipeline" in entry.queries() and set(QUERIES) <= set(entry.queries())
+
+
+# ------------------------------------------------------------- exchange
+def exchanged(llm, blocks, fan, rng, keys=300):
+    """Answers of an exchange of random keys, against a dictionary."""
+    from portrait.llm import blocks as K
+    pool = rng.integers(0, 1 << 63, 40 * blocks).astype(np.uint64) * np.uint64(2)
+    held = [np.unique(rng.choice(pool, keys)) for _ in range(blocks)]
+    counts = [rng.integers(0, 4, len(h)).astype(np.uint64) for h in held]
+    ex = K.Exchange(blocks, fan)
+    rows = [tuple(r[c] for c in ("kind", "g", "r", "child", "n", "keys", "counts"))
+            for b in range(blocks) for r in ex.send(7, b, held[b], counts[b])]
+    sent = llm.createDataFrame(rows, K.SENT)
+    answers, sizes = ex.totals(sent)
+    got = answers.toArrow()
+    total, first = Counter(), {}
+    for b in range(blocks):
+        for k, c in zip(held[b].tolist(), counts[b].tolist(), strict=True):
+            total[k] += c
+            first.setdefault(k, b)
+    for b in range(blocks):
+        mine = got.filter((np.asarray(got["block"]) == b))
+        value, own = K.received(mine, 7, len(held[b]))
+        assert value.tolist() == [total[k] for k in held[b].tolist()]
+        assert own.tolist() == [first[k] == b for k in held[b].tolist()]
+    assert sizes.select("total", "present").collect() == [(sum(total.values()), sum(c > 0 for c in total.values()))]
+
+
+@pytest.mark.parametrize("blocks, fan", [(1, 64), (5, 64), (9, 3), (30, 4)])
+def test_exchange_adds_up_keys_of_all_blocks(llm, blocks, fan):
+    exchanged(llm, blocks, fan, np.random.default_rng(blocks))
+
+
+def test_messages_grow_like_the_bytes():
+    """10, 40 and 160 blocks of equal size: messages a block stay within the fan at each level."""
+    from portrait.llm import blocks as K
+    rng = np.random.default_rng(2)
+    per_block = {}
+    for blocks in (10, 40, 160, 640):
+        ex = K.Exchange(blocks, 8)
+        keys = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2))
+        level0 = ex.send(0, blocks - 1, keys, np.ones(len(keys)))
+        assert len(level0) <= 8 and ex.f ** ex.levels >= blocks
+        per_block[blocks] = len(level0) * ex.levels
+    assert per_block[640] <= 2 * per_block[40] <= 4 * per_block[10]
+
+
+def test_equal_rows_do_not_fill_one_block(llm):
+    """Two thousand equal rows without id among four thousand: one stands for them, all get its result."""
+    from portrait.llm import blocks as K
+    text = " ".join(f"copy{i}" for i in range(60))
+    rows = [(None, text)] * 2000 + [(i, f"own{i} " * 3 + " ".join(f"w{(i * j) % 997}" for j in range(50))) for i in range(2000)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    total = K.text_bytes(docs, docs["text"])
+    small, everyone = K.copies(docs, total, 20_000)
+    blocks = K.with_block(small, K.block_count(total, 20_000), "doc_id", "text")
+    sizes = [r["count"] for r in blocks.groupBy("block").count().collect()]
+    assert small.count() == 2001 and max(sizes) < 60
+    got = ngram_join.join(docs, block_bytes=20_000)
+    assert got.count() == 4000 and got.filter("doc_id is null and n_shingles = 56").count() == 2000
+    a = {r.doc_id: r.score for r in lm_score.score(docs, block_bytes=20_000).filter("doc_id is not null").collect()}
+    b = {r.doc_id: r.score for r in lm_score.score(docs).filter("doc_id is not null").collect()}
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a)
+    both = lm_score.score(docs, block_bytes=20_000).filter("doc_id is null").groupBy("score", "n_tokens").count().collect()
+    assert [(r.n_tokens, r["count"]) for r in both] == [(61, 2000)]
+
+
+def test_codecs_of_vocabularies_that_differ_in_one_piece():
+    V = sentencepiece_codec.Vocabulary
+    pieces = {f"p{i}": (i + 300, -float(i)) for i in range(200)}
+    other = {(("q50") if p == "p50" else p): x for p, x in pieces.items()}
+    a, b = V(pieces, list(range(256))), V(other, list(range(256)))
+    assert sentencepiece_codec._codec(a).v is a and sentencepiece_codec._codec(b).v is b
+
+
+def test_training_sample_holds_one_row_for_each_id(llm):
+    docs = llm.createDataFrame([(i % 8, f"text {i} " * 20) for i in range(800)], "doc_id long, text string")
+    labels = llm.createDataFrame([(i, i % 2) for i in range(8)] * 3, "doc_id long, quality int")
+    x, y = quality_classifier.training_matrix(docs, labels, "quality", 4, 3, 1)
+    usable = [i for i in range(8) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(x) == len(y) == min(4, len(usable)) > 0
+
+
+def test_keep_one_leaves_helper_names_alone(llm):
+    text = " ".join(f"w{i}" for i in range(40))
+    cols = ["node", "NODE_", "lost", "again", "digest", "__node"]
+    rows = [(1, text, *["mine"] * 6), (2, text, *["mine"] * 6), (None, text + " more", *["mine"] * 6)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in cols))
+    got = ngram_join.keep_one(docs).collect()
+    assert [(r.doc_id, *[r[c] for c in cols]) for r in got] == [(1, *["mine"] * 6)]
