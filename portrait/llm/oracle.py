@@ -48,7 +48,7 @@ lns AS (SELECT *, translate(lower(array_to_string(lw, ' ')), '123456789', '00000
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lns GROUP BY doc_id),
 hosts AS (SELECT host, count(DISTINCT text) AS texts FROM lns GROUP BY host),
 often AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS n FROM lns GROUP BY host, norm)
-          JOIN hosts USING (host) WHERE n > 20 AND n > 0.01 * texts),
+          JOIN hosts USING (host) WHERE n > 20 AND (n > 0.01 * texts OR n > 1000)),
 gone AS (SELECT doc_id, sum(len(lw)) AS n FROM lns JOIN often USING (host, norm) GROUP BY doc_id),
 s AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
              CAST(len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

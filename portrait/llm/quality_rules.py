@@ -3,8 +3,9 @@
 Base rules look at one text: fewer than 50 words, or over half of the words in
 repeated three-word windows, fail it.  The method then looks across documents:
 lines are normalised (lower case, white space runs to one blank, digits to 0)
-and hashed; a line that more than ``max(min_docs, share * texts of the host)``
-different texts of one host hold is boilerplate and is removed; a document that
+and hashed; a line that more than ``min_docs`` different texts of one host and
+more than ``share`` of its texts hold is boilerplate and is removed, and so is one
+in more than ``most_docs`` texts, however large the host; a document that
 keeps less than half of its words after that is rejected.  Exact copies count
 as one text, so that copying a document does not turn its lines into
 boilerplate (removing copies is the duplicate operators' task).
@@ -27,7 +28,8 @@ from portrait.session import scratch_path
 
 MIN_WORDS = 50
 MIN_DOCS = 20          # a line in this many texts of its host, or fewer, is never boilerplate
-SHARE = 0.01           # nor one in this share of the host's texts
+SHARE = 0.01           # nor one in this share of the host's texts,
+MOST_DOCS = 1000       # up to this many texts: beyond it a line always is
 KEEP_SHARE = 0.5       # words a document must keep
 
 WHITE = "\t\n\x0b\x0c\r"
@@ -88,12 +90,13 @@ def line_rows(rows: DataFrame) -> DataFrame:
             .select("doc_id", "th", "host", "l.line", "l.words"))
 
 
-def frequent_lines(rows: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
-    """(host, line) pairs that more texts of the host hold than the limit."""
+def frequent_lines(rows: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE,
+                   most_docs: int = MOST_DOCS) -> DataFrame:
+    """(host, line) pairs that more texts of the host hold than the limits."""
     count = lines.groupBy("host", "line").agg(F.count_distinct("th").alias("n_docs")).filter(F.col("n_docs") > min_docs)
     hosts = (rows.filter(_without(F.col("text"), " " + WHITE) != "").select("host", F.xxhash64("text").alias("th"))
              .groupBy("host").agg(F.count_distinct("th").alias("host_docs")))
-    return (count.join(hosts, "host").filter(F.col("n_docs") > share * F.col("host_docs"))
+    return (count.join(hosts, "host").filter((F.col("n_docs") > share * F.col("host_docs")) | (F.col("n_docs") > most_docs))
             .select("host", "line"))
 
 
@@ -103,19 +106,24 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _removed(rows: DataFrame, min_docs: int, share: float) -> DataFrame:
+def _removed(rows: DataFrame, min_docs: int, share: float, most_docs: int) -> DataFrame:
     """Lines above the limits (with the document they stand in), from a stored
     table of line hashes, which is made in one pass over the texts."""
     lines = _stored(line_rows(rows), "lines")
-    return lines.join(frequent_lines(rows, lines, min_docs, share), ["host", "line"])
+    return lines.join(frequent_lines(rows, lines, min_docs, share, most_docs), ["host", "line"])
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
+          min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE,
+          most_docs: int = MOST_DOCS) -> DataFrame:
     """One row per document: its base figures, words in removed lines
     (n_line_words) and whether it is kept; ``th`` and ``host`` tell equal ids apart."""
     rows = _rows(docs, id_col, text_col, host_col)
-    gone = (_removed(rows, min_docs, share)
+    return _judged(rows, _removed(rows, min_docs, share, most_docs), keep_share)
+
+
+def _judged(rows: DataFrame, removed: DataFrame, keep_share: float) -> DataFrame:
+    gone = (removed
             .groupBy(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"), F.col("host").alias("gone_host"))
             .agg(F.sum("words").alias("gone_words"), F.count(F.lit(1)).alias("gone_lines")))
     # equal rows would have their lines counted once for each: back to one row's share
@@ -136,13 +144,16 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
+          min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE,
+          most_docs: int = MOST_DOCS) -> DataFrame:
     """The kept documents with all their columns, boilerplate lines removed
     from the text (a text without such lines is returned unchanged)."""
     rows = _rows(docs, id_col, text_col, host_col)
     same = ["doc_id", "th", "host"]
-    verdict = judge(rows, "doc_id", "text", "host", min_docs, share, keep_share).filter("kept").select(*same).distinct()
-    gone = (_removed(rows, min_docs, share).groupBy(*same).agg(F.collect_set("line").alias("lines")))  # of its own lines
+    # the texts are cut into lines once, for the verdicts and for the removal
+    removed = _stored(_removed(rows, min_docs, share, most_docs), "removed-lines")
+    verdict = _judged(rows, removed, keep_share).filter("kept").select(*same).distinct()
+    gone = (removed.groupBy(*same).agg(F.collect_set("line").alias("lines")))  # of its own lines
     kept = verdict.join(gone, [verdict[c].eqNullSafe(gone[c]) for c in same], "left").select(
         *[verdict[c].alias(f"kept_{c}") for c in same], "lines")
     own = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"),

@@ -222,6 +222,16 @@ def test_quality_rules(docs):
         assert not any((r.source or "", key(x)) in often for x in r.text.split("\n") if WHITE.search(x))
 
 
+def test_lines_of_very_many_texts_go_whatever_the_share(llm):
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    docs = llm.createDataFrame([(i, body(i) + ("\nfooter line" if i < 8 else ""), "h") for i in range(10)],
+                               "doc_id long, text string, source string")
+    removed = lambda **k: quality_rules.judge(docs, min_docs=3, share=0.9, **k).filter("n_line_words = 2").count()
+    assert removed() == 0 and removed(most_docs=7) == 8 and removed(most_docs=8) == 0
+    texts = [r.text for r in quality_rules.clean(docs, min_docs=3, share=0.9, most_docs=7).collect()]
+    assert len(texts) == 10 and not any("footer" in t for t in texts)
+
+
 # ------------------------------------------------------------- n-gram join
 def sets_of(rows):
     out = []
