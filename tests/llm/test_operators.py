@@ -223,7 +223,7 @@ def test_quality_rules(docs):
 
 
 def test_lines_of_very_many_texts_go_whatever_the_share(llm):
-    body = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    body = lambda i: " ".join(f"{chr(97 + i)}x{j}" for j in range(60))
     docs = llm.createDataFrame([(i, body(i) + ("\nfooter line" if i < 8 else ""), "h") for i in range(10)],
                                "doc_id long, text string, source string")
     removed = lambda **k: quality_rules.judge(docs, min_docs=3, share=0.9, **k).filter("n_line_words = 2").count()
