@@ -4,6 +4,12 @@ read again as the next one's input.
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame.  All but the last return the columns of ``documents``.
 ``n_chars`` follows the text where a stage changes it.
+
+Defined cases: null, empty and white texts fail the quality rules, so the first
+stage drops them; rows without an id take part by their texts and end with a null
+id; of equal rows and of copies one row stays; very long texts are one row
+throughout; an empty table gives an empty result; further columns, whatever their
+names, come through all stages but the last unread.
 """
 
 from __future__ import annotations
