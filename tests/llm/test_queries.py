@@ -71,3 +71,26 @@ def test_pipeline_keeps_a_row_given_twice(llm):
     assert sorted(r.doc_id for r in once.collect()) == [1, 3]
     left = {r.doc_id: r for r in stages["suffix-array dedup"](llm, once, SMALL).collect()}
     assert left[1].text == text and left[1].n_chars == len(text)
+
+
+def test_pipeline_on_edge_cases(llm, edge, empty, tmp_path):
+    """Nulls in every column, empty, white, very long and repeated texts, clashing names, no rows."""
+    import corpus_pipeline as P
+    bench = llm.read.parquet(f"{SMALL}/benchmark.parquet")
+    for name, docs in (("edge", edge), ("empty", empty)):
+        sf = str(tmp_path / name)
+        docs.write.parquet(f"{sf}/documents.parquet")
+        bench.write.parquet(f"{sf}/benchmark.parquet")
+        before = llm.read.parquet(f"{sf}/documents.parquet")
+        for stage, f in P.STAGES[:-1]:
+            f(llm, before, sf).write.parquet(f"{sf}/{stage}")
+            before = llm.read.parquet(f"{sf}/{stage}")
+            assert before.columns == edge.columns
+        got = {r.doc_id: r.n_tokens for r in P.run(llm, sf).collect()}
+        if name == "empty":
+            assert got == {}
+            continue
+        # one of the copies 0, 1 and the row without id, its near copy gone too; 8 and 9 share a passage, 11 is alone
+        assert got.keys() == {0, 8, 9, 11} and all(n > 0 for n in got.values())
+        kept = {r.doc_id: r.text for r in before.collect()}
+        assert "passage5 " not in kept[8] + kept[9] and kept[11].endswith("u29999")
