@@ -23,6 +23,7 @@ TRAIN_MONTHS = -18                     # window of the content training lines, i
 TRAIN_SOURCE = "src2"                  # source of the content training lines
 NEGATIVE_FRACTION = 0.3                # share of the negatives kept in a training set
 FILE_BYTES = 64 << 20                  # wanted size of an exported file
+TEXT_BITS = 15                         # hashed text features: 2^15 for each of eight classes
 POOR_SHEET = 120000                    # orders below this price leave the second answer empty
 
 _job_day: ContextVar[_dt.date | None] = ContextVar("job_day", default=None)

@@ -1125,7 +1125,7 @@ def q_text_classify(spark, sf):
     are written once, spread by document, so that training has many tasks."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", TX.tokens(F.col("text")).alias("tokens"))
     tasks = spark.sparkContext.defaultParallelism
-    feats = freeze(MD.text_features(docs, "tokens").select("doc_id", "lang", "features").repartition(tasks, "doc_id"))
+    feats = freeze(MD.text_features(docs, "tokens", P.TEXT_BITS).select("doc_id", "lang", "features").repartition(tasks, "doc_id"))
     lab = table(spark, sf, "labels").select("doc_id", "quality")
     child = F.array_position(F.lit(CHILDREN), F.concat_ws("-", "lang", F.col("quality").cast("string"))) - 1
     train = feats.join(lab, "doc_id").withColumn("label", child.cast("double")).where(F.col("label") >= 0)
