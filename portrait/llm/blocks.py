@@ -28,10 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portrait.session import scratch_path
-
 BLOCK_BYTES = 16 << 20
-FAN = 64                       # messages a block or node sends at a time
+FAN = 128                      # messages a block or node sends at a time
 HOT = 100_000                  # copies are taken out when they are a HOT-th of all bytes too
 
 
@@ -180,12 +178,9 @@ class Exchange:
         """Answers (kind, block, place, counts) for all blocks of the messages
         ``sent``, and per kind the sum of all totals and the keys with one above zero."""
         at = ["kind", "g", "r"]
-        sent_at = [sent]
-        for level in range(1, self.levels):                     # several levels: each is written once
-            sent_at[-1] = _stored(sent_at[-1], "messages")
+        sent_at = [sent]                                        # messages into each level; read again on the way back
+        for level in range(1, self.levels):
             sent_at.append(sent_at[-1].groupBy(*at).applyInArrow(self._pass_on(level), SENT))
-        if self.levels > 1:
-            sent_at[-1] = _stored(sent_at[-1], "messages")
         top = sent_at[-1].groupBy(*at)
         sizes = top.applyInArrow(_sizes, SIZE).groupBy("kind").agg(F.sum("total").alias("total"), F.sum("present").alias("present"))
         answers = top.applyInArrow(self._top(), ANSWER)
@@ -194,12 +189,6 @@ class Exchange:
         return answers.select("kind", F.col("g").cast("int").alias("block"), "place", "counts"), sizes
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "uncompressed").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Messages merged: distinct keys, each entry's place among them, totals."""
     keys = [unpack_sorted(x.as_py(), n) for x, n in zip(table["keys"], table["n"].to_pylist(), strict=True)]

@@ -52,7 +52,7 @@ def test_pipeline(llm, tmp_path):
 def test_pipeline_removes_passages_of_fifty_words(llm):
     """A passage of 51 words, below 400 bytes, in two documents that share nothing else."""
     import corpus_pipeline as P
-    own = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    own = lambda k: " ".join(f"{k}{i}{k}" for i in range(60))
     passage = " ".join(f"word{i % 7}{chr(97 + i % 26)}" for i in range(51))
     rows = [(1, f"{own('a')} {passage} {own('b')}"), (2, f"{own('c')} {passage} {own('d')}"), (3, own("e"))]
     docs = llm.createDataFrame(rows, "doc_id long, text string")
@@ -90,7 +90,7 @@ def test_pipeline_on_edge_cases(llm, edge, empty, tmp_path):
         if name == "empty":
             assert got == {}
             continue
-        # one of the copies 0, 1 and the row without id, its near copy gone too; 8 and 9 share a passage, 11 is alone
-        assert got.keys() == {0, 8, 9, 11} and all(n > 0 for n in got.values())
+        # one of the copies 0, 1, the row without id and the near copy 2; one of 8 and 9, near copies too; 11 alone
+        assert got.keys() == {0, 8, 11} and all(n > 0 for n in got.values())
         kept = {r.doc_id: r.text for r in before.collect()}
-        assert "passage5 " not in kept[8] + kept[9] and kept[11].endswith("u29999")
+        assert "passage5 " in kept[8] and kept[11].endswith("u29999")
