@@ -47,7 +47,7 @@ def label_daily(sources: Sequence[DataFrame], user: str = "imei", day_col: str =
     for s in sources:
         t = s.select(user, "pred", "label", day_col)
         u = t if u is None else u.unionByName(t)
-    return (u.dropna().groupBy(user, "pred", "label", day_col).agg(F.count(F.lit(1)).alias("times"))
+    return (u.dropna(subset=[user, "pred", "label"]).groupBy(user, "pred", "label", day_col).agg(F.count(F.lit(1)).alias("times"))
             .select(user, F.concat_ws("@", "pred", "label").alias("labels"), "times", day_col))
 
 

@@ -34,6 +34,11 @@ def as_of() -> _dt.date:
     return _job_day.get() or AS_OF
 
 
+def job_date() -> _dt.date | None:
+    """The running job's date; None outside a dated job."""
+    return _job_day.get()
+
+
 def profile_as_of() -> _dt.date:
     return _job_day.get() or PROFILE_AS_OF
 

@@ -527,9 +527,11 @@ def q_item_rating(spark, sf):
 LABEL_SOURCES = ("click", "view", "purchase", "signup")
 
 
-def label_rows(spark, sf, lo: _dt.date, hi: _dt.date) -> DataFrame:
-    """(source, imei, pred, label, stat_date) rows of the days [lo, hi)."""
-    ev = TB.ts_range_slice(table(spark, sf, "events"), "ts", lo, hi).where(F.col("event_type").isin(*LABEL_SOURCES))
+def label_rows(spark, sf, lo: _dt.date | None = None, hi: _dt.date | None = None) -> DataFrame:
+    """(source, imei, pred, label, stat_date) rows of all days, or of the days [lo, hi)."""
+    ev = table(spark, sf, "events")
+    ev = ev.withColumn("stat_date", D.stat_date(F.col("ts"))) if lo is None else TB.ts_range_slice(ev, "ts", lo, hi)
+    ev = ev.where(F.col("event_type").isin(*LABEL_SOURCES))
     part = table(spark, sf, "part").select(F.col("p_partkey"), F.col("p_brand").alias("pred"),
                                            F.col("p_type").alias("label"))
     return ev.select(F.col("event_type").alias("source"), F.md5(F.col("user_id").cast("string")).alias("imei"),
@@ -537,16 +539,17 @@ def label_rows(spark, sf, lo: _dt.date, hi: _dt.date) -> DataFrame:
         .select("source", "imei", "pred", "label", "stat_date")
 
 
-def label_sources(spark, sf) -> list[DataFrame]:
-    """The result tables of the four sources, each read for the job date only.
+def label_sources(spark, sf, day: _dt.date | None = None) -> list[DataFrame]:
+    """The result tables of the four sources, all days or one job's date only.
     Here one event type stands for each; they are written first, a folder per
     source and day, as their own jobs leave them."""
-    day = P.as_of()
     path = scratch_path(spark, "label-results")
-    label_rows(spark, sf, day - _dt.timedelta(days=1), day + _dt.timedelta(days=1)).repartition("source", "stat_date") \
+    days = () if day is None else (day - _dt.timedelta(days=1), day + _dt.timedelta(days=1))
+    label_rows(spark, sf, *days).hint("rebalance", "source", "stat_date") \
         .write.partitionBy("source", "stat_date").parquet(path)
     results = spark.read.schema("imei string, pred string, label string, source string, stat_date long").parquet(path)
-    return [TB.scan_partition(results.where(F.col("source") == s), day) for s in LABEL_SOURCES]
+    sources = [results.where(F.col("source") == s) for s in LABEL_SOURCES]
+    return sources if day is None else [TB.scan_partition(s, day) for s in sources]
 
 
 def profile(spark, sf, **form) -> DataFrame:
@@ -559,11 +562,12 @@ def profile(spark, sf, **form) -> DataFrame:
 
 @query("label_daily")
 def q_label_daily(spark, sf):
-    """The job date's label counts over all sources; only that day's partition of
-    the record is replaced."""
-    path = scratch_path(spark, "label-record")
-    SK.overwrite_partitions(PR.label_daily(label_sources(spark, sf)), path)
-    return TB.scan_partition(spark.read.parquet(path), P.as_of()).withColumn("stat_date", F.col("stat_date").cast("bigint"))
+    """Label counts over all sources: the record of every day, or, in a job for a
+    date, that date's partition only."""
+    day, path = P.job_date(), scratch_path(spark, "label-record")
+    SK.overwrite_partitions(PR.label_daily(label_sources(spark, sf, day)).hint("rebalance", "stat_date"), path)
+    record = spark.read.schema("imei string, labels string, times long, stat_date long").parquet(path)
+    return record if day is None else TB.scan_partition(record, day)
 
 
 @query("label_profile")

@@ -73,3 +73,19 @@ def test_day_windows_reach_the_scan(spark):
                 "label_profile_entries"):
         plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan, key
+
+
+def test_label_record_without_a_job_date_holds_every_day(spark):
+    """Events and goods of its own; one event has no time, one no user, one no goods."""
+    import datetime as dt
+    sf = scratch_path(spark, "tables")
+    days = [dt.datetime(2024, 1, 16, 5), dt.datetime(2024, 1, 16, 23), dt.datetime(2023, 12, 31, 1), dt.datetime(2024, 3, 2, 9), None]
+    rows = [(i, 7, t, kind, '{"k": 1}') for i, t in enumerate(days) for kind in ("click", "view", "error")]
+    rows += [(98, None, days[0], "click", '{"k": 1}'), (99, 7, days[0], "click", '{"k": 2}')]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, props string") \
+        .write.parquet(f"{sf}/events.parquet")
+    spark.createDataFrame([(1, "b", "t")], "p_partkey long, p_brand string, p_type string").write.parquet(f"{sf}/part.parquet")
+    got = {r.stat_date: (r.labels, r.times) for r in QUERIES["label_daily"](spark, sf).collect()}
+    assert got == {20240116: ("b@t", 4), 20231231: ("b@t", 2), 20240302: ("b@t", 2), None: ("b@t", 2)}
+    assert [(r.stat_date, r.times) for r in run_job(spark, "label_daily", "20231231", sf).collect()] == [(20231231, 2)]
+    assert run_job(spark, "label_daily", "20230101", sf).collect() == []
