@@ -5,17 +5,20 @@ optimiser runs, so a lost executor does not replay the feature plan."""
 
 from __future__ import annotations
 
-
 from typing import Sequence
 
+import pyarrow as pa
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, HashingTF, NGram
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portrait.functions.hashing import hashed_terms
 from portrait.operators.sampling import hash_split
 from portrait.session import freeze
+from portrait.ship import ship
 
 
 def dense_features(c: Column) -> Column:
@@ -40,10 +43,13 @@ def split(df: DataFrame, id_col: str, threshold_hex: str = "cccccccc"):
 
 
 def train_lr(train: DataFrame, features: str = "features", label: str = "label", multinomial: bool = False,
-             max_iter: int = 100, reg: float = 0.0, intercept: bool = False, stored: bool = False):
-    """Logistic regression; ``stored`` says that the rows are frozen already."""
+             max_iter: int = 100, reg: float = 0.0, intercept: bool = False, stored: bool = False, block_mb: float = 0.0):
+    """Logistic regression; ``stored`` says that the rows are frozen already.  For
+    each block of ``block_mb`` (0: Spark's 1 MB) Spark fills a gradient of all
+    features and classes, so wide sparse rows want larger blocks."""
     lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg,
-                            fitIntercept=intercept, family="multinomial" if multinomial else "auto")
+                            fitIntercept=intercept, family="multinomial" if multinomial else "auto",
+                            maxBlockSizeInMB=block_mb)
     rows = train.select(features, label)
     return lr.fit(rows if stored else freeze(rows))
 
@@ -98,11 +104,15 @@ def score_all(df: DataFrame, id_col: str, vector: str, models: DataFrame) -> Dat
 
 
 def text_features(df: DataFrame, tokens: str, bits: int = 18) -> DataFrame:
-    """Unigrams and bigrams hashed into a sparse vector."""
-    with_bi = NGram(n=2, inputCol=tokens, outputCol="_bigrams").transform(df)
-    terms = with_bi.withColumn("_terms", F.concat(F.col(tokens), F.col("_bigrams")))
-    return HashingTF(inputCol="_terms", outputCol="features", numFeatures=1 << bits).transform(terms) \
-        .drop("_bigrams", "_terms")
+    """Unigrams and bigrams hashed into a sparse vector: the vectors of ``NGram``
+    and ``HashingTF``, whose time goes into a string object and a map entry for
+    every term; here a batch's terms are hashed and counted as arrays.  A row
+    without tokens, null ones included, has a vector without entries."""
+    @F.arrow_udf(VectorUDT())
+    def hashed(rows: pa.Array) -> pa.Array:
+        return hashed_terms(rows, bits)
+    ship(df.sparkSession)
+    return df.withColumn("features", hashed(F.col(tokens)))
 
 
 def save_model(model, path: str) -> None:

@@ -1126,14 +1126,16 @@ def q_text_classify(spark, sf):
     """Two-level text classifier trained and applied in one job: level 1 = the
     language, level 2 = the quality within that language.  One model over the
     children; level 2 is chosen among the children of level 1 only.  The features
-    are written once, spread by document, so that training has many tasks."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", TX.tokens(F.col("text")).alias("tokens"))
+    are written once; texts, which are smaller, are spread by document before, so
+    that hashing and training have many tasks."""
     tasks = spark.sparkContext.defaultParallelism
-    feats = freeze(MD.text_features(docs, "tokens", P.TEXT_BITS).select("doc_id", "lang", "features").repartition(tasks, "doc_id"))
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text").repartition(tasks, "doc_id")
+    docs = docs.select("doc_id", "lang", TX.tokens(F.col("text")).alias("tokens"))
+    feats = freeze(MD.text_features(docs, "tokens", P.TEXT_BITS).select("doc_id", "lang", "features"))
     lab = table(spark, sf, "labels").select("doc_id", "quality")
     child = F.array_position(F.lit(CHILDREN), F.concat_ws("-", "lang", F.col("quality").cast("string"))) - 1
     train = feats.join(lab, "doc_id").withColumn("label", child.cast("double")).where(F.col("label") >= 0)
-    model = MD.train_lr(train, multinomial=True, max_iter=30, reg=0.01)
+    model = MD.train_lr(train, multinomial=True, max_iter=30, reg=0.01, block_mb=16)
     parent, prob_1, own, prob_2 = MD.top_down(F.col("_p"), [i // 2 for i in range(len(CHILDREN))])
     # a class without a training row has no score
     scores = F.slice(F.concat(MD.vector_to_array(F.col("probability")), F.array_repeat(F.lit(0.0), len(CHILDREN))), 1, len(CHILDREN))
