@@ -551,6 +551,42 @@ def test_suffix_dedup_edits(llm):
         suffix_dedup.report(df, length=100)
 
 
+def test_suffix_dedup_follows_equal_rows_once(llm, monkeypatch):
+    """Rows that are equal in all columns count each other and are then one text."""
+    rng = np.random.default_rng(3)
+    text = lambda n: "".join(rng.choice(list("abcdef"), n))
+    base = text(1500)
+    near = base[:700] + "#" + base[701:]
+    rows = [(1, base)] * 30 + [(2, near), (3, text(500) + base[200:650]), (4, text(900)), (5, "short")]
+    stored, keep = {}, suffix_dedup._stored
+    monkeypatch.setattr(suffix_dedup, "_stored", lambda df, label: stored.setdefault(label, keep(df, label)))
+    expect(suffix_dedup.report(llm.createDataFrame(rows, "doc_id long, text string")),
+           deduped([(d, t.encode()) for d, t in rows]), *COLS8)
+    assert stored["texts"].count() == stored["texts"].select("key").distinct().count() == 3
+
+
+def test_suffix_dedup_ranks_many_texts_at_once(monkeypatch):
+    """Texts of a batch are hashed by slices of many texts, not one by one."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    made, ranks = [], suffix_dedup.Ranks
+    monkeypatch.setattr(suffix_dedup, "Ranks", lambda buf: made.append(len(buf)) or ranks(buf))
+    texts = ["".join(rng.choice(list("abcd"), n)) for n in (*range(400, 800, 8), 150_000)]
+    runs = [[(0 << 20 | (len(t) - 400 & 1023) << 10 | 200) * suffix_dedup.FLAGS + suffix_dedup.OPEN] for t in texts[:-1]]
+    runs.append([(140_000 << 20 | 9 << 10 | 30) * suffix_dedup.FLAGS + suffix_dedup.OPEN])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array(runs)], ["key", "text", "runs"])
+    out = pa.Table.from_batches(suffix_dedup._starts(400)([batch])).to_pandas()
+    assert len(made) <= 3 and sum(made) == sum(map(len, texts))
+    first = [range(len(t) - 399) for t in texts[:-1]] + [range(140_000, 140_010)]
+    assert out.key.tolist() == [k for k, x in enumerate(first) for _ in x]
+    place = out["at"].to_numpy() >> 20
+    assert place.tolist() == [i for x in first for i in x]
+    alone = bytesops.mix(suffix_dedup.R1.ranges(suffix_dedup.R1.byte_sums(np.frombuffer(texts[7].encode(), np.uint8)),
+                                                np.array([5]), np.array([405])))
+    assert out.rank1[(out.key == 7) & (place == 5)].tolist() == alone.view(np.int64).tolist()
+
+
 # ------------------------------------------------------------- classifier
 def test_quality_classifier(llm, edge, empty):
     docs, labels = (llm.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
